@@ -1,0 +1,166 @@
+"""Write outputs to a staging folder, then swap them all into place.
+
+Nothing at a target changes until every output has been written. The swap is
+two renames per target: the old output aside, the new one in. If one fails, the
+targets already swapped get their old output back. A target may be the very file
+an output was computed from. On object stores a rename is a copy and not atomic.
+"""
+
+from __future__ import annotations
+
+import logging
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelspan.functions import column
+from panelspan.operators.lookup import measure
+from panelspan.sinks.files import Files
+from panelspan.sources.dimension import CSV_QUOTING
+
+log = logging.getLogger(__name__)
+
+SINGLE_FILE_BYTES = 256 * 1024 * 1024
+
+CSV_OPTIONS = {
+    "header": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    **CSV_QUOTING,
+}
+
+
+class Publication:
+    """Several outputs that appear together or not at all; use it in a ``with`` block."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._files = Files(spark)
+        self._folders: list[str] = []
+        self._staged: list[tuple[str, str]] = []
+
+    def __enter__(self) -> Publication:
+        return self
+
+    def __exit__(self, error_type, error, traceback) -> None:
+        try:
+            if error_type is None:
+                self._swap()
+        finally:
+            for folder in self._folders:
+                self._files.delete(folder)
+
+    def _folder(self, target: str) -> str:
+        folder = self._files.staging_folder(target)
+        self._files.make_folder(folder)
+        self._folders.append(folder)
+        return folder
+
+    def stage_parquet(self, df: DataFrame, target: str, compression: str | None = None) -> str:
+        """Write a Parquet dataset for ``target``; return where it can be read until the swap."""
+        staged = f"{self._folder(target)}/{self._files.name(target)}"
+        writer = df.write
+        if compression:
+            writer = writer.option("compression", compression)
+        writer.parquet(staged)
+        self._staged.append((staged, target))
+        return staged
+
+    def stage_csv(
+        self,
+        df: DataFrame,
+        target: str,
+        single_file: bool = False,
+        order_by: Sequence[str] = (),
+        single_file_bytes: int = SINGLE_FILE_BYTES,
+    ) -> str:
+        """Write CSV with a header for ``target``: a folder of files, or one file.
+
+        ``order_by`` sorts the rows over all files. One file is written by one
+        task, so it is only made of data measured to be within
+        ``single_file_bytes``; larger data stays a folder. Readers take either
+        under the same path.
+        """
+        folder = self._folder(target)
+        staged = f"{folder}/{self._files.name(target)}"
+        if single_file or order_by:
+            # A written table: computed once, then measured or sorted as often as needed.
+            df.write.parquet(f"{folder}/rows")
+            df = self._spark.read.schema(df.schema).parquet(f"{folder}/rows")
+        order = [column(name) for name in order_by]
+        if single_file and not self._fits_one_file(df, target, single_file_bytes):
+            single_file = False
+        if single_file:
+            one = df.coalesce(1)
+            if order:
+                one = one.sortWithinPartitions(*order)
+            self._write_csv(one, f"{folder}/one")
+            parts = self._files.part_files(f"{folder}/one")
+            if len(parts) != 1:
+                raise RuntimeError(f"Expected one file for {target}, found {len(parts)}")
+            staged = parts[0]
+        elif order:
+            # The place of a row in the table breaks ties, so that many copies of
+            # one row can be sorted by several tasks.
+            place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+            placed = df.select("*", place[0].alias("_file"), place[1].alias("_row"))
+            self._write_csv(placed.orderBy(*order, "_file", "_row").drop("_file", "_row"), staged)
+        else:
+            self._write_csv(df, staged)
+        self._staged.append((staged, target))
+        return staged
+
+    @staticmethod
+    def _write_csv(df: DataFrame, path: str) -> None:
+        df.write.options(**CSV_OPTIONS).csv(path)
+
+    @staticmethod
+    def _fits_one_file(df: DataFrame, target: str, limit: int) -> bool:
+        size = measure(df).bytes
+        if size > limit:
+            log.warning("%s: %d bytes are too many for one file", target, size)
+        return size <= limit
+
+    def _swap(self) -> None:
+        swapped: list[tuple[str, str | None]] = []
+        try:
+            for staged, target in self._staged:
+                old = None
+                if self._files.exists(target):
+                    old = f"{self._folder(target)}/{self._files.name(target)}"
+                    self._files.rename(target, old)
+                swapped.append((target, old))
+                self._files.rename(staged, target)
+        except BaseException:
+            self._restore(swapped)
+            raise
+
+    def _restore(self, swapped: list[tuple[str, str | None]]) -> None:
+        for target, old in reversed(swapped):
+            try:
+                if self._files.exists(target):
+                    self._files.delete(target)
+                if old is not None:
+                    self._files.rename(old, target)
+            except Exception:
+                # Leave the old output where it is rather than delete it with its folder.
+                log.exception("The old output of %s could not be restored from %s", target, old)
+                self._folders = [f for f in self._folders if not str(old).startswith(f"{f}/")]
+
+
+def publish(
+    df: DataFrame,
+    target: str,
+    format: str = "parquet",
+    single_file: bool = False,
+    order_by: Sequence[str] = (),
+) -> None:
+    """Replace one output by ``df`` once all of it has been written."""
+    with Publication(df.sparkSession) as publication:
+        if format == "parquet":
+            publication.stage_parquet(df, target)
+        elif format == "csv":
+            publication.stage_csv(df, target, single_file, order_by)
+        else:
+            raise ValueError(f"Unknown format {format!r}: use parquet or csv")
