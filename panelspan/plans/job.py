@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from panelspan.defaults import AGGREGATE_ENTITY_CODES
 from panelspan.errors import ConflictingTopics, DuplicateCells
+from panelspan.functions import column
 from panelspan.operators.dimension import (
     assert_no_conflicts,
     attach_topics,
@@ -78,25 +79,22 @@ def publish_panel(
     """
     check_columns(raw, spec.columns)
     check_columns(dimension, names.published)
-    pairs = clean_dimension(dimension, spec, names)
-    try:
-        size = assert_no_conflicts(pairs, spec)
-    except ConflictingTopics:
-        # Broken rows are reported before a broken dimension.
-        assert_clean(quality_report(raw, spec).first().asDict())
-        raise
-    if size.rows == 0:
-        # An empty broadcast side lets Spark skip the scan, and the counts with it.
-        assert_clean(quality_report(raw, spec).first().asDict())
-
     with Publication(spark) as publication:
+        published = [column(name) for name in names.published]
+        dimension = publication.table(dimension.select(*published), near=outputs.dimension)
+        pairs = clean_dimension(dimension, spec, names)
+        try:
+            size = assert_no_conflicts(pairs, spec)
+        except ConflictingTopics:
+            # Broken rows are reported before a broken dimension.
+            assert_clean(quality_report(raw, spec).first().asDict())
+            raise
+
         seen = Observation()
         selected = _selected(raw.observe(seen, *quality_counts(raw, spec)), spec, excluded)
-        small = size.bytes <= broadcast_bytes
-        enriched = attach_topics(selected, pairs, spec, small)
+        enriched = attach_topics(selected, pairs, spec, small=size.bytes <= broadcast_bytes)
         staged = publication.stage_parquet(enriched, outputs.long)
-        if size.rows > 0:
-            assert_clean(seen.get)
+        assert_clean(_counts(seen, raw, spec))
 
         panel = spark.read.schema(enriched.schema).parquet(staged)
         _stage_wide(publication, pivot_series(panel, spec), outputs.series_wide)
@@ -107,6 +105,18 @@ def publish_panel(
         publication.stage_csv(used, outputs.dimension, single_file=True, order_by=names.published)
 
 
+def _counts(seen: Observation, raw: DataFrame, spec: PanelSpec) -> dict[str, int]:
+    """The observed quality counts.
+
+    Spark drops them with the scan when it finds at run time that the join has an
+    empty side; the report is then computed on its own.
+    """
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return quality_report(raw, spec).first().asDict()
+
+
 def _stage_wide(publication: Publication, wide: DataFrame, target: str) -> None:
     try:
         publication.stage_parquet(wide, target)

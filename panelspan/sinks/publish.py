@@ -57,6 +57,16 @@ class Publication:
         self._folders.append(folder)
         return folder
 
+    def table(self, df: DataFrame, near: str) -> DataFrame:
+        """Write an intermediate table on the file system of ``near``; it goes with the block.
+
+        What is read from it is computed once, whatever executors are lost later
+        and whatever happens to the files that ``df`` came from.
+        """
+        path = f"{self._folder(near)}/table"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
     def stage_parquet(self, df: DataFrame, target: str, compression: str | None = None) -> str:
         """Write a Parquet dataset for ``target``; return where it can be read until the swap."""
         staged = f"{self._folder(target)}/{self._files.name(target)}"
@@ -85,9 +95,7 @@ class Publication:
         folder = self._folder(target)
         staged = f"{folder}/{self._files.name(target)}"
         if single_file or order_by:
-            # A written table: computed once, then measured or sorted as often as needed.
-            df.write.parquet(f"{folder}/rows")
-            df = self._spark.read.schema(df.schema).parquet(f"{folder}/rows")
+            df = self.table(df, target)
         order = [column(name) for name in order_by]
         if single_file and not self._fits_one_file(df, target, single_file_bytes):
             single_file = False
