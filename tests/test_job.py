@@ -1,0 +1,146 @@
+"""The whole job: outputs, rules, and nothing published on failure."""
+
+import os
+
+import pytest
+
+import panelspan as ps
+from tests.helpers import full_dimension, plan, raw, records, rows
+
+RAW = [
+    ("Alpha", "ALP", "Births rate", "B.1", "2020", "1.5"),
+    (" Alpha", "ALP ", "Export share", " X.1 ", "2021", "2"),
+    ("World", "wld", "Births rate", "B.1", "2020", "9"),
+    ("Rich", "", "Births rate", "B.1", "2020", "9"),
+    ("Beta", "BET", "Births rate", "B.1", "2020", " "),
+    ("Gamma", "GAM", "Unmapped", "U.1", "2020", "7"),
+]
+TOPICS = [("B.1", "Health"), (" X.1", "Trade "), ("N.1", "Never used")]
+
+
+@pytest.fixture
+def outputs(tmp_path):
+    folder = tmp_path / "out"
+    folder.mkdir()
+    return ps.PanelOutputs(
+        f"{folder}/long", f"{folder}/series", f"{folder}/period", f"{folder}/dimension.csv"
+    )
+
+
+def published(outputs):
+    return sorted(n for n in os.listdir(os.path.dirname(outputs.long)) if not n.endswith(".crc"))
+
+
+def test_four_outputs(spark, outputs):
+    ps.publish_panel(spark, raw(spark, *RAW), full_dimension(spark, *TOPICS), outputs)
+    assert published(outputs) == ["dimension.csv", "long", "period", "series"]
+    assert rows(spark.read.parquet(outputs.long)) == [
+        ("Alpha", "ALP", "Births rate", "B.1", 2020, 1.5, "Health"),
+        ("Alpha", "ALP", "Export share", "X.1", 2021, 2.0, "Trade"),
+    ]
+    key = {"Country Name": "Alpha", "Country Code": "ALP"}
+    assert records(spark.read.parquet(outputs.series_wide)) == [
+        {**key, "Year": 2020, "Topic": "Health", "Births rate": 1.5, "Export share": None},
+        {**key, "Year": 2021, "Topic": "Trade", "Births rate": None, "Export share": 2.0},
+    ]
+    births = {**key, "Series Name": "Births rate", "Series Code": "B.1", "Topic": "Health"}
+    exports = {**key, "Series Name": "Export share", "Series Code": "X.1", "Topic": "Trade"}
+    assert records(spark.read.parquet(outputs.period_wide)) == [
+        {**births, "2020": 1.5, "2021": None},
+        {**exports, "2020": None, "2021": 2.0},
+    ]
+    assert [(r["id"], r["topic"]) for r in records(ps.load_dimension(spark, outputs.dimension))] \
+        == [("B.1", "Health"), ("X.1", "Trade ")]
+    assert open(outputs.dimension).readline().strip() == ",".join(ps.DIMENSION.published)
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_job_from_files_over_its_own_dimension(spark, outputs, tmp_path, limit):
+    """The published dimension replaces the file the job reads."""
+    raw(spark, *RAW).write.parquet(f"{tmp_path}/raw")
+    ps.publish(full_dimension(spark, *TOPICS), outputs.dimension, "csv", single_file=True)
+    for _ in range(2):
+        ps.publish_panel(
+            spark,
+            spark.read.parquet(f"{tmp_path}/raw"),
+            ps.load_dimension(spark, outputs.dimension),
+            outputs,
+            broadcast_bytes=limit,
+        )
+        assert spark.read.parquet(outputs.long).count() == 2
+        assert ps.load_dimension(spark, outputs.dimension).count() == 2
+
+
+FAILURES = [
+    ([("", "X", "S", "B.1", "2020", "1")], [], ps.InvalidRows, "missing_identifier"),
+    ([("L", "X", "S", "B.1", "20x0", "1")], [], ps.InvalidRows, "invalid_period"),
+    ([("L", "WLD", "S", "B.1", "2020", "one")], [], ps.InvalidRows, "non_numeric_value"),
+    ([("L", "X", "S", "no topic", "2020", "one")], [], ps.InvalidRows, "non_numeric_value"),
+    ([], [("N.1", "Another")], ps.ConflictingTopics, "topics"),
+    ([("L", "X", "S", "B.1", "x", "1")], [("N.1", "Another")], ps.InvalidRows, "invalid_period"),
+    ([RAW[0]], [], ps.DuplicateCells, "series"),
+    ([("Alpha", "ALP", "Births rate", "B.2", "2020", "3")], [("B.2", "Health")],
+     ps.DuplicateCells, "series"),
+    ([("L", "X", "births RATE", "B.1", "2020", "3")], [], ps.InvalidHeaders, "collide"),
+]
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("more_rows, more_topics, error, message", FAILURES)
+def test_broken_rules_publish_nothing(
+    spark, outputs, more_rows, more_topics, error, message, limit
+):
+    ps.publish(spark.range(1), outputs.long)
+    source = raw(spark, *RAW, *more_rows)
+    topics = full_dimension(spark, *TOPICS, *more_topics)
+    with pytest.raises(error, match=message):
+        ps.publish_panel(spark, source, topics, outputs, broadcast_bytes=limit)
+    assert published(outputs) == ["long"]
+    assert spark.read.parquet(outputs.long).count() == 1
+
+
+@pytest.mark.parametrize("limit", [10**6, 0, -1])
+def test_broken_rows_are_found_when_nothing_is_mapped(spark, outputs, limit):
+    broken = raw(spark, ("L", "X", "S", "B.1", "20x0", "1"))
+    with pytest.raises(ps.InvalidRows, match="invalid_period"):
+        ps.publish_panel(spark, broken, full_dimension(spark), outputs, broadcast_bytes=limit)
+    assert published(outputs) == []
+
+
+def test_broken_rows_are_found_when_all_rows_are_filtered_out(spark, outputs):
+    broken = raw(spark, ("L", "WLD", "S", "B.1", "20x0", "1"))
+    topics = full_dimension(spark, *TOPICS)
+    for limit in (10**6, 0):
+        with pytest.raises(ps.InvalidRows, match="invalid_period"):
+            ps.publish_panel(spark, broken, topics, outputs, broadcast_bytes=limit)
+
+
+@pytest.mark.parametrize("source", [[], RAW[2:]])
+def test_job_without_any_final_row(spark, outputs, source):
+    ps.publish_panel(spark, raw(spark, *source), full_dimension(spark, *TOPICS), outputs)
+    assert spark.read.parquet(outputs.long).count() == 0
+    assert spark.read.parquet(outputs.series_wide).columns == [
+        "Country Name", "Country Code", "Year", "Topic",
+    ]
+    assert spark.read.parquet(outputs.period_wide).count() == 0
+    assert ps.load_dimension(spark, outputs.dimension).count() == 0
+
+
+def test_missing_columns_start_no_job(spark, outputs):
+    topics = full_dimension(spark, *TOPICS)
+    with pytest.raises(ps.MissingColumns, match="Value"):
+        ps.publish_panel(spark, raw(spark, *RAW).drop("Value"), topics, outputs)
+    with pytest.raises(ps.MissingColumns, match="source"):
+        ps.publish_panel(spark, raw(spark, *RAW), topics.drop("source"), outputs)
+
+
+def test_long_panel_needs_no_shuffle_of_rows_and_no_python(spark, tmp_path):
+    raw(spark, *RAW).write.parquet(f"{tmp_path}/raw")
+    panel = ps.long_panel(
+        spark.read.parquet(f"{tmp_path}/raw"), full_dimension(spark, *TOPICS)
+    )
+    assert panel.count() == 2
+    physical = plan(panel).split("== Physical Plan ==")[-1]
+    rows_side = physical.split("BroadcastExchange")[0]
+    assert "Exchange hashpartitioning" not in rows_side
+    assert "Python" not in physical.replace("Scan ExistingRDD", "")
