@@ -74,4 +74,5 @@ def lookup(
         salt, F.pmod(F.xxhash64(*[column(name) for name in spread_by]), F.lit(salts)).cast("int")
     )
     copies = keyed.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, salt], how).drop(salt)
+    # The hint keeps Spark from broadcasting on an estimate that knows nothing of the copies.
+    return salted.join(copies.hint("shuffle_merge"), [key, salt], how).drop(salt)

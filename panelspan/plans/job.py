@@ -9,7 +9,9 @@ and no cache has to hold the panel. All outputs are swapped in at the end.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+import math
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -31,9 +33,14 @@ from panelspan.operators.lookup import BROADCAST_BYTES
 from panelspan.operators.normalize import canonicalize
 from panelspan.operators.quality import assert_clean, quality_counts, quality_report
 from panelspan.operators.reshape import DUPLICATE_CELL, pivot_period, pivot_series
+from panelspan.sinks.files import Files
 from panelspan.sinks.publish import Publication
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
 
+# Repeated names take little room in Parquet and their full length in a shuffle,
+# where this much of a long panel becomes roughly four times as much.
+PARQUET_BYTES_PER_PARTITION = 128 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class PanelOutputs:
@@ -97,14 +104,37 @@ def publish_panel(
         assert_clean(_counts(seen, raw, spec))
 
         panel = spark.read.schema(enriched.schema).parquet(staged)
-        _stage_wide(publication, pivot_series(panel, spec), outputs.series_wide)
-        # Cells unique by series name are unique by series name and code too.
-        by_period = pivot_period(panel, spec, cells_unique=True)
-        _stage_wide(publication, by_period, outputs.period_wide)
+        with enough_shuffle_partitions(spark, Files(spark).total_bytes(staged)):
+            _stage_wide(publication, pivot_series(panel, spec), outputs.series_wide)
+            # Cells unique by series name are unique by series name and code too.
+            by_period = pivot_period(panel, spec, cells_unique=True)
+            _stage_wide(publication, by_period, outputs.period_wide)
         used = used_dimension(dimension, panel, spec, names, broadcast_bytes)
         publication.stage_csv(used, outputs.dimension, single_file=True, order_by=names.published)
 
 
+@contextmanager
+def enough_shuffle_partitions(
+    spark: SparkSession,
+    table_bytes: int,
+    bytes_per_partition: int = PARQUET_BYTES_PER_PARTITION,
+) -> Iterator[None]:
+    """Raise the session's shuffle partitions for a Parquet table that needs more of them.
+
+    Adaptive execution merges partitions that turn out small, but it cannot split
+    those of a grouping; the setting is never lowered, and restored at the end.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    needed = math.ceil(table_bytes / bytes_per_partition)
+    if needed > int(before):
+        spark.conf.set(name, str(needed))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _counts(seen: Observation, raw: DataFrame, spec: PanelSpec) -> dict[str, int]:
     """The observed quality counts.
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
 from panelspan.sinks.files import Files
 from panelspan.sinks.publish import Publication
 
-TARGET_FILE_BYTES = 1024 * 1024 * 1024
+# Bytes of the source that go into one file; the same rows take several times more as CSV.
+SOURCE_BYTES_PER_FILE = {"parquet": 1024 * 1024 * 1024, "csv": 256 * 1024 * 1024}
 
 
 def export_dataset(
@@ -15,21 +18,22 @@ def export_dataset(
     source: str,
     target: str,
     format: str = "parquet",
-    target_file_bytes: int = TARGET_FILE_BYTES,
+    source_bytes_per_file: int | None = None,
 ) -> int:
     """Compact a Parquet dataset into ZSTD Parquet or CSV; return the number of files aimed at.
 
     The number follows from the bytes of the source, so a small dataset becomes
     one file and a large one many of equal weight. Input splits are merged
-    without a shuffle; each task reads and writes about ``target_file_bytes``.
+    without a shuffle; each task reads and writes its own share.
     """
-    files = max(1, -(-Files(spark).total_bytes(source) // target_file_bytes))
+    if format not in SOURCE_BYTES_PER_FILE:
+        raise ValueError(f"Unknown format {format!r}: use parquet or csv")
+    share = source_bytes_per_file or SOURCE_BYTES_PER_FILE[format]
+    files = max(1, math.ceil(Files(spark).total_bytes(source) / share))
     rows = spark.read.parquet(str(source)).coalesce(files)
     with Publication(spark) as publication:
         if format == "parquet":
             publication.stage_parquet(rows, target, compression="zstd")
-        elif format == "csv":
-            publication.stage_csv(rows, target)
         else:
-            raise ValueError(f"Unknown format {format!r}: use parquet or csv")
+            publication.stage_csv(rows, target)
     return files

@@ -7,6 +7,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """A new folder under ``spark.checkpoint.dir``, or None where the session names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{root.rstrip('/')}/panelspan-{uuid.uuid4().hex}" if root else None
+
+
 class Files:
     """Rename, delete and measure; works on local, HDFS and object-store paths."""
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from panelspan.functions import column
 from panelspan.operators.lookup import measure
-from panelspan.sinks.files import Files
+from panelspan.sinks.files import Files, shared_folder
 from panelspan.sources.dimension import CSV_QUOTING
 
 log = logging.getLogger(__name__)
@@ -58,12 +58,18 @@ class Publication:
         return folder
 
     def table(self, df: DataFrame, near: str) -> DataFrame:
-        """Write an intermediate table on the file system of ``near``; it goes with the block.
+        """Write an intermediate table that goes with the block, and read it.
 
-        What is read from it is computed once, whatever executors are lost later
-        and whatever happens to the files that ``df`` came from.
+        It is computed once, whatever executors are lost later and whatever
+        happens to the files that ``df`` came from. It lies in the folder that the
+        session names in ``spark.checkpoint.dir``, or else next to ``near``.
         """
-        path = f"{self._folder(near)}/table"
+        folder = shared_folder(self._spark)
+        if folder is None:
+            folder = self._folder(near)
+        else:
+            self._folders.append(folder)
+        path = f"{folder}/table"
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 

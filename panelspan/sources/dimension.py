@@ -18,13 +18,17 @@ def load_dimension(
     path: str,
     names: DimensionSpec = DIMENSION,
     columns: Sequence[str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a CSV file, or a folder of them, with a header; every column is text.
 
-    Fields may hold quotes, commas and line breaks. With ``columns`` the header
+    Fields may hold quotes, commas and line breaks. A file with line breaks inside
+    fields cannot be split, so each file is read by one task: a large dimension
+    should be a folder of files, as ``publish`` writes it, or, when no field holds
+    a line break, be read with ``multi_line=False``. With ``columns`` the header
     need not be looked up first; a file whose header differs is then an error.
     """
-    reader = spark.read.options(header=True, multiLine=True, **CSV_QUOTING)
+    reader = spark.read.options(header=True, multiLine=multi_line, **CSV_QUOTING)
     if columns is not None:
         fields = [T.StructField(name, T.StringType()) for name in columns]
         reader = reader.schema(T.StructType(fields)).option("enforceSchema", False)

@@ -127,3 +127,38 @@ def test_load_dimension_needs_key_and_topic(spark, tmp_path):
     path.write_text("id,theme\ns1,x\n")
     with pytest.raises(ps.MissingColumns, match="topic"):
         ps.load_dimension(spark, path)
+
+
+@pytest.mark.parametrize("shape", ["long", "period_wide"])
+def test_adaptive_execution_may_split_a_hot_series(spark, tmp_path, shape):
+    """Also when the join is followed by a grouping that could have used its partitions."""
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
+    number = F.col("id")
+    facts = spark.range(0, 30_000, 1, 6).select(
+        F.lit("L").alias("Country Name"),
+        F.concat(F.lit("C"), number % 3000).alias("Country Code"),
+        F.lit("Hot").alias("Series Name"),
+        F.when(number % 50 == 0, F.concat(F.lit("s"), number)).otherwise("hot").alias("Series Code"),
+        (F.lit(1900) + (number / 3000)).cast("int").alias("Year"),
+        number.cast("double").alias("Value"),
+    )
+    facts.write.parquet(f"{tmp_path}/facts")
+    source = spark.range(0, 30_000, 50).select(
+        F.concat(F.lit("s"), number).alias("id"), F.lit("T").alias("topic")
+    ).unionAll(dimension(spark, ("hot", "H")))
+    panel = spark.read.parquet(f"{tmp_path}/facts")
+    # Two salts leave the hot series' partitions large, as a real one would be.
+    pairs = ps.clean_dimension(source)
+    from panelspan.operators.lookup import lookup
+
+    joined = lookup(
+        panel, pairs, "Series Code", "inner", False, ["Country Code", "Year"], salts=2
+    )
+    if shape == "period_wide":
+        joined = ps.pivot_period(joined, headers=list(range(1900, 1910)))
+    result = joined.collect()
+    final = joined._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in final
+    cells = sum(v is not None for r in result for v in r[5:]) if shape != "long" else len(result)
+    assert cells == 30_000

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import panelspan as ps
+from panelspan.plans.job import enough_shuffle_partitions
 from tests.helpers import full_dimension, plan, raw, records, rows
 
 RAW = [
@@ -144,3 +145,37 @@ def test_long_panel_needs_no_shuffle_of_rows_and_no_python(spark, tmp_path):
     rows_side = physical.split("BroadcastExchange")[0]
     assert "Exchange hashpartitioning" not in rows_side
     assert "Python" not in physical.replace("Scan ExistingRDD", "")
+
+
+def test_shuffle_partitions_grow_with_the_table_and_are_restored(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with enough_shuffle_partitions(spark, 10**6, bytes_per_partition=10**4):
+        assert spark.conf.get(name) == "100"
+    assert spark.conf.get(name) == before
+    with enough_shuffle_partitions(spark, 10**6):
+        assert spark.conf.get(name) == before
+    with pytest.raises(RuntimeError):
+        with enough_shuffle_partitions(spark, 10**6, bytes_per_partition=10**4):
+            raise RuntimeError
+    assert spark.conf.get(name) == before
+
+
+def test_submitted_job_publishes_and_exports(spark, tmp_path):
+    import panel_job
+
+    raw(spark, *RAW).write.parquet(f"{tmp_path}/raw")
+    ps.publish(full_dimension(spark, *TOPICS), f"{tmp_path}/d.csv", "csv", single_file=True)
+    panel_job.main(
+        [f"{tmp_path}/raw", f"{tmp_path}/d.csv", f"{tmp_path}/out",
+         "--export", f"{tmp_path}/export"],
+        spark,
+    )
+    for name in ("long", "series_wide", "period_wide"):
+        want = spark.read.parquet(f"{tmp_path}/out/{name}.parquet")
+        assert rows(spark.read.parquet(f"{tmp_path}/export/{name}.parquet")) == rows(want)
+        csv = spark.read.csv(
+            f"{tmp_path}/export/{name}.csv", header=True, schema=want.schema
+        )
+        assert rows(csv) == rows(want)
+    assert ps.load_dimension(spark, f"{tmp_path}/out/dimension.csv").count() == 2

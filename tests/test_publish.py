@@ -192,10 +192,23 @@ def test_export_makes_few_files_by_size(spark, tmp_path):
 
     size = Files(spark).total_bytes(source)
     several = ps.export_dataset(
-        spark, source, f"{tmp_path}/several", target_file_bytes=size // 3
+        spark, source, f"{tmp_path}/several", source_bytes_per_file=size // 3
     )
     assert 3 <= several <= 4 and 1 < len(parts(f"{tmp_path}/several")) <= several
 
     ps.export_dataset(spark, source, f"{tmp_path}/csv", "csv")
     again = spark.read.csv(f"{tmp_path}/csv", header=True, schema="id bigint, h int")
     assert rows(again) == rows(spark.read.parquet(source))
+
+
+def test_intermediate_tables_lie_in_the_shared_folder_and_go(spark, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("panelspan.sinks.publish.shared_folder", lambda _: f"{shared}/mine")
+    with ps.Publication(spark) as publication:
+        table = publication.table(spark.range(4), near=f"{tmp_path}/out")
+        assert table.count() == 4
+        assert f"{shared}/mine" in table.inputFiles()[0]
+    assert os.listdir(shared) == []
+    ps.publish(tricky(spark), f"{tmp_path}/d.csv", "csv", single_file=True)
+    assert os.listdir(shared) == []
+    assert rows(ps.load_dimension(spark, f"{tmp_path}/d.csv")) == rows(tricky(spark))
