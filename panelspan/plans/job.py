@@ -34,7 +34,7 @@ from panelspan.operators.normalize import canonicalize
 from panelspan.operators.quality import assert_clean, quality_counts, quality_report
 from panelspan.operators.reshape import DUPLICATE_CELL, pivot_period, pivot_series
 from panelspan.sinks.files import Files
-from panelspan.sinks.publish import Publication
+from panelspan.sinks.publication import Publication
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
 
 # Repeated names take little room in Parquet and their full length in a shuffle,

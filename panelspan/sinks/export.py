@@ -7,7 +7,7 @@ import math
 from pyspark.sql import SparkSession
 
 from panelspan.sinks.files import Files
-from panelspan.sinks.publish import Publication
+from panelspan.sinks.publication import Publication
 
 # Bytes of the source that go into one file; the same rows take several times more as CSV.
 SOURCE_BYTES_PER_FILE = {"parquet": 1024 * 1024 * 1024, "csv": 256 * 1024 * 1024}

@@ -203,7 +203,7 @@ def test_export_makes_few_files_by_size(spark, tmp_path):
 
 def test_intermediate_tables_lie_in_the_shared_folder_and_go(spark, tmp_path, monkeypatch):
     shared = tmp_path / "shared"
-    monkeypatch.setattr("panelspan.sinks.publish.shared_folder", lambda _: f"{shared}/mine")
+    monkeypatch.setattr("panelspan.sinks.publication.shared_folder", lambda _: f"{shared}/mine")
     with ps.Publication(spark) as publication:
         table = publication.table(spark.range(4), near=f"{tmp_path}/out")
         assert table.count() == 4
