@@ -98,7 +98,7 @@ def publish_panel(
             raise
 
         seen = Observation()
-        selected = _selected(raw.observe(seen, *quality_counts(raw, spec)), spec, excluded)
+        selected = _selected(observed(raw, seen, spec), spec, excluded)
         enriched = attach_topics(selected, pairs, spec, small=size.bytes <= broadcast_bytes)
         staged = publication.stage_parquet(enriched, outputs.long)
         assert_clean(_counts(seen, raw, spec))
@@ -135,6 +135,15 @@ def enough_shuffle_partitions(
         spark.conf.set(name, before)
 
 
+def observed(raw: DataFrame, seen: Observation, spec: PanelSpec) -> DataFrame:
+    """The needed columns of a raw panel, with the quality counts taken as they pass.
+
+    Spark prunes no columns below an observation, so they are selected first.
+    """
+    needed = raw.select(*[column(name) for name in spec.columns])
+    return needed.observe(seen, *quality_counts(needed, spec))
+
+
 def _counts(seen: Observation, raw: DataFrame, spec: PanelSpec) -> dict[str, int]:
     """The observed quality counts.
 
@@ -142,9 +151,10 @@ def _counts(seen: Observation, raw: DataFrame, spec: PanelSpec) -> dict[str, int
     empty side; the report is then computed on its own.
     """
     try:
-        return seen.get
-    except Py4JJavaError:
-        return quality_report(raw, spec).first().asDict()
+        counts = seen.get
+    except (PySparkException, Py4JJavaError):
+        counts = {}
+    return counts or quality_report(raw, spec).first().asDict()
 
 
 def _stage_wide(publication: Publication, wide: DataFrame, target: str) -> None:

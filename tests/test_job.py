@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import panelspan as ps
 from panelspan.plans.job import enough_shuffle_partitions
@@ -179,3 +180,20 @@ def test_submitted_job_publishes_and_exports(spark, tmp_path):
         )
         assert rows(csv) == rows(want)
     assert ps.load_dimension(spark, f"{tmp_path}/out/dimension.csv").count() == 2
+
+
+def test_observed_scan_reads_the_needed_columns_only(spark, tmp_path):
+    from pyspark.sql import Observation
+    from panelspan.plans.job import observed
+
+    raw(spark, *RAW).withColumns({"extra": F.lit("x"), "Value 2": F.lit(1)}).write.parquet(
+        f"{tmp_path}/raw"
+    )
+    seen = Observation()
+    panel = observed(spark.read.parquet(f"{tmp_path}/raw"), seen, ps.PANEL)
+    assert panel.filter("Value IS NOT NULL").count() == 6
+    assert seen.get == {
+        "total_rows": 6, "missing_identifier": 0, "invalid_period": 0, "non_numeric_value": 0,
+    }
+    scan = plan(panel).split("ReadSchema")[-1]
+    assert "Series Code" in scan and "extra" not in scan and "Value 2" not in scan

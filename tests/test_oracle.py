@@ -1,11 +1,13 @@
 """Every registered query against its SQL, over whole tables."""
 
 import os
+import re
 
 import pytest
 
 import __spark_entry__ as entry
 from checks.compare import difference, oracle_connection
+from tests.helpers import plan
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -24,6 +26,7 @@ def test_every_query_has_sql():
 def test_query_matches_sql(spark, connection, name):
     result = entry.queries()[name](spark, SF_DIR)
     assert difference(result, entry.oracle_sql()[name], connection) is None
+    assert not re.search("Python|Pandas|CartesianProduct|NestedLoop", plan(result))
 
 
 def test_entry_has_rows(spark):
