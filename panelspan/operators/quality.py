@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +24,7 @@ RULES = {
 
 def violations(raw: DataFrame, spec: PanelSpec = PANEL) -> dict[str, Column]:
     """One condition per rule, true for the rows that break it."""
-    no_identifier = F.lit(False)
-    for name in spec.identifiers:
-        no_identifier = no_identifier | is_blank(name)
+    no_identifier = reduce(or_, [is_blank(name) for name in spec.identifiers])
     bad_period = (
         ~text(spec.period).rlike(spec.period_pattern) | as_period(raw, spec.period).isNull()
     )
@@ -50,9 +50,10 @@ def quality_report(raw: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
 def rejected_rows(raw: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     """The raw rows that break a rule, with the broken rules in ``reasons``."""
     check_columns(raw, spec.columns)
-    broken = [F.when(test, F.lit(rule)) for rule, test in violations(raw, spec).items()]
-    return raw.withColumn("reasons", F.array_compact(F.array(*broken))).filter(
-        F.size("reasons") > 0
+    broken = violations(raw, spec)
+    reasons = [F.when(test, F.lit(rule)) for rule, test in broken.items()]
+    return raw.filter(reduce(or_, broken.values())).withColumn(
+        "reasons", F.array_compact(F.array(*reasons))
     )
 
 

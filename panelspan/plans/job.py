@@ -124,7 +124,9 @@ def enough_shuffle_partitions(
     Adaptive execution merges partitions that turn out small, but it cannot split
     those of a grouping; the setting is never lowered, and restored at the end.
     """
-    name = "spark.sql.shuffle.partitions"
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(name, None) is None:
+        name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
     needed = math.ceil(table_bytes / bytes_per_partition)
     if needed > int(before):

@@ -160,6 +160,14 @@ def test_shuffle_partitions_grow_with_the_table_and_are_restored(spark):
         with enough_shuffle_partitions(spark, 10**6, bytes_per_partition=10**4):
             raise RuntimeError
     assert spark.conf.get(name) == before
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.set(initial, "7")
+    try:
+        with enough_shuffle_partitions(spark, 10**6, bytes_per_partition=10**4):
+            assert (spark.conf.get(initial), spark.conf.get(name)) == ("100", before)
+        assert spark.conf.get(initial) == "7"
+    finally:
+        spark.conf.unset(initial)
 
 
 def test_submitted_job_publishes_and_exports(spark, tmp_path):
