@@ -1,0 +1,96 @@
+"""The long panel and the quality report against plain Python on random untidy input."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from hypothesis import HealthCheck, given, settings as hypothesis_settings
+from hypothesis import strategies as st
+
+import panelspan as ps
+from tests.helpers import RAW, dimension
+
+spaces = st.sampled_from(["", " ", "  "])
+
+
+def padded(values):
+    return st.builds(lambda a, v, b: a + v + b, spaces, st.sampled_from(values), spaces)
+
+
+names = st.one_of(st.none(), padded(["Land", "Isle", "Isle", "\t", ""]))
+codes = st.one_of(st.none(), padded(["AAA", "BBB", "wld", "EUU", ""]))
+series_codes = st.one_of(st.none(), padded(["s1", "s2", "s3", "S1", ""]))
+years = st.one_of(st.none(), padded(["2020", "2021", "0000", "20", "20200", "x", ""]))
+values = st.one_of(st.none(), padded(["1", "-2.5", "1e3", "one", "0x1", ""]))
+raw_rows = st.lists(st.tuples(names, codes, names, series_codes, years, values), max_size=25)
+topics = st.one_of(st.none(), padded(["High", "Low", ""]))
+dimension_rows = st.lists(st.tuples(series_codes, topics), max_size=6)
+
+
+def trimmed(value):
+    return (value or "").strip(" ")
+
+
+def number(value):
+    try:
+        return float(value)
+    except ValueError:
+        return None
+
+
+def expected_report(source):
+    counts = Counter(total_rows=len(source))
+    for name, _, series, series_code, year, value in source:
+        counts["missing_identifier"] += not all(map(trimmed, (name, series, series_code)))
+        counts["invalid_period"] += not re.fullmatch(r"\d{4}", trimmed(year))
+        counts["non_numeric_value"] += bool(trimmed(value)) and number(trimmed(value)) is None
+    return {name: counts[name] for name in ("total_rows", *ps.operators.quality.RULES)}
+
+
+def expected_topics(pairs):
+    found = defaultdict(set)
+    for key, topic in pairs:
+        if trimmed(key) and trimmed(topic):
+            found[trimmed(key)].add(trimmed(topic))
+    return found
+
+
+def expected_long(source, mapped):
+    rows = Counter()
+    for name, code, series, series_code, year, value in source:
+        observed = number(trimmed(value))
+        if observed is None or trimmed(code).upper() in ("", "WLD", "EUU"):
+            continue
+        for topic in mapped.get(trimmed(series_code), ()):
+            text = [None if v is None else trimmed(v) for v in (name, code, series)]
+            year_number = int(trimmed(year)) if re.fullmatch(r"\d+", trimmed(year)) else None
+            rows[(*text, trimmed(series_code), year_number, observed, topic)] += 1
+    return rows
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+@hypothesis_settings(
+    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(source=raw_rows, pairs=dimension_rows)
+def test_report_and_long_panel(spark, limit, source, pairs):
+    raw = spark.createDataFrame(source, RAW)
+    assert ps.quality_report(raw).first().asDict() == expected_report(source)
+
+    mapped = expected_topics(pairs)
+    conflicts = {code: len(found) for code, found in mapped.items() if len(found) > 1}
+    table = dimension(spark, *pairs)
+    assert dict(ps.dimension_conflicts(table).collect()) == conflicts
+    if conflicts:
+        with pytest.raises(ps.ConflictingTopics):
+            ps.long_panel(raw, table)
+        return
+    found = ps.long_panel(raw, table, broadcast_bytes=limit)
+    assert Counter(map(tuple, found.collect())) == expected_long(source, mapped)
+    unmapped = Counter(
+        None if row[3] is None else trimmed(row[3])
+        for row in source
+        if row[3] is None or trimmed(row[3]) not in mapped
+    )
+    listed = ps.unmapped_series(ps.canonicalize(raw), table, broadcast_bytes=limit)
+    assert dict(listed.collect()) == unmapped
