@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Collection, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -104,13 +106,23 @@ def publish_panel(
         assert_clean(_counts(seen, raw, spec))
 
         panel = spark.read.schema(enriched.schema).parquet(staged)
-        with enough_shuffle_partitions(spark, Files(spark).total_bytes(staged)):
-            _stage_wide(publication, pivot_series(panel, spec), outputs.series_wide)
-            # Cells unique by series name are unique by series name and code too.
-            by_period = pivot_period(panel, spec, cells_unique=True)
-            _stage_wide(publication, by_period, outputs.period_wide)
-        used = used_dimension(dimension, panel, spec, names, broadcast_bytes)
-        publication.stage_csv(used, outputs.dimension, single_file=True, order_by=names.published)
+
+        @inheritable_thread_target(spark)
+        def stage_dimension() -> None:
+            used = used_dimension(dimension, panel, spec, names, broadcast_bytes)
+            publication.stage_csv(
+                used, outputs.dimension, single_file=True, order_by=names.published
+            )
+
+        # The small output is made in the gaps that the large ones leave.
+        with ThreadPoolExecutor(max_workers=1) as beside:
+            dimension_staged = beside.submit(stage_dimension)
+            with enough_shuffle_partitions(spark, Files(spark).total_bytes(staged)):
+                _stage_wide(publication, pivot_series(panel, spec), outputs.series_wide)
+                # Cells unique by series name are unique by series name and code too.
+                by_period = pivot_period(panel, spec, cells_unique=True)
+                _stage_wide(publication, by_period, outputs.period_wide)
+            dimension_staged.result()
 
 
 @contextmanager
