@@ -16,6 +16,7 @@ from checks.queries import QUERIES
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
 

@@ -1,22 +1,5 @@
 """Folders for queries that write and read back."""
 
-from __future__ import annotations
+from panelspan.sinks.scratch import scratch_folder
 
-import tempfile
-
-from pyspark.sql import SparkSession
-
-from panelspan.sinks.files import shared_folder
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a session on this machine may go without that setting.
-    """
-    shared = shared_folder(spark)
-    if shared is not None:
-        return shared
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="panelspan-")
-    raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
+__all__ = ["scratch_folder"]
