@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelspan.llm.frames import table
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
 from panelspan.llm.sharding import shard_documents
+from panelspan.llm.winnowing import WINNOWING_ORACLE, contamination
 
 SHARDS = 24
 MIX_SEED = 17
@@ -30,6 +31,18 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_words",
+        F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return poisson_mix(docs, seed=MIX_SEED).select(
@@ -39,9 +52,11 @@ def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1_histogram_sort,
+    "op8_winnowing": op8_winnowing,
     "op9_poisson_mix": op9_poisson_mix,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_winnowing": WINNOWING_ORACLE,
     "op9_poisson_mix": MIX_ORACLE,
 }
