@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelspan.llm.frames import table
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
+from panelspan.llm.secrets import PATTERNS, count_of, find_secrets, listed
 from panelspan.llm.sharding import shard_documents
 from panelspan.llm.winnowing import WINNOWING_ORACLE, contamination
 
@@ -50,10 +51,23 @@ def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        count_of("spans", "assign").alias("n_assign"),
+        count_of("spans", "access").alias("n_access"),
+        count_of("spans", "hex").alias("n_hex"),
+        F.sha2(listed("spans", len(PATTERNS)), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1_histogram_sort,
     "op8_winnowing": op8_winnowing,
     "op9_poisson_mix": op9_poisson_mix,
+    "op10_secret_entropy": op10_secret_entropy,
 }
 
 ORACLE: dict[str, str] = {
