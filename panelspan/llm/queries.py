@@ -15,6 +15,7 @@ from panelspan.llm.chat import (
     read_turns,
 )
 from panelspan.llm.frames import table
+from panelspan.llm.licenses import find_licenses, license_oracle
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
 from panelspan.llm.secrets import PATTERNS, count_of, find_secrets, listed
 from panelspan.llm.sharding import shard_documents
@@ -121,6 +122,11 @@ def op6_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_licenses(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "license", "containment", "windows")
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -155,6 +161,7 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1_histogram_sort,
     "op6_schema_fingerprints": op6_schema_fingerprints,
+    "op7_license_windows": op7_license_windows,
     "op8_winnowing": op8_winnowing,
     "op9_poisson_mix": op9_poisson_mix,
     "op10_secret_entropy": op10_secret_entropy,
@@ -162,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op6_schema_fingerprints": CHAT_ORACLE,
+    "op7_license_windows": license_oracle(),
     "op8_winnowing": WINNOWING_ORACLE,
     "op9_poisson_mix": MIX_ORACLE,
 }
