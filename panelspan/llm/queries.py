@@ -15,6 +15,7 @@ from panelspan.llm.chat import (
     read_turns,
 )
 from panelspan.llm.frames import table
+from panelspan.llm.jaccard import Rule, jaccard_components
 from panelspan.llm.licenses import find_licenses, license_oracle
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
 from panelspan.llm.revisits import REVISIT_ORACLE, resolve_revisits
@@ -41,6 +42,13 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(table(spark, sf_dir, "documents"), Rule(size=4, percent=85))
+    return found.select(
+        F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")
+    )
+
+
 def crawl_records(pages: DataFrame) -> DataFrame:
     """Two records per page: the full response, and a revisit some time later (or earlier).
 
@@ -211,6 +219,7 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1_histogram_sort,
     "op4_not_modified": op4_not_modified,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_schema_fingerprints": op6_schema_fingerprints,
     "op7_license_windows": op7_license_windows,
     "op8_winnowing": op8_winnowing,
