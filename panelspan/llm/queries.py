@@ -18,6 +18,7 @@ from panelspan.llm.frames import table
 from panelspan.llm.jaccard import Rule, jaccard_components
 from panelspan.llm.licenses import find_licenses, license_oracle
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
+from panelspan.llm.multi_index import nearest
 from panelspan.llm.revisits import REVISIT_ORACLE, resolve_revisits
 from panelspan.llm.secrets import PATTERNS, count_of, find_secrets, listed
 from panelspan.llm.sharding import shard_documents
@@ -25,6 +26,7 @@ from panelspan.llm.winnowing import WINNOWING_ORACLE, contamination
 
 SHARDS = 24
 MIX_SEED = 17
+NEIGHBOURS = 20
 
 
 def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +44,10 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0", NEIGHBOURS)
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(table(spark, sf_dir, "documents"), Rule(size=4, percent=85))
     return found.select(
@@ -218,6 +224,7 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1_histogram_sort,
+    "op3_multi_index": op3_multi_index,
     "op4_not_modified": op4_not_modified,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_schema_fingerprints": op6_schema_fingerprints,
