@@ -19,6 +19,7 @@ from panelspan.llm.jaccard import Rule, jaccard_components
 from panelspan.llm.licenses import find_licenses, license_oracle
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
 from panelspan.llm.multi_index import nearest
+from panelspan.llm.quality import score_quality, train
 from panelspan.llm.revisits import REVISIT_ORACLE, resolve_revisits
 from panelspan.llm.secrets import PATTERNS, count_of, find_secrets, listed
 from panelspan.llm.sharding import shard_documents
@@ -44,6 +45,15 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return score_quality(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
+
+
 def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0", NEIGHBOURS)
 
@@ -224,6 +234,7 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1_histogram_sort,
+    "op2_attention_quality": op2_attention_quality,
     "op3_multi_index": op3_multi_index,
     "op4_not_modified": op4_not_modified,
     "op5_jaccard_join": op5_jaccard_join,

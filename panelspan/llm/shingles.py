@@ -47,12 +47,12 @@ def word_hashes(text: bytes) -> np.ndarray:
         end = at + PIECE
         while end < len(text) and text[end] not in SPACES:
             end += 1
-        found.append(_piece_hashes(np.frombuffer(text, np.uint8, min(end, len(text)) - at, at)))
+        found.append(piece_hashes(np.frombuffer(text, np.uint8, min(end, len(text)) - at, at)))
         at = end
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def _piece_hashes(data: np.ndarray) -> np.ndarray:
+def piece_hashes(data: np.ndarray) -> np.ndarray:
     inside = np.flatnonzero(~SPACE[data])
     if not len(inside):
         return np.zeros(0, np.uint64)
@@ -76,7 +76,7 @@ def many_word_hashes(texts: list[bytes]) -> list[np.ndarray]:
     opens = ~SPACE[data]
     opens[1:] &= SPACE[data[:-1]]
     counts = np.searchsorted(np.flatnonzero(opens), ends)
-    return np.split(_piece_hashes(data), counts[:-1]) if texts else []
+    return np.split(piece_hashes(data), counts[:-1]) if texts else []
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
