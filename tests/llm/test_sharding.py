@@ -1,0 +1,73 @@
+from collections import Counter, defaultdict
+
+from panelspan.llm.sharding import shard_documents
+from tests.llm.messy import ROWS, as_rows, docs, empty, messy, prose
+
+
+def sizes(rows):
+    total = defaultdict(int)
+    for row in rows:
+        total[row["shard"]] += row["size"]
+    return total
+
+
+def slots_are_gapless(rows):
+    by = defaultdict(list)
+    for row in rows:
+        by[row["shard"]].append(row["slot"])
+    return all(sorted(x) == list(range(len(x))) for x in by.values())
+
+
+def test_messy_rows_stay_whole(spark):
+    source = messy(spark)
+    found = shard_documents(source, 4)
+    assert found.columns == [
+        "doc_id", "text", "source", "key", "name", "score", "spans", "_0", "k1", "n", "lang",
+        "size", "shard", "slot",
+    ]
+    assert as_rows(found, "doc_id", "text", "k1") == as_rows(source, "doc_id", "text", "k1")
+    rows = found.collect()
+    assert slots_are_gapless(rows)
+    assert all(r["size"] == len((r["text"] or "").encode()) + 8 for r in rows)
+
+
+def test_an_empty_table_and_more_shards_than_rows(spark):
+    assert shard_documents(empty(spark), 3).collect() == []
+    rows = shard_documents(docs(spark, ["a", "b"]), 24).collect()
+    assert len(rows) == 2 and slots_are_gapless(rows)
+
+
+def test_shards_have_near_equal_bytes_and_equal_texts_stay_together(spark):
+    texts = [prose(5 + i % 90, seed=i // 2) for i in range(1500)]
+    rows = shard_documents(docs(spark, texts), 6).collect()
+    mean = sum(r["size"] for r in rows) / 6
+    largest = max(r["size"] for r in rows)
+    assert all(abs(x - mean) <= 0.04 * mean + 2 * largest for x in sizes(rows).values())
+    by_text = defaultdict(set)
+    for r in rows:
+        by_text[r["text"]].add(r["shard"])
+    assert max(map(len, by_text.values())) == 1
+
+
+def test_a_text_that_a_third_of_rows_have_is_cut(spark):
+    texts = [prose(40, seed=i) if i % 3 else "hot " * 60 for i in range(1200)]
+    rows = shard_documents(docs(spark, texts), 8).collect()
+    mean = sum(r["size"] for r in rows) / 8
+    assert all(abs(x - mean) <= 0.04 * mean + 700 for x in sizes(rows).values())
+    assert slots_are_gapless(rows)
+
+
+def test_one_row_repeated_is_never_lost(spark):
+    source = spark.createDataFrame([(1, "x y z")] * 500, "doc_id long, text string")
+    rows = shard_documents(source, 3).collect()
+    assert Counter(r["doc_id"] for r in rows) == {1: 500} and slots_are_gapless(rows)
+
+
+def test_the_result_does_not_depend_on_partitions(spark):
+    source = docs(spark, [prose(i % 50, seed=i) for i in range(300)])
+    one = as_rows(shard_documents(source.coalesce(1), 5), "doc_id", "shard", "slot")
+    assert one == as_rows(shard_documents(source.repartition(7), 5), "doc_id", "shard", "slot")
+
+
+def test_rows_are_in_the_fixture():
+    assert len(ROWS) == 13
