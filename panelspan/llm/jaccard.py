@@ -2,15 +2,16 @@
 
 Equal sets are one class from the start, with one text to stand for it. Classes meet by
 prefix filtering, twice. First in the order of the hashes, which needs no counts: two
-sets that are alike share a shingle among the first few of each, so classes without such
-a shingle are alike to none and go. For those that stay, shingles are counted, and the
-prefix is taken again in order of rareness, where common passages come last. Pairs that
-share a rare-first prefix shingle pass the length, positional and suffix filters and are
-verified on the whole sets.
+sets that are alike share some shingles among the first of each, so classes that share
+fewer with all others are alike to none and go. For those that stay, shingles are
+counted, and the prefix is taken again in order of rareness, where common passages come
+last. Pairs that share a rare-first prefix shingle pass the length, positional and suffix
+filters and are verified on the whole sets.
 
-Nothing lists all pairs of a group. Each prefix shingle first links its classes with one
-of them; what that connects is one component, and only pairs of classes that share a
-prefix shingle and are still in different components are compared after that.
+Nothing lists all pairs of a group. Each prefix shingle first links its classes with the
+one that has least of its own; what that connects is one component. After that, only
+pairs of classes that share a prefix shingle and are still in different components are
+compared, unless what they share with that one class shows that they cannot be alike.
 
 Shingles travel packed, one row for a chunk of documents and a part of the hash space. A
 chunk sends a shingle that many of its documents have once; the few that very many
@@ -43,6 +44,8 @@ PART_BYTES = 16 * 1024 * 1024
 FEWEST_BITS, MOST_BITS = 5, 14
 ID_BITS = 40
 MANY = np.uint16(0xFFFF)
+#: One in so many shingles is sent in the first pass beyond those that must hold one.
+MORE = 10
 LOCAL_HOT = 64
 HOT = 4096
 MOST_HOT = 1 << 20
@@ -67,6 +70,16 @@ class Rule:
         """How many first shingles of n must hold one that an alike set shares."""
         return n - -(-self.percent * n // 100) + 1
 
+    def first_prefix(self, n: int) -> int:
+        """How many of n, in any order, must hold as many of an alike set's first ones as
+        :meth:`first_shared` says: the first k they share are among n - least + k of each.
+        """
+        return self.prefix(n) - 1 + max(1, n // MORE)
+
+    def first_shared(self, n: str) -> Column:
+        """An alike set may be smaller, and so send fewer first ones."""
+        return F.expr(f"greatest(1, (({n} * {self.percent} + 99) div 100) div {MORE})")
+
 
 def jaccard_components(
     docs: DataFrame, rule: Rule = Rule(), text: str = "text", key: str = "doc_id"
@@ -197,16 +210,17 @@ def _first_chunk(
     if often.any():
         payload = pickle.dumps((every[often].view(np.int64), counts[often].astype(np.int64)))
         rows.append((COUNT, None, None, None, None, payload))
-    prefixes = [s[: rule.prefix(len(s))] for s in sets]
+    prefixes = [s[: rule.first_prefix(len(s))] for s in sets]
     owner = np.repeat(np.arange(len(sets)), [len(p) for p in prefixes]).astype(np.uint16)
     tokens = np.concatenate(prefixes)
     order = np.argsort(tokens, kind="stable")
     tokens, owner = tokens[order], owner[order]
     opens = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-    shared = np.diff(np.append(opens, len(tokens))) > 1
-    likely = np.unique(owner[np.repeat(shared, np.diff(np.append(opens, len(tokens))))])
-    if len(likely):
-        rows.append((LIKELY, None, None, None, None, pickle.dumps(table[likely])))
+    sizes = np.diff(np.append(opens, len(tokens)))
+    shared = sizes > 1
+    local, times = np.unique(owner[np.repeat(shared, sizes)], return_counts=True)
+    if len(local):
+        rows.append((LIKELY, None, None, None, None, pickle.dumps((table[local], times))))
     tokens, owner = tokens[opens], np.where(shared, MANY, owner[opens])
     part = (tokens & np.uint64((1 << bits) - 1)).astype(np.int64)
     order = np.argsort(part, kind="stable")
@@ -244,7 +258,7 @@ def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _likely(group: pd.DataFrame) -> pd.DataFrame:
-    """Classes with a prefix shingle that another class has in its prefix as well."""
+    """How many of a class's first shingles other classes have among theirs."""
     numbers, names, many = map(np.concatenate, zip(*map(_unpacked, group["payload"]), strict=True))
     order = np.argsort(numbers, kind="stable")
     numbers, names, many = numbers[order], names[order], many[order]
@@ -253,7 +267,8 @@ def _likely(group: pd.DataFrame) -> pd.DataFrame:
     high, low = np.maximum.reduceat(names, opens), np.minimum.reduceat(names, opens)
     shared = (high != low) | np.logical_or.reduceat(many, opens)
     kept = np.repeat(shared, sizes) & ~many
-    return pd.DataFrame({"f1": np.unique(names[kept])})
+    found, times = np.unique(names[kept], return_counts=True)
+    return pd.DataFrame({"f1": found, "times": times})
 
 
 def _hot_list(sketch: DataFrame, total: int) -> list[tuple[int, int]]:
@@ -286,16 +301,23 @@ def _links(rows: DataFrame, sketch: DataFrame, classes: DataFrame, rule: Rule) -
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(pickle.loads(payload))], names=["f1"])
+                names, times = pickle.loads(payload)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names), pa.array(times)], names=["f1", "times"]
+                )
 
-    local = sketch.filter(F.col("part") == LIKELY).select("payload").mapInArrow(opened, "f1 long")
+    counted = "f1 long, times long"
+    local = sketch.filter(F.col("part") == LIKELY).select("payload").mapInArrow(opened, counted)
     met = (
         sketch.filter(F.col("part") >= 0)
         .select("part", "payload")
         .groupBy("part")
-        .applyInPandas(_likely, "f1 long")
+        .applyInPandas(_likely, counted)
+    )
+    shared = local.union(met).groupBy("f1").agg(F.sum("times").alias("times"))
+    likely = staged(
+        classes.join(shared, "f1").filter(F.col("times") >= rule.first_shared("n")).drop("times")
     )
-    likely = staged(classes.join(local.union(met).distinct(), "f1"))
     total = likely.agg(F.sum("n")).first()[0] or 0
     prefixes = staged(_prefixes(rows, likely, _hot_list(sketch, total), total, rule))
     first = _verified(rows, likely, staged(_to_leaders(prefixes, rule)), rule)
@@ -317,7 +339,9 @@ def _texts(rows: DataFrame, classes: DataFrame) -> DataFrame:
 def _prefixes(
     rows: DataFrame, likely: DataFrame, hot: list[tuple[int, int]], total: int, rule: Rule
 ) -> DataFrame:
-    """(token, f1, n, place, ranges): the rare-first prefix shingles that two classes have."""
+    """The rare-first prefix shingles that other classes have too: (token, f1, n, alone,
+    place, ranges), where ``alone`` counts the shingles that no other class has.
+    """
     bits = _part_bits(total / PART_SHINGLES)
     hot = sorted(hot, key=lambda x: (x[1], x[0]))
     tokens = np.array([x[0] for x in hot], np.int64).view(np.uint64)
@@ -331,7 +355,7 @@ def _prefixes(
         _answer(bits), "bucket int, payload binary"
     )
     return answers.groupBy("bucket").applyInPandas(
-        _rare_first(rule), "token long, f1 long, n int, place int, ranges array<int>"
+        _rare_first(rule), "token long, f1 long, n int, alone int, place int, ranges array<int>"
     )
 
 
@@ -468,8 +492,8 @@ def _rare_first(rule: Rule):
             n, _, ranges = about[owner]
             alone = n - size
             for i in range(min(size, rule.prefix(n) - alone)):
-                out.append((token[start + i], owner, n, alone + i + 1, ranges.tolist()))
-        return pd.DataFrame(out, columns=["token", "f1", "n", "place", "ranges"])
+                out.append((token[start + i], owner, n, alone, alone + i + 1, ranges.tolist()))
+        return pd.DataFrame(out, columns=["token", "f1", "n", "alone", "place", "ranges"])
 
     return prefix
 
@@ -477,47 +501,88 @@ def _rare_first(rule: Rule):
 # -- candidates and verification
 
 
-def _passes(rule: Rule) -> Column:
-    """The length, positional and suffix filters of two prefix entries x and y.
+def _needed(rule: Rule) -> str:
+    """SQL of the least number of shingles that x and y must share."""
+    return (
+        f"CAST(({rule.percent}L * (x.n + y.n) + {99 + rule.percent}L)"
+        f" div {100 + rule.percent}L AS INT)"
+    )
+
 
-    The suffix filter cuts the hash space in ranges: the sets differ by at least the sum
-    of the differences of their counts in each.
+def _passes(rule: Rule) -> str:
+    """The length, positional and suffix filters of two prefix entries x and y, as SQL.
+
+    Shingles that one of them has alone are in neither's share. The suffix filter cuts the
+    hash space in ranges: the sets differ by at least the sum of the differences of their
+    counts in each.
     """
-    needed = f"(CAST(ceil({rule.percent} * CAST(x.n + y.n AS DOUBLE) / {100 + rule.percent}) AS INT))"
-    return F.expr(
+    needed = _needed(rule)
+    return (
         f"100L * least(x.n, y.n) >= {rule.percent}L * greatest(x.n, y.n)"
         f" AND 1 + least(x.n - x.place, y.n - y.place) >= {needed}"
+        f" AND x.n + y.n - x.alone - y.alone >= 2 * {needed}"
         " AND aggregate(zip_with(x.ranges, y.ranges, (p, q) -> abs(p - q)), 0,"
         f" (s, d) -> s + d) <= x.n + y.n - 2 * {needed}"
     )
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
-    """Pairs from entries x and y, each once, with both sizes."""
+    """Pairs from entries x and y, each once."""
     return joined.select(
         F.least("x.f1", "y.f1").alias("a"), F.greatest("x.f1", "y.f1").alias("b")
     ).distinct()
 
 
-def _to_leaders(prefixes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of each class with the least class that shares a prefix shingle."""
-    entry = F.struct("f1", "n", "place", "ranges")
-    leaders = (
+def _leaders(prefixes: DataFrame) -> DataFrame:
+    """For each shingle that several classes have, the one with the least alone, as ``y``."""
+    return (
         prefixes.groupBy("token")
-        .agg(F.min(entry).alias("y"), F.count(F.lit(1)).alias("k"))
+        .agg(
+            F.min(F.struct("alone", "f1", "n", "place", "ranges")).alias("y"),
+            F.count(F.lit(1)).alias("k"),
+        )
         .filter("k > 1")
         .drop("k")
     )
-    entries = prefixes.select("token", entry.alias("x"))
-    return _pairs(entries.join(leaders, "token").filter("x.f1 <> y.f1").filter(_passes(rule)))
+
+
+def _to_leaders(prefixes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of each class with the leader of a prefix shingle."""
+    entries = prefixes.select(
+        "token", F.struct("alone", "f1", "n", "place", "ranges").alias("x")
+    )
+    joined = entries.join(_leaders(prefixes), "token")
+    return _pairs(joined.filter(f"x.f1 <> y.f1 AND {_passes(rule)}"))
 
 
 def _across(
     prefixes: DataFrame, linked: DataFrame, done: DataFrame, rule: Rule
 ) -> DataFrame:
-    """Pairs that share a prefix shingle, are in different components, and not yet done."""
-    known = prefixes.join(linked.withColumnRenamed("node", "f1"), "f1", "left").withColumn(
-        "root", F.coalesce("root", "f1")
+    """Pairs that share a prefix shingle, are in different components, and not yet done.
+
+    What x and y share is at most what both share with the leader of the shingle, and what
+    both have besides that is neither the leader's nor their own alone. ``held`` and
+    ``beside`` are these two counts; where the leader was not compared, both are what the
+    class does not have alone.
+    """
+    known = (
+        prefixes.join(linked.withColumnRenamed("node", "f1"), "f1", "left")
+        .join(_leaders(prefixes).select("token", F.col("y.f1").alias("leader")), "token")
+        .withColumns(
+            {
+                "root": F.coalesce("root", "f1"),
+                "a": F.least("f1", "leader"),
+                "b": F.greatest("f1", "leader"),
+            }
+        )
+        .join(done.select("a", "b", "shared"), ["a", "b"], "left")
+        .withColumns(
+            {
+                "held": F.expr("IF(f1 = leader, n, coalesce(shared, n - alone))"),
+                "beside": F.expr("IF(f1 = leader, 0, n - alone - coalesce(shared, 0))"),
+            }
+        )
+        .drop("a", "b", "leader", "shared")
     )
     known = staged(known)
     split = (
@@ -527,16 +592,20 @@ def _across(
         .select("token")
     )
     open_ones = staged(known.join(split, "token"))
-    entry = F.struct("f1", "n", "place", "ranges", "root")
+    entry = F.struct("f1", "n", "alone", "place", "held", "beside", "root", "ranges")
     pairs = open_ones.select("token", entry.alias("x")).join(
-        open_ones.select("token", entry.alias("y")), "token"
+        open_ones.select(F.col("token").alias("t"), entry.alias("y")),
+        F.expr(
+            "token = t AND x.root < y.root"
+            f" AND least(x.held, y.held) + least(x.beside, y.beside) >= {_needed(rule)}"
+            f" AND {_passes(rule)}"
+        ),
     )
-    pairs = pairs.filter("x.root < y.root").filter(_passes(rule))
     return _pairs(pairs).join(done.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def _verified(rows: DataFrame, likely: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs with ``alike``, from the whole sets."""
+    """Pairs with ``alike`` and how many shingles they share, from the whole sets."""
     needed = pairs.select(F.col("a").alias("f1")).union(pairs.select("b")).distinct()
     sets = staged(
         _texts(rows, likely.join(needed, "f1"))
@@ -544,7 +613,7 @@ def _verified(rows: DataFrame, likely: DataFrame, pairs: DataFrame, rule: Rule)
         .dropDuplicates(["f1"])
     )
     both = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
-    return both.mapInArrow(_compare(rule), "a long, b long, alike boolean")
+    return both.mapInArrow(_compare(rule), "a long, b long, alike boolean, shared int")
 
 
 def _whole_sets(rule: Rule):
@@ -569,18 +638,20 @@ def _compare(rule: Rule):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             frame = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            alike = []
+            alike, counts = [], []
             for x, y in zip(frame["items_a"], frame["items_b"], strict=True):
                 one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 shared = len(np.intersect1d(one, two, assume_unique=True))
                 alike.append(100 * shared >= rule.percent * (len(one) + len(two) - shared))
+                counts.append(shared)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(frame["a"], pa.int64()),
                     pa.array(frame["b"], pa.int64()),
                     pa.array(alike, pa.bool_()),
+                    pa.array(counts, pa.int32()),
                 ],
-                names=["a", "b", "alike"],
+                names=["a", "b", "alike", "shared"],
             )
 
     return compare
