@@ -192,7 +192,7 @@ def _blocks(rows: DataFrame, hot_rows: int) -> DataFrame:
     last = (
         placed.filter("cuts IS NOT NULL")
         .groupBy("group", "block")
-        .agg(F.max(F.struct("response.*")).alias("last"))
+        .agg(F.max("response").alias("last"))
     )
     carried = last.select(
         "group",
