@@ -1,0 +1,165 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from panelspan.llm import jaccard
+from panelspan.llm.components import components
+from panelspan.llm.jaccard import Rule, drop_near_copies, jaccard_components
+from panelspan.llm.shingles import many_word_hashes, shingle_set, word_hashes
+from tests.llm.messy import as_rows, docs, empty, messy
+
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def brute_set(text, size):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if len(w) < size:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+
+
+def brute(texts, rule):
+    """(number of shingles, smallest index connected) of each text."""
+    sets = [brute_set(t, rule.size) for t in texts]
+    holders, root = defaultdict(list), list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, found in enumerate(sets):
+        shared = Counter(j for s in found for j in holders[s])
+        for j, n in shared.items():
+            if 100 * n >= rule.percent * (len(found) + len(sets[j]) - n):
+                a, b = top(i), top(j)
+                root[max(a, b)] = min(a, b)
+        for s in found:
+            holders[s].append(i)
+    return [(len(s), top(i)) for i, s in enumerate(sets)]
+
+
+def near_copies(seed, groups=12, chain=6):
+    """Groups of texts with a few words changed, chains of small changes, a common passage."""
+    random_ = random.Random(seed)
+
+    def text(n):
+        return [f"w{random_.randrange(400)}" for _ in range(n)]
+
+    passage, texts = text(30), []
+    for _ in range(groups):
+        base = text(random_.randrange(3, 120))
+        for _ in range(random_.randrange(1, 9)):
+            copy = list(base)
+            for _ in range(random_.randrange(0, 4)):
+                copy[random_.randrange(len(copy))] = f"x{random_.randrange(50)}"
+            texts.append(" ".join(copy))
+        walk = list(base)
+        for _ in range(chain):
+            walk[random_.randrange(len(walk))] = f"y{random_.randrange(999)}"
+            texts.append(" ".join(walk))
+    texts += [" ".join(passage + text(random_.randrange(0, 20))) for _ in range(40)]
+    texts += [" ".join(text(4)).upper() for _ in range(20)] + ["", " \n", "one", "One", "two words"]
+    random_.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("seed, rule", [
+    (1, Rule(4, 85)), (2, Rule(5, 80)), (3, Rule(1, 50)), (4, Rule(3, 100)), (5, Rule(2, 66)),
+])
+def test_components_are_those_of_brute_force(spark, seed, rule):
+    texts = near_copies(seed)
+    found = jaccard_components(docs(spark, texts).repartition(4), rule).collect()
+    got = {r["key"]: (r["n_shingles"], r["component"]) for r in found}
+    assert [got[i] for i in range(len(texts))] == brute(texts, rule)
+
+
+def test_small_chunks_and_hot_shingles_change_nothing(spark, monkeypatch):
+    """Every shingle in at least 2 sets of a chunk is hot, chunks hold few documents."""
+    texts = near_copies(7, groups=6)
+    monkeypatch.setattr(jaccard, "LOCAL_HOT", 2)
+    monkeypatch.setattr(jaccard, "HOT", 3)
+    monkeypatch.setattr(jaccard, "CHUNK_SHINGLES", 400)
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", 100)
+    found = jaccard_components(docs(spark, texts).repartition(3), Rule(4, 85)).collect()
+    got = {r["key"]: (r["n_shingles"], r["component"]) for r in found}
+    assert [got[i] for i in range(len(texts))] == brute(texts, Rule(4, 85))
+
+
+def test_a_large_group_lists_no_pairs_of_its_own(spark, monkeypatch):
+    random_ = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(300):
+        copy = list(base)
+        for _ in range(random_.randrange(1, 7)):
+            copy[random_.randrange(150)] = f"c{i}{random_.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    texts.append(" ".join(base))
+    counted = []
+    real = jaccard._verified
+
+    def verified(rows, likely, pairs, rule):
+        counted.append(pairs.count())
+        return real(rows, likely, pairs, rule)
+
+    monkeypatch.setattr(jaccard, "_verified", verified)
+    found = jaccard_components(docs(spark, texts), Rule(4, 85)).collect()
+    got = {r["key"]: (r["n_shingles"], r["component"]) for r in found}
+    assert [got[i] for i in range(len(texts))] == brute(texts, Rule(4, 85))
+    assert sum(counted) < 6 * len(texts)
+
+
+def test_messy_rows(spark):
+    found = jaccard_components(messy(spark))
+    rows = sorted((tuple(r) for r in found.collect()), key=repr)
+    assert len(rows) == 13
+    component = {key: root for key, n, root in rows if key is not None}
+    assert component == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8, 9: 5, 10: 10}
+    assert [root for key, _, root in rows if key is None] == [None]
+    assert dict((k, n) for k, n, _ in rows)[1] == 0
+    assert jaccard_components(empty(spark)).collect() == []
+
+
+def test_one_document_of_each_group_stays(spark):
+    source = messy(spark)
+    kept = drop_near_copies(source)
+    assert kept.columns == source.columns
+    expected = source.filter("doc_id IS NULL OR doc_id NOT IN (6, 9)")
+    assert as_rows(kept, *source.columns) == as_rows(expected, *source.columns)
+
+
+def test_components_of_random_graphs(spark):
+    random_ = random.Random(2)
+    links = [(random_.randrange(200), random_.randrange(200)) for _ in range(130)]
+    links += [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (3000, 2000), (3000, 2000)]
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    frame = spark.createDataFrame(links, "a long, b long")
+    found = {r["node"]: r["root"] for r in components(frame).collect()}
+    assert found == {x: top(x) for x in root}
+    assert components(frame.limit(0)).collect() == []
+
+
+def test_words_of_texts_done_apart_and_together(monkeypatch):
+    texts = [b"", b" ", b"Ab c", b"ab\tC\x0b", "ä ß\nx".encode(), b"q" * 700 + b" r", b"a" * 5]
+    together = many_word_hashes(texts)
+    for text, hashes in zip(texts, together, strict=True):
+        assert np.array_equal(hashes, word_hashes(text))
+    assert np.array_equal(together[2], together[3])
+    whole = word_hashes(b"word " * 3000)
+    monkeypatch.setattr("panelspan.llm.shingles.PIECE", 64)
+    assert np.array_equal(word_hashes(b"word " * 3000), whole)
+    assert len(shingle_set(whole, 4)) == 1

@@ -1,0 +1,87 @@
+import numpy as np
+
+from panelspan.llm.multi_index import nearest, visit
+
+SCHEMA = "vec_id long, embedding array<float>, score string, rank string, i int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(k, v, "s", "r", 1) for k, v in rows], SCHEMA).repartition(3)
+
+
+def lists(found):
+    by = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        by.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    return by
+
+
+def brute(rows, query, k):
+    q = np.array(query[1], np.float32).astype(float)
+    scored = [
+        (-float(np.array(v, np.float32).astype(float) @ q), i) for i, v in rows if i != query[0]
+    ]
+    return [(i, -s) for s, i in sorted(scored)[:k]]
+
+
+def test_recall_and_scores_on_clusters(spark):
+    random = np.random.default_rng(0)
+    centres = random.normal(size=(20, 16))
+    rows = [
+        (i, (centres[i % 20] + random.normal(size=16) * 0.6).tolist()) for i in range(1500)
+    ]
+    found = lists(nearest(frame(spark, rows), "id % 20 = 0", 20))
+    assert set(found) == {i for i, _ in rows if i % 20 == 0}
+    hits = []
+    vectors = dict(rows)
+    for query, got in found.items():
+        best = brute(rows, (query, vectors[query]), 20)
+        hits.append(len({i for i, _ in best} & {i for _, i, _ in got}) / 20)
+        assert [r for r, _, _ in got] == list(range(1, 21))
+        assert [(-s, i) for _, i, s in got] == sorted((-s, i) for _, i, s in got)
+        q = np.array(vectors[query], np.float32).astype(float)
+        for _, i, s in got:
+            assert abs(np.array(vectors[i], np.float32).astype(float) @ q - s) < 1e-9
+    assert np.mean(hits) >= 0.9
+
+
+def test_a_vector_that_a_third_of_rows_have(spark, monkeypatch):
+    monkeypatch.setattr("panelspan.llm.multi_index.BLOCK", 32)
+    random = np.random.default_rng(1)
+    hot = random.normal(size=8).tolist()
+    rows = [(i, hot if i % 3 == 0 else random.normal(size=8).tolist()) for i in range(600)]
+    found = lists(nearest(frame(spark, rows), "id % 20 = 0", 20))
+    expected = [i for i in range(0, 600, 3)]
+    assert [i for _, i, _ in found[0]] == expected[1:21]
+    assert [i for _, i, _ in found[60]] == [i for i in expected if i != 60][:20]
+    assert len({s for _, _, s in found[0]}) == 1
+
+
+def test_few_rows_and_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0]), (20, [2.0, 1.0]), (3, [0.5, 0.5]), (4, None), (40, [0.0, 0.0]),
+        (5, [1.0, nan]), (60, [inf, 1.0]), (7, [None, 1.0]), (8, []), (9, [1.0, 2.0, 3.0]),
+        (None, [1.0, 1.0]), (3, [0.5, 0.5]), (20, [2.0, 1.0]),
+    ]
+    found = lists(nearest(frame(spark, rows), "id % 20 = 0"))
+    assert found == {
+        0: [(1, 20, 4.0), (2, 3, 1.5)],
+        20: [(1, 0, 4.0), (2, 3, 1.5)],
+    }
+    assert lists(nearest(frame(spark, rows[:1]), "id % 20 = 0")) == {}
+    assert lists(nearest(frame(spark, []), "id % 20 = 0")) == {}
+
+
+def test_pairs_are_visited_in_order_of_summed_distance():
+    random = np.random.default_rng(3)
+    for _ in range(30):
+        first, second = random.random(7), random.random(5)
+        counts = random.integers(0, 4, (7, 5))
+        sums = first[:, None] + second[None, :]
+        for wanted in (1, 10, 10**6):
+            reach = visit(first, second, counts, wanted)
+            order = np.argsort(sums.ravel())
+            held = np.cumsum(counts.ravel()[order])
+            last = min(int(np.searchsorted(held, wanted)), 34)
+            assert np.isclose(reach, sums.ravel()[order][last])
