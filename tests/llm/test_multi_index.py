@@ -49,7 +49,8 @@ def test_a_vector_that_a_third_of_rows_have(spark, monkeypatch):
     monkeypatch.setattr("panelspan.llm.multi_index.BLOCK", 32)
     random = np.random.default_rng(1)
     hot = random.normal(size=8).tolist()
-    rows = [(i, hot if i % 3 == 0 else random.normal(size=8).tolist()) for i in range(600)]
+    # Others are short, so no inner product with the hot vector is larger than its own.
+    rows = [(i, hot if i % 3 == 0 else (random.normal(size=8) / 9).tolist()) for i in range(600)]
     found = lists(nearest(frame(spark, rows), "id % 20 = 0", 20))
     expected = [i for i in range(0, 600, 3)]
     assert [i for _, i, _ in found[0]] == expected[1:21]

@@ -111,12 +111,12 @@ def test_whole_texts_are_described(monkeypatch):
 def test_one_odd_passage_among_many_gets_the_attention():
     random_ = np.random.default_rng(5)
     bags, labels = [], []
-    for i in range(300):
+    for i in range(700):
         bag = random_.normal(size=(random_.integers(3, 12), FEATURES)) * 0.1
         if i % 2:
             bag[random_.integers(len(bag)), 7] += 3
         bags.append(bag)
         labels.append(i % 2)
-    model = fit(bags[:200], np.array(labels[:200], float))
-    scores = model.scores(bags[200:])
-    assert np.mean((scores >= 0.5) == np.array(labels[200:])) > 0.95
+    model = fit(bags[:500], np.array(labels[:500], float))
+    scores = model.scores(bags[500:])
+    assert np.mean((scores >= 0.5) == np.array(labels[500:])) > 0.95
