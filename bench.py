@@ -1,8 +1,9 @@
 """Time the queries and print one JSON line.
 
 Each query runs whole, jobs of its own included, into a sink that discards the
-rows. The first run warms up and is not counted; the better of the next two is.
-``naive`` holds the same measure for the straightforward forms.
+rows. The first run warms up and is not counted; the better of the next two is. Where a
+choice can be turned off, the query with it off follows: ``*_shuffled`` do without the
+broadcast, ``panel_scan`` reads the text that ``panel_scan_native`` has as numbers.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.compare import session
-from checks.naive import NAIVE
 from checks.queries import QUERIES
 
-# These read another output of the job that job_long runs.
-SAME_JOB = ("job_series_wide", "job_period_wide", "job_dimension")
+# These read another output of a job that job_long or job_catalog_long runs.
+SAME_JOB = (
+    "job_series_wide", "job_period_wide", "job_dimension", "job_catalog_dimension",
+    "job_catalog_series_wide", "job_catalog_period_wide",
+)
 HEADLINES = {name: query for name, query in QUERIES.items() if name not in SAME_JOB}
 
 
@@ -37,7 +40,6 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     timed = {name: seconds(query, spark, sf_dir) for name, query in HEADLINES.items()}
-    naive = {name: seconds(query, spark, sf_dir) for name, query in NAIVE.items()}
     spark.stop()
     print(
         json.dumps(
@@ -46,7 +48,6 @@ def main() -> None:
                 "value": round(sum(timed.values()), 3),
                 "unit": "sec",
                 "queries": timed,
-                "naive": naive,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
             }
         )

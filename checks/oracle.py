@@ -190,8 +190,12 @@ USED = f"""
     SELECT trim(id) AS id, name, source_id, source, source_organization, topic FROM catalog
     WHERE trim(id) IN (SELECT series_code FROM sales_long)"""
 
+SALES_CELLS = f"SELECT {ENTITY}, period, topic, series_name, value FROM sales_long"
+SALES_PERIODS = _wide("sales_long", f"{ENTITY}, {SERIES}, topic", "period", YEARS)
+
 FINAL = {
     "panel_canonical": CANONICAL,
+    "panel_canonical_binary": CANONICAL,
     "panel_scan": CANONICAL,
     "panel_scan_native": """
     SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey,
@@ -241,7 +245,8 @@ FINAL = {
     "series_wide_events": _wide("days", "user_name, user_id, day", "event_type", EVENT_TYPES),
     "period_wide": PERIOD_WIDE,
     "period_wide_no_topic": _wide("chosen", f"{ENTITY}, {SERIES}", "period", YEARS),
-    "period_wide_catalog": _wide("sales_long", f"{ENTITY}, {SERIES}, topic", "period", YEARS),
+    "series_wide_catalog": SALES_CELLS,
+    "period_wide_catalog": SALES_PERIODS,
     "panel_long": LONG,
     "publish_roundtrip": LONG,
     "publish_csv_roundtrip": CATALOG,
@@ -252,6 +257,11 @@ FINAL = {
     "job_period_wide": PERIOD_WIDE,
     "job_dimension": """
     SELECT trim(id) AS id, topic FROM topics WHERE trim(id) IN (SELECT series_code FROM long)""",
+    "job_catalog_long": SALES_LONG,
+    "job_catalog_long_shuffled": SALES_LONG,
+    "job_catalog_series_wide": SALES_CELLS,
+    "job_catalog_period_wide": SALES_PERIODS,
+    "job_catalog_dimension": USED,
 }
 
 ORACLE = {name: _query(final) for name, final in FINAL.items()}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 import panelspan as ps
 from checks import fixtures as fx
-from checks.scratch import scratch_folder
+from checks.scratch import scratch_folder, staged
+from panelspan.functions import quoted
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +44,12 @@ def sales_long(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 # Sources
 
 
+def panel_canonical_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = fx.raw_panel(spark, sf_dir)
+    as_bytes = raw.select([F.col(name).cast("binary").alias(name) for name in raw.columns])
+    return ps.canonicalize(as_bytes, fx.ORDERS)
+
+
 def panel_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical(spark, sf_dir)
 
@@ -159,7 +166,9 @@ def used_dimension_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical(spark, sf_dir).select(fx.ORDERS.series_name).distinct()
+    name = fx.ORDERS.series_name
+    headers = ps.pivot_headers(canonical(spark, sf_dir), name)
+    return spark.createDataFrame([(header,) for header in headers], f"{name} string")
 
 
 def series_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,6 +184,26 @@ def series_wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ps.pivot_series(events, fx.DAYS)
 
 
+def series_wide_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = ps.pivot_series(staged(sales_long(spark, sf_dir)), fx.ORDERS)
+    return _unpivoted(wide, 4, fx.ORDERS.series_name)
+
+
+def _unpivoted(wide: DataFrame, keys: int, header: str) -> DataFrame:
+    """A wide table whose columns depend on the scale, as one row per filled cell.
+
+    Rows are read by position, one array for each: thousands of columns make slow plans.
+    """
+    named = wide.columns
+    cells = F.array(*[F.col(quoted(name)) for name in named[keys:]])
+    names = F.array(*[F.lit(name) for name in named[keys:]])
+    return (
+        wide.select(*named[:keys], F.inline(F.arrays_zip(names.alias("h"), cells.alias("v"))))
+        .toDF(*named[:keys], header, "value")
+        .filter("value IS NOT NULL")
+    )
+
+
 def period_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ps.pivot_period(long(spark, sf_dir), fx.ORDERS)
 
@@ -243,6 +272,50 @@ def _job(spark: SparkSession, sf_dir: str) -> ps.PanelOutputs:
     return outputs
 
 
+def _catalog_job(spark: SparkSession, sf_dir: str, **options) -> ps.PanelOutputs:
+    """The job over the sales panel with its whole catalog, all six columns of it."""
+    folder = scratch_folder(spark)
+    outputs = ps.PanelOutputs(
+        long=f"{folder}/long",
+        series_wide=f"{folder}/series_wide",
+        period_wide=f"{folder}/period_wide",
+        dimension=f"{folder}/dimension.csv",
+    )
+    ps.publish_panel(
+        spark,
+        fx.sales_panel(spark, sf_dir),
+        fx.catalog(spark, sf_dir),
+        outputs,
+        fx.ORDERS,
+        excluded=(),
+        **options,
+    )
+    return outputs
+
+
+def job_catalog_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_catalog_job(spark, sf_dir).long)
+
+
+def job_catalog_long_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_catalog_job(spark, sf_dir, broadcast_bytes=0).long)
+
+
+def job_catalog_series_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = spark.read.parquet(_catalog_job(spark, sf_dir).series_wide)
+    return _unpivoted(wide, 4, fx.ORDERS.series_name)
+
+
+def job_catalog_period_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_catalog_job(spark, sf_dir).period_wide)
+
+
+def job_catalog_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ps.load_dimension(
+        spark, _catalog_job(spark, sf_dir).dimension, columns=fx.CATALOG.published
+    )
+
+
 def panel_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long(spark, sf_dir)
 
@@ -267,6 +340,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         panel_canonical,
+        panel_canonical_binary,
         panel_scan,
         panel_scan_native,
         dimension_scan,
@@ -292,6 +366,7 @@ QUERIES: dict[str, Query] = {
         series_wide,
         series_wide_no_topic,
         series_wide_events,
+        series_wide_catalog,
         period_wide,
         period_wide_no_topic,
         period_wide_catalog,
@@ -304,5 +379,10 @@ QUERIES: dict[str, Query] = {
         job_series_wide,
         job_period_wide,
         job_dimension,
+        job_catalog_long,
+        job_catalog_long_shuffled,
+        job_catalog_series_wide,
+        job_catalog_period_wide,
+        job_catalog_dimension,
     )
 }

@@ -1,5 +1,5 @@
 """Folders for queries that write and read back."""
 
-from panelspan.sinks.scratch import scratch_folder
+from panelspan.sinks.scratch import scratch_folder, staged
 
-__all__ = ["scratch_folder"]
+__all__ = ["scratch_folder", "staged"]

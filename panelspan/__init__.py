@@ -13,6 +13,7 @@ from panelspan.operators.dimension import (
     clean_dimension,
     dimension_conflicts,
     enrich,
+    topic_by_code,
     unmapped_series,
     used_dimension,
 )
@@ -33,7 +34,7 @@ from panelspan.operators.quality import (
 )
 from panelspan.operators.reshape import pivot_headers, pivot_period, pivot_series
 from panelspan.plans.job import PanelOutputs, long_panel, publish_panel
-from panelspan.sinks import Publication, export_dataset, publish
+from panelspan.sinks import Publication, export_dataset, publish, stage_export
 from panelspan.sources import load_dimension, load_panel
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
 
@@ -75,6 +76,8 @@ __all__ = [
     "publish_panel",
     "quality_report",
     "rejected_rows",
+    "stage_export",
+    "topic_by_code",
     "unmapped_series",
     "used_dimension",
 ]

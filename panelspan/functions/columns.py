@@ -43,11 +43,9 @@ def is_blank(name: str) -> Column:
     return text(name) == ""
 
 
-def trimmed(df: DataFrame, name: str) -> Column:
+def trimmed(name: str) -> Column:
     """The column as text without outer spaces; null stays null."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.trim(column(name))
-    return column(name).cast("string")
+    return F.trim(column(name).cast("string"))
 
 
 def has_exact_number(df: DataFrame, name: str) -> bool:

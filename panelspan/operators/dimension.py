@@ -16,19 +16,22 @@ from panelspan.operators.lookup import (
 )
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
 
+CONFLICT = "_conflict"
+
+
+def _mappings(dimension: DataFrame, spec: PanelSpec, names: DimensionSpec) -> DataFrame:
+    """Trimmed (series code, topic) pairs without blank ones; repeated pairs stay."""
+    check_columns(dimension, [names.key, names.topic])
+    return dimension.select(
+        text(names.key).alias(spec.series_code), text(names.topic).alias(spec.topic)
+    ).filter((column(spec.series_code) != "") & (column(spec.topic) != ""))
+
 
 def clean_dimension(
     dimension: DataFrame, spec: PanelSpec = PANEL, names: DimensionSpec = DIMENSION
 ) -> DataFrame:
     """The distinct (series code, topic) pairs, trimmed, without blank ones."""
-    check_columns(dimension, [names.key, names.topic])
-    return (
-        dimension.select(
-            text(names.key).alias(spec.series_code), text(names.topic).alias(spec.topic)
-        )
-        .filter((column(spec.series_code) != "") & (column(spec.topic) != ""))
-        .distinct()
-    )
+    return _mappings(dimension, spec, names).distinct()
 
 
 def dimension_conflicts(
@@ -43,15 +46,26 @@ def dimension_conflicts(
     )
 
 
-def assert_no_conflicts(pairs: DataFrame, spec: PanelSpec = PANEL) -> TableSize:
-    """Raise if a code of cleaned pairs has two topics; return the pairs' size. One job."""
-    per_code = pairs.groupBy(column(spec.series_code)).agg(
-        *size_columns([spec.series_code, spec.topic])
+def topic_by_code(
+    dimension: DataFrame, spec: PanelSpec = PANEL, names: DimensionSpec = DIMENSION
+) -> DataFrame:
+    """One row per series code: its least topic, and whether it has another one.
+
+    One grouping serves the check for conflicts and the join.
+    """
+    topic = column(spec.topic)
+    return (
+        _mappings(dimension, spec, names)
+        .groupBy(column(spec.series_code))
+        .agg(F.min(topic).alias(spec.topic), (F.min(topic) != F.max(topic)).alias(CONFLICT))
     )
-    row = per_code.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.count_if(F.col("rows") > 1).alias("conflicts"),
+
+
+def assert_no_conflicts(topics: DataFrame, spec: PanelSpec = PANEL) -> TableSize:
+    """Raise if a code of ``topic_by_code`` has two topics; return the size. One job."""
+    row = topics.agg(
+        *size_columns([spec.series_code, spec.topic]),
+        F.count_if(column(CONFLICT)).alias("conflicts"),
     ).first()
     if row["conflicts"]:
         raise ConflictingTopics(
@@ -61,13 +75,13 @@ def assert_no_conflicts(pairs: DataFrame, spec: PanelSpec = PANEL) -> TableSize:
 
 
 def attach_topics(
-    panel: DataFrame, pairs: DataFrame, spec: PanelSpec, small: bool
+    panel: DataFrame, topics: DataFrame, spec: PanelSpec, small: bool
 ) -> DataFrame:
-    """Inner join of a panel with cleaned pairs that were checked for conflicts."""
+    """Inner join of a panel with the topics of codes, checked for conflicts."""
     facts = panel.withColumn(spec.series_code, F.trim(column(spec.series_code)))
     joined = lookup(
         facts,
-        pairs,
+        topics.drop(CONFLICT),
         spec.series_code,
         how="inner",
         small=small,
@@ -88,9 +102,9 @@ def enrich(
     Runs one job over the dimension, which raises on conflicting topics and
     measures the side to be broadcast.
     """
-    pairs = clean_dimension(dimension, spec, names)
-    size = assert_no_conflicts(pairs, spec)
-    return attach_topics(panel, pairs, spec, small=size.bytes <= broadcast_bytes)
+    topics = topic_by_code(dimension, spec, names)
+    size = assert_no_conflicts(topics, spec)
+    return attach_topics(panel, topics, spec, small=size.bytes <= broadcast_bytes)
 
 
 def unmapped_series(
@@ -124,9 +138,10 @@ def used_dimension(
 ) -> DataFrame:
     """Dimension rows whose trimmed key occurs in the panel; repeated rows stay repeated.
 
-    Only the dimension is measured: the panel's codes are first cut down to those
-    that the dimension has, so the list of used codes is never larger than the
-    dimension's own list. The sink sorts the rows by key when they are published.
+    The panel's codes are made distinct first, by partial aggregation, so no panel row
+    is moved. Then they are cut down to those that the dimension has: only the
+    dimension is measured, and the list of used codes is never larger than its own. The
+    sink sorts the rows by key when they are published.
     """
     check_columns(dimension, names.published)
     keyed = dimension.select(
@@ -137,16 +152,8 @@ def used_dimension(
     )
     known = keyed.select(column(names.key)).filter(column(names.key).isNotNull()).distinct()
     small = fits_broadcast(known, broadcast_bytes)
+    codes = panel.select(column(spec.series_code).alias(names.key)).distinct()
+    used = lookup(codes, known, names.key, "left_semi", small, spread_by=[names.key], salts=1)
     others = [name for name in names.published if name != names.key]
-    codes = panel.select(
-        column(spec.series_code).alias(names.key),
-        column(spec.entity_code).alias("_entity"),
-        column(spec.period).alias("_period"),
-    )
-    used = (
-        lookup(codes, known, names.key, "left_semi", small, spread_by=["_entity", "_period"])
-        .select(column(names.key))
-        .distinct()
-    )
     kept = lookup(keyed, used, names.key, "left_semi", small, spread_by=others)
     return kept.select(*[column(name) for name in names.published])

@@ -18,7 +18,7 @@ def canonicalize(raw: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
     check_columns(raw, spec.columns)
     names = [spec.entity_name, spec.entity_code, spec.series_name, spec.series_code]
     return raw.select(
-        *[trimmed(raw, name).alias(name) for name in names],
+        *[trimmed(name).alias(name) for name in names],
         as_period(raw, spec.period).alias(spec.period),
         as_number(raw, spec.value).alias(spec.value),
     )

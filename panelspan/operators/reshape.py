@@ -1,15 +1,10 @@
 """From the long shape to one column per series or one column per period.
 
 A pivot normally shuffles twice, and by the second shuffle every cell has become
-a row as wide as the whole result. Here narrow rows are moved by the row key and
-only then widened, so a wide row never crosses the network:
-
-1. cells are grouped by row key and header, with partial aggregation before the
-   shuffle; a cell with several observations raises. This also bounds every row
-   key to one narrow row per header, however hot it was.
-2. the narrow cells are repartitioned by row key, and the pivot runs in place.
-
-Step 1 is left out when the caller vouches for unique cells.
+a row as wide as the whole result. Here narrow rows are moved once, by the row
+key, and all of the pivot runs in place: no wide row ever crosses the network. A
+cell with several observations raises in the same aggregation, and so does an
+observation whose header was not asked for.
 """
 
 from __future__ import annotations
@@ -17,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspan.errors import InvalidHeaders
@@ -25,25 +20,46 @@ from panelspan.functions import column, quoted
 from panelspan.spec import PANEL, PanelSpec
 
 DUPLICATE_CELL = "DUPLICATE_CELL"
+UNLISTED_HEADER = "UNLISTED_HEADER"
 
 
-def pivot_headers(panel: DataFrame, name: str) -> list[Any]:
+def pivot_headers(panel: DataFrame, name: str, max_headers: int | None = None) -> list[Any]:
     """The distinct values of a column, ascending: the columns of a wide shape.
 
-    They become a schema and so must reach the driver; more of them than
-    ``spark.sql.pivotMaxValues`` raises instead, before they are fetched.
+    They become a schema and so must reach the driver. ``max_headers`` raises instead
+    when there are more, before they are fetched.
     """
-    most = int(panel.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    found = panel.select(column(name)).distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise InvalidHeaders(
-            f"Column {name!r} has more than {most} distinct values; "
-            "raise spark.sql.pivotMaxValues to make them columns."
-        )
-    headers = [row[0] for row in found]
-    if None in headers:
-        raise InvalidHeaders(f"Column {name!r} holds nulls, which cannot become a column.")
-    return sorted(headers)
+    return shape_headers(panel, [name], max_headers)[name]
+
+
+def shape_headers(
+    panel: DataFrame, names: Sequence[str], max_headers: int | None = None
+) -> dict[str, list[Any]]:
+    """The distinct values of several columns, ascending, from one pass over the panel."""
+    types = [panel.schema[name].dataType for name in names]
+
+    def value(i: int, j: int) -> Column:
+        return (column(names[i]) if i == j else F.lit(None).cast(types[i])).alias(f"v{i}")
+
+    places = range(len(names))
+    each = F.array(
+        *[F.struct(F.lit(j).alias("j"), *[value(i, j) for i in places]) for j in places]
+    )
+    found = panel.select(F.inline(each)).distinct()
+    if max_headers is not None:
+        found = found.limit(max_headers * len(names) + 1)
+    values: dict[str, list[Any]] = {name: [] for name in names}
+    for row in found.collect():
+        values[names[row["j"]]].append(row[f"v{row['j']}"])
+    for name, headers in values.items():
+        if None in headers:
+            raise InvalidHeaders(f"Column {name!r} holds nulls, which cannot become a column.")
+        if max_headers is not None and len(headers) > max_headers:
+            raise InvalidHeaders(
+                f"Column {name!r} has more than {max_headers} distinct values (max_headers)."
+            )
+        headers.sort()
+    return values
 
 
 def check_headers(panel: DataFrame, keys: Sequence[str], headers: Sequence[Any]) -> None:
@@ -57,12 +73,16 @@ def check_headers(panel: DataFrame, keys: Sequence[str], headers: Sequence[Any])
         seen[folded] = name
 
 
-def _unique_cells(panel: DataFrame, keys: list[str], header: str, value: str) -> DataFrame:
+def _guarded(keys: list[str], header: str, value: str, listed: Sequence[Any] | None) -> Column:
+    """The value of a cell; raises on a second one, and on a header that is not listed."""
     what = ", ".join([*keys, header])
     duplicate = F.raise_error(F.lit(f"{DUPLICATE_CELL}: several observations for one ({what})"))
-    return panel.groupBy(*[column(name) for name in [*keys, header]]).agg(
-        F.when(F.count(F.lit(1)) > 1, duplicate).otherwise(F.first(column(value))).alias(value)
-    )
+    cell = F.when(F.count(F.lit(1)) > 1, duplicate)
+    if listed is not None:
+        unlisted = F.raise_error(F.lit(f"{UNLISTED_HEADER}: {header!r} has a value not in headers"))
+        known = F.coalesce(column(header).isin(list(listed)), F.lit(False))
+        cell = cell.when(~F.bool_and(known), unlisted)
+    return cell.otherwise(F.first(column(value)))
 
 
 def _widen(
@@ -71,23 +91,25 @@ def _widen(
     header: str,
     value: str,
     headers: Sequence[Any] | None,
-    cells_unique: bool,
+    max_headers: int | None,
+    partitions: int | None,
 ) -> DataFrame:
+    listed = headers
+    key_columns = [column(name) for name in keys]
     if headers is None:
-        headers = pivot_headers(panel, header)
+        headers = pivot_headers(panel, header, max_headers)
+        if not headers:
+            return panel.select(*key_columns).distinct()
+    elif not headers:
+        raise InvalidHeaders("The list of headers is empty.")
     check_headers(panel, keys, headers)
-    key_columns = [column(name) for name in keys]
-    if not headers:
-        return panel.select(*key_columns).distinct()
-    if cells_unique:
-        cells = panel.select(*key_columns, column(header), column(value))
-    else:
-        cells = _unique_cells(panel, keys, header, value)
+    cells = panel.select(*key_columns, column(header), column(value))
+    moved = [partitions, *key_columns] if partitions else key_columns
     return (
-        cells.repartition(*key_columns)
+        cells.repartition(*moved)
         .groupBy(*key_columns)
         .pivot(quoted(header), list(headers))
-        .agg(F.first(column(value)))
+        .agg(_guarded(keys, header, value, listed))
     )
 
 
@@ -95,27 +117,34 @@ def pivot_series(
     panel: DataFrame,
     spec: PanelSpec = PANEL,
     headers: Sequence[str] | None = None,
-    cells_unique: bool = False,
+    max_headers: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per entity and period (and topic, if present), one column per series name.
 
-    Without ``headers`` one job finds the series names. Two observations for one
-    cell raise when the result is computed. ``cells_unique`` skips that check,
-    and with it one shuffle, for panels that passed it before.
+    Without ``headers`` one job finds the series names; there is no limit on them
+    but ``max_headers``. That job computes the panel a first time, so give a written
+    table. With ``headers``, an observation of another series raises. Two
+    observations for one cell raise too; both do when the result is computed.
+    ``partitions`` is the number that rows are dealt to by row key, if Spark's
+    setting is not enough.
     """
     keys = spec.series_shape_keys(panel)
-    return _widen(panel, keys, spec.series_name, spec.value, headers, cells_unique)
+    return _widen(
+        panel, keys, spec.series_name, spec.value, headers, max_headers, partitions
+    )
 
 
 def pivot_period(
     panel: DataFrame,
     spec: PanelSpec = PANEL,
     headers: Sequence[int] | None = None,
-    cells_unique: bool = False,
+    max_headers: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """One row per entity and series (and topic, if present), one column per period.
 
     Parameters as for ``pivot_series``.
     """
     keys = spec.period_shape_keys(panel)
-    return _widen(panel, keys, spec.period, spec.value, headers, cells_unique)
+    return _widen(panel, keys, spec.period, spec.value, headers, max_headers, partitions)

@@ -10,9 +10,8 @@ and no cache has to hold the panel. All outputs are swapped in at the end.
 from __future__ import annotations
 
 import math
-from collections.abc import Collection, Iterator
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -26,15 +25,21 @@ from panelspan.functions import column
 from panelspan.operators.dimension import (
     assert_no_conflicts,
     attach_topics,
-    clean_dimension,
     enrich,
+    topic_by_code,
     used_dimension,
 )
 from panelspan.operators.filters import exclude_entities, observed_only
 from panelspan.operators.lookup import BROADCAST_BYTES
 from panelspan.operators.normalize import canonicalize
 from panelspan.operators.quality import assert_clean, quality_counts, quality_report
-from panelspan.operators.reshape import DUPLICATE_CELL, pivot_period, pivot_series
+from panelspan.operators.reshape import (
+    DUPLICATE_CELL,
+    check_headers,
+    pivot_period,
+    pivot_series,
+    shape_headers,
+)
 from panelspan.sinks.files import Files
 from panelspan.sinks.publication import Publication
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
@@ -42,6 +47,9 @@ from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_col
 # Repeated names take little room in Parquet and their full length in a shuffle: about
 # 12 bytes per row became about 100. This is some 5 million rows and half a gigabyte.
 PARQUET_BYTES_PER_PARTITION = 64 * 1024 * 1024
+# More partitions cost the driver more than they spare the tasks: map outputs are tracked
+# for each pair of tasks. Beyond this, partitions grow and spill; no row depends on it.
+MOST_PARTITIONS = 20_000
 
 
 @dataclass(frozen=True)
@@ -80,9 +88,15 @@ def publish_panel(
     names: DimensionSpec = DIMENSION,
     excluded: Collection[str] = AGGREGATE_ENTITY_CODES,
     broadcast_bytes: int = BROADCAST_BYTES,
+    single_dimension_file: bool = False,
+    max_headers: int | None = None,
 ) -> None:
     """Run the whole job. On any broken rule nothing is published.
 
+    The dimension is a folder of CSV files sorted over all of them, or one file, as
+    ``single_dimension_file`` says, at any size. ``max_headers`` bounds the columns of
+    each wide shape; without it there is no bound.
+
     Raises ``InvalidRows``, ``ConflictingTopics``, ``DuplicateCells`` or
     ``InvalidHeaders``.
     """
@@ -91,9 +105,9 @@ def publish_panel(
     with Publication(spark) as publication:
         published = [column(name) for name in names.published]
         dimension = publication.table(dimension.select(*published), near=outputs.dimension)
-        pairs = clean_dimension(dimension, spec, names)
+        topics = topic_by_code(dimension, spec, names)
         try:
-            size = assert_no_conflicts(pairs, spec)
+            size = assert_no_conflicts(topics, spec)
         except ConflictingTopics:
             # Broken rows are reported before a broken dimension.
             assert_clean(quality_report(raw, spec).first().asDict())
@@ -101,7 +115,7 @@ def publish_panel(
 
         seen = Observation()
         selected = _selected(observed(raw, seen, spec), spec, excluded)
-        enriched = attach_topics(selected, pairs, spec, small=size.bytes <= broadcast_bytes)
+        enriched = attach_topics(selected, topics, spec, small=size.bytes <= broadcast_bytes)
         staged = publication.stage_parquet(enriched, outputs.long)
         assert_clean(_counts(seen, raw, spec))
 
@@ -111,42 +125,42 @@ def publish_panel(
         def stage_dimension() -> None:
             used = used_dimension(dimension, panel, spec, names, broadcast_bytes)
             publication.stage_csv(
-                used, outputs.dimension, single_file=True, order_by=names.published
+                used,
+                outputs.dimension,
+                single_file=single_dimension_file,
+                order_by=names.published,
             )
 
+        # Colliding names fail here, before anything wide is written.
+        headers = shape_headers(panel, [spec.series_name, spec.period], max_headers)
+        check_headers(panel, spec.series_shape_keys(panel), headers[spec.series_name])
+        check_headers(panel, spec.period_shape_keys(panel), headers[spec.period])
+        parts = row_key_partitions(spark, Files(spark).total_bytes(staged))
+        shapes = (
+            (pivot_series, headers[spec.series_name], outputs.series_wide),
+            (pivot_period, headers[spec.period], outputs.period_wide),
+        )
         # The small output is made in the gaps that the large ones leave.
         with ThreadPoolExecutor(max_workers=1) as beside:
             dimension_staged = beside.submit(stage_dimension)
-            with enough_shuffle_partitions(spark, Files(spark).total_bytes(staged)):
-                _stage_wide(publication, pivot_series(panel, spec), outputs.series_wide)
-                # Cells unique by series name are unique by series name and code too.
-                by_period = pivot_period(panel, spec, cells_unique=True)
-                _stage_wide(publication, by_period, outputs.period_wide)
+            for pivot, names_of, target in shapes:
+                # An empty panel has no headers to list.
+                wide = pivot(panel, spec, headers=names_of or None, partitions=parts)
+                _stage_wide(publication, wide, target)
             dimension_staged.result()
 
 
-@contextmanager
-def enough_shuffle_partitions(
+def row_key_partitions(
     spark: SparkSession,
     table_bytes: int,
     bytes_per_partition: int = PARQUET_BYTES_PER_PARTITION,
-) -> Iterator[None]:
-    """Raise the session's shuffle partitions for a Parquet table that needs more of them.
-
-    Adaptive execution merges partitions that turn out small, but it cannot split
-    those of a grouping; the setting is never lowered, and restored at the end.
-    """
+) -> int | None:
+    """How many partitions a Parquet table needs when dealt by row key; None if the session's
+    setting, which adaptive execution may lower, is enough."""
+    needed = min(MOST_PARTITIONS, math.ceil(table_bytes / bytes_per_partition))
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if spark.conf.get(name, None) is None:
-        name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    needed = math.ceil(table_bytes / bytes_per_partition)
-    if needed > int(before):
-        spark.conf.set(name, str(needed))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    usual = spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    return needed if needed > int(usual) else None
 
 
 def observed(raw: DataFrame, seen: Observation, spec: PanelSpec) -> DataFrame:

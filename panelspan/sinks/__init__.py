@@ -1,6 +1,6 @@
 """Staged publishing and compacted exports."""
 
-from panelspan.sinks.export import export_dataset
+from panelspan.sinks.export import export_dataset, stage_export
 from panelspan.sinks.publication import Publication, publish
 
-__all__ = ["Publication", "export_dataset", "publish"]
+__all__ = ["Publication", "export_dataset", "publish", "stage_export"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from panelspan.sinks.files import Files
 from panelspan.sinks.publication import Publication
@@ -18,22 +18,48 @@ def export_dataset(
     source: str,
     target: str,
     format: str = "parquet",
+    files: int | None = None,
     source_bytes_per_file: int | None = None,
 ) -> int:
     """Compact a Parquet dataset into ZSTD Parquet or CSV; return the number of files aimed at.
 
-    The number follows from the bytes of the source, so a small dataset becomes
-    one file and a large one many of equal weight. Input splits are merged
-    without a shuffle; each task reads and writes its own share.
+    The target is a folder of files. By default it is sharded: one file for each
+    ``source_bytes_per_file`` of the source (1 GiB for Parquet, 256 MiB for CSV), by
+    merging input splits without a shuffle. ``files`` asks for an exact number, however
+    large they become; one file is written by one task.
     """
+    with Publication(spark) as publication:
+        return stage_export(publication, spark, source, target, format, files, source_bytes_per_file)
+
+
+def stage_export(
+    publication: Publication,
+    spark: SparkSession,
+    source: str,
+    target: str,
+    format: str = "parquet",
+    files: int | None = None,
+    source_bytes_per_file: int | None = None,
+) -> int:
+    """Stage an export as one output among others of a publication."""
     if format not in SOURCE_BYTES_PER_FILE:
         raise ValueError(f"Unknown format {format!r}: use parquet or csv")
-    share = source_bytes_per_file or SOURCE_BYTES_PER_FILE[format]
-    files = max(1, math.ceil(Files(spark).total_bytes(source) / share))
-    rows = spark.read.parquet(str(source)).coalesce(files)
-    with Publication(spark) as publication:
-        if format == "parquet":
-            publication.stage_parquet(rows, target, compression="zstd")
-        else:
-            publication.stage_csv(rows, target)
+    if files is not None and files < 1:
+        raise ValueError("files must be at least 1")
+    rows = spark.read.parquet(str(source))
+    if files is None:
+        share = source_bytes_per_file or SOURCE_BYTES_PER_FILE[format]
+        files = max(1, math.ceil(Files(spark).total_bytes(source) / share))
+        rows = rows.coalesce(files)
+    else:
+        rows = _exactly(rows, files)
+    if format == "parquet":
+        publication.stage_parquet(rows, target, compression="zstd")
+    else:
+        publication.stage_csv(rows, target)
     return files
+
+
+def _exactly(rows: DataFrame, files: int) -> DataFrame:
+    """One task reads all for one file; for more, rows are dealt out evenly."""
+    return rows.coalesce(1) if files == 1 else rows.repartition(files)

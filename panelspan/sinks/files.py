@@ -36,6 +36,11 @@ class Files:
         fs, at = self._open(path)
         fs.mkdirs(at)
 
+    def qualified(self, path: str) -> str:
+        """The full path, with its file system."""
+        fs, at = self._open(path)
+        return fs.makeQualified(at).toString()
+
     def rename(self, source: str, target: str) -> None:
         """Move ``source`` to ``target``, which must not exist."""
         fs, at = self._open(source)

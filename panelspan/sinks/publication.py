@@ -1,28 +1,27 @@
 """Write outputs to a staging folder, then swap them all into place.
 
 Nothing at a target changes until every output has been written. The swap is
-two renames per target: the old output aside, the new one in. If one fails, the
-targets already swapped get their old output back. A target may be the very file
-an output was computed from. On object stores a rename is a copy and not atomic.
+two renames per target: the old output aside, the new one in. If one fails, all
+targets get their old output back, wherever the failure left it; a backup is only
+deleted once its target is whole again. A target may be the very file an output was
+computed from. On object stores a rename is a copy and not atomic.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspan.functions import column
-from panelspan.operators.lookup import measure
 from panelspan.sinks.files import Files, shared_folder
 from panelspan.sources.dimension import CSV_QUOTING
 
 log = logging.getLogger(__name__)
 
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
 CSV_OPTIONS = {
     "header": True,
     "ignoreLeadingWhiteSpace": False,
@@ -31,6 +30,15 @@ CSV_OPTIONS = {
 }
 
 
+@dataclass
+class _Swap:
+    """A target, where its old output goes, and whether that has arrived there."""
+
+    target: str
+    old: str | None = None
+    aside: bool = False
+
+
 class Publication:
     """Several outputs that appear together or not at all; use it in a ``with`` block."""
 
@@ -39,6 +47,7 @@ class Publication:
         self._files = Files(spark)
         self._folders: list[str] = []
         self._staged: list[tuple[str, str]] = []
+        self._targets: list[str] = []
 
     def __enter__(self) -> Publication:
         return self
@@ -51,6 +60,14 @@ class Publication:
             for folder in self._folders:
                 self._files.delete(folder)
 
+    def _claim(self, target: str) -> None:
+        """Raise if the target is, holds or lies in that of another output."""
+        full = self._files.qualified(target)
+        for other in self._targets:
+            if f"{full}/".startswith(f"{other}/") or f"{other}/".startswith(f"{full}/"):
+                raise ValueError(f"Two outputs at one place: {other} and {full}")
+        self._targets.append(full)
+
     def _folder(self, target: str) -> str:
         folder = self._files.staging_folder(target)
         self._files.make_folder(folder)
@@ -75,6 +92,7 @@ class Publication:
 
     def stage_parquet(self, df: DataFrame, target: str, compression: str | None = None) -> str:
         """Write a Parquet dataset for ``target``; return where it can be read until the swap."""
+        self._claim(target)
         staged = f"{self._folder(target)}/{self._files.name(target)}"
         writer = df.write
         if compression:
@@ -89,22 +107,20 @@ class Publication:
         target: str,
         single_file: bool = False,
         order_by: Sequence[str] = (),
-        single_file_bytes: int = SINGLE_FILE_BYTES,
     ) -> str:
         """Write CSV with a header for ``target``: a folder of files, or one file.
 
-        ``order_by`` sorts the rows over all files. One file is written by one
-        task, so it is only made of data measured to be within
-        ``single_file_bytes``; larger data stays a folder. Readers take either
-        under the same path.
+        ``order_by`` sorts the rows over all files. The caller alone decides which it
+        is: a single file is written by a single task, whatever its size. Readers take
+        either under the same path.
         """
+        self._claim(target)
         folder = self._folder(target)
         staged = f"{folder}/{self._files.name(target)}"
         if single_file or order_by:
+            # Computed by as many tasks as it takes, before one or a sort reads it.
             df = self.table(df, target)
         order = [column(name) for name in order_by]
-        if single_file and not self._fits_one_file(df, target, single_file_bytes):
-            single_file = False
         if single_file:
             one = df.coalesce(1)
             if order:
@@ -129,38 +145,40 @@ class Publication:
     def _write_csv(df: DataFrame, path: str) -> None:
         df.write.options(**CSV_OPTIONS).csv(path)
 
-    @staticmethod
-    def _fits_one_file(df: DataFrame, target: str, limit: int) -> bool:
-        size = measure(df).bytes
-        if size > limit:
-            log.warning("%s: %d bytes are too many for one file", target, size)
-        return size <= limit
-
     def _swap(self) -> None:
-        swapped: list[tuple[str, str | None]] = []
+        begun: list[_Swap] = []
         try:
             for staged, target in self._staged:
-                old = None
+                swap = _Swap(target)
                 if self._files.exists(target):
-                    old = f"{self._folder(target)}/{self._files.name(target)}"
-                    self._files.rename(target, old)
-                swapped.append((target, old))
+                    swap.old = f"{self._folder(target)}/{self._files.name(target)}"
+                begun.append(swap)
+                if swap.old is not None:
+                    self._files.rename(target, swap.old)
+                    swap.aside = True
                 self._files.rename(staged, target)
         except BaseException:
-            self._restore(swapped)
+            for swap in reversed(begun):
+                self._restore(swap)
             raise
 
-    def _restore(self, swapped: list[tuple[str, str | None]]) -> None:
-        for target, old in reversed(swapped):
-            try:
-                if self._files.exists(target):
-                    self._files.delete(target)
-                if old is not None:
-                    self._files.rename(old, target)
-            except Exception:
-                # Leave the old output where it is rather than delete it with its folder.
-                log.exception("The old output of %s could not be restored from %s", target, old)
-                self._folders = [f for f in self._folders if not str(old).startswith(f"{f}/")]
+    def _restore(self, swap: _Swap) -> None:
+        """Bring back what was at a target before, wherever a failed rename left it."""
+        try:
+            there = self._files.exists(swap.target)
+            if swap.old is None:
+                if there:
+                    self._files.delete(swap.target)
+            elif self._files.exists(swap.old):
+                if there and not swap.aside:
+                    # Which of the two is whole cannot be told: both stay.
+                    raise OSError("the old output was moved in part")
+                if there:
+                    self._files.delete(swap.target)
+                self._files.rename(swap.old, swap.target)
+        except Exception:
+            log.exception("%s could not be restored from %s", swap.target, swap.old)
+            self._folders = [f for f in self._folders if not str(swap.old).startswith(f"{f}/")]
 
 
 def publish(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import panelspan as ps
-from tests.helpers import dimension, executed_plan, full_dimension, long, records, rows
+from tests.helpers import dimension, executed_plan, full_dimension, long, plan, records, rows
 
 FACTS = [
     ("A-land", "AAA", "One", " s1 ", 2020, 1.0),
@@ -162,3 +162,27 @@ def test_adaptive_execution_may_split_a_hot_series(spark, tmp_path, shape):
     assert "skew=true" in final
     cells = sum(v is not None for r in result for v in r[5:]) if shape != "long" else len(result)
     assert cells == 30_000
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_used_dimension_moves_no_panel_row_before_it_is_aggregated(spark, tmp_path, limit):
+    facts = long(spark, *[("L", f"C{i}", "S", f"s{i % 3}", 2020, 1.0) for i in range(300)])
+    facts.write.parquet(f"{tmp_path}/facts")
+    source = full_dimension(spark, ("s1", "T"), (" s2 ", "T"), ("s9", "T"))
+    used = ps.used_dimension(
+        source, spark.read.parquet(f"{tmp_path}/facts"), broadcast_bytes=limit
+    )
+    assert sorted(r["id"] for r in used.collect()) == ["s1", "s2"]
+    lines = plan(used).split("== Physical Plan ==")[-1].splitlines()
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "facts" in x)
+    above = [x for x in lines[:scan] if "Exchange" in x or "HashAggregate" in x]
+    assert "HashAggregate" in above[-1] and "partial" not in above[-2]
+
+
+def test_one_grouping_finds_topics_and_conflicts(spark):
+    source = dimension(spark, ("a", "T"), (" a ", " T "), ("b", "U"), ("b", "V"), ("c", None))
+    found = ps.topic_by_code(source)
+    assert rows(found) == [("a", "T", False), ("b", "U", True)]
+    with pytest.raises(ps.ConflictingTopics, match="1 series"):
+        ps.assert_no_conflicts(found)
+    assert ps.assert_no_conflicts(found.filter("`Series Code` = 'a'")).rows == 1

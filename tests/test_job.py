@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import panelspan as ps
-from panelspan.plans.job import enough_shuffle_partitions
+from panelspan.plans.job import MOST_PARTITIONS, row_key_partitions
 from tests.helpers import full_dimension, plan, raw, records, rows
 
 RAW = [
@@ -34,7 +34,10 @@ def published(outputs):
 
 
 def test_four_outputs(spark, outputs):
-    ps.publish_panel(spark, raw(spark, *RAW), full_dimension(spark, *TOPICS), outputs)
+    ps.publish_panel(
+        spark, raw(spark, *RAW), full_dimension(spark, *TOPICS), outputs,
+        single_dimension_file=True,
+    )
     assert published(outputs) == ["dimension.csv", "long", "period", "series"]
     assert rows(spark.read.parquet(outputs.long)) == [
         ("Alpha", "ALP", "Births rate", "B.1", 2020, 1.5, "Health"),
@@ -56,6 +59,30 @@ def test_four_outputs(spark, outputs):
     assert open(outputs.dimension).readline().strip() == ",".join(ps.DIMENSION.published)
 
 
+def test_the_dimension_is_a_sorted_folder_unless_one_file_is_asked_for(spark, outputs):
+    ps.publish_panel(spark, raw(spark, *RAW), full_dimension(spark, *TOPICS), outputs)
+    assert os.path.isdir(outputs.dimension)
+    assert ps.load_dimension(spark, outputs.dimension).count() == 2
+
+
+def test_a_bound_on_headers_holds_for_the_job(spark, outputs):
+    source, topics = raw(spark, *RAW), full_dimension(spark, *TOPICS)
+    with pytest.raises(ps.InvalidHeaders, match="max_headers"):
+        ps.publish_panel(spark, source, topics, outputs, max_headers=1)
+    assert published(outputs) == []
+    ps.publish_panel(spark, source, topics, outputs, max_headers=2)
+
+
+def test_binary_text_gives_the_same_outputs(spark, outputs):
+    source = raw(spark, *RAW)
+    as_bytes = source.select([F.col(f"`{c}`").cast("binary").alias(c) for c in source.columns])
+    ps.publish_panel(spark, as_bytes, full_dimension(spark, *TOPICS), outputs)
+    assert rows(spark.read.parquet(outputs.long)) == [
+        ("Alpha", "ALP", "Births rate", "B.1", 2020, 1.5, "Health"),
+        ("Alpha", "ALP", "Export share", "X.1", 2021, 2.0, "Trade"),
+    ]
+
+
 @pytest.mark.parametrize("limit", [10**6, 0])
 def test_job_from_files_over_its_own_dimension(spark, outputs, tmp_path, limit):
     """The published dimension replaces the file the job reads."""
@@ -148,24 +175,17 @@ def test_long_panel_needs_no_shuffle_of_rows_and_no_python(spark, tmp_path):
     assert "Python" not in physical.replace("Scan ExistingRDD", "")
 
 
-def test_shuffle_partitions_grow_with_the_table_and_are_restored(spark):
+def test_row_key_partitions_grow_with_the_table_in_bounds(spark):
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    with enough_shuffle_partitions(spark, 10**6, bytes_per_partition=10**4):
-        assert spark.conf.get(name) == "100"
-    assert spark.conf.get(name) == before
-    with enough_shuffle_partitions(spark, 10**6):
-        assert spark.conf.get(name) == before
-    with pytest.raises(RuntimeError):
-        with enough_shuffle_partitions(spark, 10**6, bytes_per_partition=10**4):
-            raise RuntimeError
+    assert row_key_partitions(spark, 10**6, bytes_per_partition=10**4) == 100
+    assert row_key_partitions(spark, 10**6) is None
+    assert row_key_partitions(spark, 10**14) == MOST_PARTITIONS
     assert spark.conf.get(name) == before
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    spark.conf.set(initial, "7")
+    spark.conf.set(initial, "200")
     try:
-        with enough_shuffle_partitions(spark, 10**6, bytes_per_partition=10**4):
-            assert (spark.conf.get(initial), spark.conf.get(name)) == ("100", before)
-        assert spark.conf.get(initial) == "7"
+        assert row_key_partitions(spark, 10**6, bytes_per_partition=10**4) is None
     finally:
         spark.conf.unset(initial)
 

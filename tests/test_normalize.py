@@ -4,6 +4,7 @@ import math
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import panelspan as ps
 from tests.helpers import LONG, RAW, plan, raw, records, rows
@@ -197,3 +198,16 @@ def test_report_is_one_scan(spark, tmp_path):
     physical = physical.split("== Physical Plan ==")[-1]
     assert physical.count("FileScan") == 1
     assert "Python" not in physical
+
+
+@pytest.mark.parametrize("kind", ["string", "binary"])
+def test_text_of_any_physical_type_is_trimmed_and_checked(spark, kind):
+    source = raw(
+        spark, (" Alpha ", " A ", " S ", " s ", " 2020 ", " 1.5 "), ("L", "B", " ", "s", "x", "y")
+    )
+    typed = source.select([F.col(f"`{c}`").cast(kind).alias(c) for c in source.columns])
+    assert rows(ps.canonicalize(typed))[0] == ("Alpha", "A", "S", "s", 2020, 1.5)
+    report = ps.quality_report(typed).first().asDict()
+    assert report == {
+        "total_rows": 2, "missing_identifier": 1, "invalid_period": 1, "non_numeric_value": 1,
+    }

@@ -64,9 +64,13 @@ def test_failure_between_outputs_publishes_none(spark, tmp_path):
     assert os.listdir(tmp_path) == ["a"]
 
 
+@pytest.mark.parametrize("moved_first", [False, True])
 @pytest.mark.parametrize("fail_at", [1, 2, 3, 4, 5])
-def test_failed_swap_restores_every_old_output(spark, tmp_path, monkeypatch, fail_at):
-    """Two targets exist, one is new: five renames, each failing in turn."""
+def test_failed_swap_restores_every_old_output(
+    spark, tmp_path, monkeypatch, fail_at, moved_first
+):
+    """Two targets exist, one is new: five renames, each failing in turn, before or after
+    it has moved the data."""
     for name in ("a", "b"):
         ps.publish(spark.range(1), f"{tmp_path}/{name}")
     real, calls = Files.rename, []
@@ -74,6 +78,8 @@ def test_failed_swap_restores_every_old_output(spark, tmp_path, monkeypatch, fai
     def rename(self, source, target):
         calls.append(source)
         if len(calls) == fail_at:
+            if moved_first:
+                real(self, source, target)
             raise OSError("no rename")
         real(self, source, target)
 
@@ -87,6 +93,33 @@ def test_failed_swap_restores_every_old_output(spark, tmp_path, monkeypatch, fai
         assert spark.read.parquet(f"{tmp_path}/{name}").count() == 1
 
 
+def test_an_output_moved_in_part_stays_in_both_places(spark, tmp_path, monkeypatch):
+    target = f"{tmp_path}/a"
+    ps.publish(spark.range(3), target)
+    real = Files.rename
+
+    def rename(self, source, to):
+        real(self, source, to)
+        Files.make_folder(self, target)
+        raise OSError("copied in part")
+
+    monkeypatch.setattr(Files, "rename", rename)
+    with pytest.raises(OSError, match="in part"):
+        ps.publish(spark.range(7), target)
+    (kept,) = leftovers(tmp_path)
+    assert os.path.isdir(target)
+    assert spark.read.parquet(f"{tmp_path}/{kept}/a").count() == 3
+
+
+@pytest.mark.parametrize("one, two", [("a", "a"), ("a", "a/"), ("a", "a/b"), ("a/b", "a")])
+def test_two_outputs_at_one_place_raise(spark, tmp_path, one, two):
+    with pytest.raises(ValueError, match="one place"):
+        with ps.Publication(spark) as publication:
+            publication.stage_parquet(spark.range(1), f"{tmp_path}/{one}")
+            publication.stage_csv(spark.range(1), f"{tmp_path}/{two}")
+    assert not os.path.exists(f"{tmp_path}/{one}")
+
+
 def test_old_output_is_kept_when_it_cannot_be_restored(spark, tmp_path, monkeypatch):
     target = f"{tmp_path}/a"
     ps.publish(spark.range(1), target)
@@ -138,14 +171,13 @@ def test_csv_round_trip_in_order(spark, tmp_path, single):
     assert not leftovers(tmp_path) or all(n.endswith(".crc") for n in leftovers(tmp_path))
 
 
-def test_data_over_the_limit_stays_several_files(spark, tmp_path):
-    path = f"{tmp_path}/d.csv"
-    with ps.Publication(spark) as publication:
-        publication.stage_csv(
-            tricky(spark), path, single_file=True, order_by=["id"], single_file_bytes=10
-        )
-    assert os.path.isdir(path)
-    assert rows(ps.load_dimension(spark, path)) == rows(tricky(spark))
+@pytest.mark.parametrize("n", [0, 1, 200_000])
+def test_the_caller_alone_decides_between_file_and_folder(spark, tmp_path, n):
+    ids = spark.range(n).select(F.col("id").cast("string").alias("id"), F.lit("t").alias("topic"))
+    ps.publish(ids, f"{tmp_path}/file.csv", "csv", single_file=True)
+    ps.publish(ids, f"{tmp_path}/folder.csv", "csv")
+    assert os.path.isfile(f"{tmp_path}/file.csv") and os.path.isdir(f"{tmp_path}/folder.csv")
+    assert ps.load_dimension(spark, f"{tmp_path}/file.csv").count() == n
 
 
 def test_copies_of_one_row_are_sorted_by_several_tasks(spark, tmp_path):
@@ -196,6 +228,15 @@ def test_export_makes_few_files_by_size(spark, tmp_path):
     )
     assert 3 <= several <= 4 and 1 < len(parts(f"{tmp_path}/several")) <= several
 
+    for files in (1, 3, 20):
+        for format in ("parquet", "csv"):
+            target = f"{tmp_path}/{format}{files}"
+            assert ps.export_dataset(spark, source, target, format, files=files) == files
+            assert len(parts(target)) == files
+    assert rows(spark.read.parquet(f"{tmp_path}/parquet20")) == rows(spark.read.parquet(source))
+    with pytest.raises(ValueError, match="files"):
+        ps.export_dataset(spark, source, f"{tmp_path}/none", files=0)
+
     ps.export_dataset(spark, source, f"{tmp_path}/csv", "csv")
     again = spark.read.csv(f"{tmp_path}/csv", header=True, schema="id bigint, h int")
     assert rows(again) == rows(spark.read.parquet(source))

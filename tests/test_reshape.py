@@ -138,28 +138,58 @@ def test_null_headers_raise(spark):
         ps.pivot_period(long(spark, ("L", "A", "S", "s", None, 1.0)))
 
 
-def test_headers_are_bounded_by_the_session(spark):
+def test_headers_have_a_bound_only_where_one_is_asked_for(spark):
     spark.conf.set("spark.sql.pivotMaxValues", "1")
     panel = long(spark, *PANEL)
-    with pytest.raises(ps.InvalidHeaders, match="pivotMaxValues"):
-        ps.pivot_period(panel)
-    spark.conf.set("spark.sql.pivotMaxValues", "2")
-    assert ps.pivot_headers(panel, "Year") == [2020, 2021]
+    assert ps.pivot_period(panel).columns[4:] == ["2020", "2021"]
+    assert ps.pivot_headers(panel, "Year", max_headers=2) == [2020, 2021]
+    with pytest.raises(ps.InvalidHeaders, match="max_headers"):
+        ps.pivot_period(panel, max_headers=1)
+    with pytest.raises(ps.InvalidHeaders, match="max_headers"):
+        ps.pivot_headers(panel, "Series Name", max_headers=1)
+
+
+def test_more_headers_than_spark_finds_by_itself(spark):
+    n = 10_050
+    values = [("L", "A", f"s{i}", f"c{i}", 2020, float(i)) for i in range(n)]
+    wide = ps.pivot_series(long(spark, *values))
+    assert len(wide.columns) == n + 3
+    row = wide.first()
+    assert (row["s0"], row["s10049"]) == (0.0, 10049.0)
 
 
 def test_given_headers_need_no_job(spark):
-    wide = ps.pivot_period(long(spark, *PANEL), headers=[2021])
-    assert rows(wide)[0] == ("A-land", "AAA", "Births", "b", 1.0)
+    wide = ps.pivot_period(long(spark, *PANEL), headers=[2021, 2020])
+    assert wide.columns[4:] == ["2021", "2020"]
+    assert rows(wide)[0] == ("A-land", "AAA", "Births", "b", 1.0, 3.0)
+
+
+@pytest.mark.parametrize("header", [2020, None])
+def test_an_observation_under_an_unlisted_header_raises(spark, header):
+    panel = long(spark, PANEL[0], (*PANEL[1][:4], header, 2.0))
+    with pytest.raises(PySparkException, match="UNLISTED_HEADER"):
+        ps.pivot_period(panel, headers=[2021]).collect()
+    with pytest.raises(ps.InvalidHeaders, match="empty"):
+        ps.pivot_period(panel, headers=[])
+
+
+def test_only_narrow_rows_are_shuffled_and_only_once(spark):
+    panel = long(spark, *PANEL)
+    for wide in (ps.pivot_period(panel), ps.pivot_series(panel, partitions=3)):
+        checked = executed_plan(wide).split("Initial Plan")[-1]
+        assert checked.count("Exchange hashpartitioning") == 1
+        assert checked.index("pivotfirst") < checked.index("REPARTITION_BY_")
+    assert rows(ps.pivot_period(panel, partitions=3)) == rows(ps.pivot_period(panel))
+
 
+def test_headers_of_several_columns_come_from_one_pass(spark):
+    from panelspan.operators.reshape import shape_headers
 
-def test_wide_rows_are_not_shuffled(spark):
     panel = long(spark, *PANEL)
-    checked = executed_plan(ps.pivot_period(panel)).split("Initial Plan")[-1]
-    assert checked.count("Exchange hashpartitioning") == 2
-    assert checked.index("partial_pivotfirst") < checked.index("REPARTITION_BY_COL")
-    unique = ps.pivot_period(panel, cells_unique=True)
-    assert executed_plan(unique).split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
-    assert rows(unique) == rows(ps.pivot_period(panel))
+    assert shape_headers(panel, ["Series Name", "Year"]) == {
+        "Series Name": ["Births", "Deaths"], "Year": [2020, 2021],
+    }
+    assert shape_headers(long(spark), ["Series Name", "Year"]) == {"Series Name": [], "Year": []}
 
 
 cells = st.dictionaries(
