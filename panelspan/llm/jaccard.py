@@ -32,14 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspan.llm.components import components
-from panelspan.llm.frames import pack, pick, unpack
+from panelspan.llm.frames import pack, pick, small, unpack
 from panelspan.llm.shingles import mixed, shingle_sets
 from panelspan.operators.lookup import fits_broadcast
 from panelspan.sinks.scratch import staged
 
-CHUNK_SHINGLES = 1 << 20
+CHUNK_SHINGLES = 1 << 19
 CHUNK_SETS = 60_000
-PART_SHINGLES = 2_000_000
+PART_SHINGLES = 500_000
 PART_BYTES = 16 * 1024 * 1024
 FEWEST_BITS, MOST_BITS = 5, 14
 ID_BITS = 40
@@ -166,7 +166,7 @@ def _sketcher(rule: Rule, bits: int):
         sets: list[np.ndarray] = []
         names: list[int] = []
         held = 0
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             docs, n, one, two = batch.column(0).to_pylist(), [], [], []
             for doc, found in zip(docs, shingle_sets(texts, rule.size), strict=True):
@@ -365,7 +365,7 @@ def _counter(rule: Rule, bits: int, shared):
         sets: list[np.ndarray] = []
         names: list[int] = []
         held = 0
-        for batch in batches:
+        for batch in small(batches):
             expected = batch.column(0).to_pylist()
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for name, found in zip(expected, shingle_sets(texts, rule.size), strict=True):
@@ -618,7 +618,7 @@ def _verified(rows: DataFrame, likely: DataFrame, pairs: DataFrame, rule: Rule)
 
 def _whole_sets(rule: Rule):
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             expected = batch.column(0).to_pylist()
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             names, items = [], []
@@ -636,7 +636,7 @@ def _whole_sets(rule: Rule):
 
 def _compare(rule: Rule):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             frame = {name: batch.column(name).to_pylist() for name in batch.schema.names}
             alike, counts = [], []
             for x, y in zip(frame["items_a"], frame["items_b"], strict=True):

@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspan.llm.frames import pack, pick, unpack
+from panelspan.llm.frames import pack, pick, small, unpack
 from panelspan.llm.shingles import SPACE, piece_hashes
 from panelspan.sinks.scratch import staged
 
 PASSAGE = 64
-PIECE = 1 << 19
+PIECE = 1 << 18
 KINDS = 9
 BUCKETS = 64
 FEATURES = KINDS * KINDS + BUCKETS + 6
@@ -39,7 +39,7 @@ EPOCHS, BATCH, RATE = 30, 64, 0.01
 
 
 def _byte_kinds() -> np.ndarray:
-    kinds = np.full(256, 8, np.int64)  # beyond ASCII
+    kinds = np.full(256, 8, np.int32)  # beyond ASCII
     kinds[:128] = 7  # other symbols and controls
     for number, members in enumerate(
         (
@@ -81,8 +81,8 @@ def _described(data: np.ndarray) -> np.ndarray:
     inside = ~SPACE[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
-    of_byte = np.maximum(np.cumsum(opens) - 1, 0) // PASSAGE
-    of_word = np.arange(len(words)) // PASSAGE
+    of_byte = np.maximum(np.cumsum(opens, dtype=np.int32) - 1, 0) // PASSAGE
+    of_word = np.arange(len(words), dtype=np.int32) // PASSAGE
     kinds = BYTE_KINDS[data]
     pairs = kinds[:-1] * KINDS + kinds[1:]
     follow = np.bincount(of_byte[1:] * KINDS**2 + pairs, minlength=n * KINDS**2)
@@ -171,9 +171,8 @@ def _gradients(w: dict, rows: np.ndarray, starts: np.ndarray, y: np.ndarray) ->
 def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 0) -> Model:
     """Gated attention fitted by Adam on bags of passages; every step is repeatable."""
     random = np.random.default_rng(seed)
-    rows = np.concatenate(bags).astype(np.float64)
-    mean, scale = rows.mean(axis=0), rows.std(axis=0) + 0.05
-    bags = [(b - mean) / scale for b in bags]
+    rows = np.concatenate(bags)
+    mean, scale = rows.mean(axis=0, dtype=float), rows.std(axis=0, dtype=float) + 0.05
 
     def drawn(*shape: int) -> np.ndarray:
         return random.normal(0, 1 / np.sqrt(shape[0]), shape)
@@ -192,7 +191,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 0) -> Model:
         order = random.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
-            picked = [bags[i] for i in chosen]
+            picked = [(bags[i] - mean) / scale for i in chosen]
             starts = np.cumsum([0] + [len(b) for b in picked])[:-1]
             gradients = _gradients(w, np.concatenate(picked), starts, labels[chosen])
             step += 1
@@ -240,12 +239,12 @@ def train(
     if not rows:
         return None
     rows = sorted(rows, key=lambda r: (r["key"], r["bag"]))
-    bags = [pickle.loads(r["bag"]).astype(np.float64) for r in rows]
+    bags = [pickle.loads(r["bag"]) for r in rows]
     return fit(bags, np.array([r["label"] for r in rows], float))
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         out = []
         for text in batch.column(2).cast(pa.binary()).to_pylist():
             bag = passages(text or b"")
@@ -276,7 +275,7 @@ def score_quality(docs: DataFrame, model: Model | None, text: str = "text") -> D
 
 def _scorer(model: Model | None, at: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             scores = [0.5] * batch.num_rows
             if model is not None:
                 texts = batch.column(at).cast(pa.binary()).to_pylist()
