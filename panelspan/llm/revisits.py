@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspan.llm.frames import pick
+from panelspan.operators.lookup import fits_broadcast
 from panelspan.sinks.scratch import staged
 
 # Header fields that a 304 response may update, and tracking parameters.
@@ -110,15 +111,14 @@ def resolve_revisits(
         F.col("found.record_id").alias("response_id"),
         _outcome().alias("outcome"),
     )
-    bodies = (
-        picked.filter("status = 200")
-        .select(
+    bodies = _once(
+        picked.filter("status = 200").select(
             F.col("record_id").alias("response_id"),
             F.col("headers").alias("stored"),
             "payload",
             F.lit("resolved").alias("outcome"),
-        )
-        .dropDuplicates(["response_id"])
+        ),
+        light.filter("full").select(F.col("record_id").alias("response_id")),
     )
     permitted = ", ".join(f"'{name}'" for name in PERMITTED)
     merged = F.expr(
@@ -142,6 +142,19 @@ def resolve_revisits(
     )
 
 
+def _once(bodies: DataFrame, ids: DataFrame) -> DataFrame:
+    """Each response once. Ids that repeat are found without the payloads, which only move
+    for the responses that have them."""
+    again = ids.groupBy("response_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = staged(again.select("response_id"))
+    if again.isEmpty():
+        return bodies
+    if fits_broadcast(again):
+        again = F.broadcast(again)
+    repeated = bodies.join(again, "response_id", "left_semi").dropDuplicates(["response_id"])
+    return bodies.join(again, "response_id", "left_anti").union(repeated)
+
+
 def _as_of(light: DataFrame, hot_rows: int) -> DataFrame:
     """Each revisit with ``found``, the latest earlier full response of its URL."""
     full = F.when(
