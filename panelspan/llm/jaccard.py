@@ -52,7 +52,7 @@ MOST_HOT = 1 << 20
 RANGES = 32
 
 DOC, LIKELY, COUNT = -1, -2, -3
-SKETCH = "part int, doc long, n long, f1 long, f2 long, payload binary"
+SKETCH = "part int, doc long, text_hash long, n long, f1 long, f2 long, payload binary"
 
 
 @dataclass(frozen=True)
@@ -84,8 +84,8 @@ class Rule:
 def jaccard_components(
     docs: DataFrame, rule: Rule = Rule(), text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """Per row: ``key``, ``n_shingles`` and ``component``, the smallest key that it is
-    connected with by links, its own included.
+    """Per row: ``key``, ``text_hash`` (xxhash64 of the text, null as empty), ``n_shingles``
+    and ``component``, the smallest key that it is connected with by links, its own included.
 
     A null text, and one without words, has no shingles and is linked with nothing. Equal
     non-empty sets are linked. A row whose key is null is linked with nothing and has a
@@ -95,7 +95,8 @@ def jaccard_components(
     rows = pick(docs, doc=key, text=text).withColumn("doc", F.col("doc").cast("long"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = _part_bits(size / PART_BYTES)
-    sketch = staged(rows.select("doc", "text").mapInArrow(_sketcher(rule, bits), SKETCH))
+    hashed = rows.select("doc", "text", _text_hash(F.col("text")))
+    sketch = staged(hashed.mapInArrow(_sketcher(rule, bits), SKETCH))
     found = sketch.filter(F.col("part") == DOC)
     classes = staged(
         found.filter("n > 0 AND doc IS NOT NULL")
@@ -124,6 +125,7 @@ def jaccard_components(
         found.join(best, ["n", "f1", "f2"], "left")
         .select(
             F.col("doc").alias("key"),
+            "text_hash",
             F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component"))
             .otherwise(F.col("doc"))
@@ -139,18 +141,26 @@ def drop_near_copies(
     """The rows whose key names their component: one document of each stays.
 
     Rows with a null key stay, as they are linked with nothing; so do documents without
-    words. A key that repeats stays as often as it is.
+    words. A row that repeats stays as often as it is; of texts that share a key, each stays
+    or goes on its own.
     """
     gone = staged(
         jaccard_components(docs, rule, text, key)
         .filter("component <> key")
-        .select(F.col("key").alias("gone"))
+        .select(F.col("key").alias("gone"), F.col("text_hash").alias("gone_hash"))
         .distinct()
     )
     if fits_broadcast(gone):
         gone = F.broadcast(gone)
-    rows = pack(docs, key=key).withColumn("key", F.col("key").cast("long"))
-    return unpack(rows.join(gone, F.col("key") == F.col("gone"), "left_anti"), docs.columns)
+    rows = pack(docs, key=key, text=text).select(
+        "*", F.col("key").cast("long").alias("number"), _text_hash(F.col("text"))
+    )
+    same = (F.col("number") == F.col("gone")) & (F.col("text_hash") == F.col("gone_hash"))
+    return unpack(rows.join(gone, same, "left_anti"), docs.columns)
+
+
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash")
 
 
 def _part_bits(parts: float) -> int:
@@ -168,7 +178,8 @@ def _sketcher(rule: Rule, bits: int):
         held = 0
         for batch in small(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
-            docs, n, one, two = batch.column(0).to_pylist(), [], [], []
+            docs, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            n, one, two = [], [], []
             for doc, found in zip(docs, shingle_sets(texts, rule.size), strict=True):
                 n.append(len(found))
                 one.append(int(mixed(found).sum(dtype=np.uint64).view(np.int64)))
@@ -182,7 +193,7 @@ def _sketcher(rule: Rule, bits: int):
                     yield _rows(_first_chunk(sets, names, rule, bits))
                     sets, names, held = [], [], 0
             yield _rows(
-                [(DOC, *row, None) for row in zip(docs, n, one, two, strict=True)]
+                [(DOC, *row, None) for row in zip(docs, hashes, n, one, two, strict=True)]
             )
         if sets:
             yield _rows(_first_chunk(sets, names, rule, bits))
@@ -191,10 +202,15 @@ def _sketcher(rule: Rule, bits: int):
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), *[pa.int64()] * 4, pa.binary()]
+    names = ["part", "doc", "text_hash", "n", "f1", "f2", "payload"]
+    kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary()]
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
     arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, names=["part", "doc", "n", "f1", "f2", "payload"])
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
+def _packed_row(part: int, payload: bytes) -> tuple:
+    return (part, None, None, None, None, None, payload)
 
 
 def _first_chunk(
@@ -209,7 +225,7 @@ def _first_chunk(
     often = counts >= LOCAL_HOT
     if often.any():
         payload = pickle.dumps((every[often].view(np.int64), counts[often].astype(np.int64)))
-        rows.append((COUNT, None, None, None, None, payload))
+        rows.append(_packed_row(COUNT, payload))
     prefixes = [s[: rule.first_prefix(len(s))] for s in sets]
     owner = np.repeat(np.arange(len(sets)), [len(p) for p in prefixes]).astype(np.uint16)
     tokens = np.concatenate(prefixes)
@@ -220,15 +236,14 @@ def _first_chunk(
     shared = sizes > 1
     local, times = np.unique(owner[np.repeat(shared, sizes)], return_counts=True)
     if len(local):
-        rows.append((LIKELY, None, None, None, None, pickle.dumps((table[local], times))))
+        rows.append(_packed_row(LIKELY, pickle.dumps((table[local], times))))
     tokens, owner = tokens[opens], np.where(shared, MANY, owner[opens])
     part = (tokens & np.uint64((1 << bits) - 1)).astype(np.int64)
     order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange((1 << bits) + 1))
     for p in np.flatnonzero(np.diff(cuts)).tolist():
         here = order[cuts[p] : cuts[p + 1]]
-        packed = _packed(tokens[here], owner[here], table, bits)
-        rows.append((p, None, None, None, None, packed))
+        rows.append(_packed_row(p, _packed(tokens[here], owner[here], table, bits)))
     return rows
 
 

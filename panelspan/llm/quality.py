@@ -227,8 +227,9 @@ def train(
         .groupBy("key")
         .agg(F.max("label").cast("int").alias("label"))
     )
-    found = pick(docs, key=key, text=text).join(known, "key").select("key", "label", order.alias("o"))
-    chosen = found.distinct().orderBy("o", "key").limit(fit_docs)
+    found = pick(docs, key=key, text=text).join(known, "key")
+    listed = found.select("key", "label", order.alias("o")).distinct()
+    chosen = listed.orderBy("o", "key").limit(fit_docs)
     rows = (
         pick(docs, key=key, text=text)
         .join(F.broadcast(staged(chosen)), "key")

@@ -115,7 +115,8 @@ def test_a_large_group_lists_no_pairs_of_its_own(spark, monkeypatch):
 
 def test_messy_rows(spark):
     found = jaccard_components(messy(spark))
-    rows = sorted((tuple(r) for r in found.collect()), key=repr)
+    rows = found.select("key", "n_shingles", "component").collect()
+    rows = sorted((tuple(r) for r in rows), key=repr)
     assert len(rows) == 13
     component = {key: root for key, n, root in rows if key is not None}
     assert component == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8, 9: 5, 10: 10}
@@ -132,6 +133,15 @@ def test_one_document_of_each_group_stays(spark):
     assert as_rows(kept, *source.columns) == as_rows(expected, *source.columns)
 
 
+def test_texts_that_share_a_key_stay_or_go_on_their_own(spark):
+    one, two = "a b c d e f g h i j k l m n", "other words that stand here all alone by now"
+    source = spark.createDataFrame(
+        [(1, one), (10, one.upper()), (10, two), (10, two), (11, two)], "doc_id long, text string"
+    )
+    kept = sorted((r["doc_id"], r["text"]) for r in drop_near_copies(source).collect())
+    assert kept == [(1, one), (10, two), (10, two)]
+
+
 def test_components_of_random_graphs(spark):
     random_ = random.Random(2)
     links = [(random_.randrange(200), random_.randrange(200)) for _ in range(130)]
