@@ -1,7 +1,8 @@
 """Raw panels and dimensions that Spark derives from the given tables.
 
-No row of a table is left out (``overdrawn_codes`` filters, as its feature). Keys decide how untidy a derived row is (blank
-codes, padded text, missing values), so that every rule has rows to act on.
+No row of a table is left out (only ``overdrawn_codes`` filters, as that is its feature).
+Keys decide how untidy a derived row is (blank codes, padded text, missing values), so
+that every rule has rows to act on.
 """
 
 from __future__ import annotations

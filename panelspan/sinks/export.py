@@ -29,7 +29,9 @@ def export_dataset(
     large they become; one file is written by one task.
     """
     with Publication(spark) as publication:
-        return stage_export(publication, spark, source, target, format, files, source_bytes_per_file)
+        return stage_export(
+            publication, spark, source, target, format, files, source_bytes_per_file
+        )
 
 
 def stage_export(
