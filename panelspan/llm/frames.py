@@ -16,6 +16,7 @@ def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, SMALL_BATCH):
             yield batch.slice(at, SMALL_BATCH)
+        pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

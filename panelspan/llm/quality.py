@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspan.llm.frames import pack, pick, small, unpack
+from panelspan.llm.frames import SMALL_BATCH, pack, pick, small, unpack
 from panelspan.llm.shingles import SPACE, piece_hashes
 from panelspan.sinks.scratch import staged
 
@@ -265,29 +265,25 @@ def score_quality(docs: DataFrame, model: Model | None, text: str = "text") -> D
     without words; equal texts get equal scores. Without a model (nothing was labelled) all
     scores are 0.5. Input columns of the added names are replaced.
     """
-    rows = pack(docs, text=text)
-    kinds = rows.schema.names[:-1]
-    schema = rows.select(*kinds).schema.add("score", "double")
-    scored = rows.mapInArrow(_scorer(model, len(kinds)), schema)
+    found = _scorer(model)(F.col("text").cast("binary"))
+    scored = pack(docs, text=text).withColumn("score", found)
     return unpack(
         scored, docs.columns, score=F.col("score"), predicted=F.expr("CAST(score >= 0.5 AS INT)")
     )
 
 
-def _scorer(model: Model | None, at: int):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            scores = [0.5] * batch.num_rows
-            if model is not None:
-                texts = batch.column(at).cast(pa.binary()).to_pylist()
-                scores = [_one(model, text or b"") for text in texts]
-            columns = [batch.column(i) for i in range(at)]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:at], "score"],
-            )
+def _scorer(model: Model | None):
+    """A function of the text alone: nothing else of a row goes through Python, or twice."""
 
-    return score
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            scores: list[float] = []
+            for at in range(0, len(batch), SMALL_BATCH):
+                for text in batch.slice(at, SMALL_BATCH).to_pylist():
+                    scores.append(0.5 if model is None else _one(model, text or b""))
+            yield pa.array(scores, pa.float64())
+
+    return F.arrow_udf(score, "double").asNondeterministic()
 
 
 def _one(model: Model, text: bytes) -> float:
@@ -303,5 +299,6 @@ def keep_good(
 ) -> DataFrame:
     """The rows that the classifier, fitted on the labels, does not reject."""
     model = train(docs, labels, text, key, label)
-    marked = score_quality(pack(docs, text=text).withColumnRenamed("text", "body"), model, "body")
-    return unpack(marked.filter("predicted = 1"), docs.columns)
+    found = _scorer(model)(F.col("text").cast("binary"))
+    marked = pack(docs, text=text).withColumn("score", found)
+    return unpack(marked.filter("score >= 0.5"), docs.columns)
