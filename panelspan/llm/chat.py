@@ -20,6 +20,14 @@ from panelspan.llm.frames import pack, unpack
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 TURNS = "ARRAY<STRUCT<role: STRING, text: STRING>>"
 
+# JSON strings and numbers, without recursion in Java's regex; the length below
+# which the parser has no limit that a record can meet; the size from which a blanked record
+# may be too large for a variant (128 MiB); and reading without limits on values.
+_STRING = r'''"(?:[^"\\\x00-\x1F]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"'''
+_NUMBER = r"(-?+(?:[1-9]|0(?!\d)))\d*+(?:\.\d++)?+(?:[eE][+-]?+\d++)?+(?![\w.+-])"
+UNLIMITED, TOO_LARGE = 1000, 1 << 24
+READING = {"maxStringLen": "2147483647", "maxNumLen": "2147483647"}
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -101,11 +109,36 @@ def _written(tree: dict) -> str:
     return f"OBJECT<{', '.join(fields)}>"
 
 
+def blanked(record: Column) -> Column:
+    """A record with its strings emptied and its numbers cut to a digit; names stay.
+
+    Its paths are those of the record, but no value is long. Text that is not JSON stays so.
+    """
+    value = _STRING.replace('"(?:', '(")(?:', 1).removesuffix('"') + '(")'
+    pattern = rf"({_STRING}(?=\s*+:))|{value}|(?<![\w.+-]){_NUMBER}"
+    return F.regexp_replace(record, pattern, "$1$2$3$4")
+
+
 def fingerprint(record: Column) -> Column:
-    """Hash of a record's nested field paths; null for text that is not JSON.
+    """Hash of a record's nested field paths; null for null and for text that is not JSON.
 
-    Names of values' types are taken out, so a null and a number have the same path.
+    Names of values' types are taken out, so a null and a number have the same path. Long
+    records that the parser refuses are hashed from their blanked text; one that is JSON and
+    still too large for a variant raises an error.
     """
+    short = blanked(record)
+    is_json = F.from_json(record, "_corrupt_record STRING", READING)["_corrupt_record"].isNull()
+    refused = (F.length(short) > TOO_LARGE) & is_json
+    error = F.raise_error(F.lit("A chat record has too many values to be parsed"))
+    return (
+        F.when(F.try_parse_json(record).isNotNull(), _shape_hash(record))
+        .when(F.length(record) <= UNLIMITED, None)
+        .when(F.try_parse_json(short).isNotNull(), _shape_hash(short))
+        .when(refused, error.cast("long"))
+    )
+
+
+def _shape_hash(record: Column) -> Column:
     schema = F.schema_of_variant(F.try_parse_json(record))
     plain = r"(?<=: |ARRAY<|^)(?!OBJECT<|ARRAY<)[A-Z_]+(\(\d+,\s*\d+\))?(?=[,>]|$)"
     return F.xxhash64(F.regexp_replace(schema, plain, "_"))
@@ -131,8 +164,31 @@ def layout_table(spark: SparkSession, layouts: tuple[Layout, ...] = LAYOUTS) ->
 
 
 def _turns(layout: Layout) -> str:
-    """The turns of a record (variant ``v``) of this layout, as SQL."""
-    field = "try_variant_get(v, '$.{}', 'string')"
+    """The turns of a record of this layout, as SQL.
+
+    They are read from the variant ``v``, or from the text of a record that has none.
+    """
+    names = [name for _, fields in layout.turns for name in fields]
+    columns = [f"`{name}` STRING" for name in names]
+    array, kind = "", ""
+    if layout.each:
+        array, role, text = layout.each
+        kind = f"ARRAY<STRUCT<`{role}`: STRING, `{text}`: STRING>>"
+        columns.append(f"`{array}` {kind}")
+    options = {**READING, "mode": "FAILFAST"}.items()
+    options = ", ".join(f"'{key}', '{value}'" for key, value in options)
+    typed = f"from_json(record, '{', '.join(columns)}', map({options}))"
+    short = _listed(
+        layout,
+        "try_variant_get(v, '$.{}', 'string')",
+        f"try_variant_get(v, '$.{array}', '{kind}')",
+    )
+    long = _listed(layout, "r.`{}`", f"r.`{array}`")
+    return f"IF(v IS NOT NULL, {short}, transform(array({typed}), r -> {long})[0])"
+
+
+def _listed(layout: Layout, field: str, items: str) -> str:
+    """The turns of a layout, given SQL for a field (``{}`` is its name) and for its array."""
     fixed = []
     for role, names in layout.turns:
         parts = ", ".join(f"nullif({field.format(name)}, '')" for name in names)
@@ -143,13 +199,12 @@ def _turns(layout: Layout) -> str:
         fixed.append(f"IF({text} = '', {absent}, {turn})" if optional else turn)
     if layout.each is None:
         return f"concat({', '.join(fixed)})"
-    array, role, text = layout.each
-    kind = f"ARRAY<STRUCT<`{role}`: STRING, `{text}`: STRING>>"
+    _, role, text = layout.each
     name = f"coalesce(x.`{role}`, '')"
     named = "".join(f" WHEN {name} = '{a}' THEN '{b}'" for a, b in layout.roles)
     shown = f"CASE{named} ELSE {name} END" if named else name
     listed = (
-        f"transform(coalesce(try_variant_get(v, '$.{array}', '{kind}'), array()),"
+        f"transform(coalesce({items}, array()),"
         f" x -> struct({shown} AS role, coalesce(x.`{text}`, '') AS text))"
     )
     return f"concat({', '.join([*fixed, listed])})"
@@ -162,11 +217,12 @@ def canonical_turns(
 
     The declared layouts, one row for each shape, are joined by the fingerprint. A record
     of no declared shape keeps its fingerprint, with a null layout and null turns, as does
-    one that is null or not JSON (with a null fingerprint). Null roles and texts are empty.
+    one that is null or not JSON (with a null fingerprint). Texts may be of any length; JSON
+    with too many values for the parser raises an error. Null roles and texts are empty.
     Input columns of the added names are replaced.
     """
     shapes = layout_table(records.sparkSession, layouts)
-    rows = pack(records, record=record).withColumn("schema_hash", _hash_or_null("record"))
+    rows = pack(records, record=record).withColumn("schema_hash", fingerprint(F.col("record")))
     turns = " ".join(f"WHEN '{x.name}' THEN {_turns(x)}" for x in layouts)
     found = (
         rows.join(F.broadcast(shapes), "schema_hash", "left")
@@ -177,11 +233,6 @@ def canonical_turns(
     return unpack(found, records.columns, **added)
 
 
-def _hash_or_null(record: str) -> Column:
-    parsed = F.try_parse_json(record)
-    return F.when(parsed.isNotNull(), fingerprint(F.col(record)))
-
-
 def escaped(text: str) -> str:
     """SQL that makes a text free of marks: backslashes doubled, ``<|`` written ``<\\|``."""
     return rf"replace(replace({text}, r'\', r'\\'), '<|', r'<\|')"

@@ -4,7 +4,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from panelspan.llm.chat import LAYOUTS, canonical_turns, format_chat, read_loss, read_turns
+from panelspan.llm.chat import (
+    LAYOUTS,
+    blanked,
+    canonical_turns,
+    fingerprint,
+    format_chat,
+    read_loss,
+    read_turns,
+)
 from panelspan.llm.queries import FORGED, chat_records
 
 NASTY = st.text(
@@ -106,3 +114,40 @@ def test_records_of_conversations_keep_every_turn(spark):
     assert {k: v for k, v in found.items() if k != -1} == expected
     none = chat_records(frame.limit(0))
     assert [r["conv_id"] for r in none.collect()] == [-1]
+
+
+def test_long_records_keep_every_turn(spark):
+    rows = spark.range(4).select(
+        "id",
+        F.expr(
+            r"""CASE id
+            WHEN 0 THEN concat(r'{"response" : "a\\", "prompt": "\"é{é', repeat('x', 20000001), '"}')
+            WHEN 1 THEN concat('{"question":', repeat('1', 1001), ',"answer":-2.5}')
+            WHEN 2 THEN concat('{"messages":[', repeat(concat('{"role":"user","content":"',
+              repeat('y', 10000000), '"},'), 14), '{"content":null,"role":"x"}]}')
+            ELSE concat(r'{"prompt":"\q', repeat('x', 1001), '","response":"a"}') END"""
+        ).alias("record"),
+    )
+    turns = F.transform(
+        "turns", lambda t: F.struct(t["role"], F.length(t["text"]), F.substring(t["text"], 1, 4))
+    )
+    found = canonical_turns(rows).select("id", "schema_hash", turns.alias("turns")).orderBy("id")
+    long, number, many, broken = found.collect()
+    assert simple(long) == [("user", 20_000_005, '"é{é'), ("assistant", 2, "a\\")]
+    assert simple(number) == [("user", 1001, "1111"), ("assistant", 4, "-2.5")]
+    assert simple(many) == [("user", 10_000_000, "yyyy")] * 14 + [("x", 0, "")]
+    assert broken["schema_hash"] is None and broken["turns"] is None
+
+
+def test_blanked_records_have_the_paths_of_the_record(spark):
+    records = [
+        r'{"a\"b": "x\\", "c" : [1, -20.5e+3, "y:", {"d":"}"}], "e": null, "": true}',
+        '"top"', "12345", '{"prompt": {"n": 0.25}, "response": ["{}", [], {}]}',
+        '{"a": 01}', '{"a": 1e5.5}', r'{"a": "\q"}', '{"a": "\n"}', "no", '{"a" "b"}',
+    ]
+    frame = spark.createDataFrame(list(enumerate(records)), "id long, record string")
+    hashes = frame.select(
+        fingerprint(F.col("record")).alias("whole"), fingerprint(blanked(F.col("record"))).alias("short")
+    ).collect()
+    assert [r["whole"] for r in hashes] == [r["short"] for r in hashes]
+    assert [r["whole"] is None for r in hashes] == [False] * 4 + [True] * 6
