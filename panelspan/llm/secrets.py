@@ -61,12 +61,13 @@ CLASSES = (
     CharacterClass("entropy_base64", "A-Za-z0-9+/_=-", 20, 3.9),
 )
 
-# Whole candidates that are not secrets.
+# Whole candidates that are not secrets. Groups repeat possessively, as Java's
+# regex calls itself once per repetition of any other group.
 ALLOWED = (
     r"[0-9]+",  # long numbers
-    r"[a-z]+([-_/+=][a-z]+)+",  # words joined by marks, as in addresses
-    r"[A-Z]?[a-z]+([A-Z][a-z]+)+",  # names in camel case
-    r"[A-Z]+(_[A-Z]+)+",  # names of constants
+    r"[a-z]++(?:[-_/+=][a-z]++)++",  # words joined by marks, as in addresses
+    r"[A-Z]?[a-z]++(?:[A-Z][a-z]++)++",  # names in camel case
+    r"[A-Z]++(?:_[A-Z]++)++",  # names of constants
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # random identifiers
     r"[A-Za-z]*abcdefghijklmnopqrstuvwxyz[A-Za-z0-9+/_=-]*",  # alphabets
     r"[-_=+/]+",  # rules between sections

@@ -95,3 +95,11 @@ def test_messy_and_empty_tables(spark):
     assert found.count() == 13 and found.columns[-1] == "spans" and len(found.columns) == 13
     assert all(r["spans"] == [] for r in found.collect())
     assert find_secrets(empty(spark)).collect() == []
+
+
+def test_long_candidates_need_no_recursion(spark):
+    texts = ["ab-" * 350_000 + "ab", "Ab" * 500_000, "AB_" * 350_000 + "AB", "ab-" * 2_000 + "9"]
+    texts.append(texts[0] + " key=mQ3xT9vLr2ZpK8sWcY1nHd5J")
+    found = {r["doc_id"]: r["spans"] for r in find_secrets(docs(spark, texts)).collect()}
+    assert [found[i] for i in range(4)] == [[]] * 4
+    assert [s["kind"] for s in found[4]] == ["entropy_base64"]
