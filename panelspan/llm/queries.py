@@ -202,7 +202,8 @@ def op7_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = contamination(docs, benchmark, unnamed=True)
     return found.select(
         F.col("key").alias("doc_id"),
         "n_words",

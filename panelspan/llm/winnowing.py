@@ -51,13 +51,21 @@ def _windows(length: int, kept: str = "true") -> str:
 
 
 def benchmark_windows(
-    benchmark: DataFrame, text: str = "text", item: str = "item_id", shared: int = SHARED_WORDS
+    benchmark: DataFrame,
+    text: str = "text",
+    item: str = "item_id",
+    shared: int = SHARED_WORDS,
+    unnamed: bool = False,
 ) -> DataFrame:
-    """Every distinct window of the benchmark: ``phrase``, ``length``, ``mark``, ``items``."""
+    """Every distinct window of the benchmark: ``phrase``, ``length``, ``mark``, ``items``.
+
+    Rows without an id are left out, unless ``unnamed``: then null is an item like others.
+    """
     rows = pick(benchmark, text=text, item=item).select(
         F.col("item").cast("string").alias("item"), words(F.col("text")).alias("words")
     )
-    rows = staged(rows.filter((F.size("words") > 0) & F.col("item").isNotNull()))
+    rows = rows.filter(F.size("words") > 0)
+    rows = staged(rows if unnamed else rows.filter(F.col("item").isNotNull()))
     length = F.least(F.size("words"), F.lit(shared))
     lengths = [r[0] for r in rows.select(length).distinct().collect()]
     if not lengths:
@@ -68,7 +76,8 @@ def benchmark_windows(
         _with_grams(rows.withColumn("length", length), lengths)
         .select("item", F.explode(F.expr(f"coalesce({own})")).alias("w"))
         .groupBy("w.phrase", "w.length", "w.mark")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
+        .agg(F.collect_set(F.struct("item")).alias("items"))
+        .withColumn("items", F.sort_array(F.col("items.item")))
     )
 
 
@@ -80,6 +89,7 @@ def contamination(
     item_text: str = "text",
     item: str = "item_id",
     shared: int = SHARED_WORDS,
+    unnamed: bool = False,
 ) -> DataFrame:
     """Per document: ``key``, ``text_hash``, ``n_words``, ``spans`` and ``items``.
 
@@ -88,10 +98,11 @@ def contamination(
 
     A null or empty text has no words; a null key is a key like others. Rows that repeat
     key and text give one row, rows that repeat the key alone one row for each text.
-    Benchmark rows without words or without an id are left out; an empty benchmark hits
+    Benchmark rows without words are left out. So are those without an id, unless ``unnamed``:
+    then their windows count, and ``items`` has a null for them. An empty benchmark hits
     nothing.
     """
-    bench = staged(benchmark_windows(benchmark, item_text, item, shared))
+    bench = staged(benchmark_windows(benchmark, item_text, item, shared, unnamed))
     lengths = sorted(r[0] for r in bench.select("length").distinct().collect())
     rows = pick(docs, key=key, text=text).withColumn(
         "text_hash", F.xxhash64(F.coalesce("text", F.lit("")))
@@ -188,9 +199,12 @@ def decontaminate(
     key: str = "doc_id",
     shared: int = SHARED_WORDS,
 ) -> DataFrame:
-    """The rows whose text holds no window of the benchmark, unchanged."""
+    """The rows whose text holds no window of the benchmark, unchanged.
+
+    Windows of benchmark rows without an id count like others.
+    """
     dirty = (
-        contamination(docs, benchmark, text, key, shared=shared)
+        contamination(docs, benchmark, text, key, shared=shared, unnamed=True)
         .filter("size(spans) > 0")
         .select(F.col("key").alias("dirty_key"), F.col("text_hash").alias("dirty_hash"))
     )

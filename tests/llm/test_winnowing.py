@@ -1,7 +1,11 @@
 import random
 import re
 
-from panelspan.llm.winnowing import contamination, decontaminate
+import duckdb
+
+from checks.compare import difference
+from panelspan.llm.queries import op8_winnowing
+from panelspan.llm.winnowing import WINNOWING_ORACLE, contamination, decontaminate
 from tests.llm.messy import COPY, as_rows, docs, empty, messy
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -83,3 +87,18 @@ def test_clean_rows_stay_as_they_are(spark):
     assert kept.columns == source.columns
     expected = source.filter(f"text IS NULL OR text <> '{COPY}'")
     assert as_rows(kept, *source.columns) == as_rows(expected, *source.columns)
+
+
+def test_items_without_an_id_count_in_the_query_and_the_pipeline(spark, tmp_path):
+    texts = ["a never listed text b", "x known text", "never listed text, known text", "clean"]
+    items = [(None, "never listed text"), (None, "known text"), (3, "known text"), (None, None)]
+    tables = {"documents": docs(spark, texts), "benchmark": bench(spark, items)}
+    connection = duckdb.connect()
+    for name, frame in tables.items():
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')"
+        )
+    assert difference(op8_winnowing(spark, str(tmp_path)), WINNOWING_ORACLE, connection) is None
+    kept = decontaminate(tables["documents"], tables["benchmark"]).collect()
+    assert [r["text"] for r in kept] == ["clean"]
