@@ -275,7 +275,11 @@ def _coded(books: Codebooks):
 
 
 def _probing(books: Codebooks, counts: np.ndarray, wanted: int):
-    """For each query, the first centroids it visits and how far its visit goes."""
+    """For each query, the first centroids it visits and how far its visit goes.
+
+    The slack is above the rounding of distances, whose terms are of this size.
+    """
+    slack = 1e-9 * books.longest**2
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,7 +289,7 @@ def _probing(books: Codebooks, counts: np.ndarray, wanted: int):
                 first, second = books.query_distances(_matrix(strip))
                 out: list[tuple] = []
                 for q, item in enumerate(strip):
-                    reach = visit(first[q], second[q], counts, wanted) + 1e-9
+                    reach = visit(first[q], second[q], counts, wanted) + slack
                     for i in np.flatnonzero(first[q] + second[q].min() <= reach).tolist():
                         out.append((ids[at + q], i, reach, item))
                 kinds = (pa.int64(), pa.int32(), pa.float64(), pa.binary())

@@ -86,3 +86,13 @@ def test_pairs_are_visited_in_order_of_summed_distance():
             held = np.cumsum(counts.ravel()[order])
             last = min(int(np.searchsorted(held, wanted)), 34)
             assert np.isclose(reach, sums.ravel()[order][last])
+
+
+def test_few_long_vectors_are_all_candidates(spark):
+    random = np.random.default_rng(3)
+    rows = [(i, (random.normal(size=16) * 1e6).tolist()) for i in range(21)]
+    found = lists(nearest(frame(spark, rows), "true", 20))
+    vectors = dict(rows)
+    for query in range(21):
+        best = brute(rows, (query, vectors[query]), 20)
+        assert [i for _, i, _ in found[query]] == [i for i, _ in best]
