@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelspan.llm import jaccard
 from panelspan.llm.frames import table
-from panelspan.llm.jaccard import drop_near_copies
 from panelspan.llm.mixing import poisson_mix
 from panelspan.llm.quality import keep_good
 from panelspan.llm.sharding import shard_documents
@@ -24,7 +24,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies (five words, 0.8)."""
-    return drop_near_copies(docs)
+    return jaccard.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,8 @@ MANY = np.uint16(0xFFFF)
 MORE = 10
 LOCAL_HOT = 64
 HOT = 4096
+#: Documents without a key to themselves are numbered from here, beyond the usual keys.
+OWN_KEYS = 1 << 62
 MOST_HOT = 1 << 20
 RANGES = 32
 
@@ -159,6 +161,50 @@ def drop_near_copies(
     return unpack(rows.join(gone, same, "left_anti"), docs.columns)
 
 
+def one_of_each(
+    docs: DataFrame, rule: Rule = Rule(), text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """One row of each component, whatever keys its rows have or share.
+
+    As :func:`drop_near_copies`, but of rows that repeat key and text one stays, and rows
+    with a null key, or one that other texts have too, take part as documents of their own.
+    Those stay where no row of their component has a key to itself. Rows that have neither
+    words nor a key all stay.
+    """
+    rows = pack(docs, key=key, text=text).select(
+        "*",
+        F.col("key").cast("long").alias("number"),
+        _text_hash(F.col("text")),
+        F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)).alias("worded"),
+    )
+    pairs = rows.groupBy("number", "text_hash", "worded").agg(F.count(F.lit(1)).alias("n"))
+    pairs = staged(pairs.select(F.struct("number", "text_hash").alias("pair"), "worded", "n"))
+    pair = F.struct("number", "text_hash")
+    again = pairs.filter("n > 1 AND (worded OR pair.number IS NOT NULL)").select("pair")
+    shared = (
+        pairs.filter("pair.number IS NOT NULL")
+        .groupBy(F.col("pair.number").alias("number"))
+        .agg(F.count(F.lit(1)).alias("texts"))
+        .filter("texts > 1")
+        .select("number", F.lit(True).alias("shared"))
+    )
+    again, shared = (F.broadcast(x) if fits_broadcast(x) else x for x in (again, shared))
+    rows = rows.withColumn("pair", pair)
+    kept = [c for c in rows.columns if c != "pair"]
+    once = rows.join(again, "pair", "left_anti").select(kept)
+    first = (
+        rows.join(again, "pair", "left_semi")
+        .groupBy("pair")
+        .agg(F.min_by(F.struct(kept), F.to_json(F.struct(kept))).alias("row"))
+        .select("row.*")
+    )
+    own = F.expr(f"{OWN_KEYS} + (xxhash64(number, text_hash) & {OWN_KEYS - 1})")
+    named = once.union(first).join(shared, "number", "left").withColumn(
+        "own", F.when(F.col("number").isNull() | F.col("shared"), own).otherwise(F.col("number"))
+    )
+    return unpack(drop_near_copies(named, rule, "text", "own"), docs.columns)
+
+
 def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash")
 

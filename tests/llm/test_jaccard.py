@@ -173,3 +173,24 @@ def test_words_of_texts_done_apart_and_together(monkeypatch):
     monkeypatch.setattr("panelspan.llm.shingles.PIECE", 64)
     assert np.array_equal(word_hashes(b"word " * 3000), whole)
     assert len(shingle_set(whole, 4)) == 1
+
+
+def test_one_row_of_each_component_stays_whatever_the_keys(spark):
+    one, two, three = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    near = two + " end"
+    source = spark.createDataFrame(
+        [
+            (1, one, "x"), (1, one, "y"), (1, one, "x"), (None, one, "x"),
+            (5, two, "x"), (5, near, "x"), (None, near, "x"),
+            (None, three, "x"), (None, three + " end", "x"), (None, three, "x"),
+            (7, "alone", "x"), (7, "also alone", "x"), (8, "", "x"), (8, "", "x"),
+            (None, " ", "x"), (None, " ", "x"),
+        ],
+        "doc_id long, text string, source string",
+    )
+    kept = jaccard.one_of_each(source)
+    assert kept.columns == source.columns
+    rows = [tuple(r) for r in kept.collect()]
+    for group in ({one}, {two, near}, {three, three + " end"}, {"alone"}, {"also alone"}, {""}):
+        assert sum(r[1] in group for r in rows) == 1
+    assert (1, one, "x") in rows and len(rows) == 8
