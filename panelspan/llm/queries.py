@@ -15,6 +15,7 @@ from panelspan.llm.chat import (
     read_turns,
 )
 from panelspan.llm.frames import table
+from panelspan.llm.infill import INFILL_ORACLE, fill_in_middle, restore_text
 from panelspan.llm.jaccard import Rule, jaccard_components
 from panelspan.llm.licenses import find_licenses, license_oracle
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
@@ -233,6 +234,20 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_in_middle(docs).withColumn("restored", restore_text())
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort": op1_histogram_sort,
     "op2_attention_quality": op2_attention_quality,
@@ -244,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_poisson_mix": op9_poisson_mix,
     "op10_secret_entropy": op10_secret_entropy,
+    "op13_block_rotation": op13_block_rotation,
 }
 
 ORACLE: dict[str, str] = {
@@ -252,4 +268,5 @@ ORACLE: dict[str, str] = {
     "op7_license_windows": license_oracle(),
     "op8_winnowing": WINNOWING_ORACLE,
     "op9_poisson_mix": MIX_ORACLE,
+    "op13_block_rotation": INFILL_ORACLE,
 }
