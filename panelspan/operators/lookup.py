@@ -61,7 +61,7 @@ def lookup(
     spread_by: Sequence[str],
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``large`` with ``keyed`` on ``key``: inner, left_semi or left_anti.
+    """Join ``large`` with ``keyed`` on ``key``: inner, left, left_semi or left_anti.
 
     ``small`` says that ``keyed`` was measured and may be broadcast. Otherwise
     rows of ``large`` get a salt hashed from ``spread_by`` (the same in every
