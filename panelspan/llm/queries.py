@@ -21,9 +21,15 @@ from panelspan.llm.licenses import find_licenses, license_oracle
 from panelspan.llm.mixing import MIX_ORACLE, poisson_mix
 from panelspan.llm.multi_index import nearest
 from panelspan.llm.quality import score_quality, train
+from panelspan.llm.repair import (
+    REPAIR_ORACLE,
+    conversation_reports,
+    repair_conversations,
+)
 from panelspan.llm.revisits import REVISIT_ORACLE, resolve_revisits
 from panelspan.llm.secrets import PATTERNS, count_of, find_secrets, listed
 from panelspan.llm.sharding import shard_documents
+from panelspan.llm.url_model import filter_urls, url_oracle
 from panelspan.llm.winnowing import WINNOWING_ORACLE, contamination
 
 SHARDS = 24
@@ -234,6 +240,53 @@ def op10_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, without sentence ends, repeated or given the wrong role, each
+    as a hash of conversation and turn says. Nulls are one space, but for the turn itself."""
+    space = F.lit(" ")
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        F.coalesce("role", space).alias("role"),
+        F.coalesce("text", space).alias("text"),
+        F.concat(
+            F.coalesce(F.col("conv_id").cast("string"), space),
+            F.lit(":"),
+            F.coalesce(F.col("turn").cast("string"), space),
+        ).alias("place"),
+    ).withColumn("draw", F.crc32(F.col("place").cast("binary")) % 20)
+    return rows.filter("draw <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("draw") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("draw") == 1, "")
+        .when(F.col("draw") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.explode(F.expr("sequence(1, IF(draw = 3, 2, 1))")).alias("copy"),
+    ).drop("copy")
+
+
+def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    pieces = repair_conversations(damaged(conversations), turns=False)
+    reports = conversation_reports(pieces)
+    every = conversations.select("conv_id").distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    none = F.lit(0).cast("long")
+    return every.join(reports, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id",
+        *[F.coalesce(name, none).alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op13_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     made = fill_in_middle(docs).withColumn("restored", restore_text())
@@ -259,6 +312,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_poisson_mix": op9_poisson_mix,
     "op10_secret_entropy": op10_secret_entropy,
+    "op11_auction_repair": op11_auction_repair,
+    "op12_url_model": op12_url_model,
     "op13_block_rotation": op13_block_rotation,
 }
 
@@ -268,5 +323,7 @@ ORACLE: dict[str, str] = {
     "op7_license_windows": license_oracle(),
     "op8_winnowing": WINNOWING_ORACLE,
     "op9_poisson_mix": MIX_ORACLE,
+    "op11_auction_repair": REPAIR_ORACLE,
+    "op12_url_model": url_oracle(),
     "op13_block_rotation": INFILL_ORACLE,
 }
