@@ -133,6 +133,10 @@ RELATIONS = {
            trim(series_code) AS series_code, CAST(period AS INTEGER) AS period, value
     FROM sales_raw""",
     "sales_long": _enriched("sales", "catalog_pairs"),
+    "crowded": """
+    SELECT * REPLACE (CASE WHEN CAST(substr(entity_code, 2) AS BIGINT) % 3 = 0 THEN 'S1'
+                           ELSE series_code END AS series_code) FROM sales""",
+    "crowded_long": _enriched("crowded", "catalog_pairs"),
     "days": """
     SELECT 'User ' || CAST(user_id AS VARCHAR) AS user_name,
            CAST(user_id AS VARCHAR) AS user_id,
@@ -231,6 +235,7 @@ FINAL = {
     "enrich_topics": _enriched("canonical", "topic_pairs"),
     "enrich_catalog": SALES_LONG,
     "enrich_catalog_shuffled": SALES_LONG,
+    "enrich_crowded_shuffled": f"SELECT {COLUMNS}, topic FROM crowded_long",
     "unmapped_series": """
     SELECT series_code, count(*) AS row_count FROM sales
     WHERE series_code NOT IN (SELECT series_code FROM catalog_pairs) GROUP BY series_code""",

@@ -142,6 +142,11 @@ def enrich_catalog_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_long(spark, sf_dir, broadcast_bytes=0)
 
 
+def enrich_crowded_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = ps.canonicalize(fx.crowded_panel(spark, sf_dir), fx.ORDERS)
+    return ps.enrich(panel, fx.catalog(spark, sf_dir), fx.ORDERS, broadcast_bytes=0)
+
+
 def unmapped_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ps.unmapped_series(sales(spark, sf_dir), fx.catalog(spark, sf_dir), fx.ORDERS)
 
@@ -358,6 +363,7 @@ QUERIES: dict[str, Query] = {
         enrich_topics,
         enrich_catalog,
         enrich_catalog_shuffled,
+        enrich_crowded_shuffled,
         unmapped_series,
         unmapped_priorities,
         used_dimension,

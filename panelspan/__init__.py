@@ -34,7 +34,7 @@ from panelspan.operators.quality import (
 )
 from panelspan.operators.reshape import pivot_headers, pivot_period, pivot_series
 from panelspan.plans.job import PanelOutputs, long_panel, publish_panel
-from panelspan.sinks import Publication, export_dataset, publish, stage_export
+from panelspan.sinks import Publication, export_dataset, publish, recover, stage_export
 from panelspan.sources import load_dimension, load_panel
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
 
@@ -75,6 +75,7 @@ __all__ = [
     "publish",
     "publish_panel",
     "quality_report",
+    "recover",
     "rejected_rows",
     "stage_export",
     "topic_by_code",

@@ -1,25 +1,36 @@
 """Joins of a large table with a table that has few rows per key.
 
-The keyed side is broadcast only after its size was measured. Beyond the limit
-both sides are shuffled by the key and a salt: each key of the large side is
-spread over several partitions, and because the salt is part of the partitioning
-no later grouping can reuse it, which leaves adaptive execution free to split a
-partition that is still too large.
+The keyed side is broadcast only after its size was measured. Beyond the limit both
+sides are shuffled by the key and a salt. A frequency sketch over hashes of the keys, taken
+in one scan of the key column, tells which keys have more rows than an average partition
+should hold: those are spread over salts, four for each such share, and only their rows of
+the keyed side are copied. All other keys have the salt 0 and one copy.
+
+The salt stays part of the partitioning, so where some key is hot no later grouping
+reuses it, and adaptive execution is free to split a partition that is still too large.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspan.functions import column
+from panelspan.functions import column, quoted
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
-SALTS = 16
+
+#: The sketch returns at most this many keys, and follows some times as many.
+MOST_HOT_KEYS = 10_000
+FOLLOWED_PER_KEY = 8
+#: Pieces as large as a partition would often meet in one; smaller ones even out.
+PIECES_PER_PARTITION = 4
+
+SALT, CODE, SALTS = "_salt", "_code", "_salts"
 
 
 @dataclass(frozen=True)
@@ -52,6 +63,47 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measure(df).bytes <= limit
 
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Hashes of keys with more than ``share`` rows, and the salts that each is spread over."""
+
+    rows: int
+    share: int
+    salts: dict[int, int]
+
+
+def hot_keys(large: DataFrame, key: str, partitions: int | None = None) -> HotKeys:
+    """The keys of ``large`` that hold more than their share of its rows. One job.
+
+    A share is what an average partition of the join gets; ``partitions`` is Spark's number
+    for a shuffle by default. Fewer keys than partitions can exceed it, so the result is
+    bounded, and so is the sketch, whose counts may be too low by some
+    rows / (6 x partitions); a key just above one share may be missed, a larger one not.
+    """
+    if partitions is None:
+        partitions = shuffle_partitions(large.sparkSession)
+    most = max(1, min(partitions, MOST_HOT_KEYS))
+    sketch = f"approx_top_k({CODE}, {most}, {most * FOLLOWED_PER_KEY})"
+    found = (
+        large.select(F.xxhash64(column(key)).alias(CODE))
+        .agg(F.count(F.lit(1)).alias("rows"), F.expr(sketch).alias("top"))
+        .first()
+    )
+    share = max(1, math.ceil(found["rows"] / partitions))
+    salts = {
+        item["item"]: math.ceil(PIECES_PER_PARTITION * item["count"] / share)
+        for item in found["top"] or []
+        if item["count"] > share
+    }
+    return HotKeys(found["rows"], share, salts)
+
+
+def shuffle_partitions(spark) -> int:
+    """How many partitions a shuffle starts with."""
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    return int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def lookup(
     large: DataFrame,
     keyed: DataFrame,
@@ -59,20 +111,51 @@ def lookup(
     how: str,
     small: bool,
     spread_by: Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``large`` with ``keyed`` on ``key``: inner, left, left_semi or left_anti.
 
-    ``small`` says that ``keyed`` was measured and may be broadcast. Otherwise
-    rows of ``large`` get a salt hashed from ``spread_by`` (the same in every
-    retry) and ``keyed`` one copy per salt, so each row meets its key exactly once.
+    ``small`` says that ``keyed`` was measured and may be broadcast. Otherwise rows of hot
+    keys get a salt hashed from ``spread_by`` (the same in every retry) and their rows in
+    ``keyed`` one copy per salt, so each row meets its key exactly once. Finding hot keys
+    is one more job over the key column; ``salts`` gives every key that number instead.
     """
     if small:
         return large.join(F.broadcast(keyed), key, how)
-    salt = "_salt"
-    salted = large.withColumn(
-        salt, F.pmod(F.xxhash64(*[column(name) for name in spread_by]), F.lit(salts)).cast("int")
-    )
-    copies = keyed.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if salts is None:
+        hot = hot_keys(large, key).salts
+        salted, copies = _salted(large, key, hot, spread_by), _copied(keyed, key, hot)
+    else:
+        salted = large.withColumn(SALT, _spread(spread_by, F.lit(salts)))
+        copies = keyed.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # The hint keeps Spark from broadcasting on an estimate that knows nothing of the copies.
-    return salted.join(copies.hint("shuffle_merge"), [key, salt], how).drop(salt)
+    return salted.join(copies.hint("shuffle_merge"), [key, SALT], how).drop(SALT)
+
+
+def _spread(spread_by: Sequence[str], salts: Column) -> Column:
+    return F.pmod(F.xxhash64(*[column(name) for name in spread_by]), salts).cast("int")
+
+
+def _salted(
+    large: DataFrame, key: str, hot: dict[int, int], spread_by: Sequence[str]
+) -> DataFrame:
+    marked = _with_salts(large, key, hot)
+    salt = F.when(column(SALTS).isNull(), 0).otherwise(_spread(spread_by, column(SALTS)))
+    return marked.withColumn(SALT, salt).drop(SALTS)
+
+
+def _copied(keyed: DataFrame, key: str, hot: dict[int, int]) -> DataFrame:
+    last = F.coalesce(column(SALTS), F.lit(1)) - 1
+    marked = _with_salts(keyed, key, hot)
+    return marked.withColumn(SALT, F.explode(F.sequence(F.lit(0), last))).drop(SALTS)
+
+
+def _with_salts(rows: DataFrame, key: str, hot: dict[int, int]) -> DataFrame:
+    """Rows with the number of salts of their key, null for keys that are not hot.
+
+    The list of hot keys has at most ``MOST_HOT_KEYS`` pairs of numbers.
+    """
+    listed = rows.sparkSession.createDataFrame(list(hot.items()), f"{CODE} long, {SALTS} int")
+    coded = rows.withColumn(CODE, F.xxhash64(column(key)))
+    names = [quoted(name) for name in rows.columns]
+    return coded.join(F.broadcast(listed), CODE, "left").select(*names, SALTS)

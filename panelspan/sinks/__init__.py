@@ -1,6 +1,7 @@
 """Staged publishing and compacted exports."""
 
 from panelspan.sinks.export import export_dataset, stage_export
+from panelspan.sinks.journal import recover
 from panelspan.sinks.publication import Publication, publish
 
-__all__ = ["Publication", "export_dataset", "publish", "stage_export"]
+__all__ = ["Publication", "export_dataset", "publish", "recover", "stage_export"]

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STAGING = ".staging-"
+
 
 def shared_folder(spark: SparkSession) -> str | None:
     """A new folder under ``spark.checkpoint.dir``, or None where the session names none."""
@@ -17,6 +19,7 @@ class Files:
     """Rename, delete and measure; works on local, HDFS and object-store paths."""
 
     def __init__(self, spark: SparkSession) -> None:
+        self._io = spark._jvm.org.apache.commons.io.IOUtils
         self._path_class = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
 
@@ -60,8 +63,37 @@ class Files:
 
     def staging_folder(self, target: str) -> str:
         """A new hidden sibling of ``target``, on the same file system."""
-        _, at = self._open(target)
-        return f"{at.getParent().toString()}/.staging-{uuid.uuid4().hex}"
+        fs, at = self._open(target)
+        return f"{fs.makeQualified(at).getParent().toString()}/{STAGING}{uuid.uuid4().hex}"
+
+    def hidden_folders(self, target: str) -> list[str]:
+        """The staging folders beside ``target``."""
+        fs, at = self._open(target)
+        if not fs.exists(at.getParent()):
+            return []
+        found = [status.getPath() for status in fs.listStatus(at.getParent())]
+        return sorted(p.toString() for p in found if p.getName().startswith(STAGING))
+
+    def write(self, path: str, text: str) -> None:
+        """Create a small file, which is whole as soon as it can be seen."""
+        fs, at = self._open(path)
+        _, part = self._open(f"{path}.part")
+        stream = fs.create(part, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if not fs.rename(part, at):
+            raise OSError(f"Could not create {path}")
+
+    def read(self, path: str) -> str:
+        """The text of a small file."""
+        fs, at = self._open(path)
+        stream = fs.open(at)
+        try:
+            return self._io.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def name(self, path: str) -> str:
         _, at = self._open(path)

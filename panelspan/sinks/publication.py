@@ -5,19 +5,22 @@ two renames per target: the old output aside, the new one in. If one fails, all
 targets get their old output back, wherever the failure left it; a backup is only
 deleted once its target is whole again. A target may be the very file an output was
 computed from. On object stores a rename is a copy and not atomic.
+
+A journal of the swap is written before the first rename. If the program dies, the next
+publication of one of the targets, or ``recover``, finishes what was begun.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspan.functions import column
 from panelspan.sinks.files import Files, shared_folder
+from panelspan.sinks.journal import Journal, Swap, recover
 from panelspan.sources.dimension import CSV_QUOTING
 
 log = logging.getLogger(__name__)
@@ -30,15 +33,6 @@ CSV_OPTIONS = {
 }
 
 
-@dataclass
-class _Swap:
-    """A target, where its old output goes, and whether that has arrived there."""
-
-    target: str
-    old: str | None = None
-    aside: bool = False
-
-
 class Publication:
     """Several outputs that appear together or not at all; use it in a ``with`` block."""
 
@@ -48,6 +42,7 @@ class Publication:
         self._folders: list[str] = []
         self._staged: list[tuple[str, str]] = []
         self._targets: list[str] = []
+        self._journal: Journal | None = None
 
     def __enter__(self) -> Publication:
         return self
@@ -57,15 +52,25 @@ class Publication:
             if error_type is None:
                 self._swap()
         finally:
-            for folder in self._folders:
+            # The folder with the journal goes last.
+            first = self._journal.folders[0] if self._journal else None
+            for folder in sorted(self._folders, key=lambda f: f == first):
                 self._files.delete(folder)
 
     def _claim(self, target: str) -> None:
-        """Raise if the target is, holds or lies in that of another output."""
+        """Raise if the target is, holds or lies in that of another output.
+
+        Here also a publication that died over this target is finished.
+        """
         full = self._files.qualified(target)
         for other in self._targets:
             if f"{full}/".startswith(f"{other}/") or f"{other}/".startswith(f"{full}/"):
                 raise ValueError(f"Two outputs at one place: {other} and {full}")
+        try:
+            recover(self._spark, target)
+        except Exception:
+            # What is left of it stays; the target is about to be replaced anyway.
+            log.exception("An earlier publication of %s could not be finished", target)
         self._targets.append(full)
 
     def _folder(self, target: str) -> str:
@@ -146,31 +151,52 @@ class Publication:
         df.write.options(**CSV_OPTIONS).csv(path)
 
     def _swap(self) -> None:
-        begun: list[_Swap] = []
+        swaps = []
+        for staged, target in self._staged:
+            old = None
+            if self._files.exists(target):
+                old = f"{self._folder(target)}/{self._files.name(target)}"
+            swaps.append(Swap(self._files.qualified(target), staged, old))
+        if not swaps:
+            return
+        places = [swap.old or swap.staged for swap in swaps]
+        first = next(f for f in self._folders if places[0].startswith(f"{f}/"))
+        others = [f for f in self._folders if f != first and self._holds(swaps, f)]
+        self._journal = Journal(swaps, [first, *others])
+        self._journal.write(self._files)
+        aside: set[str] = set()
+        begun: list[Swap] = []
         try:
-            for staged, target in self._staged:
-                swap = _Swap(target)
-                if self._files.exists(target):
-                    swap.old = f"{self._folder(target)}/{self._files.name(target)}"
+            for swap in swaps:
                 begun.append(swap)
                 if swap.old is not None:
-                    self._files.rename(target, swap.old)
-                    swap.aside = True
-                self._files.rename(staged, target)
+                    self._files.rename(swap.target, swap.old)
+                    aside.add(swap.target)
+                self._files.rename(swap.staged, swap.target)
         except BaseException:
+            self._files.write(self._journal.restoring, "")
             for swap in reversed(begun):
-                self._restore(swap)
+                self._restore(swap, swap.target in aside)
             raise
 
-    def _restore(self, swap: _Swap) -> None:
-        """Bring back what was at a target before, wherever a failed rename left it."""
+    @staticmethod
+    def _holds(swaps: list[Swap], folder: str) -> bool:
+        """Whether a swap moves something into or out of a folder."""
+        places = [place for swap in swaps for place in (swap.staged, swap.old) if place]
+        return any(place.startswith(f"{folder}/") for place in places)
+
+    def _restore(self, swap: Swap, aside: bool) -> None:
+        """Bring back what was at a target before, wherever a failed rename left it.
+
+        ``aside`` says that the old output had been moved aside as a whole.
+        """
         try:
             there = self._files.exists(swap.target)
             if swap.old is None:
                 if there:
                     self._files.delete(swap.target)
             elif self._files.exists(swap.old):
-                if there and not swap.aside:
+                if there and not aside:
                     # Which of the two is whole cannot be told: both stay.
                     raise OSError("the old output was moved in part")
                 if there:
@@ -178,7 +204,11 @@ class Publication:
                 self._files.rename(swap.old, swap.target)
         except Exception:
             log.exception("%s could not be restored from %s", swap.target, swap.old)
-            self._folders = [f for f in self._folders if not str(swap.old).startswith(f"{f}/")]
+            # The old output stays where it is, with the journal that tells of it.
+            kept = (str(swap.old), self._journal.path)
+            self._folders = [
+                f for f in self._folders if not any(place.startswith(f"{f}/") for place in kept)
+            ]
 
 
 def publish(

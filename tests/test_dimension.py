@@ -174,7 +174,8 @@ def test_used_dimension_moves_no_panel_row_before_it_is_aggregated(spark, tmp_pa
     )
     assert sorted(r["id"] for r in used.collect()) == ["s1", "s2"]
     lines = plan(used).split("== Physical Plan ==")[-1].splitlines()
-    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "facts" in x)
+    # The panel is the only file; its location may be cut off in the plan's text.
+    scan = next(i for i, x in enumerate(lines) if "FileScan" in x and "Series Code" in x)
     above = [x for x in lines[:scan] if "Exchange" in x or "HashAggregate" in x]
     assert "HashAggregate" in above[-1] and "partial" not in above[-2]
 
