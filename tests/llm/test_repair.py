@@ -1,0 +1,219 @@
+"""Conversation repair against a plain search over all states, and against all edits."""
+
+import hashlib
+import itertools
+import random
+import re
+
+import pytest
+
+from panelspan.llm import repair
+from panelspan.llm.repair import arcs, conversation_reports, kind_of, repair_conversations
+from tests.llm.messy import empty, messy
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+LEGAL = re.compile(r"(s?(ua)+)?")
+
+
+def options(rows):
+    """For each row: (letter, cost, role, text) of every edit but insertions."""
+    seen, found = set(), []
+    for _, role, text in rows:
+        bare = text.rstrip(" \t\n\v\f\r")
+        gone = not bare or (role, text) in seen
+        seen.add((role, text))
+        more = 0 if bare[-1:] in (".", "!", "?") else 3
+        found.append([("D", 4, None, None)])
+        if not gone:
+            found[-1].append(("K", more, role, text))
+            found[-1] += [("R", 3 + more, name, text) for name in ("user", "assistant")]
+    return found
+
+
+def brute(rows):
+    """(cost, audit, turns): the cheapest, then least, by dynamic programming on what stands."""
+    steps = {("", "u"): "u", ("", "s"): "s", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    insert = [("I", 3, name, "") for name in ("user", "assistant")]
+
+    def better(states, state, value):
+        if state not in states or value[:2] < states[state][:2]:
+            states[state] = value
+            return True
+        return False
+
+    def closed(states):
+        changed = True
+        while changed:
+            changed = False
+            for state, (cost, audit, turns) in list(states.items()):
+                for letter, more, role, text in insert:
+                    to = steps.get((state, role[:1]))
+                    if to:
+                        value = (cost + more, audit + letter, [*turns, (role, text)])
+                        changed |= better(states, to, value)
+        return states
+
+    states = closed({"": (0, "", [])})
+    for edits in options(rows):
+        after = {}
+        for state, (cost, audit, turns) in states.items():
+            for letter, more, role, text in edits:
+                to = state if letter == "D" else steps.get((state, role[:1])) if role else None
+                if to is not None:
+                    kept = turns if letter == "D" else [*turns, (role, text)]
+                    better(after, to, (cost + more, audit + letter, kept))
+        states = closed(after)
+    return min(states[s] for s in ("", "a") if s in states)
+
+
+def counted(rows):
+    seen, counts = set(), {"blank": 0, "duplicate": 0, "truncated": 0}
+    for _, role, text in rows:
+        bare = text.rstrip(" \t\n\v\f\r")
+        if not bare:
+            counts["blank"] += 1
+        elif (role, text) in seen:
+            counts["duplicate"] += 1
+        elif bare[-1] not in ".!?":
+            counts["truncated"] += 1
+        seen.add((role, text))
+    pairs = zip(rows, rows[1:])
+    counts["illegal"] = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in pairs)
+    turns = {t for t, _, _ in rows if t is not None}
+    counts["gaps"] = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    return counts
+
+
+def check(spark, conversations, **options):
+    """``conversations``: id -> rows in order (ties must be of equal rows)."""
+    rows = [(c, t, r, x) for c, listed in conversations.items() for t, r, x in listed]
+    random.Random(1).shuffle(rows)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    pieces = repair_conversations(frame, **options)
+    listed = sorted(pieces.collect(), key=lambda r: r["seq"])
+    reports = {r["conv"]: r for r in conversation_reports(pieces).collect()}
+    assert reports.keys() == {c for c, rows in conversations.items() if rows}
+    for conv, report in reports.items():
+        mine = [(t, r or "", x or "") for t, r, x in conversations[conv]]
+        cost, audit, turns = brute(mine)
+        assert (report["cost"], report["audit"]) == (cost, audit), mine
+        for name, value in counted(mine).items():
+            assert report[name] == value, (name, mine)
+        text = "\n".join(f"{role}:{text}" for role, text in turns)
+        assert report["sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        own = [p for p in listed if p["conv"] == conv]
+        if options.get("turns", True):
+            got = [t for p in own for t in zip(p["roles"], p["texts"])]
+            assert got == turns
+            assert LEGAL.fullmatch("".join(role[0] for role, _ in got))
+        else:
+            assert all(p["roles"] is None and p["texts"] is None for p in own)
+    return listed
+
+
+ROLES = ["user", "assistant", "system", "tool", "", "user", "assistant", None]
+TEXTS = ["a.", "b!", "c?", "open", "", " \t", "a.", "x. ", "y.\n", "é😀", None]
+
+
+def drawn(random_, n, step=(0, 1, 1, 1, 2, 3)):
+    turn, rows = random_.choice([0, 1, None]), []
+    for _ in range(n):
+        rows.append((turn, random_.choice(ROLES), random_.choice(TEXTS)))
+        turn = 0 if turn is None else turn + max(1, random_.choice(step))
+    return rows
+
+
+def test_random_conversations_match_brute_force(spark):
+    random_ = random.Random(3)
+    check(spark, {i: drawn(random_, random_.randrange(1, 12)) for i in range(300)})
+
+
+def test_conversations_in_many_pieces(spark, monkeypatch):
+    """Each rule for pieces: cut by rows, cut by characters, and by partitions."""
+    random_ = random.Random(4)
+    conversations = {i: drawn(random_, random_.choice([1, 9, 40, 90])) for i in range(25)}
+    conversations[None] = drawn(random_, 70)
+    monkeypatch.setattr(repair, "PIECE_ROWS", 7)
+    pieces = check(spark, conversations)
+    assert len(pieces) > 2 * len(conversations)
+    monkeypatch.setattr(repair, "PIECE_CHARS", 5)
+    check(spark, conversations, turns=False)
+
+
+def test_one_conversation_with_most_rows_is_read_by_many_tasks(spark):
+    roles = ["user", "assistant"]
+    rows = [(i, roles[(i + i // 997) % 2], f"text {i}.") for i in range(30_000)]
+    frame = spark.createDataFrame([(1, *r) for r in rows], SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pieces = repair_conversations(frame, turns=False).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({p["seq"] >> 40 for p in pieces}) > 4
+    assert sum(len(p["edits"].replace("I", "")) for p in pieces) == len(rows)
+    ordered = sorted(pieces, key=lambda p: p["seq"])
+    cost, audit, turns = brute(rows[:3000])
+    first = "".join(p["edits"] for p in ordered)
+    assert first[:2900] == audit[:2900]
+    assert sum(p["sha256"] is not None for p in pieces) == 1
+
+
+def test_many_equal_rows(spark):
+    """Copies of one row, of a turn and over turns, are one group before they are moved."""
+    copies = [(5, "user", "same.")] * 3000 + [(6 + i, "user", "same.") for i in range(500)]
+    blank = [(None, None, None)] * 2000
+    check(spark, {1: [(1, "system", "s."), *copies, (9000, "assistant", "b.")], None: blank})
+
+
+def test_prices_are_distances():
+    """Auction prices of every kind of row against relaxation until nothing changes."""
+    random_ = random.Random(6)
+    for kind in range(9):
+        for _ in range(60):
+            ahead = tuple(random_.randrange(11) for _ in range(4))
+            prices = [10**6] * 4
+            for _ in range(8):
+                for node in range(4):
+                    for _, cost, on, to in arcs(kind, node):
+                        prices[node] = min(prices[node], cost + (ahead if on else prices)[to])
+            least = min(ahead)
+            shifted = tuple(x - least for x in ahead)
+            found = repair.layer_prices(kind, shifted)
+            assert [p + least for p in found] == prices
+
+
+def test_prices_of_one_layer_differ_by_less_than_far():
+    for length in range(5):
+        for kinds in itertools.product(range(9), repeat=length):
+            first = repair.prices_of(bytes(kinds), repair.AT_END)[0]
+            assert max(first) - min(first) <= 10 < repair.FAR
+
+
+def test_pieces_compose():
+    random_ = random.Random(8)
+    for _ in range(200):
+        kinds = bytes(random_.randrange(9) for _ in range(random_.randrange(1, 30)))
+        cut = random_.randrange(len(kinds) + 1)
+        behind = repair._before(repair._matrix(kinds[cut:]), repair.AT_END)
+        whole = repair._before(repair._matrix(kinds[:cut]), behind)
+        first = repair.prices_of(kinds, repair.AT_END)[0]
+        assert whole == tuple(p - min(first) for p in first)
+
+
+@pytest.mark.parametrize("role, kind", [("s", 1), ("user", 3), ("a", 5), ("", 7), ("Tool", 7)])
+def test_kinds(role, kind):
+    assert kind_of(role[:1], repair.NO_FAULT) == kind
+    assert kind_of(role[:1], repair.TRUNCATED) == kind + 1
+    assert kind_of(role[:1], repair.BLANK) == kind_of(role[:1], repair.DUPLICATE) == 0
+
+
+def test_messy_rows_and_empty_tables(spark):
+    names = {"conversation": "doc_id", "turn": "spans", "role": "source"}
+    found = repair_conversations(messy(spark), **names)
+    reports = {r["conv"]: r for r in conversation_reports(found).collect()}
+    assert reports.keys() == {None, *range(1, 11)}
+    assert reports[1]["blank"] == reports[2]["blank"] == reports[3]["blank"] == 1
+    assert reports[6]["duplicate"] == 1
+    # Texts that are kept pass unchanged; none of these ends a sentence or has a known role.
+    assert reports[4]["audit"] == "D" and reports[4]["truncated"] == 1
+    assert repair_conversations(empty(spark), **names).count() == 0
