@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspan.llm.frames import SMALL_BATCH, pack, pick, small, unpack
@@ -30,9 +30,11 @@ KINDS = 9
 BUCKETS = 64
 FEATURES = KINDS * KINDS + BUCKETS + 6
 
-#: Bounds of the sample: labelled documents, and passages of each, evenly spaced.
+#: Bounds of the sample: labelled documents, and the bytes of their texts. A passage has at
+#: least 128 bytes, but for a document's last one. Texts are never cut: those of more bytes
+#: than the bound are not sampled.
 FIT_DOCS = 4000
-FIT_PASSAGES = 32
+FIT_BYTES = 16 * 1024 * 1024
 
 HIDDEN, ATTENTION = 24, 16
 EPOCHS, BATCH, RATE = 30, 64, 0.01
@@ -212,14 +214,17 @@ def train(
     key: str = "doc_id",
     label: str = "quality",
     fit_docs: int = FIT_DOCS,
+    fit_bytes: int = FIT_BYTES,
 ) -> Model | None:
-    """A model of at most ``fit_docs`` labelled documents; None if there are none.
-
-    Only rows whose crc32 of the key as text leaves 0 or 2 by 3 are used. Rows without a
-    key or label are left out; of repeated labels the larger counts. Sampled documents are
-    those whose keys hash lowest, so the sample does not depend on partitions.
+    """A model of at most ``fit_docs`` labelled texts; None if there are none.
+
+    Only rows whose crc32 of the key as text leaves 0 or 2 by 3 are used; keys may be of any
+    type that has a text. Rows without a key or label are left out; of repeated labels the
+    larger counts, and a text that repeats with its key is one. Sampled are those whose keys
+    hash lowest, then their texts, until the texts before have ``fit_bytes`` together; so
+    at most twice that is described, and the sample does not depend on partitions. All
+    passages of a sampled text are used; one of more than ``fit_bytes`` is not sampled.
     """
-    order = F.xxhash64("key")
     known = (
         pick(labels, key=key, label=label)
         .filter("key IS NOT NULL AND label IN (0, 1)")
@@ -227,34 +232,48 @@ def train(
         .groupBy("key")
         .agg(F.max("label").cast("int").alias("label"))
     )
-    found = pick(docs, key=key, text=text).join(known, "key")
-    listed = found.select("key", "label", order.alias("o")).distinct()
-    chosen = listed.orderBy("o", "key").limit(fit_docs)
+    named = pick(docs, key=key, text=text).select(
+        "key",
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.xxhash64(F.col("key").cast("string")).alias("o"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"),
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("size"),
+    )
+    listed = named.filter(F.col("size") <= fit_bytes).join(known, "key")
+    chosen = (
+        listed.select("key", "label", "o", "t", "size")
+        .distinct()
+        .orderBy("o", "t", "key")
+        .limit(fit_docs)
+    )
+    # At most fit_docs rows are in this one window.
+    before = Window.orderBy("o", "t", "key").rowsBetween(Window.unboundedPreceding, -1)
+    bytes_before = F.coalesce(F.sum("size").over(before), F.lit(0))
+    chosen = staged(
+        chosen.withColumn("before", bytes_before)
+        .filter(F.col("before") < fit_bytes)
+        .select("key", "t", "label")
+    )
     rows = (
-        pick(docs, key=key, text=text)
-        .join(F.broadcast(staged(chosen)), "key")
-        .select("key", "label", "text")
-        .mapInArrow(_sampled, "key long, label int, bag binary")
+        named.join(F.broadcast(chosen), ["key", "t"])
+        .groupBy("key", "t")
+        .agg(F.first("label").alias("label"), F.first("o").alias("o"), F.first("text").alias("text"))
+        .select("o", "t", "label", F.col("text").cast("binary").alias("text"))
+        .mapInArrow(_sampled, "o long, t long, label int, bag binary")
         .collect()
     )
     if not rows:
         return None
-    rows = sorted(rows, key=lambda r: (r["key"], r["bag"]))
+    rows = sorted(rows, key=lambda r: (r["o"], r["t"], r["label"], r["bag"]))
     bags = [pickle.loads(r["bag"]) for r in rows]
     return fit(bags, np.array([r["label"] for r in rows], float))
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small(batches):
-        out = []
-        for text in batch.column(2).cast(pa.binary()).to_pylist():
-            bag = passages(text or b"")
-            if len(bag) > FIT_PASSAGES:
-                bag = bag[np.linspace(0, len(bag) - 1, FIT_PASSAGES).astype(int)]
-            out.append(pickle.dumps(bag))
+        bags = [pickle.dumps(passages(text)) for text in batch.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(out, pa.binary())],
-            names=["key", "label", "bag"],
+            [*batch.columns[:3], pa.array(bags, pa.binary())], names=["o", "t", "label", "bag"]
         )
 
 

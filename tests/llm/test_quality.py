@@ -120,3 +120,112 @@ def test_one_odd_passage_among_many_gets_the_attention():
     model = fit(bags[:500], np.array(labels[:500], float))
     scores = model.scores(bags[500:])
     assert np.mean((scores >= 0.5) == np.array(labels[500:])) > 0.95
+
+
+def plain_features(text):
+    """The features of each passage of 64 words, byte by byte and word by word."""
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789",
+             " \t\r\x0b\x0c", "\n", ".,;:", "!?'\"()-"]
+
+    def kind(byte):
+        if byte >= 128:
+            return 8
+        return next((i for i, members in enumerate(kinds) if chr(byte) in members), 7)
+
+    space = b" \t\n\r\x0b\x0c"
+    words, word_of, at = [], [], -1
+    for i, byte in enumerate(text):
+        if byte not in space and (i == 0 or text[i - 1] in space):
+            words.append(bytearray())
+        if byte not in space:
+            words[-1].append(byte)
+        word_of.append(max(0, len(words) - 1))
+    hashes = [int(quality.piece_hashes(np.frombuffer(bytes(w), np.uint8))[0]) for w in words]
+    n = -(-len(words) // 64)
+    found = np.zeros((n, FEATURES))
+    for p in range(n):
+        own = hashes[64 * p : 64 * p + 64]
+        pairs = np.zeros(81)
+        for i in range(1, len(text)):
+            if word_of[i] // 64 == p:
+                pairs[kind(text[i - 1]) * 9 + kind(text[i])] += 1
+        bags = np.zeros(64)
+        for h in own:
+            bags[h >> 58] += 1
+        again = sum(h in own[:i] for i, h in enumerate(own))
+        before = sum(hashes.index(h) != 64 * p + i for i, h in enumerate(own))
+        threes = [tuple(hashes[i : i + 3]) for i in range(len(hashes) - 2)]
+        runs = sum(threes.index(threes[i]) != i for i in range(64 * p, min(64 * p + 64, len(threes))))
+        inside = sum(b not in space and word_of[i] // 64 == p for i, b in enumerate(text))
+        found[p] = [*(pairs / max(1, pairs.sum()) * 8), *(bags / len(own) * 4),
+                    again / len(own), before / len(own), runs / len(own),
+                    inside / len(own) / 8, np.log1p(len(own)) / 4, np.log1p(len(words)) / 8]
+    return found
+
+
+def plain_score(model, bag):
+    """Gated attention in loops over passages and units."""
+    w, hidden, logits = model.weights, [], []
+    for row in bag:
+        x = [(v - m) / s for v, m, s in zip(row, model.mean, model.scale)]
+        h = [np.tanh(sum(a * b for a, b in zip(x, w["W"][:, j])) + w["Wb"][j])
+             for j in range(quality.HIDDEN)]
+        gate = 0.0
+        for k in range(quality.ATTENTION):
+            v = np.tanh(sum(a * b for a, b in zip(h, w["V"][:, k])) + w["Vb"][k])
+            u = 1 / (1 + np.exp(-(sum(a * b for a, b in zip(h, w["U"][:, k])) + w["Ub"][k])))
+            gate += w["w"][k] * v * u
+        hidden.append(h)
+        logits.append(gate)
+    weights = np.exp(np.array(logits) - max(logits))
+    weights /= weights.sum()
+    mean = [sum(a * h[j] for a, h in zip(weights, hidden)) for j in range(quality.HIDDEN)]
+    return 1 / (1 + np.exp(-(sum(a * b for a, b in zip(mean, w["c"])) + w["cb"][0])))
+
+
+def test_scores_match_a_plain_computation(spark):
+    source, labels = labelled(spark, 90)
+    model = train(source, labels)
+    texts = [r["text"] for r in source.collect()][:12] + ["One. Two!", "äö 😀 ß\n\nx", "a a a a a a"]
+    found = {r["doc_id"]: r["score"] for r in score_quality(docs(spark, texts), model).collect()}
+    for key, text in enumerate(texts):
+        features = plain_features(text.encode())
+        assert np.allclose(passages(text.encode()), features, atol=1e-5)
+        assert abs(found[key] - plain_score(model, passages(text.encode()).astype(float))) < 1e-6
+
+
+def test_the_sample_is_bounded_and_holds_whole_texts(spark, monkeypatch):
+    """What reaches the driver: few texts where ids and texts repeat, all passages of each."""
+    seen = []
+
+    def kept(bags, labels, seed=0):
+        seen.append((bags, labels))
+        return fit(bags, labels, seed)
+
+    monkeypatch.setattr(quality, "fit", kept)
+    texts = [" ".join(f"t{i}w{j}" for j in range(70)) for i in range(400)]
+    rows = [(1, t, "x") for t in texts] + [(1, texts[0], "x")] * 600
+    source = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    train(source, labels, fit_docs=5)
+    assert len(seen[-1][0]) == 5
+    train(source, labels)
+    assert len(seen[-1][0]) == 400
+    mean = sum(map(len, texts)) / len(texts)
+    train(source, labels, fit_bytes=int(9.5 * mean))
+    assert 9 <= len(seen[-1][0]) <= 11
+    # A long text is used with all its passages, or not at all.
+    long = spark.createDataFrame([(1, LONG, "x")], source.schema)
+    train(long, labels)
+    (bag,) = seen[-1][0]
+    assert len(bag) == len(passages(LONG.encode())) > 900
+    assert train(long, labels, fit_bytes=1000) is None
+
+
+def test_keys_of_any_type(spark):
+    source, labels = labelled(spark, 120)
+    named = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
+    one = score_quality(
+        source, train(source.withColumn("doc_id", named), labels.withColumn("doc_id", named))
+    )
+    assert {0, 1} == {r["predicted"] for r in one.collect()}
