@@ -8,7 +8,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspan.operators.lookup import fits_broadcast
+from panelspan.sinks.scratch import staged
+
 SMALL_BATCH = 256
+COPY_BLOCK = 4096
 
 
 def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,3 +72,53 @@ def unpack(packed: DataFrame, columns: Sequence[str], **added: Column) -> DataFr
         *[value.alias(f"_new{i}") for i, value in enumerate(added.values())],
     )
     return flat.toDF(*[name for _, name in kept], *added)
+
+
+def contents(df: DataFrame) -> Column:
+    """A 128-bit hash of all columns of a row, in hexadecimal; null differs from every text."""
+    each = [F.coalesce(F.md5(F.col(name).cast("string")), F.lit("-")) for name in df.columns]
+    return F.md5(F.concat_ws("|", *each))
+
+
+def number_copies(rows: DataFrame, identity: Column) -> DataFrame:
+    """The rows with ``identity`` and ``occurrence``, from 1 among the rows of one identity.
+
+    Rows of one identity must be equal, so it does not matter which has which number. Only
+    repeated ones move: they become one row with a count before any shuffle, and are dealt
+    out again in blocks, so that no task holds all copies of a row.
+    """
+    named = rows.withColumn("identity", identity)
+    again = staged(
+        named.groupBy("identity")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("identity")
+    )
+    if again.isEmpty():
+        return named.withColumn("occurrence", F.lit(1).cast("long"))
+    once, repeated = None, named
+    if fits_broadcast(again):
+        once = named.join(F.broadcast(again), "identity", "left_anti")
+        repeated = named.join(F.broadcast(again), "identity", "left_semi")
+    counted = repeated.groupBy("identity").agg(
+        *[F.first(name).alias(name) for name in rows.columns], F.count(F.lit(1)).alias("n")
+    )
+    blocks = counted.withColumn(
+        "block", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPY_BLOCK})"))
+    ).repartition("identity", "block")
+    dealt = blocks.withColumn(
+        "place", F.explode(F.expr(f"sequence(1L, least(n - block * {COPY_BLOCK}, {COPY_BLOCK}))"))
+    ).select(
+        *rows.columns,
+        "identity",
+        (F.col("block") * COPY_BLOCK + F.col("place")).alias("occurrence"),
+    )
+    if once is None:
+        return dealt
+    single = F.lit(1).cast("long").alias("occurrence")
+    return once.select(*rows.columns, "identity", single).union(dealt)
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """The table, marked for broadcast if its measured size allows it."""
+    return F.broadcast(df) if fits_broadcast(df) else df

@@ -2,9 +2,10 @@
 
 Each source gets a repetition rate: its share of the wanted rows over the rows it has.
 A document's number of copies is drawn from the Poisson distribution with that mean, by
-inverting the distribution at a number hashed from the seed and the document's key, so
-it does not depend on partitions, order or retries. Copies are then dealt to partitions
-by a hash of their own and sorted by it: a global shuffle that needs no sampling.
+inverting the distribution at a number hashed from the seed, the row's contents and its
+number among equal rows, so it does not depend on partitions, order or retries, and rows
+without a key, or with the same one, are drawn each on their own. Copies are then dealt to
+partitions by a hash of their own and sorted by it: a global shuffle that needs no sampling.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspan.llm.frames import pack, pick, unpack
+from panelspan.llm.frames import contents, number_copies, pack, pick, unpack
 from panelspan.operators.lookup import fits_broadcast, lookup
 from panelspan.sinks.scratch import staged
 
@@ -97,7 +98,6 @@ def poisson_mix(
     rows: int | None = None,
     seed: int = 0,
     source: str = "source",
-    key: str = "doc_id",
 ) -> DataFrame:
     """The rows repeated to the target weights, in shuffled order.
 
@@ -107,30 +107,37 @@ def poisson_mix(
     default. Each row gets ``copies`` (how often it occurs in the result), ``copy`` (from
     1) and ``shuffle_key``, by which partitions are dealt and sorted.
 
-    A null source is a source like others (named None in ``weights``); a null key is a
-    key like others; rows that repeat a key are drawn alike. An empty table, or weights
-    that are all 0, give no rows. Input columns of the added names are replaced.
+    A null source is a source like others (named None in ``weights``). Every row is drawn
+    on its own, equal rows by their number. An empty table, or weights that are all 0, give
+    no rows. Input columns of the added names are replaced.
     """
     rates = source_rates(docs, weights, temper, rows, source).select("name", "draws", "cdf")
     small = fits_broadcast(rates)
+    packed = pack(docs, source=source)
     drawn = (
         lookup(
-            pack(docs, source=source, key=key).withColumn("name", _name("source")),
-            rates, "name", "inner", small, spread_by=["key"],
+            number_copies(packed, contents(packed.drop("source"))).withColumn(
+                "name", _name("source")
+            ),
+            rates, "name", "inner", small, spread_by=["identity", "occurrence"],
         )
         .withColumn("copies", _copies(seed))
         .filter("copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .withColumn("shuffle_key", _hashed(F.lit(seed), F.col("key"), F.col("copy")))
+        .withColumn(
+            "shuffle_key",
+            _hashed(F.lit(seed), F.col("identity"), F.col("occurrence"), F.col("copy")),
+        )
     )
-    mixed = drawn.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "key", "copy")
+    order = ("shuffle_key", "identity", "occurrence", "copy")
+    mixed = drawn.repartition("shuffle_key").sortWithinPartitions(*order)
     added = {name: F.col(name) for name in ("copies", "copy", "shuffle_key")}
     return unpack(mixed, docs.columns, **added)
 
 
 def _copies(seed: int) -> Column:
     """Sum over a document's draws of the least k whose cdf is above the hashed number."""
-    digest = f"md5(concat_ws('|', '{seed}', coalesce(CAST(key AS STRING), '-'), 'draw', i))"
+    digest = f"md5(concat_ws('|', '{seed}', identity, occurrence, 'draw', i))"
     unit = f"CAST(conv(substr({digest}, 1, {UNIT_HEX}), 16, 10) AS DOUBLE) / {UNIT}D"
     draw = f"transform(array({unit}), u -> size(filter(cdf, c -> c <= u)))[0]"
     return F.expr(
@@ -139,7 +146,16 @@ def _copies(seed: int) -> Column:
 
 
 MIX_ORACLE = """
-WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+WITH named AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY identity) AS occurrence, identity
+  FROM (
+    SELECT *, md5(concat_ws('|', coalesce(md5(doc_id::VARCHAR), '-'), coalesce(md5(text), '-'),
+                            coalesce(md5(lang), '-'), coalesce(md5(source), '-'),
+                            coalesce(md5(n_chars::VARCHAR), '-'))) AS identity
+    FROM documents
+  )
+),
+n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rate AS (
   SELECT source, pow(n, 0.5) / (SELECT sum(pow(n, 0.5)) FROM n)
          * (SELECT sum(n) FROM n) / n AS rate
@@ -152,25 +168,25 @@ cut AS (
   FROM rate, (SELECT unnest(range(0, 140)) AS k)
 ),
 draw AS (
-  SELECT d.doc_id, d.source, i,
-         ('0x' || substr(md5('17|' || d.doc_id || '|draw|' || i), 1, 13))::BIGINT
-           / 4503599627370496.0 AS u
-  FROM documents d
-  JOIN (SELECT source, unnest(range(1, draws::BIGINT + 1)) AS i FROM cut WHERE k = 0)
-    USING (source)
+  SELECT d.*, i, ('0x' || substr(md5('17|' || identity || '|' || occurrence || '|draw|' || i),
+                                 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM named d
+  JOIN (SELECT source, unnest(range(1, draws::BIGINT + 1)) AS i FROM cut WHERE k = 0) c
+    ON c.source IS NOT DISTINCT FROM d.source
 ),
 drawn AS (
-  SELECT doc_id, draw.source, sum(copies)::BIGINT AS copies
+  SELECT doc_id, source, identity, occurrence, sum(copies)::BIGINT AS copies
   FROM (
-    SELECT doc_id, draw.source, i, count(*) FILTER (cdf <= u) AS copies
-    FROM draw JOIN cut ON cut.source = draw.source
-    GROUP BY doc_id, draw.source, i
-  ) draw GROUP BY doc_id, draw.source
+    SELECT doc_id, draw.source, identity, occurrence, i, count(*) FILTER (cdf <= u) AS copies
+    FROM draw JOIN cut ON cut.source IS NOT DISTINCT FROM draw.source
+    GROUP BY ALL
+  ) GROUP BY ALL
 ),
 copied AS (
-  SELECT doc_id, source, copies, unnest(range(1, copies + 1)) AS copy FROM drawn
+  SELECT *, unnest(range(1, copies + 1)) AS copy FROM drawn
 )
 SELECT doc_id, source, copies, copy,
-       ('0x' || substr(md5('17|' || doc_id || '|' || copy), 1, 13))::BIGINT AS shuffle_key
+       ('0x' || substr(md5('17|' || identity || '|' || occurrence || '|' || copy), 1, 13))::BIGINT
+         AS shuffle_key
 FROM copied
 """

@@ -1,7 +1,8 @@
 """Sharding by histogram sort: shards of near equal bytes, cut from one sorted order.
 
-Rows are ordered by a hash of the text, then a hash of the row's key, so equal texts
-lie next to each other and neither order depends on how the input is partitioned.
+Rows are ordered by a hash of the text, then a hash of the row: of its key, or, for rows
+that are equal in all columns, of their number among them. So equal texts lie next to each
+other, no two rows share a place, and the order does not depend on partitions.
 Candidate boundaries are the prefixes of that 128-bit order. One pass counts the exact
 bytes and rows of every prefix of the first digit; each further pass counts the next
 digit below those prefixes alone that a splitter still has to be found in. A splitter
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspan.llm.frames import pack, pick, unpack
+from panelspan.llm.frames import contents, number_copies, pack, unpack
 from panelspan.sinks.scratch import staged
 
 WORD = 64
@@ -26,6 +27,8 @@ DIGIT = 8
 ROW_BYTES = 8
 PIECE_BYTES = 64 * 1024 * 1024
 FEWEST_BITS, MOST_BITS = 8, 16
+#: How far a boundary may lie from its target, as a share of a shard's bytes.
+TOLERANCE = 0.001
 
 
 @dataclass
@@ -44,7 +47,7 @@ def shard_documents(
     shards: int,
     text: str = "text",
     key: str = "doc_id",
-    tolerance: float = 0.02,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """Each row with ``size`` (UTF-8 bytes of the text, plus 8), ``shard`` and ``slot``.
 
@@ -54,14 +57,17 @@ def shard_documents(
     shard, without gaps, in the sorted order.
 
     A null text has no bytes and sorts as an empty one; a null key is a key like others.
-    Rows that repeat text and key are never cut apart. With fewer rows than shards some
-    shards are empty; an empty table gives no rows. Input columns named ``size``,
+    Equal rows are told apart by number, so any group of rows can be cut. With fewer rows
+    than shards some shards are empty; an empty table gives no rows. Input columns named ``size``,
     ``shard`` or ``slot`` are replaced.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
     spark = docs.sparkSession
-    order = staged(_ordered(pick(docs, text=text, key=key)).select("k1", "k2", "size"))
+    packed = pack(docs, text=text, key=key)
+    numbered_rows = number_copies(packed, contents(packed.drop("text", "key")))
+    rows_in_order = _ordered(numbered_rows)
+    order = staged(rows_in_order.select("k1", "k2", "size"))
     total, rows = order.agg(F.sum("size"), F.count(F.lit(1))).first()
     bits = _bits(total or 0)
     cuts = find_splitters(order, shards, total or 0, bits, tolerance)
@@ -81,7 +87,7 @@ def shard_documents(
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n"
         ),
     ).drop("n")
-    whole = placed(_ordered(pack(docs, text=text, key=key)))
+    whole = placed(rows_in_order)
     numbered = whole.join(F.broadcast(starts), ["shard", "r1", "segment", "part"]).withColumn(
         "slot",
         F.expr(
@@ -99,10 +105,12 @@ def _ordered(docs: DataFrame) -> DataFrame:
     return docs.withColumns(
         {
             "k1": F.xxhash64(content),
-            "k2": F.xxhash64(F.lit("row"), F.col("key").cast("string")),
+            "k2": F.xxhash64(
+                F.lit("row"), F.col("key").cast("string"), F.col("identity"), F.col("occurrence")
+            ),
             "size": F.octet_length(content).cast("long") + ROW_BYTES,
         }
-    ).drop("text", "key")
+    ).drop("text", "key", "identity", "occurrence")
 
 
 def _bits(total: int) -> int:

@@ -15,16 +15,16 @@ from panelspan.llm.queries import ORACLE, QUERIES
 from tests.helpers import plan
 from tests.llm.messy import empty, messy
 from tests.llm.test_jaccard import brute as components_of
-from tests.llm.test_mixing import draw, unit
+from tests.llm.test_mixing import draw, identity, unit
 from tests.llm.test_winnowing import brute as contamination_of
 
 SF = "/root/testdata/sf0.001"
-NATIVE = ("op1_", "op6_", "op7_", "op8_", "op9_", "op10_")
+NATIVE = ("op1_", "op6_", "op7_", "op8_", "op9_", "op10_", "op12_")
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert entry.queries().keys() >= {*QUERIES, "pipeline"}
     assert set(ORACLE) <= set(entry.oracle_sql()) and set(ORACLE) <= set(QUERIES)
 
@@ -89,7 +89,8 @@ def test_pipeline_stages_match_brute_force(spark):
     expected = []
     for row in clean:
         rate = size[row[2]] ** 0.5 / total * len(clean) / size[row[2]]
-        expected += [row] * draw(rate, unit(corpus_pipeline.MIX_SEED, row[0], "draw", 1))
+        own = unit(corpus_pipeline.MIX_SEED, identity(*row), 1, "draw", 1)
+        expected += [row] * draw(rate, own)
     assert mixed == sorted(expected)
 
     frame = spark.createDataFrame(mixed, "doc_id long, text string, source string")

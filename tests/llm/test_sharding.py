@@ -39,7 +39,7 @@ def test_an_empty_table_and_more_shards_than_rows(spark):
 
 def test_shards_have_near_equal_bytes_and_equal_texts_stay_together(spark):
     texts = [prose(5 + i % 90, seed=i // 2) for i in range(1500)]
-    rows = shard_documents(docs(spark, texts), 6).collect()
+    rows = shard_documents(docs(spark, texts), 6, tolerance=0.02).collect()
     mean = sum(r["size"] for r in rows) / 6
     largest = max(r["size"] for r in rows)
     assert all(abs(x - mean) <= 0.04 * mean + 2 * largest for x in sizes(rows).values())
@@ -63,6 +63,78 @@ def test_one_row_repeated_is_never_lost(spark):
     assert Counter(r["doc_id"] for r in rows) == {1: 500} and slots_are_gapless(rows)
 
 
+def test_equal_rows_are_cut_like_any_others(spark):
+    """2,000 rows that are equal in all columns, and without a key, over 8 shards."""
+    source = spark.createDataFrame([(None, "same words")] * 2000, "doc_id long, text string")
+    rows = shard_documents(source, 8).collect()
+    assert slots_are_gapless(rows) and len(rows) == 2000
+    count = Counter(r["shard"] for r in rows)
+    assert len(count) == 8 and max(count.values()) - min(count.values()) <= 1
+    loose = Counter(r["shard"] for r in shard_documents(source, 8, tolerance=0.02).collect())
+    assert all(abs(n - 250) <= 0.04 * 250 + 1 for n in loose.values())
+
+
+def brute(spark, rows, shards, tolerance):
+    """Shard and slot of each row: sort by both hashes, cut each splitter digit by digit."""
+    from pyspark.sql import functions as F
+
+    keys = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("k1"),
+        F.md5(F.concat_ws("|", *[
+            F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-")) for c in ("doc_id", "text")
+        ])).alias("identity"),
+    ).select(
+        "doc_id", "k1",
+        F.xxhash64(F.lit("row"), F.col("doc_id").cast("string"), "identity", F.lit(1).cast("long"))
+        .alias("k2"),
+    )
+    text_of = dict(rows)
+    named = {
+        ((r["k1"] + 2**63) << 64) + r["k2"] + 2**63: r["doc_id"] for r in keys.collect()
+    }
+    order = sorted(named)
+    sizes_of = [len((text_of[named[x]] or "").encode()) + 8 for x in order]
+    mean = sum(sizes_of) / shards
+    cuts = []
+    for i in range(1, shards):
+        target, depth, inside = mean * i, 0, list(zip(order, sizes_of))
+        below, prefix = 0, 0
+        while True:
+            width = 8
+            digits = defaultdict(list)
+            for x, size in inside:
+                digits[(x >> (128 - depth - width)) & 255].append((x, size))
+            for value in sorted(digits):
+                size = sum(s for _, s in digits[value])
+                if below + size >= target:
+                    break
+                below += size
+            here = (prefix << width) + value
+            depth += width
+            before, after = target - below, below + size - target
+            if min(before, after) <= mean * tolerance or len(digits[value]) == 1:
+                cuts.append((here + (before > after)) << (128 - depth))
+                break
+            prefix, inside = here, digits[value]
+    placed, slots = {}, Counter()
+    for x in order:
+        shard = sum(x >= cut for cut in cuts)
+        placed[named[x]] = (shard, slots[shard])
+        slots[shard] += 1
+    return placed
+
+
+def test_shards_and_slots_match_brute_force(spark):
+    for n, shards, tolerance in ((400, 5, 0.02), (60, 24, 0.02), (300, 3, 0.0)):
+        rows = [(i, prose(i % 40, seed=i // 3)) for i in range(n)]
+        found = shard_documents(
+            spark.createDataFrame(rows, "doc_id long, text string"), shards, tolerance=tolerance
+        ).collect()
+        expected = brute(spark, rows, shards, tolerance)
+        assert {r["doc_id"]: (r["shard"], r["slot"]) for r in found} == expected
+
+
 def test_the_result_does_not_depend_on_partitions(spark):
     source = docs(spark, [prose(i % 50, seed=i) for i in range(300)])
     one = as_rows(shard_documents(source.coalesce(1), 5), "doc_id", "shard", "slot")
