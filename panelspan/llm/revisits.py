@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspan.llm.frames import pick
-from panelspan.operators.lookup import fits_broadcast
+from panelspan.llm.frames import broadcast_if_small, pick
+from panelspan.operators.lookup import fits_broadcast, lookup
 from panelspan.sinks.scratch import staged
 
 # Header fields that a 304 response may update, and tracking parameters.
@@ -82,8 +82,10 @@ def resolve_revisits(
     and have a null payload; ``response_id`` names the response that was looked at.
 
     Records with another or no status are neither. A full response without an id is no
-    response; one that is repeated with its id counts once. Repeated revisits, and those
-    without an id, give a row each. Null headers are no headers.
+    response. Of responses that share an id one counts: that of the least time (null last),
+    then of the least digest of payload, URL and headers; the others are not looked at.
+    Repeated revisits, and those without an id, give a row each. Null headers are no
+    headers. Only responses that resolve a revisit are read for their payload.
     """
     picked = pick(
         records, record_id=record_id, url=url, time=time, status=status,
@@ -91,66 +93,101 @@ def resolve_revisits(
     ).withColumns(
         {"headers": F.expr(lower_headers("headers")), "url": canonical_url(F.col("url"))}
     )
-    picked = picked.filter(F.col("status").isin(200, 304))
+    picked = picked.filter(F.col("status").isin(200, 304)).withColumn("body", _body())
     light = staged(
         picked.select(
             "record_id",
             "url",
             "time",
             (F.col("status") == 200).alias("full"),
+            "body",
             F.when(F.col("status") == 304, F.col("headers")).alias("headers"),
             F.expr("regexp_replace(headers['etag'], '^W/', '')").alias("etag"),
             F.expr("trim(headers['last-modified'])").alias("modified"),
         )
     )
-    seen = _as_of(light, hot_rows).select(
-        "record_id",
-        "url",
-        "time",
-        "headers",
-        F.col("found.record_id").alias("response_id"),
-        _outcome().alias("outcome"),
+    chosen = _chosen(light)
+    seen = staged(
+        _as_of(_without_others(light, chosen), hot_rows).select(
+            "record_id",
+            "url",
+            "time",
+            "headers",
+            F.col("found.record_id").alias("response_id"),
+            _outcome().alias("outcome"),
+        )
     )
-    bodies = _once(
-        picked.filter("status = 200").select(
-            F.col("record_id").alias("response_id"),
-            F.col("headers").alias("stored"),
-            "payload",
-            F.lit("resolved").alias("outcome"),
-        ),
-        light.filter("full").select(F.col("record_id").alias("response_id")),
+    resolved = seen.filter(RESOLVED)
+    wanted = resolved.select("response_id").distinct()
+    responses = picked.filter("status = 200").select(
+        "record_id", "body", F.col("headers").alias("stored"), "payload",
+        F.lit(True).alias("full"),
+    )
+    bodies = _without_others(responses, chosen).select(
+        F.col("record_id").alias("response_id"), "stored", "payload"
     )
+    # What no revisit stands for does not move, where the list of wanted ids is small.
+    bodies = _once(bodies.join(broadcast_if_small(wanted), "response_id", "left_semi"), chosen)
     permitted = ", ".join(f"'{name}'" for name in PERMITTED)
     merged = F.expr(
         f"map_concat(map_filter(stored, (k, v) -> NOT (k IN ({permitted}) AND"
         " map_contains_key(headers, k))),"
         f" map_filter(headers, (k, v) -> k IN ({permitted})))"
     )
-    return (
-        seen.join(bodies, ["response_id", "outcome"], "left")
-        .select(
-            "record_id",
-            F.col("url").alias("canonical_url"),
-            "time",
-            "response_id",
-            "outcome",
-            F.when(F.col("outcome") == "resolved", merged)
-            .otherwise(F.col("headers"))
-            .alias("headers"),
-            "payload",
-        )
+    joined = lookup(
+        resolved, bodies, "response_id", "inner", False, spread_by=["record_id", "time"]
+    )
+    kept = ["record_id", F.col("url").alias("canonical_url"), "time", "response_id", "outcome"]
+    none = F.lit(None).cast(bodies.schema["payload"].dataType).alias("payload")
+    # Unresolved revisits have no part in the join.
+    return joined.select(*kept, merged.alias("headers"), "payload").union(
+        seen.filter(f"NOT ({RESOLVED})").select(*kept, "headers", none)
     )
 
 
-def _once(bodies: DataFrame, ids: DataFrame) -> DataFrame:
-    """Each response once. Ids that repeat are found without the payloads, which only move
-    for the responses that have them."""
-    again = ids.groupBy("response_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = staged(again.select("response_id"))
-    if again.isEmpty():
+RESOLVED = "outcome = 'resolved'"
+
+
+def _body() -> Column:
+    """What tells two full responses of one id apart, in the order in which one is chosen."""
+    listed = F.expr("to_json(array_sort(map_entries(headers)))")
+    digests = [F.md5(F.col("payload").cast("binary")), F.md5(F.col("url")), F.md5(listed)]
+    digests = [F.coalesce(d, F.lit("-")) for d in digests]
+    return F.when(F.col("status") == 200, F.concat_ws(" ", *digests))
+
+
+def _chosen(light: DataFrame) -> DataFrame:
+    """The one time and body that counts, of each id that several full responses have."""
+    full = light.filter("full AND record_id IS NOT NULL")
+    least = F.min(F.struct(F.col("time").isNull().alias("last"), "time", "body"))
+    return staged(
+        full.groupBy("record_id")
+        .agg(F.count(F.lit(1)).alias("n"), least.alias("least"))
+        .filter("n > 1")
+        .select("record_id", F.col("least.body").alias("counts"), F.lit(True).alias("full"))
+    )
+
+
+def _without_others(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows without those full responses that another of the same id stands for."""
+    if chosen.isEmpty():
+        return rows
+    marked = lookup(
+        rows.withColumn("chosen_for", F.when(F.col("full"), F.col("record_id"))),
+        chosen.select(F.col("record_id").alias("chosen_for"), "counts"),
+        "chosen_for",
+        "left",
+        fits_broadcast(chosen),
+        spread_by=["body"],
+    )
+    return marked.filter("counts IS NULL OR counts = body").drop("chosen_for", "counts")
+
+
+def _once(bodies: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Each response once: equal copies of one that repeats are told by id alone."""
+    if chosen.isEmpty():
         return bodies
-    if fits_broadcast(again):
-        again = F.broadcast(again)
+    again = broadcast_if_small(chosen.select(F.col("record_id").alias("response_id")))
     repeated = bodies.join(again, "response_id", "left_semi").dropDuplicates(["response_id"])
     return bodies.join(again, "response_id", "left_anti").union(repeated)
 
@@ -195,11 +232,11 @@ def _blocks(rows: DataFrame, hot_rows: int) -> DataFrame:
     shares = [i / blocks for i in range(1, blocks)]
     # At most rows / hot_rows URLs are hot, each with a bounded list of cuts.
     cuts = staged(
-        rows.join(F.broadcast(hot), "group")
+        rows.join(broadcast_if_small(hot), "group")
         .groupBy("group")
         .agg(F.percentile_approx("time", shares, 10_000).alias("cuts"))
     )
-    placed = rows.join(F.broadcast(cuts), "group", "left").withColumn(
+    placed = rows.join(broadcast_if_small(cuts), "group", "left").withColumn(
         "block", F.expr("coalesce(size(filter(cuts, c -> c <= time)), 0)")
     ).withColumn("block", F.expr("greatest(block, 0)"))
     last = (
@@ -207,15 +244,15 @@ def _blocks(rows: DataFrame, hot_rows: int) -> DataFrame:
         .groupBy("group", "block")
         .agg(F.max("response").alias("last"))
     )
-    carried = last.select(
+    carried = staged(last.select(
         "group",
         "block",
         F.expr(
             "last(last, true) OVER (PARTITION BY group ORDER BY block"
             " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
         ).alias("carried"),
-    )
-    return placed.drop("cuts").join(F.broadcast(carried), ["group", "block"], "left")
+    ))
+    return placed.drop("cuts").join(broadcast_if_small(carried), ["group", "block"], "left")
 
 
 def _outcome() -> Column:
@@ -251,10 +288,12 @@ WITH p AS (
 r AS (
   SELECT page_id * 2 AS record_id, url, page_id * 10 AS time, digest,
          CASE WHEN page_id % 13 <> 0 THEN digest END AS etag, 'v' || (page_id % 5) AS modified
-  FROM p
+  FROM p WHERE page_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY page_id
+            ORDER BY coalesce(digest, '-'), coalesce(md5(url), '-')) = 1
 ),
 v AS (
-  SELECT page_id * 2 + 1 AS record_id, url,
+  SELECT row_number() OVER () AS place, page_id * 2 + 1 AS record_id, url,
          CASE WHEN page_id % 17 = 0 THEN page_id * 10 - 5 ELSE page_id * 10 + 20000 END AS time,
          CASE WHEN page_id % 11 = 0 THEN 'changed' WHEN page_id % 7 <> 0 THEN digest END AS etag,
          CASE WHEN page_id % 19 <> 0 THEN 'v' || (page_id % 5) END AS modified
@@ -262,7 +301,7 @@ v AS (
 ),
 j AS (
   SELECT v.*, r.record_id AS response_id, r.etag AS r_etag, r.modified AS r_modified, r.digest,
-         row_number() OVER (PARTITION BY v.record_id ORDER BY r.time DESC, r.record_id DESC) AS n
+         row_number() OVER (PARTITION BY v.place ORDER BY r.time DESC, r.record_id DESC) AS n
   FROM v LEFT JOIN r ON r.url = v.url AND r.time < v.time
 ),
 o AS (

@@ -98,3 +98,56 @@ def test_repeated_rows_and_empty_tables(spark):
     assert [r["payload"] for r in found] == ["p"] * 3
     assert resolve_revisits(records(spark, one).limit(0)).collect() == []
     assert "content-type" not in PERMITTED
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_one_copy_of_a_repeated_response_counts(spark, order):
+    """Id 1 has two responses: the earlier counts, and its payload is never the other's."""
+    copies = [
+        (1, "http://a.org/x", 10, 200, {"ETag": '"A"', "X": "a"}, "bodyA"),
+        (1, "http://a.org/x", 12, 200, {"ETag": '"B"', "X": "b"}, "bodyB"),
+        (1, "http://a.org/x", None, 200, {"ETag": '"C"'}, "bodyC"),
+    ][::order]
+    found = result(resolve_revisits(records(
+        spark,
+        *copies, *copies,
+        (2, "http://a.org/x", 20, 304, {"ETag": '"A"'}, None),
+        (3, "http://a.org/x", 20, 304, {"ETag": '"B"'}, None),
+        (4, "http://a.org/x", 20, 304, {"ETag": '"C"'}, None),
+    )))
+    assert (found[2]["outcome"], found[2]["payload"]) == ("resolved", "bodyA")
+    assert found[2]["headers"] == {"etag": '"A"', "x": "a"}
+    for key in (3, 4):
+        assert (found[key]["outcome"], found[key]["payload"]) == ("mismatch", None)
+
+
+@pytest.mark.parametrize("url", ["http://a.org/x", "http://b.org/x"])
+def test_copies_of_one_time_are_chosen_by_their_content(spark, url):
+    """Equal times: the least digest of the payload counts, wherever the copies are."""
+    from hashlib import md5
+
+    bodies = ["one", "two", "three", "four"]
+    least = min(bodies, key=lambda b: md5(b.encode()).hexdigest())
+    rows = [(1, url, 10, 200, {"ETag": f'"{b}"'}, b) for b in bodies]
+    rows += [(i + 2, url, 20, 304, {"ETag": f'"{b}"'}, None) for i, b in enumerate(bodies)]
+    rows += [(9, "http://other.org", 20, 304, {}, None)]
+    for parts in (1, 5):
+        frame = spark.createDataFrame([(*r, "b", 1) for r in rows], SCHEMA).repartition(parts)
+        found = result(resolve_revisits(frame))
+        payloads = {r["payload"] for r in found.values()}
+        assert payloads == {least, None}
+        assert sum(r["outcome"] == "resolved" for r in found.values()) == 1
+
+
+def test_one_response_that_most_revisits_stand_for(spark):
+    rows = [(1, "http://a.org/x", 10, 200, {"ETag": '"1"'}, "hot"),
+            (2, "http://b.org/x", 10, 200, {"ETag": '"1"'}, "unwanted"),
+            (3, "http://c.org/x", 10, 200, {"ETag": '"1"'}, "cold")]
+    rows += [(i, "http://a.org/x", i, 304, {"ETag": '"1"'}, None) for i in range(100, 2100)]
+    rows += [(i, "http://c.org/x", i, 304, {"ETag": '"1"'}, None) for i in range(3000, 3010)]
+    rows += [(i, f"http://none{i}.org/x", i, 304, {}, None) for i in range(4000, 6000)]
+    found = result(resolve_revisits(records(spark, *rows)))
+    assert len(found) == 4010
+    assert sum(r["payload"] == "hot" for r in found.values()) == 2000
+    assert sum(r["payload"] == "cold" for r in found.values()) == 10
+    assert sum(r["outcome"] == "no_response" for r in found.values()) == 2000
