@@ -14,6 +14,10 @@ from panelspan.functions import as_number, as_period, column, is_blank, text
 from panelspan.functions.columns import has_exact_number
 from panelspan.spec import PANEL, PanelSpec, check_columns
 
+#: Repeated hashes of keys that are listed on the driver, 8 bytes each.
+MOST_SUSPECTS = 100_000
+CODE = "_code"
+
 # The rules in the order in which they are enforced.
 RULES = {
     "missing_identifier": "rows without entity name, series name or series code",
@@ -64,14 +68,35 @@ def assert_clean(counts: Mapping[str, int]) -> None:
             raise InvalidRows(f"Raw panel holds {meaning} ({rule}); see rejected_rows().")
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def duplicate_keys(
+    df: DataFrame, keys: Sequence[str], most_suspects: int = MOST_SUSPECTS
+) -> DataFrame:
     """Keys that occur more than once, and how often. Null keys are equal to each other.
 
-    The count is partially aggregated before the shuffle, so a key that holds a
-    large share of the rows costs one row per map task.
+    Runs a job: it counts 64-bit hashes of the keys, partially aggregated before they move,
+    so a key that holds a large share of the rows costs one row per task. Only rows whose
+    hash occurs twice are then counted by their whole keys. A clean table so moves one
+    number per row in place of its keys, and is not read again. Above ``most_suspects``
+    repeated hashes, which go to the driver, all rows are counted by their keys instead.
     """
+    columns = [column(key) for key in keys]
+    code = F.xxhash64(*columns)
+    repeated = (
+        df.select(code.alias(CODE))
+        .groupBy(CODE)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .filter(F.col("row_count") > 1)
+    )
+    suspects = [row[CODE] for row in repeated.select(CODE).limit(most_suspects + 1).collect()]
+    if not suspects:
+        rows = df.filter(F.lit(False))
+    elif len(suspects) > most_suspects:
+        rows = df
+    else:
+        listed = df.sparkSession.createDataFrame([(c,) for c in suspects], f"{CODE} long")
+        rows = df.join(F.broadcast(listed), code == listed[CODE], "left_semi")
     return (
-        df.groupBy(*[column(key) for key in keys])
+        rows.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("row_count"))
         .filter(F.col("row_count") > 1)
     )

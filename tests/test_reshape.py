@@ -229,3 +229,127 @@ def test_both_shapes_unpivot_to_the_panel(spark, cells):
         .select(panel.columns)
     )
     assert rows(from_series) == rows(from_period) == rows(panel)
+
+
+TOPICS = [
+    ("A", "AAA", "Births", "b", 2020, 1.0, "Health"),
+    ("A", "AAA", "Exports", "x", 2020, 2.0, "Trade"),
+    ("A", "AAA", "Deaths", "d", 2021, 3.0, "Health"),
+    ("B", "BBB", "Births", "b", 2021, None, "Health"),
+    ("B", "BBB", "Rate", "r1", 2020, 5.0, "Trade"),
+    ("B", "BBB", "Rate", "r2", 2020, 6.0, "Health"),
+]
+
+
+def test_each_topic_has_its_own_columns(spark):
+    shapes = ps.pivot_series_by_topic(topical(spark, *TOPICS))
+    keys = ["Country Name", "Country Code", "Year", "Topic"]
+    assert list(shapes) == ["Health", "Trade"]
+    assert shapes["Health"].columns == [*keys, "Births", "Deaths", "Rate"]
+    assert shapes["Trade"].columns == [*keys, "Exports", "Rate"]
+    assert rows(shapes["Health"]) == [
+        ("A", "AAA", 2020, "Health", 1.0, None, None),
+        ("A", "AAA", 2021, "Health", None, 3.0, None),
+        ("B", "BBB", 2020, "Health", None, None, 6.0),
+        ("B", "BBB", 2021, "Health", None, None, None),
+    ]
+    assert rows(shapes["Trade"]) == [
+        ("A", "AAA", 2020, "Trade", 2.0, None), ("B", "BBB", 2020, "Trade", None, 5.0),
+    ]
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 40])
+def test_shapes_by_topic_are_the_single_shape_without_empty_columns(spark, partitions):
+    listed = [
+        (f"E{e}", f"C{e}", f"S{s}`.{s}", f"s{s}", 2000 + y, float(e * s + y), f"T {s % 4}/é")
+        for e in range(9) for s in range(23) for y in range(5) if (e + s + y) % 3
+    ]
+    panel = topical(spark, *listed)
+    whole = ps.pivot_series(panel)
+    shapes = ps.pivot_series_by_topic(panel, partitions=partitions)
+    for topic, shape in shapes.items():
+        assert len(shape.columns) == 4 + len(range(int(topic[2]), 23, 4))
+        same = whole.filter(F.col("Topic") == topic).select(
+            [F.col("`" + c.replace("`", "``") + "`") for c in shape.columns]
+        )
+        assert rows(shape) == rows(same)
+
+
+def test_one_exchange_of_cells_feeds_all_topics(spark):
+    plans = []
+
+    def stage(df, partition_by):
+        plans.append(executed_plan(df))
+        from panelspan.sinks.scratch import staged
+
+        return staged(df, partition_by)
+
+    shapes = ps.pivot_series_by_topic(topical(spark, *TOPICS), stage=stage)
+    (made,) = plans
+    made = made.split("== Initial Plan ==")[0]
+    assert made.count("Exchange hashpartitioning") == 1
+    for shape in shapes.values():
+        text = executed_plan(shape)
+        assert "Exchange" not in text and "PartitionFilters: [isnotnull(_shape" in text
+
+
+def test_by_topic_raises_on_bad_panels(spark):
+    with pytest.raises(PySparkException, match="DUPLICATE_CELL"):
+        ps.pivot_series_by_topic(topical(spark, *TOPICS, TOPICS[0]))
+    with pytest.raises(ps.InvalidHeaders, match="nulls"):
+        ps.pivot_series_by_topic(topical(spark, *TOPICS, ("A", "A", "S", "s", 2020, 1.0, None)))
+    with pytest.raises(ps.InvalidHeaders, match="collide"):
+        ps.pivot_series_by_topic(topical(spark, *TOPICS, ("A", "A", "births", "s", 2020, 1.0, "Health")))
+    with pytest.raises(ps.InvalidHeaders, match="more than 4"):
+        ps.pivot_series_by_topic(topical(spark, *TOPICS), max_headers=4)
+    with pytest.raises(ps.InvalidHeaders, match="no column"):
+        ps.pivot_series_by_topic(long(spark, *PANEL))
+    # Names that collide in different topics are no trouble.
+    apart = topical(spark, *TOPICS, ("A", "A", "births", "s", 2020, 1.0, "Trade"))
+    assert len(ps.pivot_series_by_topic(apart, max_headers=6)["Trade"].columns) == 7
+    assert ps.pivot_series_by_topic(topical(spark).limit(0)) == {}
+
+
+def moved(df):
+    """Rows and bytes written by the exchanges of a query that has run."""
+    df.collect()
+    found = [0, 0]
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        if node.nodeName() == "Exchange":
+            found[0] += node.metrics().apply("shuffleRecordsWritten").value()
+            found[1] += node.metrics().apply("shuffleBytesWritten").value()
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_unique_keys_do_not_move(spark):
+    """Only keys whose hash repeats are counted as a whole; of a clean panel none are."""
+    clean = spark.range(50_000).selectExpr(
+        "concat('entity ', id) AS e", "concat('series ', id % 97) AS s", "id % 50 AS p"
+    )
+    dirty = clean.union(clean.limit(20)).union(clean.limit(3))
+    keys = ["e", "s", "p"]
+    assert moved(ps.duplicate_keys(clean, keys)) == [0, 0]
+    found = ps.duplicate_keys(dirty, keys)
+    assert moved(found)[0] < 200
+    assert sorted(r["row_count"] for r in found.collect()) == [2] * 17 + [3] * 3
+    # Above the bound on what is listed, all rows are counted by their keys.
+    assert rows(ps.duplicate_keys(dirty, keys, most_suspects=19)) == rows(found)
+    assert moved(ps.duplicate_keys(dirty, keys, most_suspects=19))[0] > 50_000
+
+
+def test_keys_that_hash_alike_are_told_apart(spark):
+    """A null is skipped by the hash: (null, x) and (x, null) are suspects, no duplicates."""
+    panel = spark.createDataFrame([(None, "x"), ("x", None), ("y", "z")], "a string, b string")
+    assert ps.duplicate_keys(panel, ["a", "b"]).collect() == []
+    again = panel.union(panel.limit(1))
+    assert rows(ps.duplicate_keys(again, ["a", "b"])) == [(None, "x", 2)]
