@@ -9,7 +9,8 @@ observation whose header was not asked for.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 from panelspan.errors import InvalidHeaders
 from panelspan.functions import column, quoted
+from panelspan.operators.lookup import fits_broadcast, shuffle_partitions
+from panelspan.sinks.scratch import staged
 from panelspan.spec import PANEL, PanelSpec
 
 DUPLICATE_CELL = "DUPLICATE_CELL"
@@ -148,3 +151,93 @@ def pivot_period(
     """
     keys = spec.period_shape_keys(panel)
     return _widen(panel, keys, spec.period, spec.value, headers, max_headers, partitions)
+
+
+SHAPE, BUCKET, PLACE, CELLS = "_shape", "_bucket", "_place", "_cells"
+
+
+def pivot_series_by_topic(
+    panel: DataFrame,
+    spec: PanelSpec = PANEL,
+    max_headers: int | None = None,
+    partitions: int | None = None,
+    stage: Callable[..., DataFrame] = staged,
+) -> dict[str, DataFrame]:
+    """For each topic, ``pivot_series`` of its rows: only columns of series it has.
+
+    A row of the wide shape belongs to one topic, so all its cells under other topics'
+    series are empty; with many topics one table for all is nearly empty. One pass finds the
+    series of every topic and one exchange feeds all shapes: cells are dealt by topic and row
+    key, as many partitions to a topic as it has rows, become one row of a table that is
+    written by topic, and each topic's columns are read from its part alone.
+
+    ``max_headers`` bounds the series of all topics together, before they are fetched. Two
+    observations for one cell raise while the table is written. Give a written panel, as
+    it is read twice. ``stage`` writes a table, partitioned, and reads it back.
+    """
+    keys = spec.series_shape_keys(panel)
+    if spec.topic not in keys:
+        raise InvalidHeaders(f"The panel has no column {spec.topic!r}.")
+    topics, rows = _series_by_topic(panel, spec, max_headers)
+    for headers in topics.values():
+        check_headers(panel, keys, headers)
+    parts = partitions or shuffle_partitions(panel.sparkSession)
+    total = sum(rows.values())
+    listed = [
+        (topic, name, shape, place, math.ceil(parts * rows[topic] / total))
+        for shape, (topic, headers) in enumerate(topics.items())
+        for place, name in enumerate(headers)
+    ]
+    columns = panel.sparkSession.createDataFrame(
+        listed, f"{quoted(spec.topic)} string, {quoted(spec.series_name)} string, "
+        f"{SHAPE} int, {PLACE} int, {BUCKET} int"
+    )
+    if fits_broadcast(columns):
+        columns = F.broadcast(columns)
+    key_columns = [column(name) for name in keys]
+    cells = panel.select(*key_columns, column(spec.series_name), column(spec.value)).join(
+        columns, [spec.topic, spec.series_name]
+    )
+    # The bucket is one of the grouped columns: both groupings run where the rows were dealt.
+    bucket = F.pmod(F.xxhash64(*key_columns), column(BUCKET)).cast("int")
+    dealt = cells.withColumn(BUCKET, bucket).repartition(parts, SHAPE, BUCKET)
+    row_key = [*key_columns, column(SHAPE), column(BUCKET)]
+    cell = F.struct(column(PLACE), column(spec.value))
+    whole = (
+        dealt.groupBy(*row_key, column(PLACE))
+        .agg(_guarded(keys, spec.series_name, spec.value, None).alias(spec.value))
+        .groupBy(*row_key)
+        .agg(F.map_from_entries(F.collect_list(cell)).alias(CELLS))
+        .drop(BUCKET)
+    )
+    table = stage(whole, partition_by=[SHAPE])
+    shapes = {}
+    for shape, (topic, headers) in enumerate(topics.items()):
+        values = [
+            F.try_element_at(column(CELLS), F.lit(place)).alias(name)
+            for place, name in enumerate(headers)
+        ]
+        shapes[topic] = table.filter(column(SHAPE) == shape).select(*key_columns, *values)
+    return shapes
+
+
+def _series_by_topic(
+    panel: DataFrame, spec: PanelSpec, max_headers: int | None
+) -> tuple[dict[str, list[str]], dict[str, int]]:
+    """The series names of each topic, ascending, and the topic's rows."""
+    found = panel.groupBy(column(spec.topic), column(spec.series_name)).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    if max_headers is not None:
+        found = found.limit(max_headers + 1)
+    topics: dict[str, list[str]] = {}
+    rows: dict[str, int] = {}
+    listed = sorted(found.collect(), key=repr)
+    if max_headers is not None and len(listed) > max_headers:
+        raise InvalidHeaders(f"There are more than {max_headers} series by topic (max_headers).")
+    for topic, name, n in listed:
+        if topic is None or name is None:
+            raise InvalidHeaders(f"{spec.topic!r} and {spec.series_name!r} must not hold nulls.")
+        topics.setdefault(topic, []).append(name)
+        rows[topic] = rows.get(topic, 0) + n
+    return {topic: sorted(names) for topic, names in sorted(topics.items())}, rows

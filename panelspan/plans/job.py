@@ -10,8 +10,9 @@ and no cache has to hold the panel. All outputs are swapped in at the end.
 from __future__ import annotations
 
 import math
-from collections.abc import Collection
+from collections.abc import Collection, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -30,7 +31,7 @@ from panelspan.operators.dimension import (
     used_dimension,
 )
 from panelspan.operators.filters import exclude_entities, observed_only
-from panelspan.operators.lookup import BROADCAST_BYTES
+from panelspan.operators.lookup import BROADCAST_BYTES, shuffle_partitions
 from panelspan.operators.normalize import canonicalize
 from panelspan.operators.quality import assert_clean, quality_counts, quality_report
 from panelspan.operators.reshape import (
@@ -38,6 +39,7 @@ from panelspan.operators.reshape import (
     check_headers,
     pivot_period,
     pivot_series,
+    pivot_series_by_topic,
     shape_headers,
 )
 from panelspan.sinks.files import Files
@@ -90,12 +92,14 @@ def publish_panel(
     broadcast_bytes: int = BROADCAST_BYTES,
     single_dimension_file: bool = False,
     max_headers: int | None = None,
+    series_wide_by_topic: bool = False,
 ) -> None:
     """Run the whole job. On any broken rule nothing is published.
 
     The dimension is a folder of CSV files sorted over all of them, or one file, as
     ``single_dimension_file`` says, at any size. ``max_headers`` bounds the columns of
-    each wide shape; without it there is no bound.
+    each wide shape; without it there is no bound. With ``series_wide_by_topic`` the series
+    shape is a dataset partitioned by topic, each part with its own series alone.
 
     Raises ``InvalidRows``, ``ConflictingTopics``, ``DuplicateCells`` or
     ``InvalidHeaders``.
@@ -132,17 +136,28 @@ def publish_panel(
             )
 
         # Colliding names fail here, before anything wide is written.
-        headers = shape_headers(panel, [spec.series_name, spec.period], max_headers)
-        check_headers(panel, spec.series_shape_keys(panel), headers[spec.series_name])
+        named = [spec.period] if series_wide_by_topic else [spec.series_name, spec.period]
+        headers = shape_headers(panel, named, max_headers)
         check_headers(panel, spec.period_shape_keys(panel), headers[spec.period])
+        if not series_wide_by_topic:
+            check_headers(panel, spec.series_shape_keys(panel), headers[spec.series_name])
         parts = row_key_partitions(spark, Files(spark).total_bytes(staged))
-        shapes = (
-            (pivot_series, headers[spec.series_name], outputs.series_wide),
-            (pivot_period, headers[spec.period], outputs.period_wide),
-        )
+        shapes = [(pivot_period, headers[spec.period], outputs.period_wide)]
+        if not series_wide_by_topic:
+            shapes.insert(0, (pivot_series, headers[spec.series_name], outputs.series_wide))
+
+        def table(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+            return publication.table(df, outputs.series_wide, partition_by)
+
         # The small output is made in the gaps that the large ones leave.
         with ThreadPoolExecutor(max_workers=1) as beside:
             dimension_staged = beside.submit(stage_dimension)
+            if series_wide_by_topic:
+                with duplicates_named(outputs.series_wide):
+                    by_topic = pivot_series_by_topic(panel, spec, max_headers, parts, table)
+                    # An empty panel has no topics.
+                    wide = list(by_topic.values()) or [pivot_series(panel, spec)]
+                    publication.stage_parts(wide, outputs.series_wide, spec.topic)
             for pivot, names_of, target in shapes:
                 # An empty panel has no headers to list.
                 wide = pivot(panel, spec, headers=names_of or None, partitions=parts)
@@ -158,9 +173,7 @@ def row_key_partitions(
     """How many partitions a Parquet table needs when dealt by row key; None if the session's
     setting, which adaptive execution may lower, is enough."""
     needed = min(MOST_PARTITIONS, math.ceil(table_bytes / bytes_per_partition))
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    usual = spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions")
-    return needed if needed > int(usual) else None
+    return needed if needed > shuffle_partitions(spark) else None
 
 
 def observed(raw: DataFrame, seen: Observation, spec: PanelSpec) -> DataFrame:
@@ -186,8 +199,15 @@ def _counts(seen: Observation, raw: DataFrame, spec: PanelSpec) -> dict[str, int
 
 
 def _stage_wide(publication: Publication, wide: DataFrame, target: str) -> None:
-    try:
+    with duplicates_named(target):
         publication.stage_parquet(wide, target)
+
+
+@contextmanager
+def duplicates_named(target: str) -> Iterator[None]:
+    """Turn the error of a repeated cell into ``DuplicateCells``."""
+    try:
+        yield
     except (PySparkException, Py4JJavaError) as error:
         if DUPLICATE_CELL in str(error):
             raise DuplicateCells(f"{target}: several observations fall into one cell") from error

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,11 +26,11 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table into a scratch folder and read it back: it is computed once,
     and a lost executor costs none of it."""
     folder = scratch_folder(df.sparkSession)
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
