@@ -207,6 +207,7 @@ FINAL = {
            CAST(l_linenumber AS INTEGER) AS l_linenumber, l_extendedprice
     FROM lineitem WHERE l_extendedprice IS NOT NULL""",
     "dimension_scan": CATALOG,
+    "dimension_scan_splits": CATALOG,
     "quality_report": """
     SELECT count(*) AS total_rows,
            count(*) FILTER (WHERE missing_identifier) AS missing_identifier,
@@ -251,6 +252,7 @@ FINAL = {
     "period_wide": PERIOD_WIDE,
     "period_wide_no_topic": _wide("chosen", f"{ENTITY}, {SERIES}", "period", YEARS),
     "series_wide_catalog": SALES_CELLS,
+    "series_wide_topics": SALES_CELLS,
     "period_wide_catalog": SALES_PERIODS,
     "panel_long": LONG,
     "publish_roundtrip": LONG,
@@ -265,6 +267,7 @@ FINAL = {
     "job_catalog_long": SALES_LONG,
     "job_catalog_long_shuffled": SALES_LONG,
     "job_catalog_series_wide": SALES_CELLS,
+    "job_catalog_series_topics": SALES_CELLS,
     "job_catalog_period_wide": SALES_PERIODS,
     "job_catalog_dimension": USED,
 }

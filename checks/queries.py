@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,12 @@ def dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ps.load_dimension(spark, path)
 
 
+def dimension_scan_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_folder(spark)}/catalog.csv"
+    ps.publish(fx.catalog(spark, sf_dir), path, "csv", single_file=True, order_by=["id"])
+    return ps.load_dimension(spark, path, split_bytes=0)
+
+
 # Checks
 
 
@@ -194,6 +201,13 @@ def series_wide_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unpivoted(wide, 4, fx.ORDERS.series_name)
 
 
+def series_wide_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shapes = ps.pivot_series_by_topic(staged(sales_long(spark, sf_dir)), fx.ORDERS)
+    return reduce(
+        DataFrame.union, [_unpivoted(wide, 4, fx.ORDERS.series_name) for wide in shapes.values()]
+    )
+
+
 def _unpivoted(wide: DataFrame, keys: int, header: str) -> DataFrame:
     """A wide table whose columns depend on the scale, as one row per filled cell.
 
@@ -311,6 +325,14 @@ def job_catalog_series_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unpivoted(wide, 4, fx.ORDERS.series_name)
 
 
+def job_catalog_series_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = _catalog_job(spark, sf_dir, series_wide_by_topic=True).series_wide
+    wide = spark.read.option("mergeSchema", True).parquet(target)
+    keys = fx.ORDERS.series_shape_keys(wide)
+    ordered = [*keys, *[name for name in wide.columns if name not in keys]]
+    return _unpivoted(wide.select(*map(quoted, ordered)), 4, fx.ORDERS.series_name)
+
+
 def job_catalog_period_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(_catalog_job(spark, sf_dir).period_wide)
 
@@ -349,6 +371,7 @@ QUERIES: dict[str, Query] = {
         panel_scan,
         panel_scan_native,
         dimension_scan,
+        dimension_scan_splits,
         quality_report,
         rejected_rows,
         duplicate_keys,
@@ -373,6 +396,7 @@ QUERIES: dict[str, Query] = {
         series_wide_no_topic,
         series_wide_events,
         series_wide_catalog,
+        series_wide_topics,
         period_wide,
         period_wide_no_topic,
         period_wide_catalog,
@@ -388,6 +412,7 @@ QUERIES: dict[str, Query] = {
         job_catalog_long,
         job_catalog_long_shuffled,
         job_catalog_series_wide,
+        job_catalog_series_topics,
         job_catalog_period_wide,
         job_catalog_dimension,
     )

@@ -32,7 +32,12 @@ from panelspan.operators.quality import (
     quality_report,
     rejected_rows,
 )
-from panelspan.operators.reshape import pivot_headers, pivot_period, pivot_series
+from panelspan.operators.reshape import (
+    pivot_headers,
+    pivot_period,
+    pivot_series,
+    pivot_series_by_topic,
+)
 from panelspan.plans.job import PanelOutputs, long_panel, publish_panel
 from panelspan.sinks import Publication, export_dataset, publish, recover, stage_export
 from panelspan.sources import load_dimension, load_panel
@@ -72,6 +77,7 @@ __all__ = [
     "pivot_headers",
     "pivot_period",
     "pivot_series",
+    "pivot_series_by_topic",
     "publish",
     "publish_panel",
     "quality_report",

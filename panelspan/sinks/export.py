@@ -24,9 +24,10 @@ def export_dataset(
     """Compact a Parquet dataset into ZSTD Parquet or CSV; return the number of files aimed at.
 
     The target is a folder of files. By default it is sharded: one file for each
-    ``source_bytes_per_file`` of the source (1 GiB for Parquet, 256 MiB for CSV), by
-    merging input splits without a shuffle. ``files`` asks for an exact number, however
-    large they become; one file is written by one task.
+    ``source_bytes_per_file`` of the source (1 GiB for Parquet, 256 MiB for CSV).
+    ``files`` asks for an exact number, however large they become; one file is written by
+    one task. The source is read by as many tasks as it has splits, and rows are dealt out in
+    turn, so that files are of about equal size whatever the parts of the source were.
     """
     with Publication(spark) as publication:
         return stage_export(
@@ -52,16 +53,10 @@ def stage_export(
     if files is None:
         share = source_bytes_per_file or SOURCE_BYTES_PER_FILE[format]
         files = max(1, math.ceil(Files(spark).total_bytes(source) / share))
-        rows = rows.coalesce(files)
-    else:
-        rows = _exactly(rows, files)
+    rows = rows.repartition(files)
     if format == "parquet":
         publication.stage_parquet(rows, target, compression="zstd")
     else:
         publication.stage_csv(rows, target)
     return files
 
-
-def _exactly(rows: DataFrame, files: int) -> DataFrame:
-    """One task reads all for one file; for more, rows are dealt out evenly."""
-    return rows.coalesce(1) if files == 1 else rows.repartition(files)

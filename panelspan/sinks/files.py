@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 STAGING = ".staging-"
+COPY_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -20,6 +21,7 @@ class Files:
 
     def __init__(self, spark: SparkSession) -> None:
         self._io = spark._jvm.org.apache.commons.io.IOUtils
+        self._hadoop_io = spark._jvm.org.apache.hadoop.io.IOUtils
         self._path_class = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
 
@@ -61,6 +63,24 @@ class Files:
         found = [status.getPath() for status in fs.listStatus(at)]
         return sorted(p.toString() for p in found if p.getName().startswith("part-"))
 
+    def join_files(self, parts: list[str], target: str) -> None:
+        """Write the bytes of several files, one after the other, to a new one.
+
+        They pass through this program in small blocks.
+        """
+        fs, at = self._open(target)
+        out = fs.create(at, False)
+        try:
+            for part in parts:
+                source, path = self._open(part)
+                stream = source.open(path)
+                try:
+                    self._hadoop_io.copyBytes(stream, out, COPY_BYTES, False)
+                finally:
+                    stream.close()
+        finally:
+            out.close()
+
     def staging_folder(self, target: str) -> str:
         """A new hidden sibling of ``target``, on the same file system."""
         fs, at = self._open(target)

@@ -79,7 +79,7 @@ class Publication:
         self._folders.append(folder)
         return folder
 
-    def table(self, df: DataFrame, near: str) -> DataFrame:
+    def table(self, df: DataFrame, near: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write an intermediate table that goes with the block, and read it.
 
         It is computed once, whatever executors are lost later and whatever
@@ -92,7 +92,7 @@ class Publication:
         else:
             self._folders.append(folder)
         path = f"{folder}/table"
-        df.write.parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def stage_parquet(self, df: DataFrame, target: str, compression: str | None = None) -> str:
@@ -106,6 +106,19 @@ class Publication:
         self._staged.append((staged, target))
         return staged
 
+    def stage_parts(self, parts: Sequence[DataFrame], target: str, by: str) -> str:
+        """Write tables with columns of their own as one dataset, partitioned by a column.
+
+        Each is found under its value of ``by``; with ``mergeSchema`` all are read as one.
+        """
+        self._claim(target)
+        staged = f"{self._folder(target)}/{self._files.name(target)}"
+        self._files.make_folder(staged)
+        for part in parts:
+            part.write.mode("append").partitionBy(by).parquet(staged)
+        self._staged.append((staged, target))
+        return staged
+
     def stage_csv(
         self,
         df: DataFrame,
@@ -116,39 +129,36 @@ class Publication:
         """Write CSV with a header for ``target``: a folder of files, or one file.
 
         ``order_by`` sorts the rows over all files. The caller alone decides which it
-        is: a single file is written by a single task, whatever its size. Readers take
-        either under the same path.
+        is: a single file is sorted and written by many tasks, in parts that are joined in
+        order under one header. Readers take either under the same path.
         """
         self._claim(target)
         folder = self._folder(target)
         staged = f"{folder}/{self._files.name(target)}"
-        if single_file or order_by:
-            # Computed by as many tasks as it takes, before one or a sort reads it.
-            df = self.table(df, target)
-        order = [column(name) for name in order_by]
-        if single_file:
-            one = df.coalesce(1)
-            if order:
-                one = one.sortWithinPartitions(*order)
-            self._write_csv(one, f"{folder}/one")
-            parts = self._files.part_files(f"{folder}/one")
-            if len(parts) != 1:
-                raise RuntimeError(f"Expected one file for {target}, found {len(parts)}")
-            staged = parts[0]
-        elif order:
-            # The place of a row in the table breaks ties, so that many copies of
+        if order_by:
+            # The place of a row in a written table breaks ties, so that many copies of
             # one row can be sorted by several tasks.
+            df = self.table(df, target)
             place = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
             placed = df.select("*", place[0].alias("_file"), place[1].alias("_row"))
-            self._write_csv(placed.orderBy(*order, "_file", "_row").drop("_file", "_row"), staged)
+            order = [column(name) for name in order_by]
+            df = placed.orderBy(*order, "_file", "_row").drop("_file", "_row")
+        if single_file:
+            self._write_csv(df.limit(0).coalesce(1), f"{folder}/header")
+            self._write_csv(df, f"{folder}/parts", header=False)
+            parts = self._files.part_files(f"{folder}/header")
+            if len(parts) != 1:
+                raise RuntimeError(f"Expected one header for {target}, found {len(parts)}")
+            # Spark numbers the files of a sorted table in its order.
+            self._files.join_files(parts + self._files.part_files(f"{folder}/parts"), staged)
         else:
             self._write_csv(df, staged)
         self._staged.append((staged, target))
         return staged
 
     @staticmethod
-    def _write_csv(df: DataFrame, path: str) -> None:
-        df.write.options(**CSV_OPTIONS).csv(path)
+    def _write_csv(df: DataFrame, path: str, header: bool = True) -> None:
+        df.write.options(**{**CSV_OPTIONS, "header": header}).csv(path)
 
     def _swap(self) -> None:
         swaps = []

@@ -253,3 +253,54 @@ def test_intermediate_tables_lie_in_the_shared_folder_and_go(spark, tmp_path, mo
     ps.publish(tricky(spark), f"{tmp_path}/d.csv", "csv", single_file=True)
     assert os.listdir(shared) == []
     assert rows(ps.load_dimension(spark, f"{tmp_path}/d.csv")) == rows(tricky(spark))
+
+
+def test_one_sorted_file_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Parts of a sorted table, joined in order: one header, and every copy of a row."""
+    joined = []
+    real = Files.join_files
+
+    def join_files(self, parts, target):
+        joined.append([os.path.getsize(p.removeprefix("file:")) for p in parts])
+        real(self, parts, target)
+
+    monkeypatch.setattr(Files, "join_files", join_files)
+    source = spark.range(20_000).selectExpr(
+        "concat('k', lpad(pmod(id * 7919, 5000), 5, '0')) AS id", "concat('a\"\n,', id % 3) AS v"
+    )
+    target = f"{tmp_path}/one.csv"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ps.publish(source, target, "csv", single_file=True, order_by=["id", "v"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    ((header, *parts),) = joined
+    assert len(parts) > 4 and max(parts) < 0.5 * sum(parts)
+    with open(target, newline="") as file:
+        listed = list(csv.reader(file))
+    assert listed[0] == ["id", "v"]
+    assert listed[1:] == sorted([r["id"], r["v"]] for r in source.collect())
+    # Beside it only the checksum that Hadoop keeps for a local file.
+    assert set(os.listdir(tmp_path)) <= {"one.csv", ".one.csv.crc"}
+
+
+def test_one_file_without_rows_has_its_header(spark, tmp_path):
+    for order in ([], ["a"]):
+        source = spark.createDataFrame([], "a string, `b,c` string")
+        ps.publish(source, f"{tmp_path}/x.csv", "csv", single_file=True, order_by=order)
+        assert open(f"{tmp_path}/x.csv").read().splitlines() == ['a,"b,c"']
+
+
+def test_exported_files_are_of_about_one_size(spark, tmp_path):
+    """Whatever the parts of the source were: here one holds nine tenths of the rows."""
+    source = f"{tmp_path}/parts"
+    rows_ = spark.range(90_000).selectExpr("id", "sha2(cast(id AS string), 256) AS v")
+    rows_.coalesce(1).write.parquet(source)
+    for n in range(5):
+        spark.range(2000).selectExpr("id", "'x' AS v").coalesce(1).write.mode("append").parquet(source)
+    share = Files(spark).total_bytes(source) // 5
+    n = ps.export_dataset(spark, source, f"{tmp_path}/out", source_bytes_per_file=share)
+    sizes = [os.path.getsize(p.removeprefix("file:")) for p in Files(spark).part_files(f"{tmp_path}/out")]
+    assert len(sizes) == n and 5 <= n <= 6
+    assert max(sizes) < 1.2 * min(sizes)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 100_000
