@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspan.llm.frames import pack, pick, unpack
+from panelspan.llm.frames import broadcast_if_small, pack, pick, unpack
 from panelspan.llm.wording import grams, windowed_least, words
 from panelspan.operators.lookup import fits_broadcast
 from panelspan.sinks.scratch import staged
@@ -38,15 +38,29 @@ def _with_grams(rows: DataFrame, lengths: list[int]) -> DataFrame:
     return hashed
 
 
-def _windows(length: int, kept: str = "true") -> str:
-    """SQL of the windows of ``length`` words as structs, where ``kept`` holds."""
+def _marked_windows(length: int) -> str:
+    """SQL of all windows of ``length`` words, as structs with their fingerprint."""
     return (
         f"IF(size(words) < {length},"
         " CAST(array() AS ARRAY<STRUCT<start INT, length INT, phrase STRING, mark BIGINT>>),"
-        " transform(filter("
-        f"transform({_fingerprints(length)}, (mark, i) -> struct(mark, i)), x -> {kept}),"
-        f" x -> struct(x.i AS start, {length} AS length,"
-        f" array_join(slice(words, x.i + 1, {length}), ' ') AS phrase, x.mark AS mark)))"
+        f" transform({_fingerprints(length)}, (mark, i) -> struct(i AS start, {length} AS length,"
+        f" array_join(slice(words, i + 1, {length}), ' ') AS phrase, mark AS mark)))"
+    )
+
+
+def _runs(length: int) -> str:
+    """SQL of the runs of windows that follow each other and have one fingerprint, as structs."""
+    begins = (
+        "filter(transform(m, (mark, i) -> struct(mark AS mark, i AS start)),"
+        " x -> x.start = 0 OR m[x.start - 1] <> x.mark)"
+    )
+    ended = (
+        "transform(s, (x, j) -> struct(x.mark AS mark, x.start AS start,"
+        f" IF(j + 1 < size(s), s[j + 1].start, size(m)) AS stop, {length} AS length))"
+    )
+    return (
+        f"transform(array({_fingerprints(length)}), m -> transform(array({begins}),"
+        f" s -> {ended})[0])[0]"
     )
 
 
@@ -71,7 +85,7 @@ def benchmark_windows(
     if not lengths:
         schema = "phrase string, length int, mark bigint, items array<string>"
         return benchmark.sparkSession.createDataFrame([], schema)
-    own = ", ".join(f"IF({value} = length, {_windows(value)}, null)" for value in lengths)
+    own = ", ".join(f"IF({value} = length, {_marked_windows(value)}, null)" for value in lengths)
     return (
         _with_grams(rows.withColumn("length", length), lengths)
         .select("item", F.explode(F.expr(f"coalesce({own})")).alias("w"))
@@ -149,37 +163,55 @@ def _marked(rows: DataFrame, bench: DataFrame, lengths: list[int]) -> DataFrame:
 def _extended(
     rows: DataFrame, found: DataFrame, bench: DataFrame, lengths: list[int]
 ) -> DataFrame:
-    """Spans and items of the documents that share a fingerprint, compared word by word."""
-    wanted = found.select(
-        F.col("key").alias("hit_key"), F.col("text_hash").alias("hit_hash"), "marks"
+    """Spans and items of the documents that share a fingerprint, compared word by word.
+
+    First the runs of windows with a known fingerprint are found, by a join, then the windows
+    of those runs alone are compared: the work grows with the words of a document, whatever
+    part of it is shared. Items join last, once for each set of them that a document has.
+    """
+    wanted = found.select(F.col("key").alias("hit_key"), F.col("text_hash").alias("hit_hash"))
+    runs = ", ".join(_runs(length) for length in lengths)
+    placed = staged(
+        _with_grams(_chosen(rows, wanted), lengths)
+        .select("hit_key", "hit_hash", F.expr(f"inline(concat({runs}))"))
+        .join(broadcast_if_small(bench.select("mark").distinct()), "mark", "left_semi")
+        .groupBy("hit_key", "hit_hash")
+        .agg(F.collect_set(F.struct("start", "stop", "length")).alias("runs"))
     )
-    if fits_broadcast(wanted):
-        wanted = F.broadcast(wanted)
-    same = F.col("key").eqNullSafe(F.col("hit_key")) & (F.col("text_hash") == F.col("hit_hash"))
-    kept = "array_contains(marks, x.mark)"
-    windows = ", ".join(_windows(length, kept) for length in lengths)
-    phrases = bench.select("phrase", "items")
-    if fits_broadcast(phrases):
-        phrases = F.broadcast(phrases)
-    shared = rows.join(wanted, same).withColumn("words", words(F.col("text")))
-    return (
-        _with_grams(shared, lengths)
-        .select("hit_key", "hit_hash", F.expr(f"explode(concat({windows}))").alias("w"))
-        .select("hit_key", "hit_hash", "w.start", "w.length", "w.phrase")
-        .join(phrases, "phrase")
+    windows = (
+        "flatten(transform(runs, r -> transform(sequence(r.start, r.stop - 1), i -> struct("
+        "i AS start, r.length AS length,"
+        " array_join(slice(words, i + 1, r.length), ' ') AS phrase))))"
+    )
+    phrases = bench.select("phrase", F.md5(F.to_json("items")).alias("set"))
+    hits = staged(
+        _chosen(rows, placed)
+        .select("hit_key", "hit_hash", F.expr(f"inline({windows})"))
+        .join(broadcast_if_small(phrases), "phrase")
         .groupBy("hit_key", "hit_hash")
         .agg(
             F.collect_set(F.expr("struct(start, start + length AS end)")).alias("at"),
-            F.collect_set("items").alias("items"),
+            F.collect_set("set").alias("sets"),
         )
         .withColumn("hit", F.expr(_COVERED))
-        .select(
-            "hit_key",
-            "hit_hash",
-            F.expr(_MERGED).alias("spans"),
-            F.sort_array(F.array_distinct(F.flatten("items"))).alias("items"),
-        )
+        .select("hit_key", "hit_hash", F.expr(_MERGED).alias("spans"), "sets")
     )
+    sets = bench.select(F.md5(F.to_json("items")).alias("set"), "items").dropDuplicates(["set"])
+    listed = (
+        hits.select("hit_key", "hit_hash", F.explode("sets").alias("set"))
+        .join(broadcast_if_small(sets), "set")
+        .groupBy(F.col("hit_key").alias("of_key"), F.col("hit_hash").alias("of_hash"))
+        .agg(F.collect_set("items").alias("items"))
+        .withColumn("items", F.sort_array(F.array_distinct(F.flatten("items"))))
+    )
+    same = F.col("hit_key").eqNullSafe(F.col("of_key")) & (F.col("hit_hash") == F.col("of_hash"))
+    return hits.join(listed, same).select("hit_key", "hit_hash", "spans", "items")
+
+
+def _chosen(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The words of the documents in a list, which has a row for each."""
+    same = F.col("key").eqNullSafe(F.col("hit_key")) & (F.col("text_hash") == F.col("hit_hash"))
+    return rows.join(broadcast_if_small(wanted), same).withColumn("words", words(F.col("text")))
 
 
 #: Word positions in a window, each once, as ranges without gaps.
@@ -226,7 +258,7 @@ WITH d AS (
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                      'abcdefghijklmnopqrstuvwxyz'),
            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
-  FROM documents
+  FROM (SELECT DISTINCT doc_id, text FROM documents)
 ),
 b AS (
   SELECT item_id, list_filter(regexp_split_to_array(

@@ -102,3 +102,35 @@ def test_items_without_an_id_count_in_the_query_and_the_pipeline(spark, tmp_path
     assert difference(op8_winnowing(spark, str(tmp_path)), WINNOWING_ORACLE, connection) is None
     kept = decontaminate(tables["documents"], tables["benchmark"]).collect()
     assert [r["text"] for r in kept] == ["clean"]
+
+
+def test_a_long_shared_text_and_a_phrase_of_very_many_items(spark):
+    """Work grows with the words: every window of a long text is shared, and one phrase is in
+    3,000 items. Times are not compared, the result is."""
+    long = " ".join(f"w{i}" for i in range(20_000))
+    common = "these ten words stand in very many of the items"
+    items = [(i, f"{common} u{i} v{i}") for i in range(3000)] + [(9000, long)]
+    texts = ["x y " + long + " z", f"before {common} after {common}", "nothing here", common]
+    found = {
+        r["key"]: r
+        for r in contamination(
+            docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+        ).collect()
+    }
+    assert [tuple(x) for x in found[0]["spans"]] == [(2, 20_002)] and found[0]["items"] == ["9000"]
+    assert [tuple(x) for x in found[1]["spans"]] == [(1, 11), (12, 22)]
+    assert found[1]["items"] == found[3]["items"] == sorted(str(i) for i in range(3000))
+    assert found[2]["spans"] == [] and [tuple(x) for x in found[3]["spans"]] == [(0, 10)]
+
+
+def test_repeated_windows_inside_a_text(spark):
+    """Runs of one fingerprint: the same words over and over."""
+    items = [(1, "a a a a a a a a a a"), (2, "b a b a b a b a b a"), (3, "c")]
+    texts = ["a " * 40, "a b " * 30, "b " * 5 + "a " * 12 + "b a " * 9 + "c", "a " * 9]
+    found = contamination(
+        docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    )
+    for r in found.collect():
+        words, hit, ids = brute(texts[r["key"]], items)
+        assert sum(x["end"] - x["start"] for x in r["spans"]) == len(hit)
+        assert r["items"] == ids
