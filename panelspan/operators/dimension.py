@@ -11,7 +11,10 @@ from panelspan.operators.lookup import (
     BROADCAST_BYTES,
     TableSize,
     fits_broadcast,
+    listed_bits,
     lookup,
+    maybe_listed,
+    measure,
     size_columns,
 )
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
@@ -140,8 +143,10 @@ def used_dimension(
 
     The panel's codes are made distinct first, by partial aggregation, so no panel row
     is moved. Then they are cut down to those that the dimension has: only the
-    dimension is measured, and the list of used codes is never larger than its own. The
-    sink sorts the rows by key when they are published.
+    dimension is measured, and the list of used codes is never larger than its own. Beyond
+    ``broadcast_bytes`` a bitmap of the hashed codes tells which dimension rows may be
+    used, so that only those move to the join that decides. The sink sorts the rows by key
+    when they are published.
     """
     check_columns(dimension, names.published)
     keyed = dimension.select(
@@ -151,8 +156,12 @@ def used_dimension(
         ]
     )
     known = keyed.select(column(names.key)).filter(column(names.key).isNotNull()).distinct()
-    small = fits_broadcast(known, broadcast_bytes)
+    size = measure(known)
+    small = size.bytes <= broadcast_bytes
     codes = panel.select(column(spec.series_code).alias(names.key)).distinct()
+    if not small:
+        keyed = maybe_listed(keyed, names.key, listed_bits(codes, names.key, size.rows))
+        known = keyed.select(column(names.key)).distinct()
     used = lookup(codes, known, names.key, "left_semi", small, spread_by=[names.key], salts=1)
     others = [name for name in names.published if name != names.key]
     kept = lookup(keyed, used, names.key, "left_semi", small, spread_by=others)

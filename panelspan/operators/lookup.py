@@ -30,6 +30,11 @@ FOLLOWED_PER_KEY = 8
 #: Pieces as large as a partition would often meet in one; smaller ones even out.
 PIECES_PER_PARTITION = 4
 
+#: Bits of a bitmap of hashed keys: for each key, and of a bitmap at least and at most.
+BITS_PER_KEY = 16
+FEWEST_BITS, MOST_BITS = 15, 30
+
+BUCKET, BITS = "_bucket", "_bits"
 SALT, CODE, SALTS = "_salt", "_code", "_salts"
 
 
@@ -104,6 +109,43 @@ def shuffle_partitions(spark) -> int:
     return int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def listed_bits(listed: DataFrame, key: str, rows: int) -> DataFrame:
+    """A bitmap of the hashed keys of a table, in rows of 32,768 bits: ``_bucket``, ``_bits``.
+
+    It has some 16 bits for each of ``rows`` keys, which is 2 bytes a key, 128 MiB at most;
+    beyond, more keys share a bit, and fewer rows are ruled out.
+    """
+    bits = 1 << min(MOST_BITS, max(FEWEST_BITS, (BITS_PER_KEY * max(1, rows) - 1).bit_length()))
+    at = F.pmod(F.xxhash64(column(key)), F.lit(bits))
+    return (
+        listed.filter(column(key).isNotNull())
+        .select((at + 1).alias("_at"))
+        .groupBy(F.bitmap_bucket_number("_at").alias(BUCKET))
+        .agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias(BITS),
+            F.lit(bits).alias("_of"),
+        )
+    )
+
+
+def maybe_listed(rows: DataFrame, key: str, bitmap: DataFrame) -> DataFrame:
+    """The rows whose key may be in the table that a bitmap was made of; none of its keys is
+    ever left out. Rows do not move: the bitmap is broadcast."""
+    first = bitmap.select("_of").first()
+    if first is None:
+        return rows.filter(F.lit(False))
+    names = [quoted(name) for name in rows.columns]
+    at = (F.pmod(F.xxhash64(column(key)), F.lit(first["_of"])) + 1).alias("_at")
+    byte = "conv(hex(substring(_bits, CAST(bitmap_bit_position(_at) div 8 AS INT) + 1, 1)), 16, 10)"
+    return (
+        rows.select("*", at)
+        .withColumn(BUCKET, F.bitmap_bucket_number("_at"))
+        .join(F.broadcast(bitmap), BUCKET)
+        .filter(f"getbit(CAST({byte} AS INT), CAST(bitmap_bit_position(_at) % 8 AS INT)) = 1")
+        .select(*names)
+    )
+
+
 def lookup(
     large: DataFrame,
     keyed: DataFrame,

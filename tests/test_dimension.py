@@ -187,3 +187,28 @@ def test_one_grouping_finds_topics_and_conflicts(spark):
     with pytest.raises(ps.ConflictingTopics, match="1 series"):
         ps.assert_no_conflicts(found)
     assert ps.assert_no_conflicts(found.filter("`Series Code` = 'a'")).rows == 1
+
+
+def test_dimension_rows_that_are_not_used_do_not_move(spark):
+    """Beyond the broadcast limit: a dimension of 20,000 rows, of which 50 are used."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    wide = spark.range(20_000).select(
+        F.concat(F.lit(" s"), F.col("id").cast("string")).alias("id"),
+        *[F.concat(F.lit(name), "id").alias(name) for name in ps.DIMENSION.published[1:]],
+    )
+    facts = spark.range(5_000).select(
+        F.lit("L").alias("Country Name"), F.lit("C").alias("Country Code"),
+        F.lit("S").alias("Series Name"),
+        F.concat(F.lit("s"), (F.col("id") % 50 * 7).cast("string")).alias("Series Code"),
+        F.col("id").cast("int").alias("Year"), F.lit(1.0).alias("Value"),
+    )
+    used = ps.used_dimension(wide, facts, broadcast_bytes=0)
+    assert {r["id"] for r in used.collect()} == {f"s{i * 7}" for i in range(50)}
+    plans = executed_plan(used).split("== Initial Plan ==")[0]
+    # The whole rows are exchanged after the bitmap has been asked.
+    top = next(part for part in plans.split("Exchange hashpartitioning") if "getbit" in part)
+    assert "FileScan" not in plans and "BroadcastHashJoin" in top
+    from tests.test_reshape import moved
+
+    # Codes once for each task, and the used rows: none of the 20,000 others.
+    assert moved(used)[0] < 2_000

@@ -91,3 +91,25 @@ def test_the_plan_moves_each_side_once_and_counts_in_the_tasks(spark):
     text = executed_plan(found).split("== Initial Plan ==")[0]
     assert text.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("rows_", [1, 3_000, 100_000])
+def test_a_bitmap_of_keys_rules_out_most_others_and_none_of_its_own(spark, rows_):
+    """Made for fewer keys than there are it rules out less, but never a key it has."""
+    listed = spark.range(0, 9_000, 3).select(F.col("id").cast("string").alias("k`"))
+    every = spark.range(90_000).select(F.col("id").cast("string").alias("k`"), "id")
+    every = every.union(spark.sql("SELECT CAST(null AS STRING), -1L"))
+    bitmap = module.listed_bits(listed, "k`", rows_)
+    kept = module.maybe_listed(every, "k`", bitmap)
+    assert kept.columns == every.columns
+    ids = {r["id"] for r in kept.collect()}
+    assert set(range(0, 9_000, 3)) <= ids
+    if rows_ >= 3_000:
+        assert len(ids) < 3_000 + 0.1 * 87_000
+    assert "Exchange hashpartitioning" not in executed_plan(kept).split("BroadcastExchange")[0]
+
+
+def test_an_empty_list_keeps_nothing(spark):
+    listed = spark.createDataFrame([(None,)], "k string")
+    bitmap = module.listed_bits(listed, "k", 0)
+    assert module.maybe_listed(spark.range(5).selectExpr("cast(id AS string) AS k"), "k", bitmap).collect() == []
