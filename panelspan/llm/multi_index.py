@@ -6,8 +6,12 @@ distance and visits pairs in order of summed distance, by a heap, until the cell
 hold their share of all vectors; everything in them is scored on the original vectors.
 
 The largest inner product is made the smallest distance by one more coordinate, which
-brings all vectors to the same length. Codebooks are fitted on a bounded sample, and on
-the same sample the share is measured that finds the wanted part of the true neighbours.
+brings all vectors to the same length. Codebooks are fitted on a bounded sample. The same
+sample gives each query a score that its last neighbour reaches at least, so cells whose
+vectors cannot reach it, by their centroids, radii and lengths, are never visited, without
+any loss. Of the others so many are visited as the sample's own queries needed.
+Vectors lie in bands of length, each with codebooks of its own: where few long
+vectors win, the bands of the many short ones drop out as a whole.
 The index itself holds every vector.
 """
 
@@ -15,7 +19,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -29,19 +33,33 @@ from panelspan.sinks.scratch import staged
 #: The sample goes to the driver: so many vectors, of so many components in all.
 FIT_VECTORS = 20_000
 FIT_COMPONENTS = 4_000_000
-FIT_QUERIES = 256
+FIT_QUERIES = 512
+#: Sampled vectors that every query is scored with, for a bound on its last neighbour.
+FLOOR_VECTORS = 4096
 ROUNDS = 12
+#: Centroids of a half, in all bands together by the root of their squares.
 MOST_CENTROIDS = 512
-BLOCK = 8192
+#: Lengths in one band differ by less than this factor, but for the last band.
+BAND_RATIO, MOST_BANDS = 1.5, 8
+#: Of the sample's queries, the part that sees the wanted part of their neighbours; each
+#: of them sees LEAST_SEEN of its own.
+CERTAIN, LEAST_SEEN = 0.9, 0.85
+#: Entries that share one list of queries, and entries or queries scored in one group.
+GROUP, BLOCK = 2048, 8192
 STRIP = 256
+MERGES = 64
 
 
 @dataclass(frozen=True)
 class Codebooks:
-    """Centroids of both halves; the second half ends with the added coordinate."""
+    """Centroids of both halves, band after band; the second half ends with the coordinate
+    that is added. ``first_of`` and ``second_of`` say where each band's begin."""
 
     first: np.ndarray
     second: np.ndarray
+    first_of: list[int]
+    second_of: list[int]
+    bands: np.ndarray
     longest: float
     share: float
 
@@ -49,17 +67,23 @@ class Codebooks:
     def cut(self) -> int:
         return self.first.shape[1]
 
-    def lifted(self, vectors: np.ndarray) -> np.ndarray:
-        """Vectors with the coordinate that brings them to the longest one's length."""
-        rest = self.longest**2 - np.einsum("ij,ij->i", vectors, vectors)
-        return np.column_stack([vectors, np.sqrt(np.maximum(rest, 0.0))])
+    def grids(self) -> list[tuple[slice, slice]]:
+        """The centroids of each band, which make its cells."""
+        pairs = zip(self.first_of, self.first_of[1:], self.second_of, self.second_of[1:])
+        return [(slice(a, b), slice(c, d)) for a, b, c, d in pairs]
 
     def codes(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lifted = self.lifted(vectors)
-        return (
-            _distances(lifted[:, : self.cut], self.first).argmin(axis=1),
-            _distances(lifted[:, self.cut :], self.second).argmin(axis=1),
-        )
+        lifted = _lifted(vectors, self.longest)
+        band = np.searchsorted(self.bands, _bands(vectors, self.longest))
+        band = np.minimum(band, len(self.bands) - 1)
+        i, j = np.zeros(len(vectors), np.int64), np.zeros(len(vectors), np.int64)
+        for b, (firsts, seconds) in enumerate(self.grids()):
+            rows = np.flatnonzero(band == b)
+            if len(rows):
+                one, two = lifted[rows, : self.cut], lifted[rows, self.cut :]
+                i[rows] = firsts.start + _distances(one, self.first[firsts]).argmin(axis=1)
+                j[rows] = seconds.start + _distances(two, self.second[seconds]).argmin(axis=1)
+        return i, j
 
     def query_distances(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lifted = np.column_stack([queries, np.zeros(len(queries))])
@@ -69,6 +93,23 @@ class Codebooks:
         )
 
 
+def _lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+
+
+def _lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors with the coordinate that brings them to the longest one's length."""
+    rest = longest**2 - np.einsum("ij,ij->i", vectors, vectors)
+    return np.column_stack([vectors, np.sqrt(np.maximum(rest, 0.0))])
+
+
+def _bands(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """Bands of length, the longest vectors first."""
+    ratio = longest / np.maximum(_lengths(vectors), 1e-300)
+    band = np.floor(np.log(np.maximum(ratio, 1.0)) / np.log(BAND_RATIO) + 1e-9)
+    return np.minimum(band, MOST_BANDS - 1).astype(int)
+
+
 def _distances(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     """Squared distances of every row to every centroid."""
     return (
@@ -93,61 +134,105 @@ def _kmeans(rows: np.ndarray, k: int) -> np.ndarray:
     return centroids
 
 
-def visit(first: np.ndarray, second: np.ndarray, counts: np.ndarray, wanted: int):
-    """Cells (i, j) in order of summed distance, until they hold the wanted vectors.
+def visit(grids: list[tuple[np.ndarray, np.ndarray, np.ndarray]], wanted: int) -> float:
+    """Cells in order of summed distance, until they hold the wanted vectors.
 
-    Returns the largest sum visited. The heap holds, for every first centroid that was
-    begun, its next pair; a first centroid is begun when the one before it was visited.
+    A grid has the distances of both halves and the vectors of each cell that count. Returns
+    the largest sum visited. The heap holds, for every first centroid that was begun, its
+    next pair; a first centroid is begun when the one before it was visited.
     """
-    by_first, by_second = first.argsort(kind="stable"), second.argsort(kind="stable")
-    near, far = first[by_first].tolist(), second[by_second].tolist()
-    held = counts[np.ix_(by_first, by_second)].tolist()
-    heap = [(near[0] + far[0], 0, 0)]
+    sides, heap = [], []
+    for g, (first, second, counts) in enumerate(grids):
+        by_first, by_second = first.argsort(kind="stable"), second.argsort(kind="stable")
+        near, far = first[by_first].tolist(), second[by_second].tolist()
+        sides.append((near, far, counts[np.ix_(by_first, by_second)].tolist()))
+        heap.append((near[0] + far[0], g, 0, 0))
+    heapq.heapify(heap)
     total, reach = 0, -np.inf
     while heap and total < wanted:
-        reach, r, s = heap[0]
+        reach, g, r, s = heap[0]
+        near, far, held = sides[g]
         total += held[r][s]
         if s + 1 < len(far):
-            heapq.heapreplace(heap, (near[r] + far[s + 1], r, s + 1))
+            heapq.heapreplace(heap, (near[r] + far[s + 1], g, r, s + 1))
         else:
             heapq.heappop(heap)
         if s == 0 and r + 1 < len(near):
-            heapq.heappush(heap, (near[r + 1] + far[0], r + 1, 0))
+            heapq.heappush(heap, (near[r + 1] + far[0], g, r + 1, 0))
     return reach
 
 
+@dataclass(frozen=True)
+class Cells:
+    """How many vectors each cell holds, and the length of its longest."""
+
+    counts: np.ndarray
+    longest: np.ndarray
+
+    def grids(self, books: Codebooks, first, second, length: float, floor: float) -> list:
+        """For ``visit``: cells whose longest vector cannot reach the floor count nothing."""
+        found = []
+        for firsts, seconds in books.grids():
+            reached = self.longest[firsts, seconds] * length >= floor - 1e-9 * abs(floor)
+            counts = np.where(reached, self.counts[firsts, seconds], 0)
+            found.append((first[firsts], second[seconds], counts))
+        return found
+
+
 def fit(
     sample: np.ndarray, rows: int, longest: float, neighbours: int, recall: float
 ) -> Codebooks:
     """Codebooks for so many rows, and the share of them to visit."""
-    k = int(min(MOST_CENTROIDS, max(2, round(np.sqrt(rows) / 3)), len(sample)))
     cut = sample.shape[1] // 2
-    books = Codebooks(np.zeros((1, cut)), np.zeros((1, 1)), longest, 1.0)
-    lifted = books.lifted(sample)
-    books = Codebooks(_kmeans(lifted[:, :cut], k), _kmeans(lifted[:, cut:], k), longest, 1.0)
-    share = _share(books, sample, neighbours, recall)
-    return Codebooks(books.first, books.second, longest, share)
+    lifted, band = _lifted(sample, longest), _bands(sample, longest)
+    firsts, seconds = [], []
+    bands = np.unique(band)
+    for b in bands:
+        own = lifted[band == b]
+        part = len(own) / len(sample)
+        k = min(MOST_CENTROIDS * np.sqrt(part), np.sqrt(rows * part) / 3, len(own))
+        k = max(1, round(k))
+        firsts.append(_kmeans(own[:, :cut], k))
+        seconds.append(_kmeans(own[:, cut:], k))
+    starts = [0, *np.cumsum([len(c) for c in firsts]).tolist()]
+    books = Codebooks(
+        np.concatenate(firsts), np.concatenate(seconds), starts, starts, bands, longest, 1.0
+    )
+    return replace(books, share=_share(books, sample, neighbours, recall))
 
 
 def _share(books: Codebooks, sample: np.ndarray, neighbours: int, recall: float) -> float:
-    """The part of the sample to visit so that the wanted part of neighbours is seen."""
-    queries = sample[:: max(1, len(sample) // FIT_QUERIES)]
+    """The part of the sample to visit so that its queries see enough of their neighbours.
+
+    Most (``CERTAIN``) see the wanted part of them, and all of them ``LEAST_SEEN``.
+    """
+    step = max(1, len(sample) // FIT_QUERIES)
     i, j = books.codes(sample)
-    k = len(books.second)
-    counts = np.bincount(i * k + j, minlength=len(books.first) * k)
+    wide = len(books.second)
+    cells, own, counts = np.unique(i * wide + j, return_inverse=True, return_counts=True)
+    length = np.zeros(len(cells))
+    np.maximum.at(length, own, _lengths(sample))
+    queries = sample[::step]
     first, second = books.query_distances(queries)
-    shares = []
+    most, least = [], []
     for q, query in enumerate(queries):
         scores = sample @ query
-        own = q * max(1, len(sample) // FIT_QUERIES)
-        scores[own] = -np.inf
+        scores[q * step] = -np.inf
         best = np.argsort(-scores, kind="stable")[: min(neighbours, len(sample) - 1)]
-        sums = (first[q][:, None] + second[q][None, :]).ravel()
+        if not len(best):
+            continue
+        floor = scores[best[-1]]
+        reached = length * np.sqrt(query @ query) >= floor - 1e-9 * abs(floor)
+        sums = np.where(reached, first[q][cells // wide] + second[q][cells % wide], np.inf)
         order = np.argsort(sums, kind="stable")
         seen = np.empty(len(order))
-        seen[order] = np.cumsum(counts[order]) / len(sample)
-        shares.extend(seen[i[best] * k + j[best]])
-    return float(np.quantile(shares, recall)) if shares else 1.0
+        seen[order] = np.cumsum(np.where(reached, counts, 0)[order]) / len(sample)
+        needed = np.sort(seen[own[best]])
+        most.append(needed[int(np.ceil(recall * len(best))) - 1])
+        least.append(needed[int(np.ceil(LEAST_SEEN * len(best))) - 1])
+    if not most:
+        return 1.0
+    return float(max(np.quantile(most, CERTAIN), max(least)))
 
 
 def nearest(
@@ -187,39 +272,49 @@ def nearest(
     drawn = rows.orderBy(F.xxhash64("id"), "id").limit(taken).collect()
     sample = np.array([row["vector"] for row in drawn])
     books = fit(sample, n, longest, neighbours, recall)
-    index = staged(rows.mapInArrow(_coded(books), "id long, i int, j int, items binary"))
-    cells = index.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = np.zeros((len(books.first), len(books.second)), np.int64)
-    for cell in cells:
-        counts[cell["i"], cell["j"]] = cell["n"]
-    asked = index.filter(queries)
+    index = staged(rows.mapInArrow(_coded(books), "id long, i int, j int, length double, items binary"))
+    held = index.groupBy("i", "j").agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("length"))
+    shape = (len(books.first), len(books.second))
+    cells = Cells(np.zeros(shape, np.int64), np.zeros(shape))
+    for cell in held.collect():
+        cells.counts[cell["i"], cell["j"]] = cell["n"]
+        cells.longest[cell["i"], cell["j"]] = cell["length"]
+    # Neighbouring first centroids with few entries are one group, so queries are copied less.
+    sizes = cells.counts.sum(axis=1)
+    group = (np.cumsum(sizes) - sizes) // GROUP
+    e_parts = np.maximum(1, -(-np.bincount(group, sizes).astype(int) // BLOCK))
+    known = [row["id"] for row in drawn[:FLOOR_VECTORS]], sample[:FLOOR_VECTORS]
     wanted = int(max(neighbours + 1, np.ceil(books.share * n)))
+    probing = _probing(books, cells, group, known, neighbours, wanted)
     probes = staged(
-        asked.select("id", "items").mapInArrow(
-            _probing(books, counts, wanted), "id long, i int, reach double, items binary"
-        )
+        index.filter(queries)
+        .select("id", "items")
+        .mapInArrow(probing, "id long, g int, reach double, items binary")
     )
-    per_first = (
-        index.groupBy("i")
-        .agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("e_parts"))
-        .join(
-            probes.groupBy("i").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("q_parts")), "i"
-        )
+    # One row for each group, of which there are no more than first centroids.
+    parts = probes.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("q_parts"))
+    listed = spark.createDataFrame(
+        [(int(g), int(e_parts[g])) for g in np.unique(group)], "g int, e_parts long"
+    )
+    parts = F.broadcast(parts.join(F.broadcast(listed), "g"))
+    grouped = spark.createDataFrame(
+        [(i, int(g)) for i, g in enumerate(group)], "i int, g int"
     )
-    parts = F.broadcast(per_first)
-    entries = _dealt(index.join(parts, "i"), "e_parts", "e_part", "q_parts", "q_part")
-    asking = _dealt(probes.join(parts, "i"), "q_parts", "q_part", "e_parts", "e_part")
-    by = ["i", "e_part", "q_part"]
+    placed = index.drop("length").join(F.broadcast(grouped), "i")
+    entries = _dealt(placed.join(parts, "g"), "e_parts", "e_part", "q_parts", "q_part")
+    asking = _dealt(probes.join(parts, "g"), "q_parts", "q_part", "e_parts", "e_part")
+    by = ["g", "e_part", "q_part"]
     found = (
         asking.groupBy(by)
         .cogroup(entries.groupBy(by))
         .applyInPandas(
-            _scored(books, neighbours), "query_id long, best array<struct<less: double, id: long>>"
+            _scored(books, neighbours),
+            "query_id long, merge int, best array<struct<less: double, id: long>>",
         )
     )
-    merged = found.groupBy("query_id").agg(
-        F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, neighbours).alias("best")
-    )
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, neighbours).alias("best")
+    # A query that visits very many blocks has its lists merged in two steps.
+    merged = found.groupBy("query_id", "merge").agg(best).groupBy("query_id").agg(best)
     return merged.select("query_id", F.posexplode("best").alias("place", "x")).select(
         "query_id",
         (F.col("place") + 1).alias("rank"),
@@ -266,36 +361,55 @@ def _coded(books: Codebooks):
                     batch.column(0),
                     pa.array(i, pa.int32()),
                     pa.array(j, pa.int32()),
+                    pa.array(_lengths(vectors), pa.float64()),
                     pa.array([v.tobytes() for v in vectors], pa.binary()),
                 ],
-                names=["id", "i", "j", "items"],
+                names=["id", "i", "j", "length", "items"],
             )
 
     return code
 
 
-def _probing(books: Codebooks, counts: np.ndarray, wanted: int):
-    """For each query, the first centroids it visits and how far its visit goes.
+def _probing(books: Codebooks, cells: Cells, group: np.ndarray, known, neighbours: int, wanted: int):
+    """For each query, the groups of cells it visits and how far its visit goes.
 
     The slack is above the rounding of distances, whose terms are of this size.
     """
     slack = 1e-9 * books.longest**2
+    known_ids, known_vectors = np.array(known[0], np.int64), known[1]
+
+    def floors(ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """A score that as many others as are wanted reach, among those that are known."""
+        scores = queries @ known_vectors.T
+        scores[ids[:, None] == known_ids[None, :]] = -np.inf
+        if scores.shape[1] < neighbours:
+            return np.full(len(ids), -np.inf)
+        return np.partition(scores, -neighbours, axis=1)[:, -neighbours]
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, items = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(ids), STRIP):
                 strip = items[at : at + STRIP]
-                first, second = books.query_distances(_matrix(strip))
+                queries = _matrix(strip)
+                first, second = books.query_distances(queries)
+                least = np.array(floors(np.array(ids[at : at + STRIP]), queries))
+                lengths = _lengths(queries)
                 out: list[tuple] = []
                 for q, item in enumerate(strip):
-                    reach = visit(first[q], second[q], counts, wanted) + slack
-                    for i in np.flatnonzero(first[q] + second[q].min() <= reach).tolist():
-                        out.append((ids[at + q], i, reach, item))
+                    floor = least[q] if np.isfinite(least[q]) else -np.finfo(float).max
+                    grids = cells.grids(books, first[q], second[q], lengths[q], floor)
+                    reach = visit(grids, wanted) + slack
+                    visited = [
+                        group[firsts][one + two.min() <= reach]
+                        for (firsts, _), (one, two, _) in zip(books.grids(), grids)
+                    ]
+                    for g in np.unique(np.concatenate(visited)).tolist():
+                        out.append((ids[at + q], g, reach, item))
                 kinds = (pa.int64(), pa.int32(), pa.float64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                    names=["id", "i", "reach", "items"],
+                    names=["id", "g", "reach", "items"],
                 )
 
     return probe
@@ -308,20 +422,22 @@ def _scored(books: Codebooks, neighbours: int):
         out: list[tuple] = []
         if len(asking) and len(entries):
             entries = entries.sort_values("id")
-            ids, j = entries["id"].to_numpy(), entries["j"].to_numpy()
+            ids = entries["id"].to_numpy()
+            i, j = entries["i"].to_numpy(), entries["j"].to_numpy()
             vectors = _matrix(entries["items"].tolist())
-            i = int(asking["i"].iloc[0])
+            merge = int(entries["g"].iloc[0] + entries["e_part"].iloc[0]) % MERGES
             for at in range(0, len(asking), STRIP):
                 strip = asking.iloc[at : at + STRIP]
                 queries = _matrix(strip["items"].tolist())
                 first, second = books.query_distances(queries)
-                room = strip["reach"].to_numpy() - first[:, i]
                 rough = queries @ vectors.T
-                rough[second[:, j] > room[:, None]] = -np.inf
+                beyond = first[:, i] + second[:, j] > strip["reach"].to_numpy()[:, None]
+                rough[beyond] = -np.inf
                 rough[strip["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
                 for q, asked in enumerate(strip["id"].tolist()):
-                    out.append((asked, _best(queries[q], vectors, ids, rough[q], neighbours)))
-        return pd.DataFrame(out, columns=["query_id", "best"])
+                    best = _best(queries[q], vectors, ids, rough[q], neighbours)
+                    out.append((asked, merge, best))
+        return pd.DataFrame(out, columns=["query_id", "merge", "best"])
 
     return score
 

@@ -1,7 +1,9 @@
 import numpy as np
+import pytest
 
-from panelspan.llm.multi_index import nearest, visit
+from panelspan.llm.multi_index import fit, nearest, visit
 
+# Other columns have names that the operator uses itself.
 SCHEMA = "vec_id long, embedding array<float>, score string, rank string, i int"
 
 
@@ -75,17 +77,56 @@ def test_few_rows_and_rows_that_take_no_part(spark):
 
 
 def test_pairs_are_visited_in_order_of_summed_distance():
+    """Several grids, as of several bands of length, are one order."""
     random = np.random.default_rng(3)
-    for _ in range(30):
-        first, second = random.random(7), random.random(5)
-        counts = random.integers(0, 4, (7, 5))
-        sums = first[:, None] + second[None, :]
+    for n in (1, 1, 3) * 10:
+        grids = [
+            (random.random(7), random.random(5), random.integers(0, 4, (7, 5))) for _ in range(n)
+        ]
+        sums = np.concatenate([(a[:, None] + b[None, :]).ravel() for a, b, _ in grids])
+        counts = np.concatenate([c.ravel() for _, _, c in grids])
         for wanted in (1, 10, 10**6):
-            reach = visit(first, second, counts, wanted)
-            order = np.argsort(sums.ravel())
-            held = np.cumsum(counts.ravel()[order])
-            last = min(int(np.searchsorted(held, wanted)), 34)
-            assert np.isclose(reach, sums.ravel()[order][last])
+            reach = visit(grids, wanted)
+            order = np.argsort(sums)
+            held = np.cumsum(counts[order])
+            last = min(int(np.searchsorted(held, wanted)), len(sums) - 1)
+            assert np.isclose(reach, sums[order][last])
+
+
+def shapes(kind, n, random):
+    if kind == "clustered":
+        centres = random.normal(size=(40, 32))
+        return centres[random.integers(40, size=n)] + 0.3 * random.normal(size=(n, 32))
+    plain = random.normal(size=(n, 32))
+    return plain * np.exp(random.normal(size=(n, 1))) if kind == "unequal lengths" else plain
+
+
+@pytest.mark.parametrize("kind", ["clustered", "gaussian", "unequal lengths"])
+def test_recall_of_every_query(spark, kind):
+    random = np.random.default_rng(11)
+    rows = shapes(kind, 4000, random).astype(np.float32).astype(float)
+    listed = [(i, v.tolist()) for i, v in enumerate(rows)]
+    found = lists(nearest(frame(spark, listed), "id % 20 = 0", 20))
+    recall = []
+    for query in range(0, 4000, 20):
+        scores = rows @ rows[query]
+        scores[query] = -np.inf
+        best = set(np.argsort(-scores, kind="stable")[:20].tolist())
+        recall.append(len(best & {i for _, i, _ in found[query]}) / 20)
+    assert np.mean(recall) >= 0.95 and min(recall) >= 0.6
+    assert np.mean(np.array(recall) >= 0.8) >= 0.98
+
+
+def test_few_long_vectors_decide_and_the_others_are_not_visited():
+    random = np.random.default_rng(12)
+    rows = shapes("unequal lengths", 4000, random)
+    longest = float(np.sqrt((rows**2).sum(axis=1)).max())
+    books = fit(rows, len(rows), longest, 20, 0.95)
+    assert len(books.bands) > 4 and books.share < 0.2
+    i, j = books.codes(rows)
+    for firsts, seconds in books.grids():
+        inside = (i >= firsts.start) & (i < firsts.stop)
+        assert ((j >= seconds.start) & (j < seconds.stop) == inside).all()
 
 
 def test_few_long_vectors_are_all_candidates(spark):
