@@ -153,7 +153,7 @@ def pivot_period(
     return _widen(panel, keys, spec.period, spec.value, headers, max_headers, partitions)
 
 
-SHAPE, BUCKET, PLACE, CELLS = "_shape", "_bucket", "_place", "_cells"
+SHAPE, BUCKET, PLACE = "_shape", "_bucket", "_place"
 
 
 def pivot_series_by_topic(
@@ -168,8 +168,9 @@ def pivot_series_by_topic(
     A row of the wide shape belongs to one topic, so all its cells under other topics'
     series are empty; with many topics one table for all is nearly empty. One pass finds the
     series of every topic and one exchange feeds all shapes: cells are dealt by topic and row
-    key, as many partitions to a topic as it has rows, become one row of a table that is
-    written by topic, and each topic's columns are read from its part alone.
+    key, as many partitions to a topic as it has rows, and pivoted by the place of their
+    series within the topic. That table has as many columns as the largest topic. It is
+    written by topic, and each part gets its own names.
 
     ``max_headers`` bounds the series of all topics together, before they are fetched. Two
     observations for one cell raise while the table is written. Give a written panel, as
@@ -182,7 +183,7 @@ def pivot_series_by_topic(
     for headers in topics.values():
         check_headers(panel, keys, headers)
     parts = partitions or shuffle_partitions(panel.sparkSession)
-    total = sum(rows.values())
+    total = sum(rows.values()) or 1
     listed = [
         (topic, name, shape, place, math.ceil(parts * rows[topic] / total))
         for shape, (topic, headers) in enumerate(topics.items())
@@ -202,23 +203,24 @@ def pivot_series_by_topic(
     bucket = F.pmod(F.xxhash64(*key_columns), column(BUCKET)).cast("int")
     dealt = cells.withColumn(BUCKET, bucket).repartition(parts, SHAPE, BUCKET)
     row_key = [*key_columns, column(SHAPE), column(BUCKET)]
-    cell = F.struct(column(PLACE), column(spec.value))
+    widest = max(map(len, topics.values()), default=0)
+    if not widest:
+        return {}
     whole = (
-        dealt.groupBy(*row_key, column(PLACE))
-        .agg(_guarded(keys, spec.series_name, spec.value, None).alias(spec.value))
-        .groupBy(*row_key)
-        .agg(F.map_from_entries(F.collect_list(cell)).alias(CELLS))
+        dealt.groupBy(*row_key)
+        .pivot(PLACE, list(range(widest)))
+        .agg(_guarded(keys, spec.series_name, spec.value, None))
         .drop(BUCKET)
     )
     table = stage(whole, partition_by=[SHAPE])
-    shapes = {}
-    for shape, (topic, headers) in enumerate(topics.items()):
-        values = [
-            F.try_element_at(column(CELLS), F.lit(place)).alias(name)
-            for place, name in enumerate(headers)
-        ]
-        shapes[topic] = table.filter(column(SHAPE) == shape).select(*key_columns, *values)
-    return shapes
+    places = [quoted(str(place)) for place in range(widest)]
+    names = [quoted(name) for name in keys]
+    return {
+        topic: table.filter(column(SHAPE) == shape)
+        .select(*names, *places[: len(headers)])
+        .toDF(*keys, *headers)
+        for shape, (topic, headers) in enumerate(topics.items())
+    }
 
 
 def _series_by_topic(
