@@ -100,23 +100,28 @@ def number_copies(rows: DataFrame, identity: Column) -> DataFrame:
     if fits_broadcast(again):
         once = named.join(F.broadcast(again), "identity", "left_anti")
         repeated = named.join(F.broadcast(again), "identity", "left_semi")
-    counted = repeated.groupBy("identity").agg(
-        *[F.first(name).alias(name) for name in rows.columns], F.count(F.lit(1)).alias("n")
+    dealt = deal_copies(repeated, ["identity"])
+    if once is None:
+        return dealt
+    return once.withColumn("occurrence", F.lit(1).cast("long")).unionByName(dealt)
+
+
+def deal_copies(repeated: DataFrame, by: list[str]) -> DataFrame:
+    """The rows with ``occurrence``, from 1 among those that agree in ``by`` and so in all.
+
+    They become one row with a count, and are dealt out again in blocks.
+    """
+    counted = repeated.groupBy(*by).agg(
+        *[F.first(name).alias(name) for name in repeated.columns if name not in by],
+        F.count(F.lit(1)).alias("_n"),
     )
     blocks = counted.withColumn(
-        "block", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPY_BLOCK})"))
-    ).repartition("identity", "block")
-    dealt = blocks.withColumn(
-        "place", F.explode(F.expr(f"sequence(1L, least(n - block * {COPY_BLOCK}, {COPY_BLOCK}))"))
-    ).select(
-        *rows.columns,
-        "identity",
-        (F.col("block") * COPY_BLOCK + F.col("place")).alias("occurrence"),
+        "_block", F.explode(F.expr(f"sequence(0L, (_n - 1) div {COPY_BLOCK})"))
+    ).repartition(*by, "_block")
+    place = f"explode(sequence(1L, least(_n - _block * {COPY_BLOCK}, {COPY_BLOCK}))) AS _place"
+    return blocks.select("*", F.expr(place)).select(
+        *repeated.columns, (F.col("_block") * COPY_BLOCK + F.col("_place")).alias("occurrence")
     )
-    if once is None:
-        return dealt
-    single = F.lit(1).cast("long").alias("occurrence")
-    return once.select(*rows.columns, "identity", single).union(dealt)
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Sharding by histogram sort: shards of near equal bytes, cut from one sorted order.
 
-Rows are ordered by a hash of the text, then a hash of the row: of its key, or, for rows
-that are equal in all columns, of their number among them. So equal texts lie next to each
-other, no two rows share a place, and the order does not depend on partitions.
+Rows are ordered by a hash of the text, then a hash of the key and the rest of the row, so
+equal texts lie next to each other and the order does not depend on partitions. Rows that
+are equal in all columns share a place; where a boundary falls among them, or they are very
+many, they are numbered, and the number cuts them.
 Candidate boundaries are the prefixes of that 128-bit order. One pass counts the exact
 bytes and rows of every prefix of the first digit; each further pass counts the next
 digit below those prefixes alone that a splitter still has to be found in. A splitter
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspan.llm.frames import contents, number_copies, pack, unpack
+from panelspan.llm.frames import contents, deal_copies, pack, unpack
 from panelspan.sinks.scratch import staged
 
 WORD = 64
@@ -39,7 +40,8 @@ class Splitter:
     below: int
     prefix: int = 0
     depth: int = 0
-    cut: int | None = None
+    #: The first place behind it, and how many of the rows at that place are before it.
+    cut: tuple[int, int] | None = None
 
 
 def shard_documents(
@@ -57,42 +59,43 @@ def shard_documents(
     shard, without gaps, in the sorted order.
 
     A null text has no bytes and sorts as an empty one; a null key is a key like others.
-    Equal rows are told apart by number, so any group of rows can be cut. With fewer rows
-    than shards some shards are empty; an empty table gives no rows. Input columns named ``size``,
+    Equal rows are told apart by number, so any group of rows can be cut; of a very large
+    group slots follow those of rows near it. With fewer rows than shards some shards are
+    empty; an empty table gives no rows. Input columns named ``size``,
     ``shard`` or ``slot`` are replaced.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
     spark = docs.sparkSession
     packed = pack(docs, text=text, key=key)
-    numbered_rows = number_copies(packed, contents(packed.drop("text", "key")))
-    rows_in_order = _ordered(numbered_rows)
-    order = staged(rows_in_order.select("k1", "k2", "size"))
+    placeable = _ordered(packed.withColumn("rest", contents(packed.drop("text", "key"))))
+    order = staged(placeable.select("k1", "k2", "size"))
     total, rows = order.agg(F.sum("size"), F.count(F.lit(1))).first()
     bits = _bits(total or 0)
+    limit = max(rows >> bits, 1)
     cuts = find_splitters(order, shards, total or 0, bits, tolerance)
-    hot = _hot_texts(order, rows >> bits)
+    hot = _hot_texts(order, limit)
     lookup = _lookup(spark, cuts, hot, bits)
+    groups = {cut for cut, inside in cuts if inside} | _large_groups(order, hot, limit)
+    listed = [(_signed(g >> WORD), _signed(g & ((1 << WORD) - 1))) for g in sorted(groups)]
 
     def placed(frame: DataFrame) -> DataFrame:
-        return _placed(frame, lookup, bits)
+        return _placed(_numbered(frame, listed, limit), lookup, bits)
 
-    pieces = placed(order).groupBy("shard", "r1", "segment", "part").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    piece = ["shard", "r1", "segment", "part", "run"]
+    pieces = placed(order).groupBy(*piece).agg(F.count(F.lit(1)).alias("n"))
     starts = pieces.withColumn(
         "start",
         F.expr(
-            "sum(n) OVER (PARTITION BY shard ORDER BY r1, segment, part "
+            "sum(n) OVER (PARTITION BY shard ORDER BY r1, segment, part, run "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n"
         ),
     ).drop("n")
-    whole = placed(rows_in_order)
-    numbered = whole.join(F.broadcast(starts), ["shard", "r1", "segment", "part"]).withColumn(
+    numbered = placed(placeable).join(F.broadcast(starts), piece).withColumn(
         "slot",
         F.expr(
             "start + row_number() OVER "
-            "(PARTITION BY shard, r1, segment, part ORDER BY k1, k2) - 1"
+            f"(PARTITION BY {', '.join(piece)} ORDER BY k1, k2, occurrence) - 1"
         ),
     )
     return unpack(
@@ -106,11 +109,11 @@ def _ordered(docs: DataFrame) -> DataFrame:
         {
             "k1": F.xxhash64(content),
             "k2": F.xxhash64(
-                F.lit("row"), F.col("key").cast("string"), F.col("identity"), F.col("occurrence")
+                F.lit("row"), F.col("key").cast("string"), F.col("rest")
             ),
             "size": F.octet_length(content).cast("long") + ROW_BYTES,
         }
-    ).drop("text", "key", "identity", "occurrence")
+    ).drop("text", "key", "rest")
 
 
 def _bits(total: int) -> int:
@@ -130,8 +133,9 @@ def _signed(unsigned: int) -> int:
 
 def find_splitters(
     order: DataFrame, shards: int, total: int, bits: int, tolerance: float
-) -> list[int]:
-    """The first 128-bit place of each shard but the first, in ascending order.
+) -> list[tuple[int, int]]:
+    """The first 128-bit place of each shard but the first, in ascending order, and how many
+    of the rows at that place belong to the shards before.
 
     Each pass brings at most (shards - 1) * 256 counts to the driver, the first 2 ** bits.
     """
@@ -144,7 +148,7 @@ def find_splitters(
         for splitter in open_ones:
             _refine(splitter, counts.get(splitter.prefix, []), depth, width, mean * tolerance)
         width = min(DIGIT, WORD - depth % WORD)
-    cuts, last = [], 0
+    cuts, last = [], (0, 0)
     for splitter in splitters:
         last = max(last, splitter.cut)
         cuts.append(last)
@@ -195,13 +199,16 @@ def _refine(splitter: Splitter, digits, depth: int, width: int, allowed: float)
             continue
         prefix = (splitter.prefix << width) + value
         before, after = splitter.target - below, below + size - splitter.target
-        if min(before, after) <= allowed or rows == 1 or depth == 2 * WORD:
+        if min(before, after) <= allowed or rows == 1:
             ahead = prefix if before <= after else prefix + 1
-            splitter.cut = ahead << (2 * WORD - depth)
+            splitter.cut = ahead << (2 * WORD - depth), 0
+        elif depth == 2 * WORD:
+            # Rows at one place are equal, and so of one size.
+            splitter.cut = prefix, round(before / (size / rows))
         else:
             splitter.prefix, splitter.depth, splitter.below = prefix, depth, below
         return
-    splitter.cut = 1 << (2 * WORD)
+    splitter.cut = 1 << (2 * WORD), 0
 
 
 def _hot_texts(order: DataFrame, limit: int) -> dict[int, int]:
@@ -209,20 +216,46 @@ def _hot_texts(order: DataFrame, limit: int) -> dict[int, int]:
 
     At most rows / limit texts can have so many.
     """
-    limit = max(limit, 1)
     counted = order.groupBy("k1").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
     return {row["k1"]: math.ceil(math.log2(row["n"] / limit)) for row in counted.collect()}
 
 
-def _lookup(spark: SparkSession, cuts: list[int], hot: dict[int, int], bits: int) -> DataFrame:
+def _large_groups(order: DataFrame, hot: dict[int, int], limit: int) -> set[int]:
+    """The places that more rows than the limit share, of which there are rows / limit."""
+    if not hot:
+        return set()
+    listed = order.sparkSession.createDataFrame([(k,) for k in hot], "k1 long")
+    counted = (
+        order.join(F.broadcast(listed), "k1")
+        .groupBy("k1", "k2")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > limit)
+    )
+    return {((r["k1"] - LOWEST) << WORD) + r["k2"] - LOWEST for r in counted.collect()}
+
+
+def _numbered(rows: DataFrame, groups: list[tuple[int, int]], limit: int) -> DataFrame:
+    """Rows with ``occurrence`` among equal ones and ``run``, its block; both matter only in
+    the given groups, whose rows alone are moved for it."""
+    if not groups:
+        return rows.withColumns({"occurrence": F.lit(1).cast("long"), "run": F.lit(0).cast("long")})
+    listed = F.broadcast(rows.sparkSession.createDataFrame(groups, "k1 long, k2 long"))
+    once = rows.join(listed, ["k1", "k2"], "left_anti").select(*rows.columns)
+    repeated = rows.join(listed, ["k1", "k2"], "left_semi").select(*rows.columns)
+    dealt = deal_copies(repeated, ["k1", "k2"])
+    every = once.withColumn("occurrence", F.lit(1).cast("long")).unionByName(dealt)
+    return every.withColumn("run", F.expr(f"(occurrence - 1) div {limit}"))
+
+
+def _lookup(spark: SparkSession, cuts: list[tuple[int, int]], hot: dict[int, int], bits: int) -> DataFrame:
     """For each first digit: the shard it begins in, the cuts inside it, its hot texts.
 
     It has 2 ** bits rows, with one entry for each cut and hot text.
     """
     room = 2 * WORD - bits
     inside: dict[int, list] = {}
-    for cut in cuts:
-        inside.setdefault(cut >> room, []).append(cut)
+    for cut, before in cuts:
+        inside.setdefault(cut >> room, []).append((cut, before))
     hot_at: dict[int, list] = {}
     for text_of, parts in sorted(hot.items()):
         hot_at.setdefault((text_of - LOWEST) >> (WORD - bits), []).append((text_of, parts))
@@ -233,14 +266,14 @@ def _lookup(spark: SparkSession, cuts: list[int], hot: dict[int, int], bits: int
             (
                 value,
                 begun,
-                [(_signed(cut >> WORD), _signed(cut & low)) for cut in here],
+                [(_signed(cut >> WORD), _signed(cut & low), before) for cut, before in here],
                 hot_at.get(value, []),
             )
         )
         begun += len(here)
     return spark.createDataFrame(
         rows,
-        "r1 long, base int, cuts array<struct<c1 long, c2 long>>, "
+        "r1 long, base int, cuts array<struct<c1 long, c2 long, c3 long>>, "
         "hot array<struct<k1 long, parts int>>",
     )
 
@@ -257,7 +290,8 @@ def _placed(rows: DataFrame, lookup: DataFrame, bits: int) -> DataFrame:
         .withColumns(
             {
                 "shard": F.expr(
-                    "base + size(filter(cuts, c -> k1 > c.c1 OR (k1 = c.c1 AND k2 >= c.c2)))"
+                    "base + size(filter(cuts, c -> k1 > c.c1 OR (k1 = c.c1 AND"
+                    " (k2 > c.c2 OR (k2 = c.c2 AND occurrence > c.c3)))))"
                 ),
                 "own": F.expr("get(filter(hot, h -> h.k1 = k1), 0).parts"),
                 "segment": F.expr(

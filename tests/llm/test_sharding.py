@@ -83,11 +83,10 @@ def brute(spark, rows, shards, tolerance):
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("k1"),
         F.md5(F.concat_ws("|", *[
             F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-")) for c in ("doc_id", "text")
-        ])).alias("identity"),
+        ])).alias("rest"),
     ).select(
         "doc_id", "k1",
-        F.xxhash64(F.lit("row"), F.col("doc_id").cast("string"), "identity", F.lit(1).cast("long"))
-        .alias("k2"),
+        F.xxhash64(F.lit("row"), F.col("doc_id").cast("string"), "rest").alias("k2"),
     )
     text_of = dict(rows)
     named = {
