@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspan.operators.lookup import fits_broadcast, lookup
 from panelspan.sinks.scratch import staged
 
 
@@ -43,7 +44,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).toDF("u", "v")
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (
-        both.join(least, "u")
+        _joined(both, least, "u", "v")
         .filter("v > u")
         .select(F.col("m").alias("a"), F.col("v").alias("b"))
         .filter("a <> b")
@@ -54,6 +55,13 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Each smaller neighbour of a node, and the node, are linked with the smallest one."""
     least = links.groupBy("b").agg(F.min("a").alias("m"))
-    joined = links.join(least, "b")
+    joined = _joined(links, least, "b", "a")
     around = joined.select(F.col("m").alias("a"), F.col("a").alias("b")).filter("a <> b")
     return around.union(least.select(F.col("m").alias("a"), "b")).distinct()
+
+
+def _joined(links: DataFrame, least: DataFrame, node: str, other: str) -> DataFrame:
+    """Links with their node's least neighbour, also where most have one node: its links are
+    spread by the other end."""
+    least = staged(least)
+    return lookup(links, least, node, "inner", fits_broadcast(least), spread_by=[other])

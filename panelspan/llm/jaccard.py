@@ -34,20 +34,27 @@ from pyspark.sql import functions as F
 from panelspan.llm.components import components
 from panelspan.llm.frames import pack, pick, small, unpack
 from panelspan.llm.shingles import mixed, shingle_sets
-from panelspan.operators.lookup import fits_broadcast
+from panelspan.operators.lookup import fits_broadcast, lookup
 from panelspan.sinks.scratch import staged
 
 CHUNK_SHINGLES = 1 << 19
 CHUNK_SETS = 60_000
 PART_SHINGLES = 500_000
 PART_BYTES = 16 * 1024 * 1024
-FEWEST_BITS, MOST_BITS = 5, 14
+#: Parts are powers of two. The upper bound is where a part's bits and a shingle's 40 fill
+#: a number: 64 TiB of text, in parts of PART_BYTES.
+FEWEST_BITS, MOST_BITS = 5, 22
+#: With very many parts a chunk grows with them, so that rows keep some shingles each.
+USUAL_BITS, MOST_CHUNK = 14, 1 << 22
 ID_BITS = 40
 MANY = np.uint16(0xFFFF)
+NONE = np.zeros(0, np.int64)
 #: One in so many shingles is sent in the first pass beyond those that must hold one.
 MORE = 10
 LOCAL_HOT = 64
 HOT = 4096
+#: Classes of one shingle that are compared with each other in one group.
+BLOCK = 512
 #: Documents without a key to themselves are numbered from here, beyond the usual keys.
 OWN_KEYS = 1 << 62
 MOST_HOT = 1 << 20
@@ -210,14 +217,30 @@ def _text_hash(text: Column) -> Column:
 
 
 def _part_bits(parts: float) -> int:
-    """Bits of a power of two of parts, in bounds that keep the packed rows from thinning."""
+    """Bits of a power of two of parts."""
     return min(MOST_BITS, max(FEWEST_BITS, math.ceil(math.log2(max(1, parts)))))
 
 
+def _chunk_shingles(bits: int) -> int:
+    """Shingles of a chunk: at least some 32 for each part, up to a bound."""
+    return min(MOST_CHUNK, CHUNK_SHINGLES << max(0, bits - USUAL_BITS))
+
+
+def _cuts(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each number that occurs, with the places where it does."""
+    if not len(numbers):
+        return
+    order = np.argsort(numbers, kind="stable")
+    found, starts = np.unique(numbers[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, starts[1:]), strict=True)
+
+
 # -- first pass: a fingerprint of every set, and the classes that may be alike to others
 
 
 def _sketcher(rule: Rule, bits: int):
+    most = _chunk_shingles(bits)
+
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: list[np.ndarray] = []
         names: list[int] = []
@@ -235,7 +258,7 @@ def _sketcher(rule: Rule, bits: int):
                     sets.append(found)
                     names.append(one[-1])
                     held += len(found)
-                if held >= CHUNK_SHINGLES or len(sets) >= CHUNK_SETS:
+                if held >= most or len(sets) >= CHUNK_SETS:
                     yield _rows(_first_chunk(sets, names, rule, bits))
                     sets, names, held = [], [], 0
             yield _rows(
@@ -284,11 +307,7 @@ def _first_chunk(
     if len(local):
         rows.append(_packed_row(LIKELY, pickle.dumps((table[local], times))))
     tokens, owner = tokens[opens], np.where(shared, MANY, owner[opens])
-    part = (tokens & np.uint64((1 << bits) - 1)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange((1 << bits) + 1))
-    for p in np.flatnonzero(np.diff(cuts)).tolist():
-        here = order[cuts[p] : cuts[p + 1]]
+    for p, here in _cuts((tokens & np.uint64((1 << bits) - 1)).astype(np.int64)):
         rows.append(_packed_row(p, _packed(tokens[here], owner[here], table, bits)))
     return rows
 
@@ -421,6 +440,8 @@ def _prefixes(
 
 
 def _counter(rule: Rule, bits: int, shared):
+    most = _chunk_shingles(bits)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, rank = shared.value
         sets: list[np.ndarray] = []
@@ -435,7 +456,7 @@ def _counter(rule: Rule, bits: int, shared):
                     sets.append(found)
                     names.append(name)
                     held += len(found)
-                if held >= CHUNK_SHINGLES or len(sets) >= CHUNK_SETS:
+                if held >= most or len(sets) >= CHUNK_SETS:
                     yield _second_chunk(sets, names, hot, rank, bits)
                     sets, names, held = [], [], 0
         if sets:
@@ -458,10 +479,7 @@ def _second_chunk(sets, names, hot, rank, bits) -> pa.RecordBatch:
         np.cumsum(np.bincount(owner[is_hot], minlength=len(sets)))[:-1],
     )
     sent, owner = tokens[~is_hot], owner[~is_hot]
-    part = (sent & low).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    home: list[list] = [[] for _ in range(parts)]
+    home: dict[int, list] = {}
     for i, found in enumerate(sets):
         ranges = np.minimum(
             np.bincount((found >> np.uint64(59)).astype(np.int64), minlength=RANGES), 1 << 30
@@ -469,15 +487,15 @@ def _second_chunk(sets, names, hot, rank, bits) -> pa.RecordBatch:
         mask = np.uint64((1 << (ID_BITS + bits)) - 1)
         ids = (hot[np.isin(hot, found)] if len(hot) else np.zeros(0, np.uint64)) & mask
         ranks = hot_rank[i]
-        home[names[i] & (parts - 1)].append(
+        home.setdefault(names[i] & (parts - 1), []).append(
             (names[i], len(found), ids.astype(np.int64), ranks, ranges.astype(np.int32))
         )
     out = []
-    for p in range(parts):
-        here = order[cuts[p] : cuts[p + 1]]
-        if len(here) or home[p]:
-            packed = _packed(sent[here], owner[here], table, bits)
-            out.append((p, pickle.dumps((packed, home[p]))))
+    places = dict(_cuts((sent & low).astype(np.int64)))
+    for p in sorted(places.keys() | home.keys()):
+        here = places.get(p, NONE)
+        packed = _packed(sent[here], owner[here], table, bits)
+        out.append((p, pickle.dumps((packed, home.get(p, [])))))
     return pa.RecordBatch.from_arrays(
         [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
         names=["part", "payload"],
@@ -506,22 +524,21 @@ def _answer(bits: int):
         level = np.minimum(255, np.round(8 * np.log2(np.maximum(count[kept], 1))))
         tokens, names = (numbers[kept] << bits) | part, names[kept]
         bucket = (names >> 20) & (buckets - 1)
-        homes: list[list] = [[] for _ in range(buckets)]
+        homes: dict[int, list] = {}
         for _, home in opened:
             for item in home:
-                homes[(item[0] >> 20) & (buckets - 1)].append(item)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                homes.setdefault((item[0] >> 20) & (buckets - 1), []).append(item)
+        places = dict(_cuts(bucket))
         rows = []
-        for b in range(buckets):
-            here = order[cuts[b] : cuts[b + 1]]
-            if len(here) or homes[b]:
-                by_name = here[np.argsort(names[here], kind="stable")]
-                owners, sizes = np.unique(names[by_name], return_counts=True)
-                body = (
-                    owners, sizes, tokens[by_name], level.astype(np.uint8)[by_name], homes[b],
-                )
-                rows.append((b, pickle.dumps(body)))
+        for b in sorted(places.keys() | homes.keys()):
+            here = places.get(b, NONE)
+            by_name = here[np.argsort(names[here], kind="stable")]
+            owners, sizes = np.unique(names[by_name], return_counts=True)
+            body = (
+                owners, sizes, tokens[by_name], level.astype(np.uint8)[by_name],
+                homes.get(b, []),
+            )
+            rows.append((b, pickle.dumps(body)))
         return pd.DataFrame(rows, columns=["bucket", "payload"])
 
     return answer
@@ -607,12 +624,18 @@ def _leaders(prefixes: DataFrame) -> DataFrame:
     )
 
 
+def _with_leaders(entries: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Entries with what is known of their token's leader, also where most have one token."""
+    small = fits_broadcast(leaders)
+    return lookup(entries, leaders, "token", "inner", small, spread_by=["f1"])
+
+
 def _to_leaders(prefixes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of each class with the leader of a prefix shingle."""
     entries = prefixes.select(
-        "token", F.struct("alone", "f1", "n", "place", "ranges").alias("x")
+        "token", "f1", F.struct("alone", "f1", "n", "place", "ranges").alias("x")
     )
-    joined = entries.join(_leaders(prefixes), "token")
+    joined = _with_leaders(entries, staged(_leaders(prefixes)))
     return _pairs(joined.filter(f"x.f1 <> y.f1 AND {_passes(rule)}"))
 
 
@@ -627,8 +650,10 @@ def _across(
     class does not have alone.
     """
     known = (
-        prefixes.join(linked.withColumnRenamed("node", "f1"), "f1", "left")
-        .join(_leaders(prefixes).select("token", F.col("y.f1").alias("leader")), "token")
+        _with_leaders(
+            prefixes.join(linked.withColumnRenamed("node", "f1"), "f1", "left"),
+            staged(_leaders(prefixes).select("token", F.col("y.f1").alias("leader"))),
+        )
         .withColumns(
             {
                 "root": F.coalesce("root", "f1"),
@@ -648,16 +673,27 @@ def _across(
     known = staged(known)
     split = (
         known.groupBy("token")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        .agg(
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"),
+        )
         .filter("low <> high")
-        .select("token")
+        .select("token", "blocks")
     )
     open_ones = staged(known.join(split, "token"))
+    # The classes of a token are dealt to blocks, and blocks are compared two by two.
     entry = F.struct("f1", "n", "alone", "place", "held", "beside", "root", "ranges")
-    pairs = open_ones.select("token", entry.alias("x")).join(
-        open_ones.select(F.col("token").alias("t"), entry.alias("y")),
+    own = F.pmod(F.xxhash64("f1"), F.col("blocks")).cast("int")
+    every = F.explode(F.expr("sequence(0, blocks - 1)"))
+    ones = open_ones.select("token", own.alias("one"), every.alias("two"), entry.alias("x"))
+    others = open_ones.select(
+        F.col("token").alias("t"), every.alias("o"), own.alias("w"), entry.alias("y")
+    )
+    pairs = ones.join(
+        others,
         F.expr(
-            "token = t AND x.root < y.root"
+            "token = t AND one = o AND two = w AND x.root < y.root"
             f" AND least(x.held, y.held) + least(x.beside, y.beside) >= {_needed(rule)}"
             f" AND {_passes(rule)}"
         ),

@@ -89,6 +89,19 @@ def test_small_chunks_and_hot_shingles_change_nothing(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == brute(texts, Rule(4, 85))
 
 
+def test_very_many_parts_and_blocks_change_nothing(spark, monkeypatch):
+    """Parts far beyond the shingles there are, and shingles whose classes are in blocks."""
+    texts = near_copies(8, groups=6)
+    monkeypatch.setattr(jaccard, "PART_BYTES", 0.01)
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", 0.01)
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    monkeypatch.setattr(jaccard, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr("panelspan.llm.components.fits_broadcast", lambda df: False)
+    found = jaccard_components(docs(spark, texts).repartition(3), Rule(4, 85)).collect()
+    got = {r["key"]: (r["n_shingles"], r["component"]) for r in found}
+    assert [got[i] for i in range(len(texts))] == brute(texts, Rule(4, 85))
+
+
 def test_a_large_group_lists_no_pairs_of_its_own(spark, monkeypatch):
     random_ = random.Random(9)
     base = [f"b{i}" for i in range(150)]
