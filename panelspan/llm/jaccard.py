@@ -55,6 +55,8 @@ LOCAL_HOT = 64
 HOT = 4096
 #: Classes of one shingle that are compared with each other in one group.
 BLOCK = 512
+#: Leaders are broadcast up to this; beyond, hot shingles alone are salted.
+LEADER_BYTES = 8 * 1024 * 1024
 #: Documents without a key to themselves are numbered from here, beyond the usual keys.
 OWN_KEYS = 1 << 62
 MOST_HOT = 1 << 20
@@ -626,7 +628,7 @@ def _leaders(prefixes: DataFrame) -> DataFrame:
 
 def _with_leaders(entries: DataFrame, leaders: DataFrame) -> DataFrame:
     """Entries with what is known of their token's leader, also where most have one token."""
-    small = fits_broadcast(leaders)
+    small = fits_broadcast(leaders, LEADER_BYTES)
     return lookup(entries, leaders, "token", "inner", small, spread_by=["f1"])
 
 

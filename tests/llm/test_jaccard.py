@@ -95,8 +95,8 @@ def test_very_many_parts_and_blocks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "PART_BYTES", 0.01)
     monkeypatch.setattr(jaccard, "PART_SHINGLES", 0.01)
     monkeypatch.setattr(jaccard, "BLOCK", 2)
-    monkeypatch.setattr(jaccard, "fits_broadcast", lambda df: False)
-    monkeypatch.setattr("panelspan.llm.components.fits_broadcast", lambda df: False)
+    monkeypatch.setattr(jaccard, "fits_broadcast", lambda df, limit=0: False)
+    monkeypatch.setattr("panelspan.llm.components.BROADCAST_BYTES", -1)
     found = jaccard_components(docs(spark, texts).repartition(3), Rule(4, 85)).collect()
     got = {r["key"]: (r["n_shingles"], r["component"]) for r in found}
     assert [got[i] for i in range(len(texts))] == brute(texts, Rule(4, 85))
