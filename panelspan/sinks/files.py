@@ -34,8 +34,10 @@ class Files:
         return fs.exists(at)
 
     def total_bytes(self, path: str) -> int:
+        """Bytes of all files of a path, which may be a pattern; 0 if there are none."""
         fs, at = self._open(path)
-        return fs.getContentSummary(at).getLength()
+        found = fs.globStatus(at) or []
+        return sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
 
     def make_folder(self, path: str) -> None:
         fs, at = self._open(path)

@@ -109,3 +109,11 @@ def test_published_files_come_back_in_splits(spark, tmp_path, small_splits):
         ps.publish(source, f"{tmp_path}/{one}.csv", "csv", single_file=one, order_by=["id"])
         split, whole = both(spark, f"{tmp_path}/{one}.csv")
         assert split == whole
+
+
+def test_patterns_name_several_files(spark, tmp_path, small_splits):
+    for part in "ab":
+        written([NAMES, *made(random.Random(part), 10)], tmp_path / f"{part}.csv")
+    (tmp_path / "other.txt").write_text("not to be read")
+    split, whole = both(spark, tmp_path / "*.csv")
+    assert split == whole and len(split) == 20
