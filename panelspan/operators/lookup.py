@@ -178,15 +178,24 @@ def _spread(spread_by: Sequence[str], salts: Column) -> Column:
     return F.pmod(F.xxhash64(*[column(name) for name in spread_by]), salts).cast("int")
 
 
+def _none(key: str) -> Column:
+    """The salt 0, as a value that stays part of the partitioning."""
+    return F.pmod(F.xxhash64(column(key)), F.lit(1)).cast("int")
+
+
 def _salted(
     large: DataFrame, key: str, hot: dict[int, int], spread_by: Sequence[str]
 ) -> DataFrame:
+    if not hot:
+        return large.withColumn(SALT, _none(key))
     marked = _with_salts(large, key, hot)
     salt = F.when(column(SALTS).isNull(), 0).otherwise(_spread(spread_by, column(SALTS)))
     return marked.withColumn(SALT, salt).drop(SALTS)
 
 
 def _copied(keyed: DataFrame, key: str, hot: dict[int, int]) -> DataFrame:
+    if not hot:
+        return keyed.withColumn(SALT, _none(key))
     last = F.coalesce(column(SALTS), F.lit(1)) - 1
     marked = _with_salts(keyed, key, hot)
     return marked.withColumn(SALT, F.explode(F.sequence(F.lit(0), last))).drop(SALTS)
