@@ -197,15 +197,22 @@ def series_wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_wide_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = ps.pivot_series(staged(sales_long(spark, sf_dir)), fx.ORDERS)
-    return _unpivoted(wide, 4, fx.ORDERS.series_name)
+    panel = staged(sales_long(spark, sf_dir))
+    headers = ps.series_headers(panel, fx.ORDERS)
+    return _cells(ps.pivot_series(panel, fx.ORDERS, headers=headers or None), headers)
 
 
 def series_wide_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shapes = ps.pivot_series_by_topic(staged(sales_long(spark, sf_dir)), fx.ORDERS)
-    return reduce(
-        DataFrame.union, [_unpivoted(wide, 4, fx.ORDERS.series_name) for wide in shapes.values()]
-    )
+    panel = staged(sales_long(spark, sf_dir))
+    shapes = ps.pivot_series_by_topic(panel, fx.ORDERS)
+    return reduce(DataFrame.union, [_cells(wide, None) for wide in shapes.values()])
+
+
+def _cells(wide: DataFrame, headers: DataFrame | list[str] | None) -> DataFrame:
+    """One row per filled cell of a shape in one table, or in blocks with a table of names."""
+    if isinstance(headers, DataFrame):
+        return ps.series_cells(wide, headers, fx.ORDERS)
+    return _unpivoted(wide, 4, fx.ORDERS.series_name)
 
 
 def _unpivoted(wide: DataFrame, keys: int, header: str) -> DataFrame:

@@ -37,6 +37,9 @@ from panelspan.operators.reshape import (
     pivot_period,
     pivot_series,
     pivot_series_by_topic,
+    series_blocks,
+    series_cells,
+    series_headers,
 )
 from panelspan.plans.job import PanelOutputs, long_panel, publish_panel
 from panelspan.sinks import Publication, export_dataset, publish, recover, stage_export
@@ -83,6 +86,9 @@ __all__ = [
     "quality_report",
     "recover",
     "rejected_rows",
+    "series_blocks",
+    "series_cells",
+    "series_headers",
     "stage_export",
     "topic_by_code",
     "unmapped_series",

@@ -5,6 +5,11 @@ a row as wide as the whole result. Here narrow rows are moved once, by the row
 key, and all of the pivot runs in place: no wide row ever crosses the network. A
 cell with several observations raises in the same aggregation, and so does an
 observation whose header was not asked for.
+
+A schema is held by the driver and by every task, so one table has room for some thousands
+of columns. Beyond, a wide shape is made in blocks of columns, in one table: a row for each
+row key and block in which it has an observation, with the columns ``0``, ``1``, ... of the
+block. A second table tells which series has which column of which block.
 """
 
 from __future__ import annotations
@@ -13,18 +18,35 @@ import math
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspan.errors import InvalidHeaders
 from panelspan.functions import column, quoted
-from panelspan.operators.lookup import fits_broadcast, shuffle_partitions
+from panelspan.operators.lookup import fits_broadcast, lookup, shuffle_partitions
 from panelspan.sinks.scratch import staged
 from panelspan.spec import PANEL, PanelSpec
 
 DUPLICATE_CELL = "DUPLICATE_CELL"
 UNLISTED_HEADER = "UNLISTED_HEADER"
 
+SHAPE, BUCKET, PLACE = "_shape", "_bucket", "_place"
+#: The columns of a shape in blocks, and of the table of its names.
+BLOCK, COLUMN, OBSERVATIONS = "_block", "_column", "_observations"
+NAME, AT, PART, START = "_name", "_at", "_part", "_start"
+
+#: The most series with columns in one table, by default.
+MOST_COLUMNS = 2_000
+#: Columns of a block. Few rows of a wide panel are full, and each cell that is empty beside a
+#: filled one costs time.
+BLOCK_COLUMNS = 256
+#: What a partition of wide rows may take in memory, and the most partitions.
+WIDE_BYTES_PER_PARTITION = 64 * 1024 * 1024
+CELL_BYTES = 8
+MOST_PARTITIONS = 20_000
+#: A table of names is broadcast by way of the driver, so up to a lower size than others.
+NAMES_BROADCAST_BYTES = 16 * 1024 * 1024
+
 
 def pivot_headers(panel: DataFrame, name: str, max_headers: int | None = None) -> list[Any]:
     """The distinct values of a column, ascending: the columns of a wide shape.
@@ -65,6 +87,92 @@ def shape_headers(
     return values
 
 
+def series_headers(
+    panel: DataFrame,
+    spec: PanelSpec = PANEL,
+    max_headers: int | None = None,
+    most_columns: int = MOST_COLUMNS,
+    stage: Callable[..., DataFrame] = staged,
+) -> list[str] | DataFrame:
+    """The headers for ``pivot_series``: the series names, ascending, or beyond
+    ``most_columns`` the table of ``series_blocks``. No more names than that are fetched."""
+    name = spec.series_name
+    few = panel.select(column(name)).distinct().limit(most_columns + 1).count() <= most_columns
+    if few:
+        return pivot_headers(panel, name, max_headers)
+    return series_blocks(panel, spec, max_headers=max_headers, stage=stage)
+
+
+def series_blocks(
+    panel: DataFrame,
+    spec: PanelSpec = PANEL,
+    by_topic: bool = False,
+    width: int = BLOCK_COLUMNS,
+    max_headers: int | None = None,
+    stage: Callable[..., DataFrame] = staged,
+) -> DataFrame:
+    """Which column of which block each series has: its name (with ``by_topic`` the topic
+    before it), ``_block``, ``_column``, and its number of observations.
+
+    Names are dealt in ascending order, ``width`` to a block. They are sorted and numbered
+    by many tasks; only the number of names in each part of the sorted table reaches the
+    driver. Raises ``InvalidHeaders`` as one table would.
+    """
+    names = [spec.topic, spec.series_name] if by_topic else [spec.series_name]
+    named = [column(name) for name in names]
+    listed = stage(
+        panel.groupBy(*named)
+        .agg(F.count(F.lit(1)).alias(OBSERVATIONS))
+        .orderBy(*named)
+        .withColumn(AT, F.monotonically_increasing_id())
+    )
+    # The id holds the part of the table in its upper bits and the row within in the lower.
+    part = F.shiftright(AT, 33)
+    counts = listed.groupBy(part.alias(PART)).agg(F.count(F.lit(1)).alias("n")).collect()
+    starts, total = [], 0
+    for found, n in sorted(map(tuple, counts)):
+        starts.append((found, total))
+        total += n
+    if max_headers is not None and total > max_headers:
+        raise InvalidHeaders(f"There are more than {max_headers} series (max_headers).")
+    _check_names(panel, spec, listed, names)
+    start = panel.sparkSession.createDataFrame(starts, f"{PART} long, {START} long")
+    index = column(START) + column(AT).bitwiseAND(F.lit((1 << 33) - 1))
+    placed = listed.withColumn(PART, part).join(F.broadcast(start), PART)
+    return stage(
+        placed.select(
+            *named,
+            F.floor(index / width).cast("int").alias(BLOCK),
+            (index % width).cast("int").alias(COLUMN),
+            OBSERVATIONS,
+        )
+    )
+
+
+def _check_names(
+    panel: DataFrame, spec: PanelSpec, listed: DataFrame, names: Sequence[str]
+) -> None:
+    """Raise on names that are null, and on those that ``check_headers`` would not take."""
+    for name in names:
+        if not listed.filter(column(name).isNull()).isEmpty():
+            raise InvalidHeaders(f"Column {name!r} holds nulls, which cannot become a column.")
+    cased = panel.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+
+    def folded(name: Column) -> Column:
+        return name if cased else F.lower(name)
+
+    *topic, series = [column(name) for name in names]
+    keys = [folded(F.lit(key)) for key in spec.series_shape_keys(panel)]
+    alike = (
+        listed.groupBy(*topic, folded(series).alias(NAME))
+        .agg(F.min(series).alias("a"), F.max(series).alias("b"))
+        .filter((F.col("a") != F.col("b")) | column(NAME).isin(*keys))
+        .first()
+    )
+    if alike:
+        raise InvalidHeaders(f"Columns {alike['a']!r} and {alike['b']!r} would collide.")
+
+
 def check_headers(panel: DataFrame, keys: Sequence[str], headers: Sequence[Any]) -> None:
     """Raise if a wide shape would have two columns that Spark cannot tell apart."""
     cased = panel.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
@@ -76,14 +184,13 @@ def check_headers(panel: DataFrame, keys: Sequence[str], headers: Sequence[Any])
         seen[folded] = name
 
 
-def _guarded(keys: list[str], header: str, value: str, listed: Sequence[Any] | None) -> Column:
+def _guarded(keys: list[str], header: str, value: str, known: Column | None) -> Column:
     """The value of a cell; raises on a second one, and on a header that is not listed."""
     what = ", ".join([*keys, header])
     duplicate = F.raise_error(F.lit(f"{DUPLICATE_CELL}: several observations for one ({what})"))
     cell = F.when(F.count(F.lit(1)) > 1, duplicate)
-    if listed is not None:
+    if known is not None:
         unlisted = F.raise_error(F.lit(f"{UNLISTED_HEADER}: {header!r} has a value not in headers"))
-        known = F.coalesce(column(header).isin(list(listed)), F.lit(False))
         cell = cell.when(~F.bool_and(known), unlisted)
     return cell.otherwise(F.first(column(value)))
 
@@ -106,20 +213,91 @@ def _widen(
     elif not headers:
         raise InvalidHeaders("The list of headers is empty.")
     check_headers(panel, keys, headers)
+    known = None
+    if listed is not None:
+        known = F.coalesce(column(header).isin(list(listed)), F.lit(False))
     cells = panel.select(*key_columns, column(header), column(value))
     moved = [partitions, *key_columns] if partitions else key_columns
     return (
         cells.repartition(*moved)
         .groupBy(*key_columns)
         .pivot(quoted(header), list(headers))
-        .agg(_guarded(keys, header, value, listed))
+        .agg(_guarded(keys, header, value, known))
     )
 
 
+def _widen_blocks(
+    panel: DataFrame, spec: PanelSpec, listed: DataFrame, partitions: int | None
+) -> DataFrame:
+    """One row per row key and block, pivoted by the column that each series has in its block."""
+    keys = spec.series_shape_keys(panel)
+    key_columns = [column(name) for name in keys]
+    total = listed.agg(F.sum(OBSERVATIONS).alias("rows"), F.max(COLUMN).alias("last")).first()
+    width = (total["last"] or 0) + 1
+    places = list(range(width))
+    check_headers(panel, keys, [BLOCK, *places])
+    # A row may have no more than one observation.
+    wide_bytes = (total["rows"] or 0) * width * CELL_BYTES
+    parts = max(
+        partitions or 0,
+        shuffle_partitions(panel.sparkSession),
+        min(MOST_PARTITIONS, math.ceil(wide_bytes / WIDE_BYTES_PER_PARTITION)),
+    )
+    names = F.struct(*[column(c) for c in (spec.topic, spec.series_name) if c in listed.columns])
+    # A block with many observations is dealt to several partitions by row key.
+    share = F.sum(OBSERVATIONS).over(Window.partitionBy(BLOCK)) / F.lit(total["rows"])
+    columns = listed.select(
+        names.alias(NAME), BLOCK, COLUMN, F.ceil(share * parts).cast("int").alias(BUCKET)
+    )
+    cells = lookup(
+        panel.select(*key_columns, column(spec.value), names.alias(NAME)),
+        columns,
+        NAME,
+        how="left",
+        small=fits_broadcast(columns, NAMES_BROADCAST_BYTES),
+        spread_by=keys,
+    )
+    bucket = F.pmod(F.xxhash64(*key_columns), column(BUCKET)).cast("int")
+    dealt = cells.drop(NAME).withColumn(BUCKET, bucket).repartition(parts, BLOCK, BUCKET)
+    # The bucket is one of the grouped columns: both groupings run where the rows were dealt.
+    return (
+        dealt.groupBy(*key_columns, BLOCK, BUCKET)
+        .pivot(COLUMN, places)
+        .agg(_guarded(keys, spec.series_name, spec.value, column(BLOCK).isNotNull()))
+        .drop(BUCKET)
+    )
+
+
+def series_cells(wide: DataFrame, headers: DataFrame, spec: PanelSpec = PANEL) -> DataFrame:
+    """The filled cells of a series shape in blocks, one row for each, under their names."""
+    keys = wide.columns[: wide.columns.index(BLOCK)]
+    places = wide.columns[len(keys) + 1 :]
+    names = [spec.series_name]
+    key_columns = [column(name) for name in keys]
+    cells = wide.select(
+        *key_columns,
+        BLOCK,
+        F.posexplode(F.array(*[column(name) for name in places])).alias(COLUMN, spec.value),
+    ).filter(column(spec.value).isNotNull())
+
+    def place(rows: DataFrame) -> Column:
+        return (rows[BLOCK].cast("long") * len(places) + rows[COLUMN]).alias(AT)
+
+    columns = headers.select(place(headers), *[column(name) for name in names])
+    return lookup(
+        cells.select(*key_columns, column(spec.value), place(cells)),
+        columns,
+        AT,
+        how="inner",
+        small=fits_broadcast(columns, NAMES_BROADCAST_BYTES),
+        spread_by=keys,
+    ).select(*key_columns, *[column(name) for name in names], column(spec.value))
+
+
 def pivot_series(
     panel: DataFrame,
     spec: PanelSpec = PANEL,
-    headers: Sequence[str] | None = None,
+    headers: Sequence[str] | DataFrame | None = None,
     max_headers: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -131,7 +309,14 @@ def pivot_series(
     observations for one cell raise too; both do when the result is computed.
     ``partitions`` is the number that rows are dealt to by row key, if Spark's
     setting is not enough.
+
+    With the table of ``series_blocks`` as ``headers`` the shape comes in blocks of columns,
+    for any number of series: the row keys, ``_block``, and the columns of a block. A row
+    key has a row in each block where it has observations. ``series_headers`` gives either
+    list or table; ``series_cells`` turns the blocks back into named cells.
     """
+    if isinstance(headers, DataFrame):
+        return _widen_blocks(panel, spec, headers, partitions)
     keys = spec.series_shape_keys(panel)
     return _widen(
         panel, keys, spec.series_name, spec.value, headers, max_headers, partitions
@@ -153,9 +338,6 @@ def pivot_period(
     return _widen(panel, keys, spec.period, spec.value, headers, max_headers, partitions)
 
 
-SHAPE, BUCKET, PLACE = "_shape", "_bucket", "_place"
-
-
 def pivot_series_by_topic(
     panel: DataFrame,
     spec: PanelSpec = PANEL,

@@ -353,3 +353,72 @@ def test_keys_that_hash_alike_are_told_apart(spark):
     assert ps.duplicate_keys(panel, ["a", "b"]).collect() == []
     again = panel.union(panel.limit(1))
     assert rows(ps.duplicate_keys(again, ["a", "b"])) == [(None, "x", 2)]
+
+
+MANY = [
+    (f"E{e}", f"C{e}", f"S{s:02}`.é", f"s{s}", 2000 + y, float(e * s + y), f"T {s % 3}/é")
+    for e in range(5) for s in range(23) for y in range(4) if (e + s + y) % 3
+]
+
+
+def no_columns_of_names(df):
+    return df.columns[4:] == ["_block", "0", "1", "2", "3"]
+
+
+def test_more_series_than_one_table_holds_come_in_blocks_of_columns(spark):
+    panel = topical(spark, *MANY, ("Z", "Z", "S01`.é", "s1", 2020, None, "T 1/é"))
+    headers = ps.series_blocks(panel, width=4)
+    places = [tuple(row)[:3] for row in headers.orderBy("_block", "_column").collect()]
+    assert places == [(f"S{s:02}`.é", s // 4, s % 4) for s in range(23)]
+    assert headers.agg(F.sum("_observations")).first()[0] == len(MANY) + 1
+    wide = ps.pivot_series(panel, headers=headers, partitions=7)
+    assert no_columns_of_names(wide)
+    keys = wide.columns[:4]
+    # One row for each row key and block with observations, a null one among them.
+    want = {(*row[:2], row[4], row[6], int(row[2][1:3]) // 4) for row in MANY}
+    assert sorted(tuple(r) for r in wide.select(*keys, "_block").collect()) == sorted(
+        want | {("Z", "Z", 2020, "T 1/é", 0)}
+    )
+    cells = ps.series_cells(wide, headers)
+    assert rows(cells) == sorted(
+        ((r[0], r[1], r[4], r[6], r[2], r[5]) for r in MANY), key=repr
+    )
+
+
+def test_the_number_of_series_decides_between_one_table_and_blocks(spark):
+    panel = topical(spark, *MANY)
+    few = ps.series_headers(panel, most_columns=23)
+    assert few == sorted({row[2] for row in MANY})
+    many = ps.series_headers(panel, most_columns=22)
+    assert many.count() == 23
+    # No schema holds a name: it does not grow with the series.
+    assert len(ps.pivot_series(panel, headers=many).columns) == 5 + 23
+
+
+def test_blocks_keep_the_rules_of_one_table(spark):
+    panel = topical(spark, *MANY)
+    headers = ps.series_blocks(panel, width=4)
+    with pytest.raises(PySparkException, match="DUPLICATE_CELL"):
+        ps.pivot_series(panel.union(panel.limit(1)), headers=headers).collect()
+    other = topical(spark, *MANY, ("A", "A", "Unlisted", "u", 2020, 1.0, "T 1/é"))
+    with pytest.raises(PySparkException, match="UNLISTED_HEADER"):
+        ps.pivot_series(other, headers=headers).collect()
+    alike = topical(spark, *MANY, ("A", "A", "s01`.É", "u", 2020, 1.0, "T 0/é"))
+    with pytest.raises(ps.InvalidHeaders, match="collide"):
+        ps.series_blocks(alike, width=4)
+    assert ps.series_blocks(alike, by_topic=True, width=4).count() == 24
+    with pytest.raises(ps.InvalidHeaders, match="collide"):
+        ps.series_blocks(topical(spark, ("A", "A", "year", "u", 2020, 1.0, "T")))
+    with pytest.raises(ps.InvalidHeaders, match="null"):
+        ps.series_blocks(topical(spark, ("A", "A", None, "u", 2020, 1.0, "T")))
+    with pytest.raises(ps.InvalidHeaders, match="max_headers"):
+        ps.series_blocks(panel, max_headers=22)
+
+
+def test_a_table_of_names_too_large_to_send_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr("panelspan.operators.reshape.NAMES_BROADCAST_BYTES", 0)
+    panel = topical(spark, *MANY)
+    headers = ps.series_blocks(panel, width=4)
+    cells = ps.series_cells(ps.pivot_series(panel, headers=headers), headers)
+    want = [(r[0], r[1], r[4], r[6], r[2], r[5]) for r in MANY]
+    assert rows(cells) == sorted(want, key=repr)
