@@ -204,8 +204,9 @@ def series_wide_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def series_wide_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = staged(sales_long(spark, sf_dir))
-    shapes = ps.pivot_series_by_topic(panel, fx.ORDERS)
-    return reduce(DataFrame.union, [_cells(wide, None) for wide in shapes.values()])
+    headers = ps.topic_headers(panel, fx.ORDERS)
+    shapes = ps.pivot_series_by_topic(panel, fx.ORDERS, headers=headers)
+    return reduce(DataFrame.union, [_cells(wide, headers) for wide in shapes.values()])
 
 
 def _cells(wide: DataFrame, headers: DataFrame | list[str] | None) -> DataFrame:

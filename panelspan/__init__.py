@@ -40,6 +40,7 @@ from panelspan.operators.reshape import (
     series_blocks,
     series_cells,
     series_headers,
+    topic_headers,
 )
 from panelspan.plans.job import PanelOutputs, long_panel, publish_panel
 from panelspan.sinks import Publication, export_dataset, publish, recover, stage_export
@@ -91,6 +92,7 @@ __all__ = [
     "series_headers",
     "stage_export",
     "topic_by_code",
+    "topic_headers",
     "unmapped_series",
     "used_dimension",
 ]

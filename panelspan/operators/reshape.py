@@ -103,6 +103,22 @@ def series_headers(
     return series_blocks(panel, spec, max_headers=max_headers, stage=stage)
 
 
+def topic_headers(
+    panel: DataFrame,
+    spec: PanelSpec = PANEL,
+    max_headers: int | None = None,
+    most_columns: int = MOST_COLUMNS,
+    stage: Callable[..., DataFrame] = staged,
+) -> DataFrame | None:
+    """The headers for ``pivot_series_by_topic``: None while every topic has room in one
+    table, beyond ``most_columns`` in one of them the table of ``series_blocks``."""
+    names = [column(spec.topic), column(spec.series_name)]
+    counts = panel.select(*names).distinct().groupBy(names[0]).count()
+    if (counts.agg(F.max("count")).first()[0] or 0) <= most_columns:
+        return None
+    return series_blocks(panel, spec, by_topic=True, max_headers=max_headers, stage=stage)
+
+
 def series_blocks(
     panel: DataFrame,
     spec: PanelSpec = PANEL,
@@ -344,6 +360,7 @@ def pivot_series_by_topic(
     max_headers: int | None = None,
     partitions: int | None = None,
     stage: Callable[..., DataFrame] = staged,
+    headers: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """For each topic, ``pivot_series`` of its rows: only columns of series it has.
 
@@ -357,10 +374,15 @@ def pivot_series_by_topic(
     ``max_headers`` bounds the series of all topics together, before they are fetched. Two
     observations for one cell raise while the table is written. Give a written panel, as
     it is read twice. ``stage`` writes a table, partitioned, and reads it back.
+
+    With ``headers`` from ``topic_headers`` each shape comes in blocks, as ``pivot_series``
+    makes them.
     """
     keys = spec.series_shape_keys(panel)
     if spec.topic not in keys:
         raise InvalidHeaders(f"The panel has no column {spec.topic!r}.")
+    if headers is not None:
+        return _blocks_by_topic(panel, spec, headers, partitions, stage)
     topics, rows = _series_by_topic(panel, spec, max_headers)
     for headers in topics.values():
         check_headers(panel, keys, headers)
@@ -405,6 +427,25 @@ def pivot_series_by_topic(
     }
 
 
+def _blocks_by_topic(
+    panel: DataFrame,
+    spec: PanelSpec,
+    headers: DataFrame,
+    partitions: int | None,
+    stage: Callable[..., DataFrame],
+) -> dict[str, DataFrame]:
+    topic = column(spec.topic)
+    topics = sorted(row[0] for row in headers.select(topic).distinct().collect())
+    wide = _widen_blocks(panel, spec, headers, partitions)
+    # Topics are numbered, as the names of folders do not keep every text.
+    number = F.array_position(F.array(*map(F.lit, topics)), topic).cast("int")
+    table = stage(wide.withColumn(SHAPE, number), partition_by=[SHAPE])
+    return {
+        name: table.filter(column(SHAPE) == shape).drop(SHAPE)
+        for shape, name in enumerate(topics, start=1)
+    }
+
+
 def _series_by_topic(
     panel: DataFrame, spec: PanelSpec, max_headers: int | None
 ) -> tuple[dict[str, list[str]], dict[str, int]]:

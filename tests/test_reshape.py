@@ -393,6 +393,8 @@ def test_the_number_of_series_decides_between_one_table_and_blocks(spark):
     assert many.count() == 23
     # No schema holds a name: it does not grow with the series.
     assert len(ps.pivot_series(panel, headers=many).columns) == 5 + 23
+    assert ps.topic_headers(panel, most_columns=8) is None
+    assert ps.topic_headers(panel, most_columns=7).count() == 23
 
 
 def test_blocks_keep_the_rules_of_one_table(spark):
@@ -415,6 +417,23 @@ def test_blocks_keep_the_rules_of_one_table(spark):
         ps.series_blocks(panel, max_headers=22)
 
 
+def test_topics_with_too_many_series_come_in_blocks(spark):
+    shared = ("A", "AAA", "S01`.é", "s1", 2020, 9.0, "T 2/é")
+    panel = topical(spark, *MANY, shared)
+    headers = ps.series_blocks(panel, by_topic=True, width=4)
+    assert headers.columns[:2] == ["Topic", "Series Name"] and headers.count() == 24
+    shapes = ps.pivot_series_by_topic(panel, headers=headers)
+    assert list(shapes) == ["T 0/é", "T 1/é", "T 2/é"]
+    found = []
+    for topic, wide in shapes.items():
+        assert no_columns_of_names(wide)
+        cells = rows(ps.series_cells(wide, headers))
+        assert {row[3] for row in cells} == {topic}
+        found += cells
+    want = [(r[0], r[1], r[4], r[6], r[2], r[5]) for r in [*MANY, shared]]
+    assert sorted(found, key=repr) == sorted(want, key=repr)
+
+
 def test_a_table_of_names_too_large_to_send_is_shuffled(spark, monkeypatch):
     monkeypatch.setattr("panelspan.operators.reshape.NAMES_BROADCAST_BYTES", 0)
     panel = topical(spark, *MANY)
