@@ -329,8 +329,8 @@ def job_catalog_long_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_catalog_series_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = spark.read.parquet(_catalog_job(spark, sf_dir).series_wide)
-    return _unpivoted(wide, 4, fx.ORDERS.series_name)
+    target = _catalog_job(spark, sf_dir).series_wide
+    return _cells(spark.read.parquet(target), ps.load_series_names(spark, target))
 
 
 def job_catalog_series_topics(spark: SparkSession, sf_dir: str) -> DataFrame:

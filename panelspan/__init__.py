@@ -43,7 +43,14 @@ from panelspan.operators.reshape import (
     topic_headers,
 )
 from panelspan.plans.job import PanelOutputs, long_panel, publish_panel
-from panelspan.sinks import Publication, export_dataset, publish, recover, stage_export
+from panelspan.sinks import (
+    Publication,
+    export_dataset,
+    load_series_names,
+    publish,
+    recover,
+    stage_export,
+)
 from panelspan.sources import load_dimension, load_panel
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
 
@@ -76,6 +83,7 @@ __all__ = [
     "export_dataset",
     "load_dimension",
     "load_panel",
+    "load_series_names",
     "long_panel",
     "observed_only",
     "pivot_headers",

@@ -36,13 +36,17 @@ from panelspan.operators.normalize import canonicalize
 from panelspan.operators.quality import assert_clean, quality_counts, quality_report
 from panelspan.operators.reshape import (
     DUPLICATE_CELL,
+    MOST_COLUMNS,
     check_headers,
     pivot_period,
     pivot_series,
     pivot_series_by_topic,
+    series_headers,
     shape_headers,
+    topic_headers,
 )
 from panelspan.sinks.files import Files
+from panelspan.sinks.names import NAMES_FOLDER
 from panelspan.sinks.publication import Publication
 from panelspan.spec import DIMENSION, PANEL, DimensionSpec, PanelSpec, check_columns
 
@@ -93,6 +97,7 @@ def publish_panel(
     single_dimension_file: bool = False,
     max_headers: int | None = None,
     series_wide_by_topic: bool = False,
+    most_columns: int = MOST_COLUMNS,
 ) -> None:
     """Run the whole job. On any broken rule nothing is published.
 
@@ -101,6 +106,10 @@ def publish_panel(
     each wide shape; without it there is no bound. With ``series_wide_by_topic`` the series
     shape is a dataset partitioned by topic, each part with its own series alone.
 
+    Beyond ``most_columns`` series (in one topic, where it is by topic) the series shape
+    is published in blocks of columns, as ``pivot_series`` makes them; the table of its
+    names lies in the dataset, and ``load_series_names`` reads it.
+
     Raises ``InvalidRows``, ``ConflictingTopics``, ``DuplicateCells`` or
     ``InvalidHeaders``.
     """
@@ -135,33 +144,38 @@ def publish_panel(
                 order_by=names.published,
             )
 
-        # Colliding names fail here, before anything wide is written.
-        named = [spec.period] if series_wide_by_topic else [spec.series_name, spec.period]
-        headers = shape_headers(panel, named, max_headers)
-        check_headers(panel, spec.period_shape_keys(panel), headers[spec.period])
-        if not series_wide_by_topic:
-            check_headers(panel, spec.series_shape_keys(panel), headers[spec.series_name])
-        parts = row_key_partitions(spark, Files(spark).total_bytes(staged))
-        shapes = [(pivot_period, headers[spec.period], outputs.period_wide)]
-        if not series_wide_by_topic:
-            shapes.insert(0, (pivot_series, headers[spec.series_name], outputs.series_wide))
-
-        def table(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+        def table(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
             return publication.table(df, outputs.series_wide, partition_by)
 
+        # Colliding names fail here, before anything wide is written.
+        periods = shape_headers(panel, [spec.period], max_headers)[spec.period]
+        check_headers(panel, spec.period_shape_keys(panel), periods)
+        headers_of = topic_headers if series_wide_by_topic else series_headers
+        series = headers_of(panel, spec, max_headers, most_columns, table)
+        blocks = isinstance(series, DataFrame)
+        if not blocks and not series_wide_by_topic:
+            check_headers(panel, spec.series_shape_keys(panel), series)
+        parts = row_key_partitions(spark, Files(spark).total_bytes(staged))
         # The small output is made in the gaps that the large ones leave.
         with ThreadPoolExecutor(max_workers=1) as beside:
             dimension_staged = beside.submit(stage_dimension)
-            if series_wide_by_topic:
+            if blocks:
+                wide = pivot_series(panel, spec, headers=series, partitions=parts)
+                by = [spec.topic] if series_wide_by_topic else []
+                shape = _stage_wide(publication, wide, outputs.series_wide, by)
+                publication.stage_inside(series, f"{shape}/{NAMES_FOLDER}")
+            elif series_wide_by_topic:
                 with duplicates_named(outputs.series_wide):
                     by_topic = pivot_series_by_topic(panel, spec, max_headers, parts, table)
                     # An empty panel has no topics.
                     wide = list(by_topic.values()) or [pivot_series(panel, spec)]
                     publication.stage_parts(wide, outputs.series_wide, spec.topic)
-            for pivot, names_of, target in shapes:
+            else:
                 # An empty panel has no headers to list.
-                wide = pivot(panel, spec, headers=names_of or None, partitions=parts)
-                _stage_wide(publication, wide, target)
+                wide = pivot_series(panel, spec, headers=series or None, partitions=parts)
+                _stage_wide(publication, wide, outputs.series_wide)
+            wide = pivot_period(panel, spec, headers=periods or None, partitions=parts)
+            _stage_wide(publication, wide, outputs.period_wide)
             dimension_staged.result()
 
 
@@ -198,9 +212,11 @@ def _counts(seen: Observation, raw: DataFrame, spec: PanelSpec) -> dict[str, int
     return counts or quality_report(raw, spec).first().asDict()
 
 
-def _stage_wide(publication: Publication, wide: DataFrame, target: str) -> None:
+def _stage_wide(
+    publication: Publication, wide: DataFrame, target: str, partition_by: Sequence[str] = ()
+) -> str:
     with duplicates_named(target):
-        publication.stage_parquet(wide, target)
+        return publication.stage_parquet(wide, target, partition_by=partition_by)
 
 
 @contextmanager

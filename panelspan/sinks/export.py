@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 
 from panelspan.sinks.files import Files
+from panelspan.sinks.names import NAMES_FOLDER, load_series_names
 from panelspan.sinks.publication import Publication
 
 # Bytes of the source that go into one file; the same rows take several times more as CSV.
@@ -27,7 +28,8 @@ def export_dataset(
     ``source_bytes_per_file`` of the source (1 GiB for Parquet, 256 MiB for CSV).
     ``files`` asks for an exact number, however large they become; one file is written by
     one task. The source is read by as many tasks as it has splits, and rows are dealt out in
-    turn, so that files are of about equal size whatever the parts of the source were.
+    turn, so that files are of about equal size whatever the parts of the source were. The
+    names of a series shape in blocks go with it.
     """
     with Publication(spark) as publication:
         return stage_export(
@@ -55,8 +57,11 @@ def stage_export(
         files = max(1, math.ceil(Files(spark).total_bytes(source) / share))
     rows = rows.repartition(files)
     if format == "parquet":
-        publication.stage_parquet(rows, target, compression="zstd")
+        staged = publication.stage_parquet(rows, target, compression="zstd")
     else:
-        publication.stage_csv(rows, target)
+        staged = publication.stage_csv(rows, target)
+    names = load_series_names(spark, source)
+    if names is not None:
+        publication.stage_inside(names, f"{staged}/{NAMES_FOLDER}", format)
     return files
 

@@ -95,14 +95,20 @@ class Publication:
         df.write.partitionBy(*partition_by).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
-    def stage_parquet(self, df: DataFrame, target: str, compression: str | None = None) -> str:
+    def stage_parquet(
+        self,
+        df: DataFrame,
+        target: str,
+        compression: str | None = None,
+        partition_by: Sequence[str] = (),
+    ) -> str:
         """Write a Parquet dataset for ``target``; return where it can be read until the swap."""
         self._claim(target)
         staged = f"{self._folder(target)}/{self._files.name(target)}"
         writer = df.write
         if compression:
             writer = writer.option("compression", compression)
-        writer.parquet(staged)
+        writer.partitionBy(*partition_by).parquet(staged)
         self._staged.append((staged, target))
         return staged
 
@@ -156,6 +162,13 @@ class Publication:
         self._staged.append((staged, target))
         return staged
 
+    def stage_inside(self, df: DataFrame, path: str, format: str = "parquet") -> None:
+        """Write a table into a folder of a staged dataset, to appear with it."""
+        if format == "parquet":
+            df.write.parquet(path)
+        else:
+            self._write_csv(df, path)
+
     @staticmethod
     def _write_csv(df: DataFrame, path: str, header: bool = True) -> None:
         df.write.options(**{**CSV_OPTIONS, "header": header}).csv(path)

@@ -225,3 +225,53 @@ def test_observed_scan_reads_the_needed_columns_only(spark, tmp_path):
     }
     scan = plan(panel).split("ReadSchema")[-1]
     assert "Series Code" in scan and "extra" not in scan and "Value 2" not in scan
+
+
+@pytest.mark.parametrize("by_topic", [False, True])
+def test_a_job_with_many_series_publishes_blocks_of_columns(spark, outputs, tmp_path, by_topic):
+    listed = [
+        (f"E{e}", f"C{e}", f"Name {s}", f"S.{s}", str(2000 + y), str(e * s + y))
+        for e in range(4) for s in range(9) for y in range(3) if (e + s + y) % 3
+    ]
+    topics = full_dimension(spark, *[(f"S.{s}", f"T {s % 2}/é") for s in range(9)])
+    options = {"most_columns": 4, "series_wide_by_topic": by_topic}
+    for _ in range(2):
+        ps.publish_panel(spark, raw(spark, *listed), topics, outputs, **options)
+    assert published(outputs) == ["dimension.csv", "long", "period", "series"]
+    names = ps.load_series_names(spark, outputs.series_wide)
+    assert sorted(r["Series Name"] for r in names.collect()) == [f"Name {s}" for s in range(9)]
+    keys = ["Country Name", "Country Code", "Year", "Topic"]
+
+    def cells(wide):
+        others = [name for name in wide.columns if name not in keys]
+        return rows(ps.series_cells(wide.select(*[f"`{c}`" for c in keys + others]), names))
+
+    wide = spark.read.parquet(outputs.series_wide)
+    assert wide.columns.count("_block") == 1 and "Name 1" not in wide.columns
+    want = [
+        (name, code, int(year), f"T {int(series[2:]) % 2}/é", series_name, float(value))
+        for name, code, series_name, series, year, value in listed
+    ]
+    assert cells(wide) == sorted(want, key=repr)
+    # An export takes the names along.
+    for format in ("parquet", "csv"):
+        ps.export_dataset(spark, outputs.series_wide, f"{tmp_path}/{format}", format)
+    copy = f"{tmp_path}/parquet"
+    assert cells(spark.read.parquet(copy)) == cells(wide)
+    assert rows(ps.load_series_names(spark, copy)) == rows(names)
+    again = spark.read.csv(f"{tmp_path}/csv/_names", header=True, schema=names.schema)
+    assert rows(again) == rows(names)
+    # Below the bound the next publication is one table again.
+    ps.publish_panel(spark, raw(spark, *listed), topics, outputs)
+    assert ps.load_series_names(spark, outputs.series_wide) is None
+    assert "Name 1" in spark.read.parquet(outputs.series_wide).columns
+
+
+@pytest.mark.parametrize("by_topic", [False, True])
+def test_a_repeated_cell_in_blocks_publishes_nothing(spark, outputs, by_topic):
+    options = {"most_columns": 0, "series_wide_by_topic": by_topic}
+    with pytest.raises(ps.DuplicateCells, match="series"):
+        ps.publish_panel(
+            spark, raw(spark, *RAW, RAW[0]), full_dimension(spark, *TOPICS), outputs, **options
+        )
+    assert published(outputs) == []
