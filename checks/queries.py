@@ -335,10 +335,11 @@ def job_catalog_series_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_catalog_series_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _catalog_job(spark, sf_dir, series_wide_by_topic=True).series_wide
-    wide = spark.read.option("mergeSchema", True).parquet(target)
+    names = ps.load_series_names(spark, target)
+    wide = spark.read.option("mergeSchema", names is None).parquet(target)
     keys = fx.ORDERS.series_shape_keys(wide)
     ordered = [*keys, *[name for name in wide.columns if name not in keys]]
-    return _unpivoted(wide.select(*map(quoted, ordered)), 4, fx.ORDERS.series_name)
+    return _cells(wide.select(*map(quoted, ordered)), names)
 
 
 def job_catalog_period_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
