@@ -304,3 +304,18 @@ def test_exported_files_are_of_about_one_size(spark, tmp_path):
     assert len(sizes) == n and 5 <= n <= 6
     assert max(sizes) < 1.2 * min(sizes)
     assert spark.read.parquet(f"{tmp_path}/out").count() == 100_000
+
+
+def test_export_bounds_the_rows_of_a_file_at_their_full_length(spark, tmp_path, monkeypatch):
+    """Repeated text takes little room in the source and its full length on the way to a task."""
+    monkeypatch.setattr("panelspan.sinks.export.ROW_BYTES_PER_FILE", 200_000)
+    source = f"{tmp_path}/source"
+    names = spark.range(4000).selectExpr("repeat('name', 50) AS name", "id", "id % 2 = 0 AS even")
+    names.write.parquet(source)
+    assert Files(spark).total_bytes(source) < 100_000
+    for format in ("parquet", "csv"):
+        # 4,000 rows of 200 bytes of text and 8 for each column.
+        assert ps.export_dataset(spark, source, f"{tmp_path}/{format}", format) == 5
+        assert len(parts(f"{tmp_path}/{format}")) == 5
+    assert rows(spark.read.parquet(f"{tmp_path}/parquet")) == rows(spark.read.parquet(source))
+    assert ps.export_dataset(spark, source, f"{tmp_path}/one", files=1) == 1
