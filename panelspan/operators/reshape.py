@@ -40,10 +40,13 @@ MOST_COLUMNS = 2_000
 #: Columns of a block. Few rows of a wide panel are full, and each cell that is empty beside a
 #: filled one costs time.
 BLOCK_COLUMNS = 256
-#: What a partition of wide rows may take in memory, and the most partitions.
+#: What a partition of wide rows may take in memory, and the most partitions. Each row has
+#: its key, and each observation its own row key until it is pivoted.
 WIDE_BYTES_PER_PARTITION = 64 * 1024 * 1024
-CELL_BYTES = 8
+CELL_BYTES, KEY_BYTES = 8, 160
 MOST_PARTITIONS = 20_000
+#: Up to so many columns every observation is taken to have a wide row of its own.
+FEW_COLUMNS = 32
 #: A table of names is broadcast by way of the driver, so up to a lower size than others.
 NAMES_BROADCAST_BYTES = 16 * 1024 * 1024
 
@@ -57,6 +60,28 @@ def pivot_headers(panel: DataFrame, name: str, max_headers: int | None = None) -
     return shape_headers(panel, [name], max_headers)[name]
 
 
+def _headers_and_rows(
+    panel: DataFrame, name: str, max_headers: int | None
+) -> tuple[list[Any], int]:
+    """The headers of ``pivot_headers``, and the number of rows, from one pass."""
+    found = panel.groupBy(column(name).alias(NAME)).agg(F.count(F.lit(1)).alias("n"))
+    if max_headers is not None:
+        found = found.limit(max_headers + 1)
+    listed = {row[NAME]: row["n"] for row in found.collect()}
+    return _checked(name, list(listed), max_headers), sum(listed.values())
+
+
+def _checked(name: str, headers: list[Any], max_headers: int | None) -> list[Any]:
+    """The headers, ascending; raises on a null, and on more than ``max_headers``."""
+    if None in headers:
+        raise InvalidHeaders(f"Column {name!r} holds nulls, which cannot become a column.")
+    if max_headers is not None and len(headers) > max_headers:
+        raise InvalidHeaders(
+            f"Column {name!r} has more than {max_headers} distinct values (max_headers)."
+        )
+    return sorted(headers)
+
+
 def shape_headers(
     panel: DataFrame, names: Sequence[str], max_headers: int | None = None
 ) -> dict[str, list[Any]]:
@@ -76,15 +101,7 @@ def shape_headers(
     values: dict[str, list[Any]] = {name: [] for name in names}
     for row in found.collect():
         values[names[row["j"]]].append(row[f"v{row['j']}"])
-    for name, headers in values.items():
-        if None in headers:
-            raise InvalidHeaders(f"Column {name!r} holds nulls, which cannot become a column.")
-        if max_headers is not None and len(headers) > max_headers:
-            raise InvalidHeaders(
-                f"Column {name!r} has more than {max_headers} distinct values (max_headers)."
-            )
-        headers.sort()
-    return values
+    return {name: _checked(name, headers, max_headers) for name, headers in values.items()}
 
 
 def series_headers(
@@ -223,9 +240,10 @@ def _widen(
     listed = headers
     key_columns = [column(name) for name in keys]
     if headers is None:
-        headers = pivot_headers(panel, header, max_headers)
+        headers, rows = _headers_and_rows(panel, header, max_headers)
         if not headers:
             return panel.select(*key_columns).distinct()
+        partitions = partitions or shape_partitions(panel, keys, len(headers), rows)
     elif not headers:
         raise InvalidHeaders("The list of headers is empty.")
     check_headers(panel, keys, headers)
@@ -242,6 +260,27 @@ def _widen(
     )
 
 
+def shape_partitions(
+    panel: DataFrame, keys: Sequence[str], width: int, rows: int
+) -> int | None:
+    """How many partitions ``rows`` observations need, so that no task holds many wide rows;
+    None if the session's setting, which adaptive execution may lower, is enough.
+
+    The row keys are counted (roughly, in one more job) only where they matter.
+    """
+    least = shuffle_partitions(panel.sparkSession)
+
+    def needed(wide_rows: int) -> int:
+        held = rows * KEY_BYTES + wide_rows * (KEY_BYTES + width * CELL_BYTES)
+        return min(MOST_PARTITIONS, math.ceil(held / WIDE_BYTES_PER_PARTITION))
+
+    wide_rows = rows
+    if needed(rows) > least and width > FEW_COLUMNS:
+        key = F.xxhash64(*[column(name) for name in keys])
+        wide_rows = min(rows, panel.agg(F.approx_count_distinct(key)).first()[0])
+    return needed(wide_rows) if needed(wide_rows) > least else None
+
+
 def _widen_blocks(
     panel: DataFrame, spec: PanelSpec, listed: DataFrame, partitions: int | None
 ) -> DataFrame:

@@ -43,6 +43,7 @@ from panelspan.operators.reshape import (
     pivot_series_by_topic,
     series_headers,
     shape_headers,
+    shape_partitions,
     topic_headers,
 )
 from panelspan.sinks.files import Files
@@ -155,7 +156,8 @@ def publish_panel(
         blocks = isinstance(series, DataFrame)
         if not blocks and not series_wide_by_topic:
             check_headers(panel, spec.series_shape_keys(panel), series)
-        parts = row_key_partitions(spark, Files(spark).total_bytes(staged))
+        parts = row_key_partitions(spark, Files(spark).total_bytes(staged)) or 0
+        n = panel.count()
         # The small output is made in the gaps that the large ones leave.
         with ThreadPoolExecutor(max_workers=1) as beside:
             dimension_staged = beside.submit(stage_dimension)
@@ -166,15 +168,21 @@ def publish_panel(
                 publication.stage_inside(series, f"{shape}/{NAMES_FOLDER}")
             elif series_wide_by_topic:
                 with duplicates_named(outputs.series_wide):
-                    by_topic = pivot_series_by_topic(panel, spec, max_headers, parts, table)
+                    by_topic = pivot_series_by_topic(
+                        panel, spec, max_headers, parts or None, table
+                    )
                     # An empty panel has no topics.
                     wide = list(by_topic.values()) or [pivot_series(panel, spec)]
                     publication.stage_parts(wide, outputs.series_wide, spec.topic)
             else:
+                keys = spec.series_shape_keys(panel)
+                dealt = max(parts, shape_partitions(panel, keys, len(series), n) or 0)
                 # An empty panel has no headers to list.
-                wide = pivot_series(panel, spec, headers=series or None, partitions=parts)
+                wide = pivot_series(panel, spec, headers=series or None, partitions=dealt or None)
                 _stage_wide(publication, wide, outputs.series_wide)
-            wide = pivot_period(panel, spec, headers=periods or None, partitions=parts)
+            keys = spec.period_shape_keys(panel)
+            dealt = max(parts, shape_partitions(panel, keys, len(periods), n) or 0)
+            wide = pivot_period(panel, spec, headers=periods or None, partitions=dealt or None)
             _stage_wide(publication, wide, outputs.period_wide)
             dimension_staged.result()
 

@@ -441,3 +441,24 @@ def test_a_table_of_names_too_large_to_send_is_shuffled(spark, monkeypatch):
     cells = ps.series_cells(ps.pivot_series(panel, headers=headers), headers)
     want = [(r[0], r[1], r[4], r[6], r[2], r[5]) for r in MANY]
     assert rows(cells) == sorted(want, key=repr)
+
+
+def test_wide_rows_are_dealt_to_more_tasks_as_they_grow(spark, monkeypatch):
+    """What a task holds is bounded by its share of the rows, whatever Spark's setting is."""
+    from panelspan.operators.reshape import shape_partitions
+
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    panel = topical(spark, *MANY)
+    keys = ps.PANEL.period_shape_keys(panel)
+    assert shape_partitions(panel, keys, 4, len(MANY)) is None
+    one_row = 2 * 160 + 4 * 8
+    monkeypatch.setattr("panelspan.operators.reshape.WIDE_BYTES_PER_PARTITION", 5 * one_row)
+    want = -(-len(MANY) // 5)
+    assert want > least and shape_partitions(panel, keys, 4, len(MANY)) == want
+    wide = ps.pivot_period(panel)
+    assert len({r[0] for r in wide.select(F.spark_partition_id()).collect()}) > least
+    # With many columns the row keys are counted: far fewer than observations here.
+    narrow = shape_partitions(panel, ["Country Code"], 33, len(MANY))
+    assert narrow == -(-(len(MANY) * 160 + 5 * (160 + 33 * 8)) // (5 * one_row))
+    monkeypatch.undo()
+    assert rows(wide) == rows(ps.pivot_period(panel))
