@@ -264,7 +264,8 @@ def shape_partitions(
     panel: DataFrame, keys: Sequence[str], width: int, rows: int
 ) -> int | None:
     """How many partitions ``rows`` observations need, so that no task holds many wide rows;
-    None if the session's setting, which adaptive execution may lower, is enough.
+    None if one would do. A number is kept by adaptive execution, which would otherwise join
+    partitions by the size of narrow rows.
 
     The row keys are counted (roughly, in one more job) only where they matter.
     """
@@ -278,7 +279,7 @@ def shape_partitions(
     if needed(rows) > least and width > FEW_COLUMNS:
         key = F.xxhash64(*[column(name) for name in keys])
         wide_rows = min(rows, panel.agg(F.approx_count_distinct(key)).first()[0])
-    return needed(wide_rows) if needed(wide_rows) > least else None
+    return max(least, needed(wide_rows)) if needed(wide_rows) > 1 else None
 
 
 def _widen_blocks(
