@@ -23,14 +23,20 @@ from pyspark.sql import functions as F
 
 from panelspan.errors import InvalidHeaders
 from panelspan.functions import column, quoted
-from panelspan.operators.lookup import fits_broadcast, lookup, shuffle_partitions
+from panelspan.operators.lookup import (
+    counted_hot_keys,
+    fits_broadcast,
+    lookup,
+    measure,
+    shuffle_partitions,
+)
 from panelspan.sinks.scratch import staged
 from panelspan.spec import PANEL, PanelSpec
 
 DUPLICATE_CELL = "DUPLICATE_CELL"
 UNLISTED_HEADER = "UNLISTED_HEADER"
 
-SHAPE, BUCKET, PLACE = "_shape", "_bucket", "_place"
+SHAPE, BUCKET, PLACE, REPEATED = "_shape", "_bucket", "_place", "_repeated"
 #: The columns of a shape in blocks, and of the table of its names.
 BLOCK, COLUMN, OBSERVATIONS = "_block", "_column", "_observations"
 NAME, AT, PART, START = "_name", "_at", "_part", "_start"
@@ -38,8 +44,11 @@ NAME, AT, PART, START = "_name", "_at", "_part", "_start"
 #: The most series with columns in one table, by default.
 MOST_COLUMNS = 2_000
 #: Columns of a block. Few rows of a wide panel are full, and each cell that is empty beside a
-#: filled one costs time.
-BLOCK_COLUMNS = 256
+#: filled one costs time: where nearly all rows of a block have one observation, the work is the
+#: observations times this.
+BLOCK_COLUMNS = 32
+#: Columns whose observations one number marks, a bit for each.
+MARKED_COLUMNS = 32
 #: What a partition of wide rows may take in memory, and the most partitions. Each row has
 #: its key, and each observation its own row key until it is pivoted.
 WIDE_BYTES_PER_PARTITION = 64 * 1024 * 1024
@@ -49,6 +58,8 @@ MOST_PARTITIONS = 20_000
 FEW_COLUMNS = 32
 #: A table of names is broadcast by way of the driver, so up to a lower size than others.
 NAMES_BROADCAST_BYTES = 16 * 1024 * 1024
+#: The most bytes of names in a partition that a join holds in memory in place of sorting cells.
+NAMES_HASHED_BYTES = 32 * 1024 * 1024
 
 
 def pivot_headers(panel: DataFrame, name: str, max_headers: int | None = None) -> list[Any]:
@@ -114,10 +125,11 @@ def series_headers(
     """The headers for ``pivot_series``: the series names, ascending, or beyond
     ``most_columns`` the table of ``series_blocks``. No more names than that are fetched."""
     name = spec.series_name
-    few = panel.select(column(name)).distinct().limit(most_columns + 1).count() <= most_columns
-    if few:
-        return pivot_headers(panel, name, max_headers)
-    return series_blocks(panel, spec, max_headers=max_headers, stage=stage)
+    counted = stage(_counted(panel, [name]))
+    if counted.count() <= most_columns:
+        found = [row[0] for row in counted.select(column(name)).collect()]
+        return _checked(name, found, max_headers)
+    return _blocks(panel, spec, counted, [name], BLOCK_COLUMNS, max_headers, stage)
 
 
 def topic_headers(
@@ -129,11 +141,12 @@ def topic_headers(
 ) -> DataFrame | None:
     """The headers for ``pivot_series_by_topic``: None while every topic has room in one
     table, beyond ``most_columns`` in one of them the table of ``series_blocks``."""
-    names = [column(spec.topic), column(spec.series_name)]
-    counts = panel.select(*names).distinct().groupBy(names[0]).count()
+    names = [spec.topic, spec.series_name]
+    counted = stage(_counted(panel, names))
+    counts = counted.groupBy(column(spec.topic)).count()
     if (counts.agg(F.max("count")).first()[0] or 0) <= most_columns:
         return None
-    return series_blocks(panel, spec, by_topic=True, max_headers=max_headers, stage=stage)
+    return _blocks(panel, spec, counted, names, BLOCK_COLUMNS, max_headers, stage)
 
 
 def series_blocks(
@@ -148,28 +161,42 @@ def series_blocks(
     before it), ``_block``, ``_column``, and its number of observations.
 
     Names are dealt in ascending order, ``width`` to a block. They are sorted and numbered
-    by many tasks; only the number of names in each part of the sorted table reaches the
-    driver. Raises ``InvalidHeaders`` as one table would.
+    by many tasks, and none reaches the driver. Raises ``InvalidHeaders`` as one table would.
     """
     names = [spec.topic, spec.series_name] if by_topic else [spec.series_name]
-    named = [column(name) for name in names]
-    listed = stage(
-        panel.groupBy(*named)
-        .agg(F.count(F.lit(1)).alias(OBSERVATIONS))
-        .orderBy(*named)
-        .withColumn(AT, F.monotonically_increasing_id())
+    return _blocks(panel, spec, _counted(panel, names), names, width, max_headers, stage)
+
+
+def _counted(panel: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The distinct names, each with its number of observations."""
+    return panel.groupBy(*[column(name) for name in names]).agg(
+        F.count(F.lit(1)).alias(OBSERVATIONS)
     )
+
+
+def _blocks(
+    panel: DataFrame,
+    spec: PanelSpec,
+    counted: DataFrame,
+    names: Sequence[str],
+    width: int,
+    max_headers: int | None,
+    stage: Callable[..., DataFrame],
+) -> DataFrame:
+    """``series_blocks`` of names that were counted."""
+    named = [column(name) for name in names]
+    listed = stage(counted.orderBy(*named).withColumn(AT, F.monotonically_increasing_id()))
     # The id holds the part of the table in its upper bits and the row within in the lower.
     part = F.shiftright(AT, 33)
-    counts = listed.groupBy(part.alias(PART)).agg(F.count(F.lit(1)).alias("n")).collect()
-    starts, total = [], 0
-    for found, n in sorted(map(tuple, counts)):
-        starts.append((found, total))
-        total += n
-    if max_headers is not None and total > max_headers:
+    if max_headers is not None and listed.count() > max_headers:
         raise InvalidHeaders(f"There are more than {max_headers} series (max_headers).")
     _check_names(panel, spec, listed, names)
-    start = panel.sparkSession.createDataFrame(starts, f"{PART} long, {START} long")
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    start = (
+        listed.groupBy(part.alias(PART))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(PART, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(START))
+    )
     index = column(START) + column(AT).bitwiseAND(F.lit((1 << 33) - 1))
     placed = listed.withColumn(PART, part).join(F.broadcast(start), PART)
     return stage(
@@ -219,15 +246,21 @@ def check_headers(panel: DataFrame, keys: Sequence[str], headers: Sequence[Any])
 
 def _guarded(keys: list[str], header: str, value: str, known: Column | None) -> Column:
     """The value of a cell; raises on a second one, and on a header that is not listed."""
-    what = ", ".join([*keys, header])
-    duplicate = F.raise_error(F.lit(f"{DUPLICATE_CELL}: several observations for one ({what})"))
+    unlisted, duplicate = _errors(keys, header)
     cell = F.when(F.count(F.lit(1)) > 1, duplicate)
     if known is not None:
-        unlisted = F.raise_error(F.lit(f"{UNLISTED_HEADER}: {header!r} has a value not in headers"))
         cell = cell.when(~F.bool_and(known), unlisted)
     return cell.otherwise(F.first(column(value)))
 
 
+def _errors(keys: Sequence[str], header: str) -> tuple[Column, Column]:
+    """What raises on a header that is not listed, and on a second observation."""
+    what = ", ".join([*keys, header])
+    unlisted = f"{UNLISTED_HEADER}: {header!r} has a value not in headers"
+    duplicate = f"{DUPLICATE_CELL}: several observations for one ({what})"
+    return F.raise_error(F.lit(unlisted)), F.raise_error(F.lit(duplicate))
+
+
 def _widen(
     panel: DataFrame,
     keys: list[str],
@@ -285,42 +318,85 @@ def shape_partitions(
 def _widen_blocks(
     panel: DataFrame, spec: PanelSpec, listed: DataFrame, partitions: int | None
 ) -> DataFrame:
-    """One row per row key and block, pivoted by the column that each series has in its block."""
+    """One row per row key and block, pivoted by the column that each series has in its block.
+
+    Spark's pivot aggregates four times, and slowly where it has many columns. Here one
+    aggregation has a maximum for each column, and marks the columns that it has seen: as many
+    observations as marks means one for each cell.
+    """
     keys = spec.series_shape_keys(panel)
     key_columns = [column(name) for name in keys]
     total = listed.agg(F.sum(OBSERVATIONS).alias("rows"), F.max(COLUMN).alias("last")).first()
     width = (total["last"] or 0) + 1
-    places = list(range(width))
+    places = range(width)
     check_headers(panel, keys, [BLOCK, *places])
     # A row may have no more than one observation.
-    wide_bytes = (total["rows"] or 0) * width * CELL_BYTES
+    wide_bytes = (total["rows"] or 0) * (KEY_BYTES + width * CELL_BYTES)
     parts = max(
         partitions or 0,
         shuffle_partitions(panel.sparkSession),
         min(MOST_PARTITIONS, math.ceil(wide_bytes / WIDE_BYTES_PER_PARTITION)),
     )
-    names = F.struct(*[column(c) for c in (spec.topic, spec.series_name) if c in listed.columns])
+    names = _named(spec, listed)
     # A block with many observations is dealt to several partitions by row key.
     share = F.sum(OBSERVATIONS).over(Window.partitionBy(BLOCK)) / F.lit(total["rows"])
     columns = listed.select(
         names.alias(NAME), BLOCK, COLUMN, F.ceil(share * parts).cast("int").alias(BUCKET)
     )
-    cells = lookup(
+    cells = _lookup_names(
         panel.select(*key_columns, column(spec.value), names.alias(NAME)),
         columns,
         NAME,
-        how="left",
-        small=fits_broadcast(columns, NAMES_BROADCAST_BYTES),
+        "left",
+        listed.select(names.alias(NAME), OBSERVATIONS),
         spread_by=keys,
     )
     bucket = F.pmod(F.xxhash64(*key_columns), column(BUCKET)).cast("int")
     dealt = cells.drop(NAME).withColumn(BUCKET, bucket).repartition(parts, BLOCK, BUCKET)
-    # The bucket is one of the grouped columns: both groupings run where the rows were dealt.
-    return (
-        dealt.groupBy(*key_columns, BLOCK, BUCKET)
-        .pivot(COLUMN, places)
-        .agg(_guarded(keys, spec.series_name, spec.value, column(BLOCK).isNotNull()))
-        .drop(BUCKET)
+    value, at = column(spec.value), column(COLUMN)
+    mark = F.expr(f"shiftleft(1L, {COLUMN} % {MARKED_COLUMNS})")
+    marks = [
+        F.bit_or(F.when(F.floor(at / MARKED_COLUMNS) == n, mark))
+        for n in range(math.ceil(width / MARKED_COLUMNS))
+    ]
+    seen = sum((F.coalesce(F.bit_count(mark), F.lit(0)) for mark in marks), F.lit(0))
+    # The bucket is one of the grouped columns: the grouping runs where the rows were dealt.
+    wide = dealt.groupBy(*key_columns, BLOCK, BUCKET).agg(
+        *[F.max(F.when(at == place, value)).alias(str(place)) for place in places],
+        (F.count(F.lit(1)) > seen).alias(REPEATED),
+    )
+    unlisted, duplicate = _errors(keys, spec.series_name)
+    sound = (
+        F.when(column(BLOCK).isNull(), unlisted.cast("boolean"))
+        .when(column(REPEATED), duplicate.cast("boolean"))
+        .otherwise(True)
+    )
+    return wide.filter(sound).drop(BUCKET, REPEATED)
+
+
+def _named(spec: PanelSpec, listed: DataFrame) -> Column:
+    """The name of a series, or its topic and name, as ``listed`` has them."""
+    names = [column(c) for c in (spec.topic, spec.series_name) if c in listed.columns]
+    return names[0] if len(names) == 1 else F.struct(*names)
+
+
+def _lookup_names(
+    cells: DataFrame,
+    columns: DataFrame,
+    key: str,
+    how: str,
+    counts: DataFrame,
+    spread_by: Sequence[str],
+) -> DataFrame:
+    """Join cells with the table of names. ``counts`` has the key and observations of each, so
+    that the keys with many are known without a pass over the cells."""
+    size = measure(columns).bytes
+    if size <= NAMES_BROADCAST_BYTES:
+        return lookup(cells, columns, key, how, small=True, spread_by=spread_by)
+    hot = counted_hot_keys(counts, key, OBSERVATIONS)
+    hashed = size / shuffle_partitions(cells.sparkSession) <= NAMES_HASHED_BYTES
+    return lookup(
+        cells, columns, key, how, small=False, spread_by=spread_by, hot=hot, hashed=hashed
     )
 
 
@@ -335,17 +411,13 @@ def series_cells(wide: DataFrame, headers: DataFrame, spec: PanelSpec = PANEL) -
         BLOCK,
         F.posexplode(F.array(*[column(name) for name in places])).alias(COLUMN, spec.value),
     ).filter(column(spec.value).isNotNull())
-
-    def place(rows: DataFrame) -> Column:
-        return (rows[BLOCK].cast("long") * len(places) + rows[COLUMN]).alias(AT)
-
-    columns = headers.select(place(headers), *[column(name) for name in names])
-    return lookup(
-        cells.select(*key_columns, column(spec.value), place(cells)),
-        columns,
+    place = (column(BLOCK).cast("long") * len(places) + column(COLUMN)).alias(AT)
+    return _lookup_names(
+        cells.select(*key_columns, column(spec.value), place),
+        headers.select(place, *[column(name) for name in names]),
         AT,
-        how="inner",
-        small=fits_broadcast(columns, NAMES_BROADCAST_BYTES),
+        "inner",
+        headers.select(place, OBSERVATIONS),
         spread_by=keys,
     ).select(*key_columns, *[column(name) for name in names], column(spec.value))
 

@@ -7,7 +7,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 import panelspan as ps
-from tests.helpers import TOPICAL, executed_plan, long, records, rows, topical
+from panelspan.sinks.scratch import staged
+from tests.helpers import TOPICAL, executed_plan, long, plan, records, rows, topical
 
 PANEL = [
     ("A-land", "AAA", "Births", "b", 2021, 1.0),
@@ -443,6 +444,89 @@ def test_a_table_of_names_too_large_to_send_is_shuffled(spark, monkeypatch):
     assert rows(cells) == sorted(want, key=repr)
 
 
+def no_sketch(*_):
+    raise AssertionError("the cells were computed once more to find keys with many rows")
+
+
+@pytest.mark.parametrize("hashed", [True, False])
+@pytest.mark.parametrize("by_topic", [False, True])
+def test_cells_of_blocks_are_computed_once(spark, monkeypatch, hashed, by_topic):
+    """The table of names knows which series have many rows: no pass over wide rows does."""
+    monkeypatch.setattr("panelspan.operators.reshape.NAMES_BROADCAST_BYTES", 0)
+    if not hashed:
+        monkeypatch.setattr("panelspan.operators.reshape.NAMES_HASHED_BYTES", -1)
+    monkeypatch.setattr("panelspan.operators.lookup.hot_keys", no_sketch)
+    crowd = [(f"H{i}", f"H{i}", "S01`.é", "s1", 2020, float(i), "T 1/é") for i in range(300)]
+    panel = topical(spark, *MANY, *crowd)
+    headers = ps.series_blocks(panel, by_topic=by_topic, width=4)
+    cells = ps.series_cells(ps.pivot_series(panel, headers=headers), headers)
+    want = [(r[0], r[1], r[4], r[6], r[2], r[5]) for r in [*MANY, *crowd]]
+    assert rows(cells) == sorted(want, key=repr)
+    joins = [line for line in executed_plan(cells).splitlines() if "Join" in line]
+    assert any(("ShuffledHashJoin" if hashed else "SortMergeJoin") in line for line in joins)
+
+
+def test_keys_with_many_rows_are_known_from_counts(spark):
+    from panelspan.operators.lookup import counted_hot_keys, hot_keys
+
+    keys = spark.range(2_000).selectExpr("if(id < 900, 'hot', concat('k', id)) AS k")
+    counts = keys.groupBy("k").count()
+    found = counted_hot_keys(counts, "k", "count", partitions=10)
+    guessed = hot_keys(keys, "k", partitions=10)
+    assert (found.rows, found.share) == (guessed.rows, guessed.share) == (2_000, 200)
+    assert list(found.salts) == list(guessed.salts) and list(found.salts.values()) == [18]
+    assert counted_hot_keys(counts.limit(0), "k", "count", partitions=10).salts == {}
+
+
+def test_a_block_is_pivoted_by_one_grouping_that_spark_compiles(spark):
+    """Beyond 100 fields Spark neither compiles a stage nor reads Parquet in batches."""
+    many = [(f"E{e}", "C", f"S{s:03}", "s", 2020, float(s), "T") for e in (1, 2) for s in range(90)]
+    panel = topical(spark, *many)
+    wide = ps.pivot_series(panel, headers=ps.series_headers(panel, most_columns=50))
+    assert len(wide.columns) == 5 + 32
+    assert wide.count() == 2 * 3
+    assert "pivotfirst" not in plan(wide).lower()
+    # One grouping, which Spark does in two steps; its own pivot takes two groupings.
+    last = executed_plan(wide).split("== Initial Plan ==")[0]
+    assert last.count("HashAggregate(") == 2
+
+
+@pytest.mark.parametrize("width", [33, 64, 70])
+def test_blocks_wider_than_one_number_marks(spark, width):
+    series = [("A", "A", f"S{s:03}", "s", 2020, None if s == 40 else float(s), "T") for s in range(70)]
+    panel = topical(spark, *series)
+    headers = ps.series_blocks(panel, width=width)
+    cells = ps.series_cells(ps.pivot_series(panel, headers=headers), headers)
+    assert sorted((r["Series Name"], r["Value"]) for r in cells.collect()) == [
+        (row[2], row[5]) for row in series if row[5] is not None
+    ]
+    for again in (0, 31, 32, 40, 63, 69):
+        twice = topical(spark, *series, (*series[again][:5], 1.0, "T"))
+        with pytest.raises(PySparkException, match="DUPLICATE_CELL"):
+            ps.pivot_series(twice, headers=headers).collect()
+
+
+def test_headers_are_found_in_one_pass(spark):
+    """Names are counted once, in a table; few and many come from it."""
+    panel = topical(spark, *MANY)
+    for of, most in ((ps.series_headers, 22), (ps.topic_headers, 7)):
+        tables = []
+
+        def stage(df, partition_by=()):
+            tables.append(plan(df))
+            return staged(df, partition_by)
+
+        passes = spark.sparkContext.accumulator(0)
+
+        def seen(batches):
+            passes.add(1)
+            yield from batches
+
+        once = panel.coalesce(1).mapInArrow(seen, panel.schema)
+        assert of(once, most_columns=most, stage=stage).count() == 23
+        assert passes.value == 1 and len(tables) == 3
+
+
 def test_wide_rows_are_dealt_to_more_tasks_as_they_grow(spark, monkeypatch):
     """What a task holds is bounded by its share of the rows, whatever Spark's setting is."""
     from panelspan.operators.reshape import shape_partitions
