@@ -205,8 +205,11 @@ def series_wide_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_wide_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = staged(sales_long(spark, sf_dir))
     headers = ps.topic_headers(panel, fx.ORDERS)
-    shapes = ps.pivot_series_by_topic(panel, fx.ORDERS, headers=headers)
-    return reduce(DataFrame.union, [_cells(wide, headers) for wide in shapes.values()])
+    shapes = ps.pivot_series_by_topic(panel, fx.ORDERS, headers=headers).values()
+    if headers is not None:
+        # Blocks have the same columns in every topic: one join names all their cells.
+        shapes = [reduce(DataFrame.union, shapes)]
+    return reduce(DataFrame.union, [_cells(wide, headers) for wide in shapes])
 
 
 def _cells(wide: DataFrame, headers: DataFrame | list[str] | None) -> DataFrame:

@@ -1,5 +1,7 @@
 """Pivots: shapes, headers, duplicate cells, plans, round trips."""
 
+from functools import partial
+
 import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings
 from hypothesis import strategies as st
@@ -527,6 +529,22 @@ def test_headers_are_found_in_one_pass(spark):
         assert passes.value == 1 and len(tables) == 3
 
 
+def test_topics_in_blocks_meet_the_names_once(spark, monkeypatch):
+    from checks import fixtures as fx
+    from checks import queries
+
+    names = ["entity_name", "entity_code", "series_name", "series_code", "period", "value", "topic"]
+    panel = topical(spark, *MANY).toDF(*names)
+    monkeypatch.setattr(queries, "sales_long", lambda *_: panel)
+    monkeypatch.setattr(queries.ps, "topic_headers", partial(ps.topic_headers, most_columns=7))
+    cells = queries.series_wide_topics(spark, "")
+    want = [(r[0], r[1], r[4], r[6], r[2], r[5]) for r in MANY]
+    assert rows(cells) == sorted(want, key=repr)
+    assert cells.columns == fx.ORDERS.series_shape_keys(panel) + ["series_name", "value"]
+    logical = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Join Inner") == 1
+
+
 def test_wide_rows_are_dealt_to_more_tasks_as_they_grow(spark, monkeypatch):
     """What a task holds is bounded by its share of the rows, whatever Spark's setting is."""
     from panelspan.operators.reshape import shape_partitions
