@@ -275,3 +275,29 @@ def test_a_repeated_cell_in_blocks_publishes_nothing(spark, outputs, by_topic):
             spark, raw(spark, *RAW, RAW[0]), full_dimension(spark, *TOPICS), outputs, **options
         )
     assert published(outputs) == []
+
+
+@pytest.mark.parametrize("by_topic", [False, True])
+def test_published_blocks_are_read_once(spark, outputs, monkeypatch, by_topic):
+    """No pass over the wide rows looks for keys with many rows, and few columns are empty."""
+    listed = [
+        (f"E{e}", f"C{e}", f"Name {s:02}", f"S.{s}", "2020", str(e + s))
+        for e in range(2) for s in range(70) if s % 7 == e
+    ]
+    topics = full_dimension(spark, *[(f"S.{s}", f"T {s % 2}") for s in range(70)])
+    options = {"most_columns": 4, "series_wide_by_topic": by_topic}
+    ps.publish_panel(spark, raw(spark, *listed), topics, outputs, **options)
+    wide = spark.read.parquet(outputs.series_wide)
+    names = ps.load_series_names(spark, outputs.series_wide)
+    keys = ["Country Name", "Country Code", "Year", "Topic"]
+    places = [name for name in wide.columns if name not in [*keys, "_block"]]
+    assert len(places) <= 32
+    jobs = []
+    monkeypatch.setattr("panelspan.operators.reshape.NAMES_BROADCAST_BYTES", 0)
+    monkeypatch.setattr("panelspan.operators.lookup.hot_keys", lambda *args: jobs.append(args))
+    ordered = wide.select(*[f"`{c}`" for c in [*keys, "_block", *places]])
+    cells = ps.series_cells(ordered, names)
+    assert not jobs
+    assert sorted((r["Country Code"], r["Series Name"], r["Value"]) for r in cells.collect()) == [
+        (code, name, float(value)) for _, code, name, _, _, value in sorted(listed)
+    ]
